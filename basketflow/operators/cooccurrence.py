@@ -1,0 +1,191 @@
+"""Item co-occurrence recommender (A1-A3, A5, P5-P9) as DataFrame plans.
+
+Input is a DataFrame of view events ``(user, item)``. A user's *basket* is the
+set of distinct items they viewed; two items co-occur once per basket holding
+both. The batch recommender keeps pairs seen in at least ``min_support``
+baskets (2 in the batch job, 1 in the streaming job) and lists, per item, the
+other items with their counts.
+
+Scale design
+------------
+* Baskets are never materialised as one array per user on the pair path: a
+  single user may own a third of all rows. Instead the distinct
+  ``(user, item)`` rows are kept as rows and pairs come from an equi-join.
+* A large basket is cut into blocks of at most ``block_size`` items (by a hash
+  of the item). The self-join key is ``(user, block_lo, block_hi)``, so the
+  pairs of one huge basket spread over ``nb*(nb+1)/2`` tasks of at most
+  ``block_size**2`` pairs each, instead of one task. Small baskets have one
+  block and the join is the plain self-join.
+* With ``min_support > 1`` items seen in fewer baskets than the threshold are
+  removed before pairing. That is exact: a pair can not be seen more often
+  than either of its items. On long-tailed catalogues it removes most of the
+  quadratic work.
+* Counting is ``groupBy(a, b).count()``: partial aggregation before the
+  shuffle, so a hot pair costs one row per map task.
+* Joins carry no hints; AQE turns a join into a broadcast only when the
+  runtime size of a side is under the broadcast threshold, and splits skewed
+  partitions of the rest.
+
+Item ids are compared as strings (``"10" < "9"``), as in the reference.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+# Largest number of distinct items of one basket handled by one join block.
+DEFAULT_BLOCK_SIZE = 2048
+
+
+def distinct_views(views: DataFrame, user: str = "user", item: str = "item") -> DataFrame:
+    """Distinct ``(user, item)`` rows; items as strings, null ids dropped.
+
+    The distinct is hash-partitioned on both columns, so a hot user is spread
+    over all partitions and duplicates are removed map-side first.
+    """
+    return (views
+            .select(F.col(user).alias("user"), F.col(item).cast("string").alias("item"))
+            .where(F.col("user").isNotNull() & F.col("item").isNotNull())
+            .distinct())
+
+
+def baskets(views: DataFrame, min_basket: int = 2, user: str = "user",
+            item: str = "item") -> DataFrame:
+    """A2 + P6: ``(user, basket, n)``, basket = sorted distinct items.
+
+    This is the basket *report*; the pair path below never builds these
+    arrays. Users with fewer than ``min_basket`` distinct items are dropped.
+    """
+    dv = distinct_views(views, user, item)
+    return (dv.groupBy("user")
+            .agg(F.array_sort(F.collect_list("item")).alias("basket"),
+                 F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") >= F.lit(min_basket)))
+
+
+def frequent_items(dv: DataFrame, min_support: int) -> DataFrame:
+    """Items present in at least ``min_support`` baskets."""
+    return (dv.groupBy("item").agg(F.count(F.lit(1)).alias("support"))
+            .where(F.col("support") >= F.lit(min_support)))
+
+
+def item_pairs(views: DataFrame, min_basket: int = 2, min_support: int = 1,
+               block_size: int = DEFAULT_BLOCK_SIZE, user: str = "user",
+               item: str = "item", prune: bool = True) -> DataFrame:
+    """Every ``(user, a, b)`` with ``a < b`` both in the user's basket.
+
+    Only users with at least ``min_basket`` distinct items contribute.
+    ``min_support`` is used for exact pruning only (see module doc); the
+    support filter itself is applied by :func:`pair_support`.
+    """
+    if block_size < 1:
+        raise ValueError("block_size must be positive")
+    dv = distinct_views(views, user, item)
+    work = dv
+    if prune and min_support > 1:
+        work = dv.join(frequent_items(dv, min_support).select("item"), "item", "left_semi")
+
+    sizes = (work.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+             .where(F.col("n") >= F.lit(2)))
+    if min_basket > 2:
+        full = (dv.groupBy("user").agg(F.count(F.lit(1)).alias("n_all"))
+                .where(F.col("n_all") >= F.lit(min_basket)))
+        sizes = sizes.join(full.select("user"), "user", "left_semi")
+
+    nb = F.ceil(F.col("n") / F.lit(block_size)).cast("int")
+    tagged = (work.join(sizes, "user")
+              .select("user", "item", nb.alias("nb"))
+              .withColumn("blk", F.pmod(F.xxhash64("item"), F.col("nb")).cast("int")))
+    # Each item meets its own block and every later block (left side) or
+    # every earlier block (right side); small baskets have nb == 1.
+    left = tagged.select("user", F.col("item").alias("a"), F.col("blk").alias("lo"),
+                         F.explode(F.sequence(F.col("blk"), F.col("nb") - 1)).alias("hi"))
+    right = tagged.select("user", F.col("item").alias("b"),
+                          F.explode(F.sequence(F.lit(0), F.col("blk"))).alias("lo"),
+                          F.col("blk").alias("hi"))
+    joined = (left.join(right, ["user", "lo", "hi"])
+              .where((F.col("lo") != F.col("hi")) | (F.col("a") < F.col("b"))))
+    return joined.select("user", F.least("a", "b").alias("a"),
+                         F.greatest("a", "b").alias("b"))
+
+
+def pair_support(views: DataFrame, min_basket: int = 2, min_support: int = 2,
+                 block_size: int = DEFAULT_BLOCK_SIZE, user: str = "user",
+                 item: str = "item", prune: bool = True) -> DataFrame:
+    """P5 + A1 + P8: ``(a, b, cnt)`` = number of baskets holding both.
+
+    Pairs seen in fewer than ``min_support`` baskets are dropped (the batch
+    job uses 2, the streaming job 1).
+    """
+    pairs = item_pairs(views, min_basket, min_support, block_size, user, item, prune)
+    counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("cnt"))
+    if min_support > 1:
+        counted = counted.where(F.col("cnt") >= F.lit(min_support))
+    return counted
+
+
+def symmetric_pairs(pairs: DataFrame, a: str = "a", b: str = "b",
+                    cnt: str = "cnt") -> DataFrame:
+    """``(a, b, n)`` -> ``(a, b, n)`` and ``(b, a, n)`` in one pass."""
+    both = F.explode(F.array(
+        F.struct(F.col(a).alias("item"), F.col(b).alias("other"), F.col(cnt).alias("cnt")),
+        F.struct(F.col(b).alias("item"), F.col(a).alias("other"), F.col(cnt).alias("cnt"))))
+    return pairs.select(both.alias("_p")).select("_p.item", "_p.other", "_p.cnt")
+
+
+def recommendations_flat(views: DataFrame, min_basket: int = 2, min_support: int = 2,
+                         block_size: int = DEFAULT_BLOCK_SIZE, user: str = "user",
+                         item: str = "item") -> DataFrame:
+    """A5 in flat form: ``(item, other, cnt)``, one row per neighbour.
+
+    This is the form to write at scale: no row grows with an item's
+    popularity.
+    """
+    return symmetric_pairs(pair_support(views, min_basket, min_support, block_size,
+                                        user, item))
+
+
+def top_neighbours(flat: DataFrame, n: int, salt_buckets: int = 64) -> DataFrame:
+    """Exact top-``n`` neighbours per item (cnt desc, other asc).
+
+    Two rounds so a popular item is not ranked in one task: first the top
+    ``n`` inside each ``(item, hash(other) % salt_buckets)`` group, then the
+    top ``n`` of those at most ``n * salt_buckets`` candidates.
+    """
+    order = [F.col("cnt").desc(), F.col("other").asc()]
+    salted = flat.withColumn("_salt", F.pmod(F.xxhash64("other"), F.lit(salt_buckets)))
+    w1 = Window.partitionBy("item", "_salt").orderBy(*order)
+    stage1 = (salted.withColumn("_r", F.row_number().over(w1))
+              .where(F.col("_r") <= F.lit(n)).drop("_r", "_salt"))
+    w2 = Window.partitionBy("item").orderBy(*order)
+    return (stage1.withColumn("_r", F.row_number().over(w2))
+            .where(F.col("_r") <= F.lit(n)).drop("_r"))
+
+
+def nest_recommendations(flat: DataFrame, top_n: int | None = None) -> DataFrame:
+    """A3: ``(item, recs)`` with ``recs = array<struct<other, cnt>>``.
+
+    The reference leaves the list order unspecified; we fix it to cnt
+    descending, then other ascending. ``top_n`` (off by default) keeps the
+    ``n`` strongest neighbours, computed exactly by :func:`top_neighbours`.
+    """
+    if top_n is not None:
+        flat = top_neighbours(flat, top_n)
+    entries = F.collect_list(F.struct((-F.col("cnt")).alias("k"), F.col("other"),
+                                      F.col("cnt")))
+    ordered = F.transform(F.array_sort(entries),
+                          lambda e: F.struct(e["other"].alias("other"),
+                                             e["cnt"].alias("cnt")))
+    return flat.groupBy("item").agg(ordered.alias("recs"))
+
+
+def cooccurrence(views: DataFrame, min_basket: int = 2, min_support: int = 2,
+                 top_n: int | None = None, block_size: int = DEFAULT_BLOCK_SIZE,
+                 user: str = "user", item: str = "item") -> DataFrame:
+    """A5, the flagship batch recommender: views -> ``(item, recs)``.
+
+    S1 -> P1 (done by the caller) -> A2 -> P6 -> P7 -> A1 -> P8 -> P9 -> A3.
+    """
+    flat = recommendations_flat(views, min_basket, min_support, block_size, user, item)
+    return nest_recommendations(flat, top_n)
