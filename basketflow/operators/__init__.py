@@ -1,6 +1,6 @@
 """Batch operators: co-occurrence recommender and word counts."""
 
-from basketflow.operators.cooccurrence import (
+from basketflow.operators.recommender import (
     baskets, cooccurrence, distinct_views, item_pairs, nest_recommendations,
     pair_support, recommendations_flat, symmetric_pairs, top_neighbours,
 )

@@ -16,10 +16,11 @@ Scale design
   pairs of one huge basket spread over ``nb*(nb+1)/2`` tasks of at most
   ``block_size**2`` pairs each, instead of one task. Small baskets have one
   block and the join is the plain self-join.
-* With ``min_support > 1`` items seen in fewer baskets than the threshold are
-  removed before pairing. That is exact: a pair can not be seen more often
-  than either of its items. On long-tailed catalogues it removes most of the
-  quadratic work.
+* With ``prune=True`` and ``min_support > 1`` items seen in fewer baskets than
+  the threshold are removed before pairing. That is exact: a pair can not be
+  seen more often than either of its items. It costs one extra shuffle of the
+  distinct views by item, so it is off by default and pays off on
+  long-tailed catalogues where many items occur in a single basket.
 * Counting is ``groupBy(a, b).count()``: partial aggregation before the
   shuffle, so a hot pair costs one row per map task.
 * Joins carry no hints; AQE turns a join into a broadcast only when the
@@ -72,7 +73,7 @@ def frequent_items(dv: DataFrame, min_support: int) -> DataFrame:
 
 def item_pairs(views: DataFrame, min_basket: int = 2, min_support: int = 1,
                block_size: int = DEFAULT_BLOCK_SIZE, user: str = "user",
-               item: str = "item", prune: bool = True) -> DataFrame:
+               item: str = "item", prune: bool = False) -> DataFrame:
     """Every ``(user, a, b)`` with ``a < b`` both in the user's basket.
 
     Only users with at least ``min_basket`` distinct items contribute.
@@ -112,7 +113,7 @@ def item_pairs(views: DataFrame, min_basket: int = 2, min_support: int = 1,
 
 def pair_support(views: DataFrame, min_basket: int = 2, min_support: int = 2,
                  block_size: int = DEFAULT_BLOCK_SIZE, user: str = "user",
-                 item: str = "item", prune: bool = True) -> DataFrame:
+                 item: str = "item", prune: bool = False) -> DataFrame:
     """P5 + A1 + P8: ``(a, b, cnt)`` = number of baskets holding both.
 
     Pairs seen in fewer than ``min_support`` baskets are dropped (the batch
@@ -146,7 +147,8 @@ def recommendations_flat(views: DataFrame, min_basket: int = 2, min_support: int
                                         user, item))
 
 
-def top_neighbours(flat: DataFrame, n: int, salt_buckets: int = 64) -> DataFrame:
+def top_neighbours(flat: DataFrame, n: int, salt_buckets: int = 64,
+                   keys: tuple[str, ...] = ("item",)) -> DataFrame:
     """Exact top-``n`` neighbours per item (cnt desc, other asc).
 
     Two rounds so a popular item is not ranked in one task: first the top
@@ -155,29 +157,31 @@ def top_neighbours(flat: DataFrame, n: int, salt_buckets: int = 64) -> DataFrame
     """
     order = [F.col("cnt").desc(), F.col("other").asc()]
     salted = flat.withColumn("_salt", F.pmod(F.xxhash64("other"), F.lit(salt_buckets)))
-    w1 = Window.partitionBy("item", "_salt").orderBy(*order)
+    w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
     stage1 = (salted.withColumn("_r", F.row_number().over(w1))
               .where(F.col("_r") <= F.lit(n)).drop("_r", "_salt"))
-    w2 = Window.partitionBy("item").orderBy(*order)
+    w2 = Window.partitionBy(*keys).orderBy(*order)
     return (stage1.withColumn("_r", F.row_number().over(w2))
             .where(F.col("_r") <= F.lit(n)).drop("_r"))
 
 
-def nest_recommendations(flat: DataFrame, top_n: int | None = None) -> DataFrame:
+def nest_recommendations(flat: DataFrame, top_n: int | None = None,
+                         keys: tuple[str, ...] = ("item",)) -> DataFrame:
     """A3: ``(item, recs)`` with ``recs = array<struct<other, cnt>>``.
 
     The reference leaves the list order unspecified; we fix it to cnt
     descending, then other ascending. ``top_n`` (off by default) keeps the
     ``n`` strongest neighbours, computed exactly by :func:`top_neighbours`.
+    ``keys`` adds grouping columns (e.g. ``batch_id``) next to ``item``.
     """
     if top_n is not None:
-        flat = top_neighbours(flat, top_n)
+        flat = top_neighbours(flat, top_n, keys=keys)
     entries = F.collect_list(F.struct((-F.col("cnt")).alias("k"), F.col("other"),
                                       F.col("cnt")))
     ordered = F.transform(F.array_sort(entries),
                           lambda e: F.struct(e["other"].alias("other"),
                                              e["cnt"].alias("cnt")))
-    return flat.groupBy("item").agg(ordered.alias("recs"))
+    return flat.groupBy(*keys).agg(ordered.alias("recs"))
 
 
 def cooccurrence(views: DataFrame, min_basket: int = 2, min_support: int = 2,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.functions.payload import recommendation_payload
-from basketflow.operators.cooccurrence import (
+from basketflow.operators.recommender import (
     baskets, cooccurrence, pair_support, recommendations_flat,
 )
 from basketflow.operators.wordcount import word_counts

@@ -60,3 +60,56 @@ BATCH_ORACLES = {
     "wc_drop_trailing": f"""
         SELECT word, COUNT(*)::BIGINT AS cnt FROM ({_DOC_TOKENS_DROP}) GROUP BY word""",
 }
+
+
+# ---- streaming queries: micro-batch k = k-th non-empty 10-day slice --------
+_EVENT_BATCH = ("dense_rank() OVER (ORDER BY floor(date_diff('day', DATE '2024-01-01', "
+                "CAST(ts AS DATE)) / 10)) - 1")
+_EVENT_VIEWS = f"""
+    SELECT DISTINCT bid, u, i FROM (
+        SELECT {_EVENT_BATCH} AS bid, CAST(user_id AS VARCHAR) AS u,
+               event_type || CAST(event_id % 7 AS VARCHAR) AS i
+        FROM events)"""
+_STREAM_PAIRS = f"""
+    WITH d AS ({_EVENT_VIEWS})
+    SELECT x.bid AS bid, x.i AS a, y.i AS b, COUNT(*) AS cnt
+    FROM d x JOIN d y ON x.bid = y.bid AND x.u = y.u AND x.i < y.i
+    GROUP BY 1, 2, 3"""
+_STREAM_RUNNING = f"""
+    WITH p AS ({_STREAM_PAIRS}),
+    f AS (SELECT bid, a AS item, b AS other, cnt FROM p
+          UNION ALL SELECT bid, b AS item, a AS other, cnt FROM p),
+    touched AS (SELECT DISTINCT bid, item FROM f)
+    SELECT t.bid::BIGINT AS batch_id, t.item, f.other, SUM(f.cnt)::BIGINT AS cnt
+    FROM touched t JOIN f ON f.item = t.item AND f.bid <= t.bid
+    GROUP BY 1, 2, 3"""
+_UPDATE_COUNTS = f"""
+    WITH s AS (SELECT {_EVENT_BATCH} AS batch_id, event_type AS word FROM events),
+    c AS (SELECT batch_id, word, COUNT(*) AS n FROM s GROUP BY 1, 2)
+    SELECT batch_id::BIGINT AS batch_id, word,
+           (SUM(n) OVER (PARTITION BY word ORDER BY batch_id))::BIGINT AS cnt
+    FROM c"""
+
+STREAM_ORACLES = {
+    "wc_stream_update": f"""
+        SELECT batch_id, word, cnt, '(' || word || ',' || CAST(cnt AS VARCHAR) || ')' AS payload
+        FROM ({_UPDATE_COUNTS})""",
+    "stream_restart_counts": """
+        SELECT event_type AS word, COUNT(*)::BIGINT AS cnt FROM events GROUP BY 1""",
+    "wc_stream_complete": """
+        WITH d AS (SELECT dense_rank() OVER (ORDER BY lang) - 1 AS r, text FROM documents),
+        t AS (SELECT r, unnest(string_split(text, ' ')) AS word FROM d),
+        c AS (SELECT r, word, COUNT(*) AS n FROM t GROUP BY 1, 2),
+        b AS (SELECT DISTINCT r AS batch_id FROM d)
+        SELECT b.batch_id::BIGINT AS batch_id, c.word, SUM(c.n)::BIGINT AS cnt
+        FROM b JOIN c ON c.r <= b.batch_id GROUP BY 1, 2""",
+    "reco_stream_pairs": f"""
+        SELECT bid::BIGINT AS batch_id, a, b, cnt::BIGINT AS cnt FROM ({_STREAM_PAIRS})""",
+    "reco_stream_running": _STREAM_RUNNING,
+    "reco_stream_payload": f"""
+        SELECT batch_id, item,
+               '(' || item || ',[' ||
+               string_agg('(' || other || ',' || CAST(cnt AS VARCHAR) || ')', ', '
+                          ORDER BY cnt DESC, other) || '])' AS payload
+        FROM ({_STREAM_RUNNING}) GROUP BY batch_id, item""",
+}
