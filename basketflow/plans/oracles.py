@@ -113,3 +113,73 @@ STREAM_ORACLES = {
                           ORDER BY cnt DESC, other) || '])' AS payload
         FROM ({_STREAM_RUNNING}) GROUP BY batch_id, item""",
 }
+
+
+# ---- model queries ---------------------------------------------------------
+def _train(key: str) -> str:
+    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8))::BIGINT % 10 < 7)"
+
+
+def _rank(col: str, source: str) -> str:
+    return (f"SELECT {col}, (row_number() OVER (ORDER BY COUNT(*) DESC, {col}) - 1)::DOUBLE "
+            f"AS idx FROM {source} WHERE {col} IS NOT NULL GROUP BY {col}")
+
+
+_LABELLED = "(SELECT d.* FROM documents d JOIN labels l USING (doc_id))"
+_AUROC = """
+    WITH g AS (
+        SELECT CAST(c_acctbal AS DOUBLE) AS s,
+               SUM(CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END) AS pos,
+               SUM(CASE WHEN c_mktsegment = 'BUILDING' THEN 0 ELSE 1 END) AS neg
+        FROM customer WHERE c_acctbal IS NOT NULL AND c_mktsegment IS NOT NULL
+        GROUP BY 1),
+    c AS (SELECT pos, neg, coalesce(SUM(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED
+                 PRECEDING AND 1 PRECEDING), 0) AS below FROM g)
+    SELECT round(SUM(pos * (below + neg / 2.0)) / (SUM(pos) * SUM(neg)), 6) AS auroc,
+           SUM(pos)::BIGINT AS n_pos, SUM(neg)::BIGINT AS n_neg
+    FROM c"""
+_DOC_TEST_COUNT = (f"SELECT COUNT(*)::BIGINT AS n_test FROM {_LABELLED} t "
+                   f"WHERE NOT {_train('doc_id')}")
+_PART_HITS_FLAT = "SELECT 's' || CAST(p_partkey AS VARCHAR) AS session_id, " \
+    "CAST(p_partkey AS VARCHAR) AS product_id, p_type AS category_title, " \
+    "CAST(p_retailprice AS DOUBLE) AS price, p_brand AS characteristic_1, " \
+    "CAST(p_size AS VARCHAR) AS characteristic_2, " + ", ".join(
+        f"NULL::VARCHAR AS characteristic_{i}" for i in range(3, 11)) + " FROM part"
+
+ML_ORACLES = {
+    "hash_split": f"""
+        SELECT c_custkey, CASE WHEN {_train('c_custkey')} THEN 'train' ELSE 'test' END AS side
+        FROM customer""",
+    "string_index_error": f"""
+        SELECT source, idx AS source_idx FROM ({_rank('source', _LABELLED)})""",
+    "string_index_keep": f"""
+        WITH tr AS (SELECT * FROM customer WHERE {_train('c_custkey')}),
+        n AS ({_rank('c_name', 'tr')}),
+        s AS ({_rank('c_mktsegment', 'tr')})
+        SELECT c.c_custkey,
+               coalesce(n.idx, (SELECT COUNT(*) FROM n))::DOUBLE AS name_idx,
+               coalesce(s.idx, (SELECT COUNT(*) FROM s))::DOUBLE AS segment_idx
+        FROM customer c LEFT JOIN n ON n.c_name = c.c_name
+        LEFT JOIN s ON s.c_mktsegment = c.c_mktsegment""",
+    "assemble_features": f"""
+        WITH l AS ({_rank('lang', 'documents')}), s AS ({_rank('source', 'documents')})
+        SELECT d.doc_id, CAST(d.n_chars AS DOUBLE) AS f0, l.idx AS f1, s.idx AS f2
+        FROM documents d JOIN l ON l.lang = d.lang JOIN s ON s.source = d.source""",
+    "auroc_rank": _AUROC,
+    "auroc_evaluator": f"SELECT auroc FROM ({_AUROC})",
+    "rf_score": f"SELECT n_test, 0::BIGINT AS n_prob_bad, 0::BIGINT AS n_pred_bad "
+                f"FROM ({_DOC_TEST_COUNT})",
+    "dt_score": f"SELECT n_test, 0::BIGINT AS n_prob_bad, 0::BIGINT AS n_pred_bad "
+                f"FROM ({_DOC_TEST_COUNT})",
+    "gbt_score": f"SELECT n_test, 0::BIGINT AS n_prob_bad, 0::BIGINT AS n_pred_bad "
+                 f"FROM ({_DOC_TEST_COUNT})",
+    "dtr_score": f"SELECT n_test, 0::BIGINT AS n_prob_bad, 0::BIGINT AS n_pred_bad "
+                 f"FROM ({_DOC_TEST_COUNT})",
+    "model_reload": f"SELECT n_test, 0::BIGINT AS n_diff FROM ({_DOC_TEST_COUNT})",
+    "csv_declared_schema": """
+        SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
+    "json_views_flat": _PART_HITS_FLAT,
+    "product_flag_score": f"""
+        SELECT COUNT(*)::BIGINT AS n_test, 0::BIGINT AS n_prob_bad, 0::BIGINT AS n_pred_bad
+        FROM part WHERE NOT {_train('p_partkey')}""",
+}
