@@ -35,6 +35,7 @@ from basketflow.sources.kafka import read_kafka_stream
 from basketflow.sources.views import views_from_text
 from basketflow.streaming.counts import running_word_counts
 from basketflow.streaming.recommend import RunningRecommender
+from basketflow.streaming.settings import stream_partitions
 from basketflow.streaming.triggers import (
     RECOMMENDER_INTERVAL, STATEFUL_WORD_COUNT_INTERVAL, STRUCTURED_WORD_COUNT_INTERVAL,
 )
@@ -89,9 +90,11 @@ def streaming_recommendations(spark: SparkSession, lines: DataFrame, checkpoint:
 
     fn = RunningRecommender(spark, os.path.join(checkpoint, "state"), emit,
                             compact_every=compact_every, initial_state=initial_state)
-    return (parse_view_line(lines, "value").writeStream
-            .option("checkpointLocation", os.path.join(checkpoint, "query"))
-            .foreachBatch(fn).trigger(processingTime=interval).start())
+    writer = (parse_view_line(lines, "value").writeStream
+              .option("checkpointLocation", os.path.join(checkpoint, "query"))
+              .foreachBatch(fn).trigger(processingTime=interval))
+    with stream_partitions(spark):
+        return writer.start()
 
 
 # ---- J3: stateful word count -------------------------------------------------
@@ -113,9 +116,11 @@ def stateful_word_count(lines: DataFrame, checkpoint: str, brokers: str | None =
                 batch.withColumn("payload", word_count_payload()), batch_id)
         batch.unpersist()
 
-    return (counts.writeStream.outputMode("update")
-            .option("checkpointLocation", checkpoint)
-            .foreachBatch(emit).trigger(processingTime=interval).start())
+    writer = (counts.writeStream.outputMode("update")
+              .option("checkpointLocation", checkpoint)
+              .foreachBatch(emit).trigger(processingTime=interval))
+    with stream_partitions(lines.sparkSession):
+        return writer.start()
 
 
 # ---- J4: structured word count -----------------------------------------------
@@ -126,7 +131,8 @@ def structured_word_count(lines: DataFrame, checkpoint: str | None = None,
     writer = console_sink(counts, "complete", num_rows=20).trigger(processingTime=interval)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
-    return writer.start()
+    with stream_partitions(lines.sparkSession):
+        return writer.start()
 
 
 # ---- J5: classification ----------------------------------------------------

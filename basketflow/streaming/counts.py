@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from basketflow.operators.wordcount import word_counts
+from basketflow.streaming.settings import stream_partitions
 
 
 def running_word_counts(lines: DataFrame, col: str = "value",
@@ -30,11 +31,15 @@ def running_word_counts(lines: DataFrame, col: str = "value",
 
 def start_counts(counts: DataFrame, checkpoint: str,
                  sink: Callable[[DataFrame, int], None], output_mode: str = "update",
-                 trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
+                 trigger: dict | None = None, query_name: str | None = None,
+                 state_partitions: int | None = None) -> StreamingQuery:
     """Start a count query whose every micro-batch goes to ``sink``.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (default
     ``availableNow``). The checkpoint makes totals survive restarts.
+    ``state_partitions`` fixes the state-store partitioning on the first
+    start; when omitted the session's current setting applies (callers such
+    as :class:`SlicedFileStream` choose it).
     """
     writer = (counts.writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint)
@@ -42,4 +47,7 @@ def start_counts(counts: DataFrame, checkpoint: str,
               .trigger(**(trigger or {"availableNow": True})))
     if query_name:
         writer = writer.queryName(query_name)
-    return writer.start()
+    if state_partitions is None:
+        return writer.start()
+    with stream_partitions(counts.sparkSession, state_partitions):
+        return writer.start()

@@ -18,13 +18,16 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from basketflow.session import scratch_dir
+from basketflow.streaming.settings import stream_partitions
 
 
 class SlicedFileStream:
     """A parquet file source fed one slice at a time."""
 
-    def __init__(self, spark: SparkSession, schema: StructType, root: str | None = None):
+    def __init__(self, spark: SparkSession, schema: StructType, root: str | None = None,
+                 partitions: int | None = None):
         self.spark = spark
+        self.partitions = partitions
         self.schema = schema
         self.root = root or scratch_dir(spark, "stream")
         self.source_dir = os.path.join(self.root, "source")
@@ -50,7 +53,8 @@ class SlicedFileStream:
         ``start(stream_df, checkpoint_dir)`` must build and start the query
         with ``trigger(availableNow=True)``.
         """
-        query = start(self.read_stream(), self.checkpoint_dir)
+        with stream_partitions(self.spark, self.partitions):
+            query = start(self.read_stream(), self.checkpoint_dir)
         query.awaitTermination()
         if query.exception() is not None:
             raise RuntimeError(str(query.exception()))
