@@ -106,6 +106,7 @@ STREAM_ORACLES = {
     "reco_stream_pairs": f"""
         SELECT bid::BIGINT AS batch_id, a, b, cnt::BIGINT AS cnt FROM ({_STREAM_PAIRS})""",
     "reco_stream_running": _STREAM_RUNNING,
+    "reco_stream_warm_start": f"SELECT * FROM ({_STREAM_RUNNING}) WHERE batch_id >= 1",
     "reco_stream_payload": f"""
         SELECT batch_id, item,
                '(' || item || ',[' ||
