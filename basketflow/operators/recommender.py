@@ -32,6 +32,8 @@ Item ids are compared as strings (``"10" < "9"``), as in the reference.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,14 +41,20 @@ from pyspark.sql import functions as F
 DEFAULT_BLOCK_SIZE = 2048
 
 
-def distinct_views(views: DataFrame, user: str = "user", item: str = "item") -> DataFrame:
-    """Distinct ``(user, item)`` rows; items as strings, null ids dropped.
+def distinct_views(views: DataFrame, user: str = "user", item: str = "item",
+                   scope: Sequence[str] = ()) -> DataFrame:
+    """Distinct ``(scope..., user, item)`` rows; items as strings, null ids
+    dropped.
 
-    The distinct is hash-partitioned on both columns, so a hot user is spread
-    over all partitions and duplicates are removed map-side first.
+    ``scope`` columns (a time window, a batch id) split the data into
+    independent basket populations. The distinct is hash-partitioned on all
+    columns, so a hot user is spread over all partitions and duplicates are
+    removed map-side first.
     """
+    scope = list(scope)
     return (views
-            .select(F.col(user).alias("user"), F.col(item).cast("string").alias("item"))
+            .select(*scope, F.col(user).alias("user"),
+                    F.col(item).cast("string").alias("item"))
             .where(F.col("user").isNotNull() & F.col("item").isNotNull())
             .distinct())
 
@@ -65,16 +73,18 @@ def baskets(views: DataFrame, min_basket: int = 2, user: str = "user",
             .where(F.col("n") >= F.lit(min_basket)))
 
 
-def frequent_items(dv: DataFrame, min_support: int) -> DataFrame:
-    """Items present in at least ``min_support`` baskets."""
-    return (dv.groupBy("item").agg(F.count(F.lit(1)).alias("support"))
+def frequent_items(dv: DataFrame, min_support: int, scope: Sequence[str] = ()) -> DataFrame:
+    """Items present in at least ``min_support`` baskets (per scope)."""
+    return (dv.groupBy(*scope, "item").agg(F.count(F.lit(1)).alias("support"))
             .where(F.col("support") >= F.lit(min_support)))
 
 
 def item_pairs(views: DataFrame, min_basket: int = 2, min_support: int = 1,
                block_size: int = DEFAULT_BLOCK_SIZE, user: str = "user",
-               item: str = "item", prune: bool = False) -> DataFrame:
-    """Every ``(user, a, b)`` with ``a < b`` both in the user's basket.
+               item: str = "item", prune: bool = False,
+               scope: Sequence[str] = ()) -> DataFrame:
+    """Every ``(scope..., user, a, b)`` with ``a < b`` both in the user's
+    basket (within the same scope).
 
     Only users with at least ``min_basket`` distinct items contribute.
     ``min_support`` is used for exact pruning only (see module doc); the
@@ -82,45 +92,50 @@ def item_pairs(views: DataFrame, min_basket: int = 2, min_support: int = 1,
     """
     if block_size < 1:
         raise ValueError("block_size must be positive")
-    dv = distinct_views(views, user, item)
+    scope = list(scope)
+    owner = scope + ["user"]
+    dv = distinct_views(views, user, item, scope)
     work = dv
     if prune and min_support > 1:
-        work = dv.join(frequent_items(dv, min_support).select("item"), "item", "left_semi")
+        work = dv.join(frequent_items(dv, min_support, scope).select(*scope, "item"),
+                       scope + ["item"], "left_semi")
 
-    sizes = (work.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+    sizes = (work.groupBy(*owner).agg(F.count(F.lit(1)).alias("n"))
              .where(F.col("n") >= F.lit(2)))
     if min_basket > 2:
-        full = (dv.groupBy("user").agg(F.count(F.lit(1)).alias("n_all"))
+        full = (dv.groupBy(*owner).agg(F.count(F.lit(1)).alias("n_all"))
                 .where(F.col("n_all") >= F.lit(min_basket)))
-        sizes = sizes.join(full.select("user"), "user", "left_semi")
+        sizes = sizes.join(full.select(*owner), owner, "left_semi")
 
     nb = F.ceil(F.col("n") / F.lit(block_size)).cast("int")
-    tagged = (work.join(sizes, "user")
-              .select("user", "item", nb.alias("nb"))
+    tagged = (work.join(sizes, owner)
+              .select(*owner, "item", nb.alias("nb"))
               .withColumn("blk", F.pmod(F.xxhash64("item"), F.col("nb")).cast("int")))
     # Each item meets its own block and every later block (left side) or
     # every earlier block (right side); small baskets have nb == 1.
-    left = tagged.select("user", F.col("item").alias("a"), F.col("blk").alias("lo"),
+    left = tagged.select(*owner, F.col("item").alias("a"), F.col("blk").alias("lo"),
                          F.explode(F.sequence(F.col("blk"), F.col("nb") - 1)).alias("hi"))
-    right = tagged.select("user", F.col("item").alias("b"),
+    right = tagged.select(*owner, F.col("item").alias("b"),
                           F.explode(F.sequence(F.lit(0), F.col("blk"))).alias("lo"),
                           F.col("blk").alias("hi"))
-    joined = (left.join(right, ["user", "lo", "hi"])
+    joined = (left.join(right, owner + ["lo", "hi"])
               .where((F.col("lo") != F.col("hi")) | (F.col("a") < F.col("b"))))
-    return joined.select("user", F.least("a", "b").alias("a"),
+    return joined.select(*owner, F.least("a", "b").alias("a"),
                          F.greatest("a", "b").alias("b"))
 
 
 def pair_support(views: DataFrame, min_basket: int = 2, min_support: int = 2,
                  block_size: int = DEFAULT_BLOCK_SIZE, user: str = "user",
-                 item: str = "item", prune: bool = False) -> DataFrame:
-    """P5 + A1 + P8: ``(a, b, cnt)`` = number of baskets holding both.
+                 item: str = "item", prune: bool = False,
+                 scope: Sequence[str] = ()) -> DataFrame:
+    """P5 + A1 + P8: ``(scope..., a, b, cnt)`` = number of baskets (of the
+    same scope) holding both.
 
     Pairs seen in fewer than ``min_support`` baskets are dropped (the batch
     job uses 2, the streaming job 1).
     """
-    pairs = item_pairs(views, min_basket, min_support, block_size, user, item, prune)
-    counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("cnt"))
+    pairs = item_pairs(views, min_basket, min_support, block_size, user, item, prune, scope)
+    counted = pairs.groupBy(*scope, "a", "b").agg(F.count(F.lit(1)).alias("cnt"))
     if min_support > 1:
         counted = counted.where(F.col("cnt") >= F.lit(min_support))
     return counted

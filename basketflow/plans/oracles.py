@@ -106,6 +106,17 @@ STREAM_ORACLES = {
     "reco_stream_pairs": f"""
         SELECT bid::BIGINT AS batch_id, a, b, cnt::BIGINT AS cnt FROM ({_STREAM_PAIRS})""",
     "reco_stream_running": _STREAM_RUNNING,
+    "reco_window_pairs": """
+        WITH d AS (
+            SELECT DISTINCT date_trunc('day', ts) AS w, CAST(user_id AS VARCHAR) AS u,
+                   event_type || CAST(event_id % 7 AS VARCHAR) AS i
+            FROM events),
+        closed AS (SELECT * FROM d
+                   WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) FROM events))
+        SELECT strftime(x.w, '%Y-%m-%d %H:%M:%S') AS window_start, x.i AS a, y.i AS b,
+               COUNT(*)::BIGINT AS cnt
+        FROM closed x JOIN closed y ON x.w = y.w AND x.u = y.u AND x.i < y.i
+        GROUP BY 1, 2, 3""",
     "reco_stream_warm_start": f"SELECT * FROM ({_STREAM_RUNNING}) WHERE batch_id >= 1",
     "reco_stream_payload": f"""
         SELECT batch_id, item,

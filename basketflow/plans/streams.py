@@ -23,6 +23,7 @@ from basketflow.sinks.writers import BatchTableWriter, read_batches
 from basketflow.streaming.counts import running_word_counts, start_counts
 from basketflow.streaming.harness import SlicedFileStream, slice_ids
 from basketflow.streaming.recommend import BatchScopedPairs, RunningRecommender
+from basketflow.streaming.windows import WindowedPairs
 
 # Slicing of the events table into micro-batches.
 SLICE_ORIGIN = "2024-01-01"
@@ -185,6 +186,34 @@ def reco_stream_warm_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("batch_id", F.col("batch_id") + 1)
 
 
+def reco_window_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 event-time variant: pair counts per 1-day window of event time,
+    emitted when the watermark (no delay) passes the window end; the last,
+    still open day is not emitted."""
+    ev = event_slices(spark, sf_dir)
+    item = F.concat(F.col("event_type"),
+                    (F.col("event_id") % F.lit(ITEM_VARIANTS)).cast("string"))
+    rows = ev.select("slice", "ts", F.col("user_id").cast("string").alias("user"),
+                     item.alias("item"))
+    stream = SlicedFileStream(spark, rows.drop("slice").schema)
+    sink = BatchTableWriter(stream.output_dir)
+    fn = WindowedPairs(spark, os.path.join(stream.root, "state"), sink, ts="ts",
+                       window="1 day", delay_seconds=0)
+
+    def start(stream_df, checkpoint):
+        return (stream_df.writeStream.option("checkpointLocation", checkpoint)
+                .foreachBatch(fn).trigger(availableNow=True).start())
+
+    for s_id in slice_ids(rows, "slice"):
+        stream.stage(rows.where(F.col("slice") == F.lit(s_id)).drop("slice"))
+        stream.run_once(start)
+    out = read_batches(spark, stream.output_dir,
+                       "window_start timestamp_ntz, window_end timestamp_ntz, a string, "
+                       "b string, cnt bigint, batch_id int")
+    return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                      "a", "b", "cnt")
+
+
 STREAM_QUERIES = {
     "wc_stream_update": wc_stream_update,
     "stream_restart_counts": stream_restart_counts,
@@ -193,4 +222,5 @@ STREAM_QUERIES = {
     "reco_stream_running": reco_stream_running,
     "reco_stream_payload": reco_stream_payload,
     "reco_stream_warm_start": reco_stream_warm_start,
+    "reco_window_pairs": reco_window_pairs,
 }

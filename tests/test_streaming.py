@@ -124,3 +124,31 @@ def test_stream_equals_batch(spark):
     got = run_running(spark, [views.collect() and [r.value for r in views.collect()]])
     batch = recommendations_flat(parse_view_line(views), min_support=1).collect()
     assert sorted((0, r.item, r.other, r.cnt) for r in batch) == got
+
+
+def test_windowed_pairs_cross_batch_and_late(spark):
+    from datetime import datetime
+    from basketflow.streaming.windows import WindowedPairs
+    schema = "ts timestamp_ntz, user string, item string"
+    d = lambda day, h: datetime(2024, 1, day, h)
+    batches = [
+        [(d(1, 10), "u", "1"), (d(1, 11), "u", "2")],
+        [(d(1, 23), "u", "3"), (d(2, 5), "v", "1")],      # closes day 1
+        [(d(1, 12), "u", "4"), (d(2, 6), "v", "2")],      # u/4 is late: dropped
+        [(d(4, 0), "z", "9")],                            # closes day 2
+    ]
+    stream = SlicedFileStream(spark, spark.createDataFrame([], schema).schema)
+    sink = BatchTableWriter(stream.output_dir)
+    fn = WindowedPairs(spark, os.path.join(stream.root, "state"), sink)
+
+    def start(df, ckpt):
+        return (df.writeStream.option("checkpointLocation", ckpt).foreachBatch(fn)
+                .trigger(availableNow=True).start())
+
+    stream.run_slices([spark.createDataFrame(b, schema) for b in batches], start)
+    out = read_batches(spark, stream.output_dir,
+                       "window_start timestamp_ntz, window_end timestamp_ntz, a string, "
+                       "b string, cnt bigint, batch_id int")
+    got = sorted((r.batch_id, r.window_start.day, r.a, r.b, r.cnt) for r in out.collect())
+    assert got == [(1, 1, "1", "2", 1), (1, 1, "1", "3", 1), (1, 1, "2", "3", 1),
+                   (3, 2, "1", "2", 1)]
