@@ -11,6 +11,7 @@ by language (alphabetical). Batch ids are the slice ordinals.
 from __future__ import annotations
 
 import os
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,27 +40,38 @@ def event_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.withColumn("slice", F.floor(days / F.lit(SLICE_DAYS)).cast("int"))
 
 
+def in_event_slice(s: int, ts: str = "ts"):
+    """``slice == s`` as a ``ts`` range, so the scan can skip row groups."""
+    lo = (datetime.fromisoformat(SLICE_ORIGIN) + timedelta(days=SLICE_DAYS * s))
+    hi = lo + timedelta(days=SLICE_DAYS)
+    return ((F.col(ts) >= F.lit(lo.isoformat(" ")).cast("timestamp_ntz"))
+            & (F.col(ts) < F.lit(hi.isoformat(" ")).cast("timestamp_ntz")))
+
+
 def event_view_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(slice, value)`` view lines ``"<user> <item>"`` from events."""
     ev = event_slices(spark, sf_dir)
     item = F.concat(F.col("event_type"),
                     (F.col("event_id") % F.lit(ITEM_VARIANTS)).cast("string"))
-    return ev.select("slice", F.concat_ws(" ", F.col("user_id").cast("string"),
-                                          item).alias("value"))
+    return ev.select("slice", "ts", F.concat_ws(" ", F.col("user_id").cast("string"),
+                                                item).alias("value"))
 
 
-def _replay(spark: SparkSession, sliced: DataFrame, start) -> SlicedFileStream:
-    """Stage ``sliced`` (with a ``slice`` column) slice by slice and run."""
-    lines = sliced.select("slice", "value")
-    stream = SlicedFileStream(spark, lines.drop("slice").schema)
-    for s in slice_ids(lines, "slice"):
-        stream.stage(lines.where(F.col("slice") == F.lit(s)).drop("slice"))
+def _replay(spark: SparkSession, sliced: DataFrame, start, by_ts: bool = True
+            ) -> SlicedFileStream:
+    """Stage ``sliced`` (columns ``slice``, ``value`` and, for events, ``ts``)
+    slice by slice and run; event slices are selected by ``ts`` range."""
+    stream = SlicedFileStream(spark, sliced.select("value").schema)
+    for s in slice_ids(sliced, "slice"):
+        cond = in_event_slice(s) if by_ts else (F.col("slice") == F.lit(s))
+        stream.stage(sliced.where(cond).select("value"))
         stream.run_once(start)
     return stream
 
 
 def _update_counts_stream(spark: SparkSession, sf_dir: str) -> SlicedFileStream:
-    lines = event_slices(spark, sf_dir).select("slice", F.col("event_type").alias("value"))
+    lines = event_slices(spark, sf_dir).select("slice", "ts",
+                                               F.col("event_type").alias("value"))
     holder = {}
 
     def start(stream_df, checkpoint):
@@ -93,10 +105,8 @@ def wc_stream_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, one language per batch; every batch re-emits the whole
     table."""
     docs = table(spark, sf_dir, "documents")
-    langs = slice_ids(docs, "lang")
-    rank = {lang: i for i, lang in enumerate(langs)}
-    mapping = F.create_map(*[x for lang, i in rank.items() for x in (F.lit(lang), F.lit(i))])
-    lines = docs.select(mapping[F.col("lang")].alias("slice"), F.col("text").alias("value"))
+    # slice = language; batches in alphabetical order, filter pushed to the scan
+    lines = docs.select(F.col("lang").alias("slice"), F.col("text").alias("value"))
     holder = {}
 
     def start(stream_df, checkpoint):
@@ -105,7 +115,7 @@ def wc_stream_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
         counts = running_word_counts(stream_df, "value", "keep_all")
         return start_counts(counts, checkpoint, sink, "complete")
 
-    stream = _replay(spark, lines, start)
+    stream = _replay(spark, lines, start, by_ts=False)
     return read_batches(spark, stream.output_dir, "word string, cnt bigint, batch_id int")
 
 
@@ -167,7 +177,7 @@ def reco_stream_warm_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     are shifted by one so the output lines up with the cold-start run."""
     sliced = event_view_slices(spark, sf_dir)
     ids = slice_ids(sliced, "slice")
-    first = sliced.where(F.col("slice") == F.lit(ids[0])).select("value")
+    first = sliced.where(in_event_slice(ids[0])).select("value")
     seed = recommendations_flat(parse_view_line(first, "value"), min_support=1)
     stream = SlicedFileStream(spark, sliced.select("value").schema)
     sink = BatchTableWriter(stream.output_dir)
@@ -179,7 +189,7 @@ def reco_stream_warm_start(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .foreachBatch(fn).trigger(availableNow=True).start())
 
     for s_id in ids[1:]:
-        stream.stage(sliced.where(F.col("slice") == F.lit(s_id)).select("value"))
+        stream.stage(sliced.where(in_event_slice(s_id)).select("value"))
         stream.run_once(start)
     out = read_batches(spark, stream.output_dir,
                        "item string, other string, cnt bigint, batch_id int")
@@ -205,7 +215,7 @@ def reco_window_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .foreachBatch(fn).trigger(availableNow=True).start())
 
     for s_id in slice_ids(rows, "slice"):
-        stream.stage(rows.where(F.col("slice") == F.lit(s_id)).drop("slice"))
+        stream.stage(rows.where(in_event_slice(s_id)).drop("slice"))
         stream.run_once(start)
     out = read_batches(spark, stream.output_dir,
                        "window_start timestamp_ntz, window_end timestamp_ntz, a string, "
