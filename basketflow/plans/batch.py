@@ -44,6 +44,27 @@ def cooc_recs_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recs.select("item", recommendation_payload("item", "recs").alias("payload"))
 
 
+def cooc_pairs_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same result as ``cooc_pairs`` through the exact support pruning path
+    (items in fewer than two orders removed before pairing)."""
+    return (pair_support(order_part_views(spark, sf_dir), min_support=2, prune=True)
+            .select(F.col("a").alias("item_a"), F.col("b").alias("item_b"), "cnt"))
+
+
+def cooc_pairs_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same result as ``cooc_pairs`` with 3-item join blocks, so every order
+    with more than three parts takes the hot-basket (multi-block) path."""
+    return (pair_support(order_part_views(spark, sf_dir), min_support=2, block_size=3)
+            .select(F.col("a").alias("item_a"), F.col("b").alias("item_b"), "cnt"))
+
+
+def cooc_top_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 with the exact top-3 report: the three strongest co-ordered
+    suppliers per supplier (count desc, id asc), rendered as K2 text."""
+    recs = cooccurrence(order_supplier_views(spark, sf_dir), min_support=2, top_n=3)
+    return recs.select("item", recommendation_payload("item", "recs").alias("payload"))
+
+
 def cooc_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2 + P6: sorted distinct parts per order with more than one part."""
     b = baskets(order_part_views(spark, sf_dir), min_basket=2)
@@ -99,6 +120,9 @@ BATCH_QUERIES = {
     "cooc_recs_flat": cooc_recs_flat,
     "cooc_recs_text": cooc_recs_text,
     "cooc_baskets": cooc_baskets,
+    "cooc_pairs_pruned": cooc_pairs_pruned,
+    "cooc_pairs_blocked": cooc_pairs_blocked,
+    "cooc_top_recs": cooc_top_recs,
     "parse_views": parse_views,
     "cooc_text_recs": cooc_text_recs,
     "wc_batch": wc_batch,

@@ -38,10 +38,29 @@ _DOC_TOKENS_DROP = """
                        ELSE string_split(rtrim(t, ' '), ' ') END) AS word
     FROM (SELECT ' ' || text || '  ' AS t FROM documents)"""
 
+def _top_text(views_sql: str, n: int) -> str:
+    return f"""
+    WITH f AS ({_flat(views_sql)}),
+    r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY cnt DESC, other) AS rn
+          FROM f)
+    SELECT item,
+           '(' || item || ',[' ||
+           string_agg('(' || other || ',' || CAST(cnt AS VARCHAR) || ')', ', '
+                      ORDER BY cnt DESC, other) || '])' AS payload
+    FROM r WHERE rn <= {n} GROUP BY item"""
+
+
 BATCH_ORACLES = {
     "cooc_pairs": f"""
         WITH p AS ({_pairs(_ORDER_PART)})
         SELECT a AS item_a, b AS item_b, cnt FROM p""",
+    "cooc_pairs_pruned": f"""
+        WITH p AS ({_pairs(_ORDER_PART)})
+        SELECT a AS item_a, b AS item_b, cnt FROM p""",
+    "cooc_pairs_blocked": f"""
+        WITH p AS ({_pairs(_ORDER_PART)})
+        SELECT a AS item_a, b AS item_b, cnt FROM p""",
+    "cooc_top_recs": _top_text(_ORDER_SUPP, 3),
     "cooc_recs_flat": _flat(_ORDER_SUPP),
     "cooc_recs_text": _text(_ORDER_SUPP),
     "cooc_baskets": f"""

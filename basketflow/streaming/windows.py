@@ -25,6 +25,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -75,15 +76,20 @@ class WindowedPairs:
         rows = batch.select(ts.alias("ts"), F.col("user"), F.col("item").cast("string"))
         if prev is not None:
             rows = rows.where(F.col("ts") >= F.lit(prev))
+        # Two uses (log write, latest event time): read the batch once. Late
+        # rows can not move the watermark, so the latest time of the kept rows
+        # gives the same watermark as the latest of all rows.
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         w = F.window("ts", self.window)
         views = (rows.select(w.start.alias("window_start"), w.end.alias("window_end"),
                              "user", "item")
-                 .withColumn("wkey", F.unix_micros(F.col("window_end").cast("timestamp")))
+                 .withColumn("wkey", _wkey_of(F.col("window_end")))
                  .distinct())
         (views.write.mode("overwrite").partitionBy("wkey")
          .parquet(os.path.join(self.log_dir, f"batch_id={batch_id}")))
 
-        latest = batch.agg(F.max(ts).alias("m")).first().m
+        latest = rows.agg(F.max("ts").alias("m")).first().m
+        rows.unpersist()
         wm = prev
         if latest is not None:
             cand = latest - _seconds(self.delay_seconds)
@@ -93,9 +99,11 @@ class WindowedPairs:
         if wm is None:
             return
 
-        closed = F.col("window_end") <= F.lit(wm)
+        closed = ((F.col("window_end") <= F.lit(wm))
+                  & (F.col("wkey") <= _wkey(wm)))
         if prev is not None:
-            closed = closed & (F.col("window_end") > F.lit(prev))
+            closed = (closed & (F.col("window_end") > F.lit(prev))
+                      & (F.col("wkey") > _wkey(prev)))
         log = (self.spark.read.schema(LOG_SCHEMA).parquet(self.log_dir)
                .where(F.col("batch_id") <= F.lit(batch_id))
                .where(closed))
@@ -104,6 +112,17 @@ class WindowedPairs:
         self.sink(pairs, batch_id)
 
 
+def _wkey_of(col):
+    """Partition key of a window end (microseconds, session-zone consistent)."""
+    return F.unix_micros(col.cast("timestamp"))
+
+
+def _wkey(value):
+    """The same key for a Python timestamp; folds to a literal, so a filter on
+    it prunes the log's partitions."""
+    return _wkey_of(F.lit(value.isoformat(" ")).cast("timestamp_ntz"))
+
+
 def _seconds(n: int):
     from datetime import timedelta
     return timedelta(seconds=n)
