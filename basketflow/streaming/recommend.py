@@ -21,7 +21,9 @@ log** written from ``foreachBatch``:
    restricted (left-semi join) to the items touched in batch ``n`` and
    summed per ``(item, other)``;
 3. every ``compact_every`` batches the full state is folded into
-   ``snapshot/upto=n``, which bounds how much log a batch reads.
+   ``snapshot/upto=n``, which bounds how much log a batch reads. Snapshots
+   are partitioned by a hash bucket of the item and step 2 reads only the
+   buckets of the touched items (a partition filter), not the whole state.
 
 All reads are partition-pruned and everything is a DataFrame job, so the
 state scales with the cluster's storage rather than with executor memory.
@@ -33,7 +35,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.operators.recommender import (
@@ -68,7 +70,7 @@ class RunningRecommender:
     def __init__(self, spark: SparkSession, state_dir: str,
                  sink: Callable[[DataFrame, int], None], min_basket: int = 2,
                  compact_every: int = 8, initial_state: DataFrame | None = None,
-                 block_size: int = DEFAULT_BLOCK_SIZE):
+                 block_size: int = DEFAULT_BLOCK_SIZE, state_buckets: int = 64):
         if compact_every < 1:
             raise ValueError("compact_every must be positive")
         self.spark = spark
@@ -78,12 +80,12 @@ class RunningRecommender:
         self.min_basket = min_basket
         self.compact_every = compact_every
         self.block_size = block_size
+        self.state_buckets = state_buckets
         # The warm start is part of the query definition: pass the same one
         # on every restart (it is rewritten idempotently).
         state = initial_state if initial_state is not None else \
             spark.createDataFrame([], STATE_SCHEMA)
-        self._write(state.select("item", "other", F.col("cnt").cast("bigint")),
-                    self._snapshot_path(-1))
+        self._write_snapshot(state.select("item", "other", F.col("cnt").cast("bigint")), -1)
 
     def _snapshot_path(self, upto: int) -> str:
         return os.path.join(self.snapshot_dir, f"upto={upto}")
@@ -91,33 +93,51 @@ class RunningRecommender:
     def _log_path(self, batch_id: int) -> str:
         return os.path.join(self.log_dir, f"batch_id={batch_id}")
 
-    @staticmethod
-    def _write(df: DataFrame, path: str) -> None:
-        df.write.mode("overwrite").parquet(path)
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("item"), F.lit(self.state_buckets)).cast("int")
+
+    def _write_snapshot(self, df: DataFrame, upto: int) -> None:
+        """Snapshots are partitioned by an item-hash bucket (``ib``), so a
+        batch reads only the buckets of the items it touched."""
+        (df.withColumn("ib", self._bucket()).write.mode("overwrite")
+         .partitionBy("ib").parquet(self._snapshot_path(upto)))
 
     def _base_snapshot(self, batch_id: int) -> int:
         """Newest snapshot strictly before this batch's compaction window."""
         return (batch_id // self.compact_every) * self.compact_every - 1
 
-    def state_upto(self, batch_id: int) -> DataFrame:
-        """``(item, other, cnt)`` rows whose sum is the state after batch n
-        (not yet summed; callers aggregate after filtering)."""
+    def _parts_upto(self, batch_id: int) -> tuple[DataFrame, DataFrame]:
+        """Snapshot rows and the log rows after it, both with ``ib``."""
         base = self._base_snapshot(batch_id)
-        snap = self.spark.read.schema(STATE_SCHEMA).parquet(self._snapshot_path(base))
+        snap = self.spark.read.schema(STATE_SCHEMA + ", ib int").parquet(
+            self._snapshot_path(base))
         log = (self.spark.read.schema(STATE_SCHEMA + ", batch_id int").parquet(self.log_dir)
                .where((F.col("batch_id") > F.lit(base)) & (F.col("batch_id") <= F.lit(batch_id)))
-               .select("item", "other", "cnt"))
-        return snap.unionByName(log)
+               .select("item", "other", "cnt", self._bucket().alias("ib")))
+        return snap, log
+
+    def state_upto(self, batch_id: int) -> DataFrame:
+        """``(item, other, cnt)`` rows whose sum is the state after batch n
+        (not yet summed; callers aggregate after filtering)."""
+        snap, log = self._parts_upto(batch_id)
+        return snap.drop("ib").unionByName(log.drop("ib"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         delta = recommendations_flat(batch, self.min_basket, 1, self.block_size)
-        self._write(delta, self._log_path(batch_id))
+        delta.write.mode("overwrite").parquet(self._log_path(batch_id))
         touched = (self.spark.read.schema(STATE_SCHEMA).parquet(self._log_path(batch_id))
-                   .select("item").distinct())
-        state = self.state_upto(batch_id)
-        current = (state.join(touched, "item", "left_semi")
+                   .select("item", self._bucket().alias("ib")).distinct())
+        snap, log = self._parts_upto(batch_id)
+        # Only the snapshot buckets of touched items are read: the bucket list
+        # has at most ``state_buckets`` entries, and as a literal IN-list it
+        # becomes a partition filter of the scan.
+        buckets = sorted(r.ib for r in touched.select("ib").distinct().collect())
+        keys = ["item", "ib"]
+        current = (snap.where(F.col("ib").isin(buckets)).join(touched, keys, "left_semi")
+                   .unionByName(log.join(touched, keys, "left_semi"))
                    .groupBy("item", "other").agg(F.sum("cnt").alias("cnt")))
         self.sink(current, batch_id)
         if (batch_id + 1) % self.compact_every == 0:
-            folded = state.groupBy("item", "other").agg(F.sum("cnt").alias("cnt"))
-            self._write(folded, self._snapshot_path(batch_id))
+            folded = (snap.drop("ib").unionByName(log.drop("ib"))
+                      .groupBy("item", "other").agg(F.sum("cnt").alias("cnt")))
+            self._write_snapshot(folded, batch_id)
