@@ -12,7 +12,8 @@ single global window would run in one task, so the scores are cut into
 ``buckets`` ranges (approximate quantiles, only ``buckets`` numbers reach the
 driver): per-bucket totals give each bucket's offset (a ``buckets``-row table,
 broadcast with that proven bound) and the running sum inside a bucket is a
-window partitioned by bucket.
+window partitioned by bucket. The per-score table is checkpointed once, since
+both the quantile job and the final plan read it.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketflow.session import cut_lineage
+
 
 def auroc(predictions: DataFrame, label: str = "label", raw: str = "rawPrediction",
           num_bins: int = 1000) -> float:
@@ -38,6 +41,9 @@ def auroc_exact(df: DataFrame, label: str, score: str, positive=1,
     per_score = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
                  .groupBy(F.col(score).cast("double").alias("s"))
                  .agg(F.sum(is_pos).alias("pos"), F.sum(1 - is_pos).alias("neg")))
+    # Used by the quantile job and by the main plan: computed once and kept
+    # in the shared checkpoint folder (survives executor loss).
+    per_score = cut_lineage(per_score)
     probs = [i / buckets for i in range(1, buckets)]
     bounds = sorted(set(per_score.approxQuantile("s", probs, 0.001)))
     splits = [float("-inf")] + bounds + [float("inf")]
