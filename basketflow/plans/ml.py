@@ -18,7 +18,7 @@ from basketflow.ml.features import (
     assemble, hash_split, index_strings, vector_column_to_array,
 )
 from basketflow.ml.models import (
-    feature_pipeline, load_model, make_estimator, product_pipeline, save_model,
+    feature_pipeline, load_model, product_pipeline, save_model,
 )
 from basketflow.plans.tables import table
 from basketflow.session import scratch_dir

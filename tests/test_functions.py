@@ -1,7 +1,6 @@
 """Edge literals for parsing, the two split rules, payloads and map merge."""
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from basketflow.functions.maps import merge_count_maps

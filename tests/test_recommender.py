@@ -128,4 +128,3 @@ def test_top_neighbours_exact(spark):
     exp = sorted([r for r in rows if r[0] == "x"], key=lambda r: (-r[2], r[1]))[:5]
     assert sorted((r.item, r.other, r.cnt) for r in got if r.item == "x") == sorted(exp)
     assert [(r.other, r.cnt) for r in got if r.item == "y"] == [("o1", 5)]
-    nested = cooccurrence  # noqa: F841 - import check
