@@ -9,13 +9,15 @@ other items with their counts.
 Scale design
 ------------
 * Baskets are never materialised as one array per user on the pair path: a
-  single user may own a third of all rows. Instead the distinct
-  ``(user, item)`` rows are kept as rows and pairs come from an equi-join.
-* A large basket is cut into blocks of at most ``block_size`` items (by a hash
-  of the item). The self-join key is ``(user, block_lo, block_hi)``, so the
-  pairs of one huge basket spread over ``nb*(nb+1)/2`` tasks of at most
-  ``block_size**2`` pairs each, instead of one task. Small baskets have one
-  block and the join is the plain self-join.
+  single user may own a third of all rows.
+* A basket of ``n`` items is cut into ``nb = ceil(n / block_size)`` blocks by
+  a hash of the item, and each block is gathered into one sorted array: a
+  collect bounded by the block size, whatever the basket size. Pairs inside a
+  block come from ``posexplode`` + ``slice`` (exactly ``k*(k-1)/2`` pairs, no
+  join, no sort); pairs across blocks of a multi-block basket from an
+  equi-join on ``(user, block_lo, block_hi)``, so one huge basket spreads over
+  ``nb*(nb+1)/2`` tasks of at most ``block_size**2`` pairs each instead of one
+  task. Normal baskets are a single block and never reach the join.
 * With ``prune=True`` and ``min_support > 1`` items seen in fewer baskets than
   the threshold are removed before pairing. That is exact: a pair can not be
   seen more often than either of its items. It costs one extra shuffle of the
@@ -111,17 +113,35 @@ def item_pairs(views: DataFrame, min_basket: int = 2, min_support: int = 1,
     tagged = (work.join(sizes, owner)
               .select(*owner, "item", nb.alias("nb"))
               .withColumn("blk", F.pmod(F.xxhash64("item"), F.col("nb")).cast("int")))
-    # Each item meets its own block and every later block (left side) or
-    # every earlier block (right side); small baskets have nb == 1.
-    left = tagged.select(*owner, F.col("item").alias("a"), F.col("blk").alias("lo"),
-                         F.explode(F.sequence(F.col("blk"), F.col("nb") - 1)).alias("hi"))
-    right = tagged.select(*owner, F.col("item").alias("b"),
-                          F.explode(F.sequence(F.lit(0), F.col("blk"))).alias("lo"),
-                          F.col("blk").alias("hi"))
-    joined = (left.join(right, owner + ["lo", "hi"])
-              .where((F.col("lo") != F.col("hi")) | (F.col("a") < F.col("b"))))
-    return joined.select(*owner, F.least("a", "b").alias("a"),
-                         F.greatest("a", "b").alias("b"))
+    # One sorted array per (basket, block): bounded by the block size. The
+    # explicit repartition spreads a hot basket's blocks over tasks (and lets
+    # AQE split a skewed join above, as a shuffle follows it anyway). Its
+    # partition count is pinned to the session's shuffle partitions: the
+    # stage's output (the pairs) is far larger than its input, so AQE must
+    # not coalesce it by input size.
+    n_parts = int(views.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = (tagged.repartition(n_parts, *owner, "blk")
+              .groupBy(*owner, "blk", "nb")
+              .agg(F.array_sort(F.collect_list("item")).alias("items")))
+    # Pairs inside a block: item at position p with every later item.
+    inner = (blocks.select(*owner, "items", F.posexplode("items").alias("pos", "a"))
+             .select(*owner, "a", F.explode(F.slice("items", F.col("pos") + 2,
+                                                    F.size("items"))).alias("b")))
+    # Pairs across blocks of multi-block baskets: every block pair is its own
+    # join key, so each task handles at most block_size**2 pairs.
+    multi = blocks.where(F.col("nb") > 1)
+    left = (multi.where(F.col("blk") < F.col("nb") - 1)
+            .select(*owner, F.col("blk").alias("lo"),
+                    F.explode(F.sequence(F.col("blk") + 1, F.col("nb") - 1)).alias("hi"),
+                    F.col("items").alias("left_items")))
+    right = (multi.where(F.col("blk") > 0)
+             .select(*owner, F.explode(F.sequence(F.lit(0), F.col("blk") - 1)).alias("lo"),
+                     F.col("blk").alias("hi"), F.col("items").alias("right_items")))
+    cross = (left.join(right, owner + ["lo", "hi"])
+             .select(*owner, F.explode("left_items").alias("x"), "right_items")
+             .select(*owner, "x", F.explode("right_items").alias("y"))
+             .select(*owner, F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    return inner.unionByName(cross)
 
 
 def pair_support(views: DataFrame, min_basket: int = 2, min_support: int = 2,

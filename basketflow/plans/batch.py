@@ -26,6 +26,22 @@ def order_supplier_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views_from_table(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_suppkey")
 
 
+def customer_part_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Baskets = customers (all their orders), items = parts: a join of
+    lineitem to orders on the order key, then only the two ids are kept."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    joined = li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
+    return views_from_table(joined, "o_custkey", "l_partkey")
+
+
+def cooc_customer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P6-P8 + A1 over customer baskets (tens of parts each): parts bought by
+    more than one common customer."""
+    return (pair_support(customer_part_views(spark, sf_dir), min_support=2)
+            .select(F.col("a").alias("item_a"), F.col("b").alias("item_b"), "cnt"))
+
+
 def cooc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P6-P8 + A1: pairs of parts ordered together in more than one order."""
     return (pair_support(order_part_views(spark, sf_dir), min_support=2)
@@ -120,6 +136,7 @@ BATCH_QUERIES = {
     "cooc_recs_text": cooc_recs_text,
     "cooc_baskets": cooc_baskets,
     "cooc_pairs_pruned": cooc_pairs_pruned,
+    "cooc_customer_pairs": cooc_customer_pairs,
     "cooc_pairs_blocked": cooc_pairs_blocked,
     "cooc_top_recs": cooc_top_recs,
     "parse_views": parse_views,

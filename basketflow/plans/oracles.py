@@ -61,6 +61,12 @@ BATCH_ORACLES = {
         WITH p AS ({_pairs(_ORDER_PART)})
         SELECT a AS item_a, b AS item_b, cnt FROM p""",
     "cooc_top_recs": _top_text(_ORDER_SUPP, 3),
+    "cooc_customer_pairs": f"""
+        WITH p AS ({_pairs(
+            "SELECT DISTINCT o.o_custkey AS u, CAST(l.l_partkey AS VARCHAR) AS i "
+            "FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey "
+            "WHERE o.o_custkey IS NOT NULL AND l.l_partkey IS NOT NULL")})
+        SELECT a AS item_a, b AS item_b, cnt FROM p""",
     "cooc_recs_flat": _flat(_ORDER_SUPP),
     "cooc_recs_text": _text(_ORDER_SUPP),
     "cooc_baskets": f"""
