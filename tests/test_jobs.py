@@ -81,3 +81,16 @@ def test_kafka_source_needs_connector(spark):
         assert "kafka" in str(exc).lower()
     else:
         pytest.skip("Kafka connector present")
+
+
+def test_cli_recommend_batch_and_churn(spark, capsys):
+    src = scratch_dir(spark, "cli-views")
+    write_text_file(spark, src, "\n".join(VIEW_LINES))
+    out = scratch_dir(spark, "cli-out")
+    jobs.main(["recommend-batch", "--views", src, "--out", out])
+    got = {r.item: r.payload for r in spark.read.parquet(out).collect()}
+    assert got["4"] == "(4,[(2,3), (5,3)])"
+    csv = scratch_dir(spark, "cli-churn")
+    write_text_file(spark, csv, CHURN_CSV)
+    jobs.main(["churn", "--csv", csv, "--kind", "dt", "--seed", "5"])
+    assert "prediction" in capsys.readouterr().out
