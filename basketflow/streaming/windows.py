@@ -75,7 +75,7 @@ class WindowedPairs:
         ts = F.col(self.ts).cast("timestamp_ntz")
         rows = batch.select(ts.alias("ts"), F.col("user"), F.col("item").cast("string"))
         if prev is not None:
-            rows = rows.where(F.col("ts") >= F.lit(prev))
+            rows = rows.where(F.col("ts") >= _ntz(prev))
         # Two uses (log write, latest event time): read the batch once. Late
         # rows can not move the watermark, so the latest time of the kept rows
         # gives the same watermark as the latest of all rows.
@@ -99,11 +99,13 @@ class WindowedPairs:
         if wm is None:
             return
 
-        closed = ((F.col("window_end") <= F.lit(wm))
+        # window_end decides; the wkey bounds (inclusive, as keys are cut to
+        # seconds) only prune partitions.
+        closed = ((F.col("window_end") <= _ntz(wm))
                   & (F.col("wkey") <= _wkey(wm)))
         if prev is not None:
-            closed = (closed & (F.col("window_end") > F.lit(prev))
-                      & (F.col("wkey") > _wkey(prev)))
+            closed = (closed & (F.col("window_end") > _ntz(prev))
+                      & (F.col("wkey") >= _wkey(prev)))
         log = (self.spark.read.schema(LOG_SCHEMA).parquet(self.log_dir)
                .where(F.col("batch_id") <= F.lit(batch_id))
                .where(closed))
@@ -113,14 +115,20 @@ class WindowedPairs:
 
 
 def _wkey_of(col):
-    """Partition key of a window end (microseconds, session-zone consistent)."""
-    return F.unix_micros(col.cast("timestamp"))
+    """Partition key of a window end: its wall-clock digits ``yyyyMMddHHmmss``
+    (ordered like time, independent of the session time zone)."""
+    return F.date_format(col, "yyyyMMddHHmmss").cast("bigint")
+
+
+def _ntz(value):
+    """A wall-clock literal (no time zone involved, like the ``ts`` column)."""
+    return F.lit(value.isoformat(" ")).cast("timestamp_ntz")
 
 
 def _wkey(value):
-    """The same key for a Python timestamp; folds to a literal, so a filter on
-    it prunes the log's partitions."""
-    return _wkey_of(F.lit(value.isoformat(" ")).cast("timestamp_ntz"))
+    """The same key for a Python timestamp, as a literal, so a filter on it
+    prunes the log's partitions."""
+    return F.lit(int(value.strftime("%Y%m%d%H%M%S"))).cast("bigint")
 
 
 def _seconds(n: int):
