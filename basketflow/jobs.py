@@ -82,11 +82,16 @@ def streaming_recommendations(spark: SparkSession, lines: DataFrame, checkpoint:
     the full list of every touched item goes to Kafka (K2) or parquet."""
     def emit(current: DataFrame, batch_id: int) -> None:
         nested = nest_recommendations(current)
+        two_sinks = bool(brokers and out_topic and out_path)
+        if two_sinks:  # C1: compute the batch's lists once for both writes
+            nested = nested.persist(StorageLevel.MEMORY_AND_DISK)
         if brokers and out_topic:
             kafka_write_batch(nested, recommendation_payload("item", "recs"), brokers, out_topic)
         if out_path:
             BatchTableWriter(out_path).write(
                 nested.withColumn("payload", recommendation_payload("item", "recs")), batch_id)
+        if two_sinks:
+            nested.unpersist()
 
     fn = RunningRecommender(spark, os.path.join(checkpoint, "state"), emit,
                             compact_every=compact_every, initial_state=initial_state)
