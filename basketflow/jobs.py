@@ -47,13 +47,16 @@ WORD_COUNT_RESULT_TOPIC = "wc-result"
 # ---- J1: batch recommender -------------------------------------------------
 def batch_recommendations(spark: SparkSession, views_path: str, out_path: str,
                           min_support: int = 2, top_n: int | None = None,
-                          on_malformed: str = "fail") -> DataFrame:
+                          on_malformed: str = "fail",
+                          max_per_row: int | None = None) -> DataFrame:
     """Text views -> ``(item, recs, payload)`` written as parquet.
 
-    The result is written, not collected: it has one row per item.
+    The result is written, not collected: it has one row per item (or per
+    item part with ``max_per_row``).
     """
     views = views_from_text(spark, views_path, on_malformed)
-    recs = cooccurrence(views, min_support=min_support, top_n=top_n)
+    recs = cooccurrence(views, min_support=min_support, top_n=top_n,
+                        max_per_row=max_per_row)
     out = recs.withColumn("payload", recommendation_payload("item", "recs"))
     out.write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
@@ -173,6 +176,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--out", required=True)
     b.add_argument("--min-support", type=int, default=2)
     b.add_argument("--top-n", type=int)
+    b.add_argument("--max-per-row", type=int)
     for name in ("recommend-stream", "word-count-stateful", "word-count-structured"):
         s = sub.add_parser(name)
         s.add_argument("--brokers")
@@ -192,7 +196,8 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = get_session()
     if args.job == "recommend-batch":
-        batch_recommendations(spark, args.views, args.out, args.min_support, args.top_n)
+        batch_recommendations(spark, args.views, args.out, args.min_support, args.top_n,
+                              max_per_row=args.max_per_row)
     elif args.job == "churn":
         preds, value = churn_classification(spark, args.csv, args.kind, args.seed,
                                             model_out=args.model_out)

@@ -61,18 +61,42 @@ def distinct_views(views: DataFrame, user: str = "user", item: str = "item",
             .distinct())
 
 
+def _chunk_column(df: DataFrame, keys: Sequence[str], entry: str,
+                  max_per_row: int) -> DataFrame:
+    """Add ``part``: entries of a key with more than ``max_per_row`` entries
+    are spread over ``ceil(n / max_per_row)`` parts by a hash of the entry, so
+    no collected row grows past about ``max_per_row`` entries."""
+    keys = list(keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    parts = F.ceil(F.col("_n") / F.lit(max_per_row)).cast("int")
+    return (df.join(counts, keys)
+            .withColumn("part", F.pmod(F.xxhash64(entry), parts).cast("int"))
+            .drop("_n"))
+
+
 def baskets(views: DataFrame, min_basket: int = 2, user: str = "user",
-            item: str = "item") -> DataFrame:
+            item: str = "item", max_per_row: int | None = None) -> DataFrame:
     """A2 + P6: ``(user, basket, n)``, basket = sorted distinct items.
 
     This is the basket *report*; the pair path below never builds these
     arrays. Users with fewer than ``min_basket`` distinct items are dropped.
+    With ``max_per_row`` a larger basket is reported as several rows
+    ``(user, part, basket, n)``, each sorted (``n`` is the whole basket's
+    size), so a hot user never becomes one huge row.
     """
     dv = distinct_views(views, user, item)
-    return (dv.groupBy("user")
-            .agg(F.array_sort(F.collect_list("item")).alias("basket"),
-                 F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") >= F.lit(min_basket)))
+    if max_per_row is None:
+        return (dv.groupBy("user")
+                .agg(F.array_sort(F.collect_list("item")).alias("basket"),
+                     F.count(F.lit(1)).alias("n"))
+                .where(F.col("n") >= F.lit(min_basket)))
+    sizes = (dv.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+             .where(F.col("n") >= F.lit(min_basket)))
+    chunked = _chunk_column(dv.join(sizes.select("user"), "user"), ["user"], "item",
+                            max_per_row)
+    return (chunked.groupBy("user", "part")
+            .agg(F.array_sort(F.collect_list("item")).alias("basket"))
+            .join(sizes, "user"))
 
 
 def frequent_items(dv: DataFrame, min_support: int, scope: Sequence[str] = ()) -> DataFrame:
@@ -201,30 +225,39 @@ def top_neighbours(flat: DataFrame, n: int, salt_buckets: int = 64,
 
 
 def nest_recommendations(flat: DataFrame, top_n: int | None = None,
-                         keys: tuple[str, ...] = ("item",)) -> DataFrame:
+                         keys: tuple[str, ...] = ("item",),
+                         max_per_row: int | None = None) -> DataFrame:
     """A3: ``(item, recs)`` with ``recs = array<struct<other, cnt>>``.
 
     The reference leaves the list order unspecified; we fix it to cnt
     descending, then other ascending. ``top_n`` (off by default) keeps the
     ``n`` strongest neighbours, computed exactly by :func:`top_neighbours`.
     ``keys`` adds grouping columns (e.g. ``batch_id``) next to ``item``.
+    ``max_per_row`` (off by default) splits an item with more neighbours into
+    several rows ``(item, part, recs)``, each ordered, so a popular item never
+    becomes one huge row or message.
     """
     if top_n is not None:
         flat = top_neighbours(flat, top_n, keys=keys)
+    group = list(keys)
+    if max_per_row is not None:
+        flat = _chunk_column(flat, keys, "other", max_per_row)
+        group.append("part")
     entries = F.collect_list(F.struct((-F.col("cnt")).alias("k"), F.col("other"),
                                       F.col("cnt")))
     ordered = F.transform(F.array_sort(entries),
                           lambda e: F.struct(e["other"].alias("other"),
                                              e["cnt"].alias("cnt")))
-    return flat.groupBy(*keys).agg(ordered.alias("recs"))
+    return flat.groupBy(*group).agg(ordered.alias("recs"))
 
 
 def cooccurrence(views: DataFrame, min_basket: int = 2, min_support: int = 2,
                  top_n: int | None = None, block_size: int = DEFAULT_BLOCK_SIZE,
-                 user: str = "user", item: str = "item") -> DataFrame:
+                 user: str = "user", item: str = "item",
+                 max_per_row: int | None = None) -> DataFrame:
     """A5, the flagship batch recommender: views -> ``(item, recs)``.
 
     S1 -> P1 (done by the caller) -> A2 -> P6 -> P7 -> A1 -> P8 -> P9 -> A3.
     """
     flat = recommendations_flat(views, min_basket, min_support, block_size, user, item)
-    return nest_recommendations(flat, top_n)
+    return nest_recommendations(flat, top_n, max_per_row=max_per_row)

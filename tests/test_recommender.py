@@ -131,3 +131,23 @@ def test_top_neighbours_exact(spark):
     exp = sorted([r for r in rows if r[0] == "x"], key=lambda r: (-r[2], r[1]))[:5]
     assert sorted((r.item, r.other, r.cnt) for r in got if r.item == "x") == sorted(exp)
     assert [(r.other, r.cnt) for r in got if r.item == "y"] == [("o1", 5)]
+
+
+def test_chunked_outputs_are_whole(spark):
+    from basketflow.operators.recommender import nest_recommendations
+    rows = [("hot", f"i{j:03d}") for j in range(50)] + [("u", "i001"), ("u", "i002")]
+    views = spark.createDataFrame(rows, "user string, item string")
+    parts = baskets(views, max_per_row=8).collect()
+    hot = [r for r in parts if r.user == "hot"]
+    assert len(hot) >= 7 and all(r.n == 50 for r in hot)
+    assert sorted(i for r in hot for i in r.basket) == sorted(i for _, i in rows[:50])
+    assert all(list(r.basket) == sorted(r.basket) for r in hot)
+    flat = recommendations_flat(views, min_support=1)
+    whole = {r.item: [(e.other, e.cnt) for e in r.recs]
+             for r in nest_recommendations(flat).collect()}
+    chunks = nest_recommendations(flat, max_per_row=5).collect()
+    merged = {}
+    for r in chunks:
+        assert len(r.recs) <= 20
+        merged.setdefault(r.item, []).extend((e.other, e.cnt) for e in r.recs)
+    assert {k: sorted(v, key=lambda x: (-x[1], x[0])) for k, v in merged.items()} == whole
