@@ -152,8 +152,12 @@ def item_pairs(views: DataFrame, min_basket: int = 2, min_support: int = 1,
              .select(*owner, "a", F.explode(F.slice("items", F.col("pos") + 2,
                                                     F.size("items"))).alias("b")))
     # Pairs across blocks of multi-block baskets: every block pair is its own
-    # join key, so each task handles at most block_size**2 pairs.
-    multi = blocks.where(F.col("nb") > 1)
+    # join key, so each task handles at most block_size**2 pairs. The blocks
+    # of those baskets are gathered from the filtered rows (the filter reaches
+    # the small sizes table), so normal data does not re-run the collect.
+    multi = (tagged.where(F.col("nb") > 1).repartition(n_parts, *owner, "blk")
+             .groupBy(*owner, "blk", "nb")
+             .agg(F.array_sort(F.collect_list("item")).alias("items")))
     left = (multi.where(F.col("blk") < F.col("nb") - 1)
             .select(*owner, F.col("blk").alias("lo"),
                     F.explode(F.sequence(F.col("blk") + 1, F.col("nb") - 1)).alias("hi"),
