@@ -39,7 +39,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest number of distinct items of one basket handled by one join block.
+# Target number of distinct items per block of a basket (bounds the block arrays
+# and the pairs one task generates: about DEFAULT_BLOCK_SIZE**2).
 DEFAULT_BLOCK_SIZE = 2048
 
 
