@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +93,16 @@ def _doc_model_split(spark: SparkSession, sf_dir: str):
     return hash_split(df, "doc_id")
 
 
+def _fit(pipe, train: DataFrame):
+    """The training side is read by every indexer and tree pass, so it is
+    kept (memory, spilling to disk) for the fit only."""
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipe.fit(train)
+    finally:
+        train.unpersist()
+
+
 def _score_query(kind: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Fit on the train side, score the test side; report the
@@ -100,7 +111,7 @@ def _score_query(kind: str):
         train, test = _doc_model_split(spark, sf_dir)
         pipe = feature_pipeline(["lang", "source"], ["n_chars"], "quality", kind=kind,
                                 seed=7, maxBins=32)
-        scored = pipe.fit(train).transform(test)
+        scored = _fit(pipe, train).transform(test)
         pred = F.col("prediction")
         if kind == "dtr":
             bad_prob = F.lit(0)
@@ -122,7 +133,7 @@ def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     whose prediction or probability changed."""
     train, test = _doc_model_split(spark, sf_dir)
     pipe = feature_pipeline(["lang", "source"], ["n_chars"], "quality", kind="rf", seed=7)
-    model = pipe.fit(train)
+    model = _fit(pipe, train)
     path = os.path.join(scratch_dir(spark, "model"), "pipeline")
     save_model(model, path)
     again = load_model(path)
@@ -141,7 +152,7 @@ def rf_auroc(spark: SparkSession, sf_dir: str) -> DataFrame:
     must agree)."""
     train, test = _doc_model_split(spark, sf_dir)
     pipe = feature_pipeline(["lang", "source"], ["n_chars"], "quality", kind="rf", seed=7)
-    scored = pipe.fit(train).transform(test)
+    scored = _fit(pipe, train).transform(test)
     ev = auroc(scored, "label", "rawPrediction", num_bins=0)
     p1 = vector_column_to_array("probability")[1]
     exact = auroc_exact(scored.select("label", p1.alias("p1")), "label", "p1", positive=1.0)
@@ -202,7 +213,7 @@ def product_flag_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = flatten_product_views(hits).withColumn(
         "flag", F.when(F.col("price") > 1500, F.lit("True")).otherwise(F.lit("False")))
     train, test = hash_split(flat, "product_id")
-    scored = product_pipeline(max_bins=600, seed=7).fit(train).transform(test)
+    scored = _fit(product_pipeline(max_bins=600, seed=7), train).transform(test)
     total = F.aggregate(vector_column_to_array("probability"), F.lit(0.0),
                         lambda acc, x: acc + x)
     return scored.agg(F.count(F.lit(1)).alias("n_test"),
