@@ -94,3 +94,16 @@ def test_cli_recommend_batch_and_churn(spark, capsys):
     write_text_file(spark, csv, CHURN_CSV)
     jobs.main(["churn", "--csv", csv, "--kind", "dt", "--seed", "5"])
     assert "prediction" in capsys.readouterr().out
+
+
+def test_product_job(spark):
+    from basketflow.sources.csv import PRODUCT_SCHEMA
+    rows = []
+    for i in range(60):
+        chars = [f"c{(i + j) % 4}" if j < 4 else None for j in range(10)]
+        rows.append((f"cat{i % 3}", float(100 + i), *chars, "True" if i % 2 else "False"))
+    path = scratch_dir(spark, "products")
+    spark.createDataFrame(rows, PRODUCT_SCHEMA).write.option("header", True).csv(path)
+    out = jobs.product_classification(spark, path, seed=3)
+    assert {"prediction", "probability", "label"} <= set(out.columns)
+    assert out.count() > 0
