@@ -97,10 +97,23 @@ class RunningRecommender:
         return F.pmod(F.xxhash64("item"), F.lit(self.state_buckets)).cast("int")
 
     def _write_snapshot(self, df: DataFrame, upto: int) -> None:
-        """Snapshots are partitioned by an item-hash bucket (``ib``), so a
-        batch reads only the buckets of the items it touched."""
-        (df.withColumn("ib", self._bucket()).write.mode("overwrite")
-         .partitionBy("ib").parquet(self._snapshot_path(upto)))
+        """Fold ``(item, other, cnt)`` rows and write them partitioned by an
+        item-hash bucket (``ib``), so a batch reads only the buckets of the
+        items it touched.
+
+        The fold's one shuffle clusters rows by ``(ib, sub-hash of item)``,
+        so every task writes one or two bucket folders: the file count stays
+        near the shuffle partition count instead of tasks x buckets.
+        """
+        n_parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        subs = max(1, n_parts // self.state_buckets)
+        folded = (df.withColumn("ib", self._bucket())
+                  .withColumn("_sub", F.pmod(F.xxhash64("item", F.lit("sub")), F.lit(subs)))
+                  .repartition(n_parts, "ib", "_sub")
+                  .groupBy("ib", "_sub", "item", "other").agg(F.sum("cnt").alias("cnt"))
+                  .drop("_sub"))
+        (folded.write.mode("overwrite").partitionBy("ib")
+         .parquet(self._snapshot_path(upto)))
 
     def _base_snapshot(self, batch_id: int) -> int:
         """Newest snapshot strictly before this batch's compaction window."""
@@ -138,6 +151,4 @@ class RunningRecommender:
                    .groupBy("item", "other").agg(F.sum("cnt").alias("cnt")))
         self.sink(current, batch_id)
         if (batch_id + 1) % self.compact_every == 0:
-            folded = (snap.drop("ib").unionByName(log.drop("ib"))
-                      .groupBy("item", "other").agg(F.sum("cnt").alias("cnt")))
-            self._write_snapshot(folded, batch_id)
+            self._write_snapshot(snap.drop("ib").unionByName(log.drop("ib")), batch_id)
