@@ -119,6 +119,9 @@ STREAM_ORACLES = {
     "wc_stream_update": f"""
         SELECT batch_id, word, cnt, '(' || word || ',' || CAST(cnt AS VARCHAR) || ')' AS payload
         FROM ({_UPDATE_COUNTS})""",
+    "wc_stream_warm_start": f"""
+        SELECT batch_id, word, cnt, '(' || word || ',' || CAST(cnt AS VARCHAR) || ')' AS payload
+        FROM ({_UPDATE_COUNTS}) WHERE batch_id >= 1""",
     "stream_restart_counts": """
         SELECT event_type AS word, COUNT(*)::BIGINT AS cnt FROM events GROUP BY 1""",
     "wc_stream_complete": """

@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from basketflow.operators.wordcount import word_counts
@@ -29,18 +30,44 @@ def running_word_counts(lines: DataFrame, col: str = "value",
     return word_counts(lines, col, rule)
 
 
+def seeded(sink: Callable[[DataFrame, int], None], initial_state: DataFrame,
+           output_mode: str = "update") -> Callable[[DataFrame, int], None]:
+    """T7 for running counts: totals start from ``initial_state``
+    ``(word, cnt)`` instead of zero.
+
+    The stream's own state counts only what it has seen; each emitted total
+    is offset by the seed count of its word (a join per batch). In update
+    mode a seeded word is emitted only once it appears in the stream, as a
+    keyed-state job with an initial state does; in complete mode every seeded
+    word is part of the table.
+    """
+    seed = initial_state.select("word", F.col("cnt").cast("bigint").alias("_seed"))
+    how = "full" if output_mode == "complete" else "left"
+
+    def emit(batch: DataFrame, batch_id: int) -> None:
+        out = (batch.join(seed, "word", how)
+               .select("word", (F.coalesce(F.col("cnt"), F.lit(0))
+                                + F.coalesce(F.col("_seed"), F.lit(0))).alias("cnt")))
+        sink(out, batch_id)
+    return emit
+
+
 def start_counts(counts: DataFrame, checkpoint: str,
                  sink: Callable[[DataFrame, int], None], output_mode: str = "update",
                  trigger: dict | None = None, query_name: str | None = None,
-                 state_partitions: int | None = None) -> StreamingQuery:
+                 state_partitions: int | None = None,
+                 initial_state: DataFrame | None = None) -> StreamingQuery:
     """Start a count query whose every micro-batch goes to ``sink``.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (default
     ``availableNow``). The checkpoint makes totals survive restarts.
     ``state_partitions`` fixes the state-store partitioning on the first
     start; when omitted the session's current setting applies (callers such
-    as :class:`SlicedFileStream` choose it).
+    as :class:`SlicedFileStream` choose it). ``initial_state`` ``(word, cnt)``
+    seeds the totals (see :func:`seeded`).
     """
+    if initial_state is not None:
+        sink = seeded(sink, initial_state, output_mode)
     writer = (counts.writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint)
               .foreachBatch(sink)

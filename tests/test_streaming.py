@@ -200,3 +200,21 @@ def test_windowed_pairs_replay_is_idempotent(spark):
     first = out[1]
     fn(b1, 1)
     assert out[1] == first and [r[2:] for r in first] == [("1", "2", 1)]
+
+
+def test_seeded_counts_update_and_complete(spark):
+    seed = spark.createDataFrame([("a", 10), ("z", 5)], "word string, cnt bigint")
+    got = {}
+    for mode in ("update", "complete"):
+        stream = SlicedFileStream(spark, lines(spark, []).schema)
+        sink = BatchTableWriter(stream.output_dir)
+
+        def start(df, ckpt, mode=mode, sink=sink):
+            return start_counts(running_word_counts(df, "value", "drop_trailing"), ckpt,
+                                sink, mode, initial_state=seed)
+
+        stream.run_slices([lines(spark, ["a b"])], start)
+        out = read_batches(spark, stream.output_dir, "word string, cnt bigint, batch_id int")
+        got[mode] = sorted((r.word, r.cnt) for r in out.collect())
+    assert got["update"] == [("a", 11), ("b", 1)]
+    assert got["complete"] == [("a", 11), ("b", 1), ("z", 5)]
