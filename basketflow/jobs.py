@@ -33,7 +33,7 @@ from basketflow.sinks.writers import BatchTableWriter, console_sink, kafka_write
 from basketflow.sources.csv import CHURN_SCHEMA, PRODUCT_SCHEMA, read_csv_by_position
 from basketflow.sources.kafka import read_kafka_stream
 from basketflow.sources.views import views_from_text
-from basketflow.streaming.counts import running_word_counts
+from basketflow.streaming.counts import running_word_counts, seeded
 from basketflow.streaming.recommend import RunningRecommender
 from basketflow.streaming.settings import stream_partitions
 from basketflow.streaming.triggers import (
@@ -109,9 +109,11 @@ def streaming_recommendations(spark: SparkSession, lines: DataFrame, checkpoint:
 def stateful_word_count(lines: DataFrame, checkpoint: str, brokers: str | None = None,
                         out_topic: str = WORD_COUNT_RESULT_TOPIC,
                         out_path: str | None = None,
-                        interval: str = STATEFUL_WORD_COUNT_INTERVAL) -> StreamingQuery:
+                        interval: str = STATEFUL_WORD_COUNT_INTERVAL,
+                        initial_state: DataFrame | None = None) -> StreamingQuery:
     """Running totals (update mode); each batch prints its first rows (K4) and
-    sends ``(word,count)`` per touched word (K1)."""
+    sends ``(word,count)`` per touched word (K1). ``initial_state``
+    ``(word, cnt)`` seeds the totals (empty by default, as in the reference)."""
     counts = running_word_counts(lines, "value", "drop_trailing")
 
     def emit(batch: DataFrame, batch_id: int) -> None:
@@ -124,9 +126,10 @@ def stateful_word_count(lines: DataFrame, checkpoint: str, brokers: str | None =
                 batch.withColumn("payload", word_count_payload()), batch_id)
         batch.unpersist()
 
+    sink = seeded(emit, initial_state) if initial_state is not None else emit
     writer = (counts.writeStream.outputMode("update")
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(emit).trigger(processingTime=interval))
+              .foreachBatch(sink).trigger(processingTime=interval))
     with stream_partitions(lines.sparkSession):
         return writer.start()
 
