@@ -7,10 +7,30 @@ from pyspark.sql import functions as F
 
 N_CHARACTERISTICS = 10
 
-
-def read_product_views(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Read search-index hits (a JSON array per file, or JSON lines)."""
-    return spark.read.option("multiLine", multi_line).json(path)
+# Layout of an exported product-view hit (the domain classes).
+_NAME_VALUE = "array<struct<name: string, value: string>>"
+PRODUCT_VIEW_SCHEMA = (
+    "`_index` string, `_type` string, `_id` string, `_score` long, "
+    "`_source` struct<`@timestamp`: string, `@version`: string, sessionId: string, "
+    "product: struct<id: string, date: string, description: string, title: string, "
+    "productInfo: string, account: string, price: double, enabled: boolean, "
+    f"tags: array<string>, characteristic: {_NAME_VALUE}, "
+    "category: struct<title: string, description: string, parent: string, "
+    f"characteristics: {_NAME_VALUE}>>>"
+)
+
+
+def read_product_views(spark: SparkSession, path: str, multi_line: bool = True,
+                       schema: str | None = PRODUCT_VIEW_SCHEMA) -> DataFrame:
+    """Read search-index hits (a JSON array per file, or JSON lines).
+
+    The declared schema avoids an inference pass over all the data; pass
+    ``schema=None`` to infer it instead. Missing fields read as NULL.
+    """
+    reader = spark.read.option("multiLine", multi_line)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.json(path)
 
 
 def flatten_product_views(hits: DataFrame, flag: str | None = None) -> DataFrame:
