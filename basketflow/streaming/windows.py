@@ -81,9 +81,15 @@ class WindowedPairs:
         # gives the same watermark as the latest of all rows.
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         w = F.window("ts", self.window)
+        # Range partitioning on (window, user, item) gives every task a
+        # contiguous key range, so it writes one or two window folders (not
+        # one file per window per task); it also satisfies the distinct, which
+        # then needs no shuffle of its own.
+        n_parts = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         views = (rows.select(w.start.alias("window_start"), w.end.alias("window_end"),
                              "user", "item")
                  .withColumn("wkey", _wkey_of(F.col("window_end")))
+                 .repartitionByRange(n_parts, "wkey", "user", "item")
                  .distinct())
         (views.write.mode("overwrite").partitionBy("wkey")
          .parquet(os.path.join(self.log_dir, f"batch_id={batch_id}")))
