@@ -151,3 +151,19 @@ def test_chunked_outputs_are_whole(spark):
         assert len(r.recs) <= 20
         merged.setdefault(r.item, []).extend((e.other, e.cnt) for e in r.recs)
     assert {k: sorted(v, key=lambda x: (-x[1], x[0])) for k, v in merged.items()} == whole
+
+
+def test_hot_basket_at_default_block_size(spark):
+    # one basket larger than a block (two blocks at the default 2048) and one
+    # small basket sharing 60 of its items: with support >= 2 exactly the
+    # pairs of the shared items survive, each seen twice
+    hot = spark.range(3000).selectExpr("'hot' AS user", "CAST(id AS STRING) AS item")
+    small = spark.range(0, 3000, 50).selectExpr("'small' AS user",
+                                                "CAST(id AS STRING) AS item")
+    got = pair_support(hot.unionByName(small), min_support=2)
+    shared = sorted(str(i) for i in range(0, 3000, 50))
+    expected = {(a, b) for a, b in itertools.combinations(shared, 2)}
+    rows = got.collect()
+    assert {(r.a, r.b) for r in rows} == expected
+    assert all(r.cnt == 2 for r in rows)
+    assert item_pairs(hot).count() == 3000 * 2999 // 2
