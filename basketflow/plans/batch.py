@@ -80,6 +80,16 @@ def cooc_top_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recs.select("item", recommendation_payload("item", "recs").alias("payload"))
 
 
+def cooc_hot_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skewed workload: baskets = event types (five baskets, each holding
+    about a fifth of all rows), items = users; pairs of users active in more
+    than one common event type. Blocks of 256 items, so every hot basket takes
+    the multi-block path."""
+    views = views_from_table(table(spark, sf_dir, "events"), "event_type", "user_id")
+    return (pair_support(views, min_support=2, block_size=256)
+            .select(F.col("a").alias("item_a"), F.col("b").alias("item_b"), "cnt"))
+
+
 def cooc_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2 + P6: sorted distinct parts per order with more than one part."""
     b = baskets(order_part_views(spark, sf_dir), min_basket=2)
@@ -139,6 +149,7 @@ BATCH_QUERIES = {
     "cooc_customer_pairs": cooc_customer_pairs,
     "cooc_pairs_blocked": cooc_pairs_blocked,
     "cooc_top_recs": cooc_top_recs,
+    "cooc_hot_baskets": cooc_hot_baskets,
     "parse_views": parse_views,
     "cooc_text_recs": cooc_text_recs,
     "wc_batch": wc_batch,

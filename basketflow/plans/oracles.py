@@ -61,6 +61,11 @@ BATCH_ORACLES = {
         WITH p AS ({_pairs(_ORDER_PART)})
         SELECT a AS item_a, b AS item_b, cnt FROM p""",
     "cooc_top_recs": _top_text(_ORDER_SUPP, 3),
+    "cooc_hot_baskets": f"""
+        WITH p AS ({_pairs(
+            "SELECT DISTINCT event_type AS u, CAST(user_id AS VARCHAR) AS i FROM events "
+            "WHERE event_type IS NOT NULL AND user_id IS NOT NULL")})
+        SELECT a AS item_a, b AS item_b, cnt FROM p""",
     "cooc_customer_pairs": f"""
         WITH p AS ({_pairs(
             "SELECT DISTINCT o.o_custkey AS u, CAST(l.l_partkey AS VARCHAR) AS i "
