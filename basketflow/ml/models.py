@@ -23,7 +23,11 @@ CLASSIFIERS = {
 CHURN_NUMERIC = ["account_length", "number_vmail_messages", "total_day_calls",
                  "total_day_charge", "total_eve_calls", "total_eve_charge",
                  "total_night_calls", "total_intl_calls", "total_intl_charge"]
-PRODUCT_CATEGORICAL = ["category_title"] + [f"characteristic_{i}" for i in range(1, 11)]
+# The product job's categorical columns, in assembly order.
+PRODUCT_CATEGORICAL = ["category_title", "characteristic_1", "characteristic_2",
+                       "characteristic_3", "characteristic_4", "characteristic_5",
+                       "characteristic_6", "characteristic_7", "characteristic_8",
+                       "characteristic_9", "characteristic_10"]
 
 
 def make_estimator(kind: str = "rf", label: str = "label", features: str = "features",

@@ -40,11 +40,15 @@ CHURN_COLUMNS = [
 ]
 
 # The product-flag table layout, in file order (13 columns).
-PRODUCT_COLUMNS = (
-    [("category_title", "string"), ("price", "double")]
-    + [(f"characteristic_{i}", "string") for i in range(1, 11)]
-    + [("flag", "string")]
-)
+PRODUCT_COLUMNS = [
+    ("category_title", "string"), ("price", "double"),
+    ("characteristic_1", "string"), ("characteristic_2", "string"),
+    ("characteristic_3", "string"), ("characteristic_4", "string"),
+    ("characteristic_5", "string"), ("characteristic_6", "string"),
+    ("characteristic_7", "string"), ("characteristic_8", "string"),
+    ("characteristic_9", "string"), ("characteristic_10", "string"),
+    ("flag", "string"),
+]
 
 CHURN_SCHEMA = _schema(CHURN_COLUMNS)
 PRODUCT_SCHEMA = _schema(PRODUCT_COLUMNS)
