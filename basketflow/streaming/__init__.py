@@ -1,9 +1,12 @@
 """Structured Streaming jobs: running counts and the streaming recommender."""
 
-from basketflow.streaming.counts import running_word_counts, start_counts
+from basketflow.streaming.counts import running_word_counts, seeded, start_counts
 from basketflow.streaming.harness import SlicedFileStream, slice_ids
 from basketflow.streaming.recommend import BatchScopedPairs, RunningRecommender
+from basketflow.streaming.settings import stream_partitions
 from basketflow.streaming.triggers import with_trigger
+from basketflow.streaming.windows import WindowedPairs
 
-__all__ = ["running_word_counts", "start_counts", "SlicedFileStream", "slice_ids",
-           "BatchScopedPairs", "RunningRecommender", "with_trigger"]
+__all__ = ["running_word_counts", "seeded", "start_counts", "SlicedFileStream",
+           "slice_ids", "BatchScopedPairs", "RunningRecommender", "WindowedPairs",
+           "stream_partitions", "with_trigger"]
