@@ -90,6 +90,17 @@ def cooc_hot_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("a").alias("item_a"), F.col("b").alias("item_b"), "cnt"))
 
 
+def cooc_recs_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 with bounded rows (``max_per_row=8``): every supplier's list is
+    split into rows of about 8 entries; the per-supplier totals over all its
+    rows (neighbours, summed counts) show that nothing was dropped or
+    repeated."""
+    recs = cooccurrence(order_supplier_views(spark, sf_dir), min_support=2, max_per_row=8)
+    entries = recs.select("item", F.explode("recs").alias("e"))
+    return entries.groupBy("item").agg(F.count(F.lit(1)).alias("n_other"),
+                                       F.sum("e.cnt").alias("sum_cnt"))
+
+
 def cooc_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2 + P6: sorted distinct parts per order with more than one part."""
     b = baskets(order_part_views(spark, sf_dir), min_basket=2)
@@ -150,6 +161,7 @@ BATCH_QUERIES = {
     "cooc_pairs_blocked": cooc_pairs_blocked,
     "cooc_top_recs": cooc_top_recs,
     "cooc_hot_baskets": cooc_hot_baskets,
+    "cooc_recs_chunked": cooc_recs_chunked,
     "parse_views": parse_views,
     "cooc_text_recs": cooc_text_recs,
     "wc_batch": wc_batch,

@@ -61,6 +61,9 @@ BATCH_ORACLES = {
         WITH p AS ({_pairs(_ORDER_PART)})
         SELECT a AS item_a, b AS item_b, cnt FROM p""",
     "cooc_top_recs": _top_text(_ORDER_SUPP, 3),
+    "cooc_recs_chunked": f"""
+        SELECT item, COUNT(*)::BIGINT AS n_other, SUM(cnt)::BIGINT AS sum_cnt
+        FROM ({_flat(_ORDER_SUPP)}) GROUP BY item""",
     "cooc_hot_baskets": f"""
         WITH p AS ({_pairs(
             "SELECT DISTINCT event_type AS u, CAST(user_id AS VARCHAR) AS i FROM events "
