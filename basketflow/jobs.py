@@ -209,6 +209,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "product":
         product_classification(spark, args.csv).show()
     else:
+        if args.job != "word-count-structured" and not args.checkpoint:
+            p.error(f"{args.job} needs --checkpoint (a shared folder for its state)")
         lines = message_lines(spark, args.brokers, args.topics, args.input_dir)
         if args.job == "recommend-stream":
             q = streaming_recommendations(spark, lines, args.checkpoint, args.out_topic,

@@ -107,3 +107,8 @@ def test_product_job(spark):
     out = jobs.product_classification(spark, path, seed=3)
     assert {"prediction", "probability", "label"} <= set(out.columns)
     assert out.count() > 0
+
+
+def test_cli_stream_needs_checkpoint(spark):
+    with pytest.raises(SystemExit):
+        jobs.main(["recommend-stream", "--input-dir", "/nonexistent"])
