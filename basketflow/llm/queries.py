@@ -12,6 +12,25 @@ from pyspark.sql import functions as F
 from basketflow.plans.tables import table
 
 
+def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketflow.llm.warc import archive_pages, read_bundles
+
+    index, folder = archive_pages(table(spark, sf_dir, "pages"))
+    return read_bundles(index, folder) \
+        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP2_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha256(h) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM d WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+       CASE WHEN d.page_id > f.first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN d.page_id > f.first_id THEN f.first_id END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)
+"""
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -30,8 +49,11 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_warc_round_trip": op2_warc_round_trip,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op7_mix_sources": op7_mix_sources,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {
+    "op2_warc_round_trip": OP2_SQL,
+}
