@@ -12,6 +12,30 @@ from pyspark.sql import functions as F
 from basketflow.plans.tables import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketflow.llm.substring import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), min_words=13) \
+        .select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 12], chr(10))) AS h
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+low AS (SELECT h, min(doc_id) AS first_id FROM win GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j
+         FROM win JOIN low USING (h) WHERE first_id < doc_id),
+cut AS (SELECT doc_id, list(j) AS js FROM gone GROUP BY doc_id),
+k AS (SELECT d.doc_id, len(w) AS n_words, coalesce(len(js), 0) AS n_removed,
+             CASE WHEN js IS NULL THEN w
+                  ELSE list_transform(list_filter(list_zip(w, range(1, len(w) + 1)),
+                                                  lambda x: NOT list_contains(js, x[2])), lambda x: x[1]) END AS kept
+      FROM d LEFT JOIN cut USING (doc_id))
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
+"""
+
+
 def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from basketflow.llm.warc import archive_pages, read_bundles
 
@@ -49,11 +73,13 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_warc_round_trip": op2_warc_round_trip,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op7_mix_sources": op7_mix_sources,
 }
 
 LLM_ORACLES: dict[str, str] = {
+    "op1_substring_dedup": OP1_SQL,
     "op2_warc_round_trip": OP2_SQL,
 }
