@@ -55,6 +55,15 @@ FROM d LEFT JOIN f USING (payload_digest)
 """
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketflow.llm.language import label_texts, train_language
+    from basketflow.llm.toxicity import held_out
+
+    docs = table(spark, sf_dir, "documents")
+    return label_texts(docs.select("doc_id", "text"), train_language(docs)) \
+        .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -72,11 +81,22 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketflow.llm.toxicity import held_out, score_toxicity, train_toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    model = train_toxicity(docs, table(spark, sf_dir, "labels"))
+    return score_toxicity(docs.select("doc_id", "text"), model) \
+        .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_warc_round_trip": op2_warc_round_trip,
+    "op4_language_id": op4_language_id,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op7_mix_sources": op7_mix_sources,
+    "op8_toxicity": op8_toxicity,
 }
 
 LLM_ORACLES: dict[str, str] = {
