@@ -229,13 +229,11 @@ def label_texts(docs: DataFrame, model: LanguageModel, text_col: str = "text", s
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = "struct<lang_pred:string,score:double,lang_spans:array<struct<start:int,end:int,lang:string>>>"
 
-    @F.pandas_udf(kind)
-    def label(texts):
-        import pandas as pd
-
+    @F.arrow_udf(kind)
+    def label(texts: pa.Array) -> pa.Array:
         m = shared.value
         names = np.array([*m.languages, "und"], dtype=object)
-        data, offs = text_buffers(pa.Array.from_pandas(texts, pa.large_string()))
+        data, offs = text_buffers(texts)
         best, score, parts = np.full(len(texts), len(names) - 1), np.zeros(len(texts)), [[] for _ in range(len(texts))]
         for lo, hi in slices(offs) if m.languages else ():
             w = words_of(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
@@ -253,7 +251,9 @@ def label_texts(docs: DataFrame, model: LanguageModel, text_col: str = "text", s
                     mine = word_best[w.first[d]:w.first[d + 1]]
                     cut = np.flatnonzero(np.diff(mine, prepend=-1, append=-1))
                     parts[lo + d] = [{"start": a, "end": b, "lang": names[mine[a]]} for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
-        return pd.DataFrame({"lang_pred": names[best], "score": score, "lang_spans": parts})
+        span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
+        return pa.StructArray.from_arrays([pa.array(names[best], pa.string()), pa.array(score), pa.array(parts, span)],
+                                          names=["lang_pred", "score", "lang_spans"])
 
     letters = F.coalesce(F.regexp_like(F.col(text_col), F.lit("\\p{L}")), F.lit(False))
     out = docs.withColumn("_label", label(F.lower(F.col(text_col)))) \

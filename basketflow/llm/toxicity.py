@@ -185,17 +185,15 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     small_batches(docs.sparkSession)
     weights, bias = docs.sparkSession.sparkContext.broadcast(model.weights.astype("<f4")), model.bias
 
-    @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
         w = weights.value
-        data, offs = text_buffers(pa.Array.from_pandas(texts, pa.large_string()))
+        data, offs = text_buffers(texts)
         total = np.full(len(texts), bias)
         for lo, hi in slices(offs):
             row, feature = features(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
             total[lo:hi] += np.bincount(row, w[feature], hi - lo)
-        return pd.Series(1 / (1 + np.exp(-np.clip(total, -30, 30))))
+        return pa.array(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
     return docs.withColumn("score", score(F.col(text_col))) \
         .withColumn("predicted", (F.col("score") >= model.threshold).cast("int"))
