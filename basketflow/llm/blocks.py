@@ -54,12 +54,13 @@ class Packer:
     schema = "bucket int, settled boolean, data binary"
     arrow = pa.schema([("bucket", pa.int32()), ("settled", pa.bool_()), ("data", pa.binary())])
 
-    def __init__(self, buckets: int, n_keys: int, settled):
+    def __init__(self, buckets: int, n_keys: int, settled, links: bool = False):
         """``settled(doc, low, high)`` marks the entries whose answer is known
-        from the groups inside the task."""
+        from the groups inside the task. With ``links`` a settled entry's place
+        is the smallest document of its group, each such pair once."""
         import zstandard
 
-        self.buckets, self.n_keys, self.settled = buckets, n_keys, settled
+        self.buckets, self.n_keys, self.settled, self.links = buckets, n_keys, settled, links
         self.parts: list[tuple] = []
         self.n = self.turn = 0
         self.zip = zstandard.ZstdCompressor(level=1).compress
@@ -81,12 +82,19 @@ class Packer:
         low, high = groups(keys, doc)
         known = self.settled(doc, low, high)
         rows: list[tuple[int, bool, bytes]] = []
-        for some in (np.flatnonzero(known),):
-            # Spread over buckets by turns: these entries need no meeting.
-            for lo in range(0, len(some), 50_000):
-                at = some[lo:lo + 50_000]
-                self.turn += 1
-                rows.append((int((int(keys[0][at[0]]) ^ self.turn) % self.buckets), True, self._pack([], doc[at], place[at])))
+        some = np.flatnonzero(known)
+        settled_doc, settled_place = doc[some], place[some]
+        if self.links and len(some):
+            settled_place = low[some]
+            order = np.lexsort((settled_doc, settled_place))
+            order = order[_runs(settled_place[order], settled_doc[order])]
+            settled_doc, settled_place = settled_doc[order], settled_place[order]
+        # Spread over buckets by turns: these entries need no meeting.
+        for lo in range(0, len(settled_doc), 50_000):
+            part = slice(lo, lo + 50_000)
+            self.turn += 1
+            rows.append((int((int(keys[0][0]) ^ self.turn) % self.buckets), True,
+                         self._pack([], settled_doc[part], settled_place[part])))
         ask = np.flatnonzero(doc == low)
         both = ask[low[ask] != high[ask]]
         if len(both):

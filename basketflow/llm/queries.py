@@ -55,6 +55,27 @@ FROM d LEFT JOIN f USING (payload_digest)
 """
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketflow.llm.jaccard import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+OP3_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 3], chr(10))) AS h
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b USING (h) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id
+FROM d JOIN r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY 1
+"""
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from basketflow.llm.language import label_texts, train_language
     from basketflow.llm.toxicity import held_out
@@ -93,6 +114,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_warc_round_trip": op2_warc_round_trip,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_language_id": op4_language_id,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op7_mix_sources": op7_mix_sources,
@@ -102,4 +124,5 @@ LLM_QUERIES = {
 LLM_ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op2_warc_round_trip": OP2_SQL,
+    "op3_jaccard_join": OP3_SQL,
 }
