@@ -111,6 +111,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op9_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketflow.llm.vectors import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_warc_round_trip": op2_warc_round_trip,
@@ -119,6 +125,7 @@ LLM_QUERIES = {
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op7_mix_sources": op7_mix_sources,
     "op8_toxicity": op8_toxicity,
+    "op9_vector_near_dedup": op9_vector_near_dedup,
 }
 
 LLM_ORACLES: dict[str, str] = {
