@@ -16,7 +16,6 @@ import struct
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 #: Entries that a task gathers before it packs them.
 GATHER = 600_000
@@ -164,23 +163,58 @@ def by_bucket(blocks: DataFrame, buckets: int, n_keys: int, reduce, schema: str)
     return dealt.mapInArrow(run, schema)
 
 
-def places_by_doc(doc: np.ndarray, place: np.ndarray):
-    """Record batches (doc_id, places) with a document's places as packed
-    64-bit integers."""
+def places_blocks(doc: np.ndarray, place: np.ndarray, buckets: int):
+    """Record batches (bucket, data) with the places of documents, packed by a
+    residue of the document id."""
+    import zstandard
+
     if not len(doc):
         return
-    order = np.argsort(doc, kind="stable")
-    doc, place = doc[order], place[order].astype("<i8")
-    starts = _runs(doc)
-    for lo in range(0, len(starts), 8192):
-        part = np.append(starts[lo:lo + 8192], starts[lo + 8192] if lo + 8192 < len(starts) else len(doc))
-        offs = ((part - part[0]) * 8).astype(np.int32)
-        data = place[part[0]:part[-1]].tobytes()
-        yield pa.record_batch([pa.array(doc[part[:-1]], pa.int64()),
-                               pa.Array.from_buffers(pa.binary(), len(part) - 1, [None, pa.py_buffer(offs.tobytes()), pa.py_buffer(data)])],
-                              names=["doc_id", "places"])
-
-
-def gathered(places: DataFrame) -> DataFrame:
-    """One row per document with the list of its packed places."""
-    return places.groupBy("doc_id").agg(F.collect_list("places").alias("places"))
+    shrink = zstandard.ZstdCompressor(level=1).compress
+    home = ((doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(buckets)
+    order = np.lexsort((place, doc, home))
+    doc, place, home = doc[order], place[order], home[order]
+    rows = []
+    for lo, hi in _spans(_runs(home), len(home)):
+        d, p = np.diff(doc[lo:hi], prepend=0), np.diff(place[lo:hi], prepend=0)
+        rows.append((int(home[lo]), struct.pack("<I", hi - lo) + shrink(d.astype("<i8").tobytes() + p.astype("<i8").tobytes())))
+    yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
+                          names=["bucket", "data"])
+
+
+PLACES = "bucket int, data binary"
+
+
+def gathered(places: DataFrame, buckets: int) -> DataFrame:
+    """(doc_id, places): one row per document with its distinct places as
+    packed 64-bit integers."""
+    dealt = places.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+
+    def emit(held):
+        doc, place = (np.concatenate(c) for c in zip(*held))
+        order = np.lexsort((place, doc))
+        doc, place = doc[order], place[order].astype("<i8")
+        once = _runs(doc, place)
+        doc, place = doc[once], place[once]
+        starts = _runs(doc)
+        for lo in range(0, len(starts), 2048):
+            part = np.append(starts[lo:lo + 2048], starts[lo + 2048] if lo + 2048 < len(starts) else len(doc))
+            offs = ((part - part[0]) * 8).astype(np.int32)
+            data = place[part[0]:part[-1]].tobytes()
+            yield pa.record_batch([pa.array(doc[part[:-1]], pa.int64()),
+                                   pa.Array.from_buffers(pa.binary(), len(part) - 1, [None, pa.py_buffer(offs.tobytes()), pa.py_buffer(data)])],
+                                  names=["doc_id", "places"])
+
+    def run(batches):
+        now, held = None, []
+        for batch in batches:
+            for bucket, data in zip(*(batch.column(i).to_pylist() for i in range(2))):
+                if bucket != now and held:
+                    yield from emit(held)
+                    held = []
+                now = bucket
+                held.append(unpack(data, 0))
+        if held:
+            yield from emit(held)
+
+    return dealt.mapInArrow(run, "doc_id long, places binary")

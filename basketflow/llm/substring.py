@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.blocks import Packer, buckets_of, by_bucket, gathered, places_by_doc
+from basketflow.llm.blocks import PLACES, Packer, buckets_of, by_bucket, gathered, places_blocks
 from basketflow.llm.words import Words, mix, slices, small_batches, text_buffers
 
 #: Words in an anchor gram.
@@ -91,10 +91,10 @@ def _seeds(docs: DataFrame, t: int, k: int, buckets: int) -> DataFrame:
 
             low, high = groups(keys, doc)
             doc, place = doc[low != high], place[low != high]
-        yield from places_by_doc(doc, place)
+        yield from places_blocks(doc, place, buckets)
 
     blocks = docs.mapInArrow(hash_anchors, Packer.schema)
-    return by_bucket(blocks, buckets, 1, shared, "doc_id long, places binary")
+    return by_bucket(blocks, buckets, 1, shared, PLACES)
 
 
 def _matches(seeded: DataFrame, t: int, k: int, buckets: int) -> DataFrame:
@@ -120,15 +120,15 @@ def _matches(seeded: DataFrame, t: int, k: int, buckets: int) -> DataFrame:
 
             low, _ = groups(keys, doc)
             doc, place = doc[doc > low], place[doc > low]
-        yield from places_by_doc(doc, place)
+        yield from places_blocks(doc, place, buckets)
 
     blocks = seeded.mapInArrow(hash_runs, Packer.schema)
-    return by_bucket(blocks, buckets, 2, later, "doc_id long, places binary")
+    return by_bucket(blocks, buckets, 2, later, PLACES)
 
 
-def _own(places: list[bytes] | None, check: int) -> np.ndarray:
+def _own(places: bytes | None, check: int) -> np.ndarray:
     """The word indexes among packed places that belong to this text."""
-    p = np.frombuffer(b"".join(places or ()), "<i8")
+    p = np.frombuffer(places or b"", "<i8")
     return p[(p >> 32) == int(check)] & 0xFFFFFFFF
 
 
@@ -151,14 +151,17 @@ def remove_repeats(docs: DataFrame, min_words: int = 13, k: int = K, id_col: str
         raise ValueError("an anchor gram must fit into the shortest repeat")
     small_batches(docs.sparkSession)
     buckets = buckets_of(docs)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                       F.xxhash64(text_col).bitwiseAND(0x7FFFFFFF).alias("check"))
+    # No renaming where none is needed: then both joins read one exchange.
+    doc_id = F.col(id_col) if id_col == "doc_id" and docs.schema[id_col].dataType.typeName() == "long" \
+        else F.col(id_col).cast("long").alias("doc_id")
+    text = F.col(text_col) if text_col == "text" else F.col(text_col).alias("text")
+    rows = docs.select(doc_id, text, F.xxhash64(text_col).bitwiseAND(0x7FFFFFFF).alias("check"))
     named = rows.where("doc_id is not null")
-    seeds = gathered(_seeds(named, min_words, k, buckets))
+    seeds = gathered(_seeds(named, min_words, k, buckets), buckets)
     seeded = named.join(seeds, "doc_id")
-    hits = gathered(_matches(seeded, min_words, k, buckets))
+    hits = gathered(_matches(seeded, min_words, k, buckets), buckets)
     both = named.join(hits, "doc_id", "left") \
-        .union(rows.where("doc_id is null").withColumn("places", F.lit(None).cast("array<binary>")))
+        .union(rows.where("doc_id is null").withColumn("places", F.lit(None).cast("binary")))
     schema = "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept string"
     return both.mapInArrow(_cutter(min_words), schema).withColumnRenamed("doc_id", id_col)
 
