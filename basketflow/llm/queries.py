@@ -95,6 +95,27 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
                             keep_ids=False)
 
 
+def op6_vp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketflow.llm.vptree import nearest
+
+    rows = table(spark, sf_dir, "embeddings")
+    return nearest(rows, rows.where(F.col("vec_id") % 100 == 0), k=10, factor=VP_FACTOR)
+
+
+#: Pruning of the registered search; measured recall is in the README.
+VP_FACTOR = 4.0
+
+OP6_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from basketflow.llm.mixing import mix_sources
 
@@ -117,15 +138,26 @@ def op9_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketflow.llm.graph import written
+    from basketflow.llm.secrets import candidates, score_findings, train_secret_filter, weak_labels
+
+    found = written(candidates(table(spark, sf_dir, "documents")), "secret-candidates")
+    model = train_secret_filter(weak_labels(found))
+    return score_findings(found, model).select("doc_id", "nth", "start", "finding", "score", "secret")
+
+
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_warc_round_trip": op2_warc_round_trip,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_language_id": op4_language_id,
     "op5_bpe_round_trip": op5_bpe_round_trip,
+    "op6_vp_tree_search": op6_vp_tree_search,
     "op7_mix_sources": op7_mix_sources,
     "op8_toxicity": op8_toxicity,
     "op9_vector_near_dedup": op9_vector_near_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 LLM_ORACLES: dict[str, str] = {
