@@ -163,7 +163,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     def run(batches):
         tool = codec(path, pattern)
         for batch in batches:
-            out = {n: [] for n, _ in fields}
+            out, ends, every = {n: [] for n, _ in fields}, [0], []
             for text in batch.column(1):
                 text = text.as_py() or ""
                 ids = tool.encode(text)
@@ -173,9 +173,13 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
                 out["decoded_sha256"].append(hashlib.sha256(raw).hexdigest())
                 out["round_trip"].append(raw == text.encode())
                 if keep_ids:
-                    out["ids"].append(ids)
-            yield pa.record_batch([batch.column(0), *(pa.array(out[n], t) for n, t in fields)],
-                                  names=["_id", *(n for n, _ in fields)])
+                    every.append(_little_endian(ids))
+                    ends.append(ends[-1] + len(ids))
+            cols = [pa.array(out[n], t) for n, t in fields if n != "ids"]
+            if keep_ids:
+                flat = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(every))])
+                cols.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat))
+            yield pa.record_batch([batch.column(0), *cols], names=["_id", *(n for n, _ in fields)])
 
     out = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")) \
         .mapInArrow(run, f"_id {id_type}, {schema}")

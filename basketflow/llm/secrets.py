@@ -114,7 +114,7 @@ def learn_texture(findings: DataFrame) -> tuple[list[str], list[str]]:
     word = findings.select(F.explode(F.regexp_extract_all(F.lower(F.concat_ws(" ", "before", "after")), F.lit(r"\p{L}{2,}"), F.lit(0))).alias("w"))
     pair = word.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substr("w", i, F.lit(2)))).alias("w"))
     top = lambda df, n: [r.w for r in df.groupBy("w").count().orderBy(F.desc("count"), "w").limit(n).collect()]
-    return top(pair, PAIRS), top(word.where(F.length("w").between(3, 14)), WORDS)
+    return top(pair, PAIRS), top(word.where(F.length("w").between(3, 14) & ~F.col("w").rlike(_NAMES)), WORDS)
 
 
 def train_secret_filter(labelled: DataFrame, sample: int = SAMPLE, seed: int = 3) -> SecretModel:
