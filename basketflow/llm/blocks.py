@@ -16,6 +16,7 @@ import struct
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Entries that a task gathers before it packs them.
 GATHER = 600_000
@@ -53,13 +54,13 @@ class Packer:
     schema = "bucket int, settled boolean, data binary"
     arrow = pa.schema([("bucket", pa.int32()), ("settled", pa.bool_()), ("data", pa.binary())])
 
-    def __init__(self, buckets: int, n_keys: int, settled, links: bool = False):
+    def __init__(self, buckets: int, n_keys: int, settled, named: bool = False):
         """``settled(doc, low, high)`` marks the entries whose answer is known
-        from the groups inside the task. With ``links`` a settled entry's place
-        is the smallest document of its group, each such pair once."""
+        from the groups inside the task. With ``named`` a settled entry's place
+        is its (first) key."""
         import zstandard
 
-        self.buckets, self.n_keys, self.settled, self.links = buckets, n_keys, settled, links
+        self.buckets, self.n_keys, self.settled, self.named = buckets, n_keys, settled, named
         self.parts: list[tuple] = []
         self.n = self.turn = 0
         self.zip = zstandard.ZstdCompressor(level=1).compress
@@ -82,12 +83,7 @@ class Packer:
         known = self.settled(doc, low, high)
         rows: list[tuple[int, bool, bytes]] = []
         some = np.flatnonzero(known)
-        settled_doc, settled_place = doc[some], place[some]
-        if self.links and len(some):
-            settled_place = low[some]
-            order = np.lexsort((settled_doc, settled_place))
-            order = order[_runs(settled_place[order], settled_doc[order])]
-            settled_doc, settled_place = settled_doc[order], settled_place[order]
+        settled_doc, settled_place = doc[some], keys[0][some].view(np.int64) if self.named else place[some]
         # Spread over buckets by turns: these entries need no meeting.
         for lo in range(0, len(settled_doc), 50_000):
             part = slice(lo, lo + 50_000)
@@ -218,3 +214,36 @@ def gathered(places: DataFrame, buckets: int) -> DataFrame:
             yield from emit(held)
 
     return dealt.mapInArrow(run, "doc_id long, places binary")
+
+
+def by_spot(compare):
+    """A mapInArrow function that gives ``compare`` the columns of whole groups
+    of equal first column from a partition sorted by it."""
+    def run(batches):
+        held = None
+        for batch in batches:
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
+            if held is not None:
+                rows = [np.concatenate(c) for c in zip(held, rows)]
+            last = int(np.searchsorted(rows[0], rows[0][-1]))
+            if last:
+                yield from compare([c[:last] for c in rows])
+            held = [c[last:] for c in rows]
+        if held is not None:
+            yield from compare(held)
+
+    return run
+
+
+def in_blocks(rows: DataFrame, place: list[str], member: str, limit: int) -> DataFrame:
+    """``rows`` with ``spot``, ``block`` and ``cross``: groups by ``place`` of
+    more than ``limit`` rows are cut into blocks by a hash of ``member``, and
+    each row goes to the spots of its block with every block. In a cross spot
+    only pairs of different blocks count."""
+    crowded = rows.groupBy(*place).count().where(F.col("count") > limit) \
+        .select(*place, F.ceil(F.col("count") / limit).cast("int").alias("_blocks"))
+    cut = rows.join(crowded, place, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1))) \
+        .withColumn("block", F.pmod(F.xxhash64(member), "_blocks").cast("int")) \
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    return cut.withColumn("spot", F.xxhash64(*place, F.least("block", "_other"), F.greatest("block", "_other"))) \
+        .withColumn("cross", F.col("block") != F.col("_other")).drop("_blocks", "_other")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.words import small_batches
+from basketflow.llm.words import ready
 
 #: Pre-tokens whose ids a Python worker remembers; beyond it starts afresh.
 CACHE = 150_000
@@ -151,7 +151,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     (no ids); null ids and repeated rows pass through row by row, and extra
     columns are ignored. One narrow pass: no shuffle.
     """
-    small_batches(docs.sparkSession, 512)
+    ready(docs.sparkSession, 512)
     fields = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
               ("decoded_sha256", pa.string()), ("round_trip", pa.bool_())]
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean"

@@ -4,17 +4,21 @@ A document is the set of its distinct word shingles. Two sets with Jaccard
 similarity of at least g differ in at most k = (1-g)/(1+g) * (sum of sizes)
 shingles. Sizes fall into bands; a set signs for its own band and, if a
 similar set could be in the next one, for that too. Within a band of largest
-size r, the shingle domain is hashed into n1 = floor(k/2) + 1 parts, so one
-part holds at most one difference; each part is hashed into three again, and
-the three subsets of two are its signatures: similar sets share one for
-certain, whatever their common shingles are. A signature over an empty
-projection says nothing, so a set with one signs again under the next hash of
-the domain (both sets of a pair would); only on the last hash do empty
-projections count.
-
-Documents that share signatures, directly or over others, form a family.
-Families are compared exactly, block of documents by block of documents, and
-the links give the components. No pairs are written.
+size r, the shingle domain is hashed into n1 = floor(k/2) + 1 + s parts, so at
+least s + 1 parts hold at most one difference each; every part is hashed into
+three again, and the three subsets of two are its signatures: similar sets
+share one in each of those parts, whatever their common shingles are. A
+signature over an empty projection says nothing and is not given. The slack s
+makes up for a set's first s parts with empty projections; a set with more
+signs again under another hash of the domain (so would a similar one, if none
+but empty projections agreed), and on the last hash empty ones count.
+
+Sets that share a signature are candidates. Each set has a small histogram of
+its shingles; the difference of two histograms is a lower bound of the
+difference of the sets, which drops most false candidates without the texts.
+What is left, directly or over others, forms families; families are compared
+exactly, block of documents by block of documents, and the links give the
+components. No pairs are written.
 """
 
 from __future__ import annotations
@@ -24,12 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.blocks import Packer, _runs, buckets_of, by_bucket, groups
+from basketflow.llm.blocks import Packer, _runs, buckets_of, by_bucket, by_spot, groups, in_blocks
 from basketflow.llm.graph import components, written
-from basketflow.llm.words import Words, mix, slices, small_batches, text_buffers
+from basketflow.llm.words import Words, mix, ready, slices, text_buffers
 
 #: Hashes of the domain that a set with empty projections signs under at most.
 LEVELS = 3
+#: One part of slack for so many parts.
+SLACK = 25
+#: Sets of one signature in a block.
+GROUP = 256
 #: Shingles and documents in a block of a family.
 BLOCK_SHINGLES = 1 << 16
 BLOCK_DOCS = 512
@@ -80,7 +88,8 @@ def signatures(doc: np.ndarray, g: np.ndarray, n_docs: int, percent: int) -> tup
         while len(want):
             tag = band[want] + step
             k = 2 * tops[tag] * (100 - percent) // (100 + percent)
-            n1 = k // 2 + 1
+            slack = (k // 2 + 1) // SLACK
+            n1 = k // 2 + 1 + slack
             n2 = np.where(k == 0, 1, 3)
             base = np.cumsum(n1 * 3) - n1 * 3
             of = np.repeat(np.arange(len(want)), size[want])
@@ -99,18 +108,19 @@ def signatures(doc: np.ndarray, g: np.ndarray, n_docs: int, percent: int) -> tup
             row = np.repeat(np.arange(len(want)), n1)
             part = np.arange(len(row)) - np.repeat(np.cumsum(n1) - n1, n1)
             mark = mix((tag[row].astype(np.uint64) << np.uint64(40)) + (part.astype(np.uint64) << np.uint64(8)) + np.uint64(level))
-            bare = np.zeros(len(want), dtype=bool)
+            bare = np.zeros(len(row), dtype=bool)
             for i, (a, b) in enumerate(_SUBSETS):
                 live = np.ones(len(row), dtype=bool) if i == 0 else k[row] > 0
                 empty = live & ~there[:, a] & ~there[:, b]
-                bare[row[empty]] = True
+                bare |= empty
                 if level < LEVELS - 1:
                     live &= ~empty
                 sig = mix(mark + total[:, a] * np.uint64(3) + total[:, b] * np.uint64(5) + np.uint64(i))
                 out_doc.append(want[row[live]])
                 out_sig.append(sig[live])
             level += 1
-            want = want[bare] if level < LEVELS else want[:0]
+            again = np.bincount(row, bare, len(want)) > slack
+            want = want[again] if level < LEVELS else want[:0]
     if not out_doc:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(out_doc), np.concatenate(out_sig)
@@ -124,12 +134,22 @@ def _sets(batch, k: int):
         yield *shingles(w, k), lo, hi
 
 
+def _fingerprints(g: np.ndarray, edge: np.ndarray, i: int) -> np.ndarray:
+    return mix(np.add.reduceat(mix(g + np.uint64(101 + 900 * i)), edge)).view(np.int64)
+
+
+def histogram_size(n: np.ndarray) -> np.ndarray:
+    """Places of a set's histogram: the power of two from n/16 to n/8."""
+    return 1 << np.maximum(np.floor(np.log2(np.maximum(n, 16) / 8)).astype(np.int64), 0)
+
+
 def set_keys(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, check, n, f1, f2): set size and a 128-bit fingerprint of the
-    shingle set of each row of (doc_id, text, check)."""
+    """(doc_id, check, n, f1, f2, histogram): set size, a 128-bit fingerprint
+    and the histogram of the shingle set of each row of (doc_id, text, check)."""
     def run(batches):
         for batch in batches:
-            n, f = np.zeros(batch.num_rows, np.int64), np.zeros((2, batch.num_rows), np.uint64)
+            n, f = np.zeros(batch.num_rows, np.int64), np.zeros((2, batch.num_rows), np.int64)
+            hists = [b""] * batch.num_rows
             for doc, g, lo, hi in _sets(batch, k):
                 if not len(g):
                     continue
@@ -137,34 +157,104 @@ def set_keys(docs: DataFrame, k: int) -> DataFrame:
                 at = lo + doc[edge]
                 n[at] = np.diff(np.append(edge, len(doc)))
                 for i in (0, 1):
-                    f[i, at] = mix(np.add.reduceat(mix(g + np.uint64(101 + 900 * i)), edge))
-            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(n), *(pa.array(x.view(np.int64)) for x in f)],
-                                  names=["doc_id", "check", "n", "f1", "f2"])
+                    f[i, at] = _fingerprints(g, edge, i)
+                size = histogram_size(n[at])
+                base = np.cumsum(size) - size
+                of = np.repeat(np.arange(len(at)), n[at])
+                cell = base[of] + (mix(g + np.uint64(77)) & (size[of] - 1).astype(np.uint64)).astype(np.int64)
+                counts = np.minimum(np.bincount(cell, minlength=int(size.sum())), 255).astype(np.uint8)
+                for i, a, m in zip(at.tolist(), base.tolist(), size.tolist()):
+                    hists[i] = counts[a:a + m].tobytes()
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(n), *(pa.array(x) for x in f), pa.array(hists, pa.binary())],
+                                  names=["doc_id", "check", "n", "f1", "f2", "histogram"])
 
-    return docs.mapInArrow(run, "doc_id long, check long, n long, f1 long, f2 long")
+    return docs.mapInArrow(run, "doc_id long, check long, n long, f1 long, f2 long, histogram binary")
 
 
-def _family_edges(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
-    """(a, b): documents that share a signature, each with the smallest one."""
+def _shared_signatures(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
+    """(sig, f1): the signatures that several different sets have, with those
+    sets (by fingerprint). Groups of equal members are given once a bucket."""
     def sign(batches):
-        packer = Packer(buckets, 1, lambda doc, low, high: doc > low, links=True)
+        packer = Packer(buckets, 1, lambda doc, low, high: low != high, named=True)
         for batch in batches:
-            ids = batch.column(0).to_numpy()
             for doc, g, lo, hi in _sets(batch, k):
+                if not len(g):
+                    continue
                 at, sig = signatures(doc, g, hi - lo, percent)
-                yield from packer.add([sig], ids[lo:hi][at], np.zeros(len(at), np.int64))
+                f1 = np.zeros(hi - lo, np.int64)
+                edge = _runs(doc)
+                f1[doc[edge]] = _fingerprints(g, edge, 0)
+                yield from packer.add([sig], f1[at], np.zeros(len(at), np.int64))
         yield from packer.flush()
 
-    def star(keys, doc, place):
-        if keys is not None:
-            place = groups(keys, doc)[0]
-            doc, place = doc[doc > place], place[doc > place]
-        if len(doc):
-            order = np.lexsort((doc, place))
-            order = order[_runs(place[order], doc[order])]
-            yield pa.record_batch([pa.array(doc[order]), pa.array(place[order])], names=["a", "b"])
+    def shared(keys, doc, place):
+        if keys is None:
+            sig = place
+        else:
+            low, high = groups(keys, doc)
+            some = np.flatnonzero(low != high)
+            order = some[np.lexsort((doc[some], keys[0][some]))]
+            sig, doc = keys[0][order].view(np.int64), doc[order]
+            if len(sig):
+                once = _runs(sig, doc)
+                sig, doc = sig[once], doc[once]
+                starts = _runs(sig)
+                members = np.add.reduceat(mix(doc.view(np.uint64)), starts)
+                first = np.unique(members, return_index=True)[1]
+                kept = np.zeros(len(starts), dtype=bool)
+                kept[first] = True
+                kept = np.repeat(kept, np.diff(np.append(starts, len(sig))))
+                sig, doc = sig[kept], doc[kept]
+        if len(sig):
+            yield pa.record_batch([pa.array(sig), pa.array(doc)], names=["sig", "f1"])
+
+    return by_bucket(docs.mapInArrow(sign, Packer.schema), buckets, 1, shared, "sig long, f1 long")
+
+
+def _near_histograms(spots: DataFrame, percent: int) -> DataFrame:
+    """(a, b): from rows (spot, block, cross, rep, n, histogram) sorted by spot,
+    each set with the smallest one of its group of sets whose sizes and
+    histograms allow a link."""
+    def compare(rows):
+        spot, block, cross, rep, n, hist = rows
+        size = np.array([len(h) for h in hist])
+        # Histograms of twice the places fold to the smaller ones.
+        least = np.minimum.reduceat(size, _runs(spot))
+        width = np.repeat(least, np.diff(np.append(_runs(spot), len(spot))))
+        table = np.zeros((len(spot), int(width.max())), dtype=np.int32)
+        for i, h in enumerate(hist):
+            table[i, :width[i]] = np.frombuffer(h, np.uint8).astype(np.int32).reshape(-1, width[i]).sum(axis=0)
+        near_i, near_j = [], []
+        for d in range(1, len(spot)):
+            at = np.flatnonzero(spot[d:] == spot[:-d])
+            if not len(at):
+                break
+            at = at[(~cross[at] | (block[at] != block[at + d])) & (rep[at] != rep[at + d])]
+            small, big = np.minimum(n[at], n[at + d]), np.maximum(n[at], n[at + d])
+            at = at[100 * small >= percent * big]
+            for lo in range(0, len(at), 8192):
+                i = at[lo:lo + 8192]
+                j = i + d
+                apart = np.abs(table[i] - table[j]).sum(axis=1)
+                near = (100 + percent) * apart <= (100 - percent) * (n[i] + n[j])
+                near_i.append(i[near])
+                near_j.append(j[near])
+        if not near_i:
+            return
+        i, j, label = np.concatenate(near_i), np.concatenate(near_j), rep.copy()
+        while True:
+            was = label.copy()
+            np.minimum.at(label, i, label[j])
+            np.minimum.at(label, j, label[i])
+            if (was == label).all():
+                break
+        out = np.flatnonzero(label != rep)
+        if len(out):
+            order = out[np.lexsort((label[out], rep[out]))]
+            order = order[_runs(rep[order], label[order])]
+            yield pa.record_batch([pa.array(rep[order]), pa.array(label[order])], names=["a", "b"])
 
-    return by_bucket(docs.mapInArrow(sign, Packer.schema), buckets, 1, star, "a long, b long")
+    return spots.mapInArrow(by_spot(compare), "a long, b long")
 
 
 def _links(texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -241,17 +331,20 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
     are one document; an empty table gives an empty result; other columns are
     ignored.
     """
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     buckets = buckets_of(docs)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.xxhash64(text_col).alias("check"))
     named = base.where("doc_id is not null")
     rows = written(set_keys(base, k), "jaccard-sets")
     classes = rows.where("n > 0 and doc_id is not null").groupBy("f1", "f2") \
-        .agg(F.min(F.struct("doc_id", "check")).alias("_r"), F.max("n").alias("n")) \
-        .select("f1", "f2", F.col("_r.doc_id").alias("rep"), F.col("_r.check").alias("rep_check"), "n")
+        .agg(F.min(F.struct("doc_id", "check")).alias("_r"), F.max("n").alias("n"), F.max("histogram").alias("histogram")) \
+        .select("f1", "f2", F.col("_r.doc_id").alias("rep"), F.col("_r.check").alias("rep_check"), "n", "histogram")
     classes = written(classes, "jaccard-classes")
-    family = components(_family_edges(named, k, percent, buckets), "jaccard-families")
+    shared = written(_shared_signatures(named, k, percent, buckets), "jaccard-signatures")
+    met = in_blocks(shared.distinct().join(classes.select("f1", "rep", "n", "histogram"), "f1"), ["sig"], "rep", GROUP)
+    spots = met.select("spot", "block", "cross", "rep", "n", "histogram").repartition("spot").sortWithinPartitions("spot", "n")
+    family = components(_near_histograms(spots, percent), "jaccard-families")
     members = classes.join(family, classes["rep"] == family["node"]) \
         .select("rep", "rep_check", "n", F.col("component").alias("family"))
     sizes = members.groupBy("family").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles")).where("docs > 1") \

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketflow.llm.toxicity import held_out
-from basketflow.llm.words import Words, mix, powers, slices, small_batches, text_buffers
+from basketflow.llm.words import Words, mix, powers, slices, ready, text_buffers
 
 #: Training texts per language at most, those with the smallest id hash.
 SAMPLE = 120
@@ -198,6 +198,7 @@ def train_language(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id"
     """Fit on at most ``sample`` texts per language (smallest id hash) whose
     ``crc32(id as text) mod 4`` is not 2; rows without id, text or language are
     not learnt from. The bounded sample is gathered in one task."""
+    ready(docs.sparkSession)
     ids = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()) \
         .select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_y")).where(~held_out(F.col("_id")))
     by_hash = Window.partitionBy("_y").orderBy(F.xxhash64("_id"), "_id")
@@ -225,7 +226,7 @@ def label_texts(docs: DataFrame, model: LanguageModel, text_col: str = "text", s
     model without languages gives ``und`` and score 0. Existing columns of
     those names are replaced; all other columns and rows are kept.
     """
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = "struct<lang_pred:string,score:double,lang_spans:array<struct<start:int,end:int,lang:string>>>"
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketflow.llm.graph import written
-from basketflow.llm.words import word_count
+from basketflow.llm.words import ready, word_count
 
 #: Mean documents in a block of the flight.
 BLOCK = 2048
@@ -127,6 +127,7 @@ def mix_sources(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: flo
     source is a source of its own; an empty table gives an empty result; other
     columns are ignored.
     """
+    ready(docs.sparkSession, 10_000)
     sized = written(docs.select(F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("source"),
                                 F.xxhash64(text_col).alias("text_hash"),
                                 word_count(F.col(text_col)).alias("size")), "mix-sizes")

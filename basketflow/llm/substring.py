@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.llm.blocks import PLACES, Packer, buckets_of, by_bucket, gathered, places_blocks
-from basketflow.llm.words import Words, mix, slices, small_batches, text_buffers
+from basketflow.llm.words import Words, mix, slices, ready, text_buffers
 
 #: Words in an anchor gram.
 K = 5
@@ -149,7 +149,7 @@ def remove_repeats(docs: DataFrame, min_words: int = 13, k: int = K, id_col: str
     """
     if not 1 <= k <= min_words:
         raise ValueError("an anchor gram must fit into the shortest repeat")
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     buckets = buckets_of(docs)
     # No renaming where none is needed: then both joins read one exchange.
     doc_id = F.col(id_col) if id_col == "doc_id" and docs.schema[id_col].dataType.typeName() == "long" \

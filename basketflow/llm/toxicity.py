@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.words import Words, mix, powers, slices, small_batches, text_buffers
+from basketflow.llm.words import Words, mix, powers, slices, ready, text_buffers
 
 # Identity terms by kind; a term is swapped for another of its
 # own list.
@@ -152,6 +152,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_
     smallest hash of the id, whose ``crc32(id as text) mod 4`` is not 2. Rows
     without id, text or label are not learnt from. The bounded sample is
     gathered in one task, which trains and returns the model."""
+    ready(docs.sparkSession)
     known = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")) \
         .where((~held_out(F.col("_id"))) & F.col("_y").isin(0, 1))
     order = [F.xxhash64("_id"), F.col("_id")]
@@ -182,7 +183,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (score >= threshold),
     in one narrow pass over whole texts. A null text scores as the empty one.
     Existing columns of those names are replaced."""
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     weights, bias = docs.sparkSession.sparkContext.broadcast(model.weights.astype("<f4")), model.bias
 
     @F.arrow_udf("double")

@@ -19,7 +19,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketflow.llm.blocks import by_spot, in_blocks
 from basketflow.llm.graph import components, written
+from basketflow.llm.words import ready
 
 #: Vectors in a block of one code.
 BLOCK = 256
@@ -70,6 +72,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, miss: float = 1
     lengths. Rows that repeat an id count each. An empty table gives an empty
     result; other columns are ignored.
     """
+    ready(vectors.sparkSession, 4096)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"),
                           F.col(vector_col).cast("array<double>").alias("v"))
     able = rows.where(F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("v")))
@@ -86,14 +89,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, miss: float = 1
         .select("key", "rep", "copies", "label", "dim", "vector", "codes", F.posexplode("code").alias("t", "code"))
     place = ["label", "dim", "t", "code"]
     # Codes with more vectors than a block are met block by block.
-    crowded = shelf.groupBy(*place).count().where(F.col("count") > BLOCK) \
-        .select(*place, F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    shelf = shelf.join(crowded, place, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))) \
-        .withColumn("block", F.pmod("key", "blocks").cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spot = F.xxhash64(*place, F.least("block", "other"), F.greatest("block", "other"))
-    dealt = shelf.select(spot.alias("spot"), "t", "block", (F.col("blocks") > 1) & (F.col("block") != F.col("other")),
-                         "key", "rep", "copies", "vector", "codes") \
+    dealt = in_blocks(shelf, place, "key", BLOCK) \
+        .select("spot", "t", "block", "cross", "key", "rep", "copies", "vector", "codes") \
         .repartition("spot").sortWithinPartitions("spot", "key")
     found = written(dealt.mapInArrow(_compare_rows(threshold), "key long, links long, a long, b long"), "vector-links")
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
@@ -182,18 +179,4 @@ def _compare_rows(threshold: float):
         if len(out):
             yield pa.record_batch([pa.array(c[out]) for c in (key, links, rep, label)], names=["key", "links", "a", "b"])
 
-    def run(batches):
-        held = None
-        for batch in batches:
-            cols = [batch.column(i) for i in range(9)]
-            rows = [c.to_numpy(zero_copy_only=False) for c in cols]
-            if held is not None:
-                rows = [np.concatenate(c) for c in zip(held, rows)]
-            last = int(np.searchsorted(rows[0], rows[0][-1]))
-            if last:
-                yield from compare([c[:last] for c in rows])
-            held = [c[last:] for c in rows]
-        if held is not None:
-            yield from compare(held)
-
-    return run
+    return by_spot(compare)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketflow.llm.vectors import usable
+from basketflow.llm.words import ready
 
 #: Rows in a shard, vectors in a leaf and queries in a block.
 SHARD = 8192
@@ -116,6 +117,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, factor: float =
         return df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")) \
             .where(F.col("id").isNotNull() & usable(F.col("v"))).withColumn("dim", F.size("v"))
 
+    ready(vectors.sparkSession, 4096)
     rows, asked = able(vectors), able(queries)
     shards = max(1, math.ceil(rows.count() / shard))
     held = rows.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int")).withColumn("ask", F.lit(False))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.words import small_batches
+from basketflow.llm.words import ready
 from basketflow.session import scratch_dir
 
 #: Decompressed bytes after which a frame, and a bundle, is closed.
@@ -157,7 +157,7 @@ def mark_revisits(pages: DataFrame) -> DataFrame:
 def write_bundles(records: DataFrame, folder: str, level: int = 3) -> DataFrame:
     """Write the marked records into bundles below ``folder`` and return the
     committed index: (page_id, record_id, bundle, frame, offset, length)."""
-    small_batches(records.sparkSession, 256)
+    ready(records.sparkSession, 256)
     id_type = records.schema["page_id"].dataType.simpleString()
 
     def run(batches):
@@ -193,6 +193,7 @@ def read_bundles(index: DataFrame, folder: str, with_payload: bool = False) -> D
     bundle, frame and offset. A response's length and digest are taken from
     the payload read and held against its header; a revisit's are those its
     headers state."""
+    ready(index.sparkSession, 256)
     id_type = index.schema["page_id"].dataType.simpleString()
     near = index.select("page_id", "bundle", "frame", "offset", "length") \
         .repartition("bundle", F.floor(F.col("frame") / 16)).sortWithinPartitions("bundle", "frame", "offset")

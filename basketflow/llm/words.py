@@ -7,6 +7,9 @@ its bytes, then a mixing step). No Python object is made per word.
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, SparkSession
@@ -45,13 +48,20 @@ def powers(n: int) -> np.ndarray:
     return _powers[:n]
 
 
-def small_batches(spark: SparkSession, rows: int = 1024) -> None:
-    """Let Arrow batches of texts hold at most ``rows`` rows, so a run of long
-    texts does not fill a Python worker. Only ever lowers the setting."""
+def ready(spark: SparkSession, rows: int = 1024) -> None:
+    """Prepare a session for Python functions over texts: Arrow batches hold
+    at most ``rows`` rows, so a run of long texts does not fill a worker (the
+    setting is only ever lowered), and workers look for this package where the
+    driver has it. Where executors have other disks, ship it with --py-files.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
 def word_count(text: Column) -> Column:
