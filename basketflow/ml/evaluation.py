@@ -35,8 +35,14 @@ def auroc(predictions: DataFrame, label: str = "label", raw: str = "rawPredictio
 
 
 def auroc_exact(df: DataFrame, label: str, score: str, positive=1,
-                buckets: int = 64) -> DataFrame:
-    """One row ``(auroc, n_pos, n_neg)``; ``label == positive`` is positive."""
+                buckets: int | None = None) -> DataFrame:
+    """One row ``(auroc, n_pos, n_neg)``; ``label == positive`` is positive.
+
+    NULL without a positive or without a negative row (so also on empty or
+    all-null input, with counts 0). ``buckets`` defaults to the shuffle
+    partitions, so the prefix sum has as many tasks as any other stage.
+    """
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_pos = (F.col(label) == F.lit(positive)).cast("long")
     per_score = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
                  .groupBy(F.col(score).cast("double").alias("s"))
@@ -46,9 +52,12 @@ def auroc_exact(df: DataFrame, label: str, score: str, positive=1,
     per_score = cut_lineage(per_score)
     probs = [i / buckets for i in range(1, buckets)]
     bounds = sorted(set(per_score.approxQuantile("s", probs, 0.001)))
-    splits = [float("-inf")] + bounds + [float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="bucket",
-                          handleInvalid="keep").transform(per_score)
+    if bounds:
+        splits = [float("-inf")] + bounds + [float("inf")]
+        bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="bucket",
+                              handleInvalid="keep").transform(per_score)
+    else:
+        bucketed = per_score.withColumn("bucket", F.lit(0.0))
     totals = bucketed.groupBy("bucket").agg(F.sum("neg").alias("bucket_neg"))
     offsets = totals.select(
         "bucket",
@@ -61,6 +70,7 @@ def auroc_exact(df: DataFrame, label: str, score: str, positive=1,
               .withColumn("neg_below", F.col("offset")
                           + F.coalesce(F.sum("neg").over(running), F.lit(0))))
     return ranked.agg(
-        (F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0))
-         / (F.sum("pos") * F.sum("neg"))).alias("auroc"),
-        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+        F.try_divide(F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)),
+                     F.sum("pos") * F.sum("neg")).alias("auroc"),
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("n_pos"),
+        F.coalesce(F.sum("neg"), F.lit(0)).alias("n_neg"))

@@ -33,6 +33,12 @@ def hash_split(df: DataFrame, key: str, train_fraction: float = 0.7
     return df.where(flag), df.where(~flag)
 
 
+def with_sides(train: DataFrame, test: DataFrame) -> DataFrame:
+    """Both sides of a split in one frame, told apart by ``side``."""
+    return (train.withColumn("side", F.lit("train"))
+            .unionByName(test.withColumn("side", F.lit("test"))))
+
+
 def index_strings(input_cols: Sequence[str], output_cols: Sequence[str] | None = None,
                   handle_invalid: str = "error") -> StringIndexer:
     """M2 / M3: one (multi-column) ``StringIndexer``.

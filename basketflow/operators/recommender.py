@@ -14,10 +14,13 @@ Scale design
   a hash of the item, and each block is gathered into one sorted array: a
   collect bounded by the block size, whatever the basket size. Pairs inside a
   block come from ``posexplode`` + ``slice`` (exactly ``k*(k-1)/2`` pairs, no
-  join, no sort); pairs across blocks of a multi-block basket from an
-  equi-join on ``(user, block_lo, block_hi)``, so one huge basket spreads over
+  join, no sort); pairs across blocks of a multi-block basket from groups by
+  ``(user, block_lo, block_hi)``, so one huge basket spreads over
   ``nb*(nb+1)/2`` tasks of at most ``block_size**2`` pairs each instead of one
-  task. Normal baskets are a single block and never reach the join.
+  task. Normal baskets are a single block and never get there. Only baskets
+  above the block size need their size beforehand; it reaches their views
+  through a salted lookup (:mod:`basketflow.operators.skew`), so a hot user's
+  views are never gathered in one task.
 * With ``prune=True`` and ``min_support > 1`` items seen in fewer baskets than
   the threshold are removed before pairing. That is exact: a pair can not be
   seen more often than either of its items. It costs one extra shuffle of the
@@ -26,8 +29,7 @@ Scale design
 * Counting is ``groupBy(a, b).count()``: partial aggregation before the
   shuffle, so a hot pair costs one row per map task.
 * Joins carry no hints; AQE turns a join into a broadcast only when the
-  runtime size of a side is under the broadcast threshold, and splits skewed
-  partitions of the rest.
+  runtime size of a side is under the broadcast threshold.
 
 Item ids are compared as strings (``"10" < "9"``), as in the reference.
 """
@@ -40,6 +42,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StringType
 
+from basketflow.operators.skew import with_large_size
+from basketflow.session import materialise
+
 # Target number of distinct items per block of a basket (bounds the block arrays
 # and the pairs one task generates: about DEFAULT_BLOCK_SIZE**2).
 DEFAULT_BLOCK_SIZE = 2048
@@ -78,11 +83,9 @@ def _chunk_column(df: DataFrame, keys: Sequence[str], entry: str,
     """Add ``part``: entries of a key with more than ``max_per_row`` entries
     are spread over ``ceil(n / max_per_row)`` parts by a hash of the entry, so
     no collected row grows past about ``max_per_row`` entries."""
-    keys = list(keys)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    parts = F.ceil(F.col("_n") / F.lit(max_per_row)).cast("int")
-    return (df.join(counts, keys)
-            .withColumn("part", F.pmod(F.xxhash64(entry), parts).cast("int"))
+    sized = with_large_size(df, keys, entry, max_per_row, "_n")
+    parts = F.coalesce(F.ceil(F.col("_n") / F.lit(max_per_row)), F.lit(1)).cast("int")
+    return (sized.withColumn("part", F.pmod(F.xxhash64(entry), parts).cast("int"))
             .drop("_n"))
 
 
@@ -102,19 +105,23 @@ def baskets(views: DataFrame, min_basket: int = 2, user: str = "user",
                 .agg(F.array_sort(F.collect_list("item")).alias("basket"),
                      F.count(F.lit(1)).alias("n"))
                 .where(F.col("n") >= F.lit(min_basket)))
-    sizes = (dv.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") >= F.lit(min_basket)))
-    chunked = _chunk_column(dv.join(sizes.select("user"), "user"), ["user"], "item",
-                            max_per_row)
-    return (chunked.groupBy("user", "part")
-            .agg(F.array_sort(F.collect_list("item")).alias("basket"))
-            .join(sizes, "user"))
+    sized = with_large_size(dv, ["user"], "item", max_per_row, "n")
+    parts = F.coalesce(F.ceil(F.col("n") / F.lit(max_per_row)), F.lit(1)).cast("int")
+    rows = (sized.withColumn("part", F.pmod(F.xxhash64("item"), parts).cast("int"))
+            .groupBy("user", "part")
+            .agg(F.array_sort(F.collect_list("item")).alias("basket"), F.max("n").alias("n")))
+    # A basket without a large size is a single part: its own length.
+    return (rows.withColumn("n", F.coalesce(F.col("n"), F.size("basket").cast("long")))
+            .where(F.col("n") >= F.lit(min_basket)))
 
 
-def frequent_items(dv: DataFrame, min_support: int, scope: Sequence[str] = ()) -> DataFrame:
-    """Items present in at least ``min_support`` baskets (per scope)."""
-    return (dv.groupBy(*scope, "item").agg(F.count(F.lit(1)).alias("support"))
-            .where(F.col("support") >= F.lit(min_support)))
+def frequent_items(dv: DataFrame, min_support: int, scope: Sequence[str] = (),
+                   rare: bool = False) -> DataFrame:
+    """Items present in at least ``min_support`` baskets (per scope); with
+    ``rare`` the others."""
+    counted = dv.groupBy(*scope, "item").agg(F.count(F.lit(1)).alias("support"))
+    enough = F.col("support") >= F.lit(min_support)
+    return counted.where(~enough if rare else enough)
 
 
 def item_pairs(views: DataFrame, min_basket: int = 2, min_support: int = 1,
@@ -133,53 +140,52 @@ def item_pairs(views: DataFrame, min_basket: int = 2, min_support: int = 1,
     scope = list(scope)
     owner = scope + ["user"]
     dv = distinct_views(views, user, item, scope)
-    work = dv
+    work = dv.withColumn("_keep", F.lit(True))
     if prune and min_support > 1:
-        work = dv.join(frequent_items(dv, min_support, scope).select(*scope, "item"),
-                       scope + ["item"], "left_semi")
-
-    sizes = (work.groupBy(*owner).agg(F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") >= F.lit(2)))
-    if min_basket > 2:
-        full = (dv.groupBy(*owner).agg(F.count(F.lit(1)).alias("n_all"))
-                .where(F.col("n_all") >= F.lit(min_basket)))
-        sizes = sizes.join(full.select(*owner), owner, "left_semi")
-
-    nb = F.ceil(F.col("n") / F.lit(block_size)).cast("int")
-    tagged = (work.join(sizes, owner)
-              .select(*owner, "item", nb.alias("nb"))
+        # Items below the threshold are by nature not hot, but the views they
+        # are looked up from are: the lookup table is written first, so that
+        # it reaches the join as a plain scan and AQE can split a hot item.
+        rare = materialise(frequent_items(dv, min_support, scope, rare=True)
+                           .select(*scope, "item", F.lit(False).alias("_keep")), "rare-items")
+        work = (dv.join(rare, scope + ["item"], "left")
+                .withColumn("_keep", F.coalesce("_keep", F.lit(True))))
+
+    sized = with_large_size(work, owner, "item", block_size, "_n")
+    tagged = (sized.withColumn("nb", F.coalesce(F.ceil(F.col("_n") / F.lit(block_size)),
+                                                F.lit(1)).cast("int"))
+              .where(F.col("_n").isNull() | (F.col("_n") >= F.lit(max(2, min_basket))))
               .withColumn("blk", F.pmod(F.xxhash64("item"), F.col("nb")).cast("int")))
     # One sorted array per (basket, block): bounded by the block size. The
-    # explicit repartition spreads a hot basket's blocks over tasks (and lets
-    # AQE split a skewed join above, as a shuffle follows it anyway). Its
-    # partition count is pinned to the session's shuffle partitions: the
-    # stage's output (the pairs) is far larger than its input, so AQE must
-    # not coalesce it by input size.
+    # repartition spreads a hot basket's blocks over tasks. Its partition
+    # count is pinned to the session's shuffle partitions: the stage's output
+    # (the pairs) is far larger than its input, so AQE must not coalesce it by
+    # input size. The number of blocks travels as an aggregate, so no filter
+    # on it goes below the gathering and all branches read one exchange.
     n_parts = int(views.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = (tagged.repartition(n_parts, *owner, "blk")
-              .groupBy(*owner, "blk", "nb")
-              .agg(F.array_sort(F.collect_list("item")).alias("items")))
+    blocks = (tagged.select(*owner, "blk", "nb", "item", "_keep")
+              .repartition(n_parts, *owner, "blk")
+              .groupBy(*owner, "blk")
+              .agg(F.array_sort(F.collect_list(F.when(F.col("_keep"), F.col("item")))).alias("items"),
+                   F.count(F.lit(1)).alias("rows"), F.max("nb").alias("nb")))
     # Pairs inside a block: item at position p with every later item.
-    inner = (blocks.select(*owner, "items", F.posexplode("items").alias("pos", "a"))
+    inner = (blocks.where((F.col("nb") > 1) | (F.col("rows") >= F.lit(max(2, min_basket))))
+             .select(*owner, "items", F.posexplode("items").alias("pos", "a"))
              .select(*owner, "a", F.explode(F.slice("items", F.col("pos") + 2,
                                                     F.size("items"))).alias("b")))
-    # Pairs across blocks of multi-block baskets: every block pair is its own
-    # join key, so each task handles at most block_size**2 pairs. The blocks
-    # of those baskets are gathered from the filtered rows (the filter reaches
-    # the small sizes table), so normal data does not re-run the collect.
-    multi = (tagged.where(F.col("nb") > 1).repartition(n_parts, *owner, "blk")
-             .groupBy(*owner, "blk", "nb")
-             .agg(F.array_sort(F.collect_list("item")).alias("items")))
-    left = (multi.where(F.col("blk") < F.col("nb") - 1)
-            .select(*owner, F.col("blk").alias("lo"),
-                    F.explode(F.sequence(F.col("blk") + 1, F.col("nb") - 1)).alias("hi"),
-                    F.col("items").alias("left_items")))
-    right = (multi.where(F.col("blk") > 0)
-             .select(*owner, F.explode(F.sequence(F.lit(0), F.col("blk") - 1)).alias("lo"),
-                     F.col("blk").alias("hi"), F.col("items").alias("right_items")))
-    cross = (left.join(right, owner + ["lo", "hi"])
-             .select(*owner, F.explode("left_items").alias("x"), "right_items")
-             .select(*owner, "x", F.explode("right_items").alias("y"))
+    # Pairs across blocks of multi-block baskets: every two blocks of a basket
+    # meet in a group of their own, of at most block_size**2 pairs.
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("nb") - 1), lambda o: o != F.col("blk")))
+    meet = (blocks.where((F.col("nb") > 1) & (F.col("rows") > 0))
+            .select(*owner, "blk", "items", other.alias("o"))
+            .select(*owner, "blk", "items", F.least("blk", "o").alias("lo"),
+                    F.greatest("blk", "o").alias("hi"))
+            .repartition(n_parts, *owner, "lo", "hi")
+            .groupBy(*owner, "lo", "hi")
+            .agg(F.collect_list(F.when(F.col("blk") == F.col("lo"), F.col("items"))).alias("left"),
+                 F.collect_list(F.when(F.col("blk") == F.col("hi"), F.col("items"))).alias("right")))
+    cross = (meet.select(*owner, F.explode(F.flatten("left")).alias("x"),
+                         F.flatten("right").alias("right"))
+             .select(*owner, "x", F.explode("right").alias("y"))
              .select(*owner, F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
     return inner.unionByName(cross)
 
@@ -212,14 +218,14 @@ def symmetric_pairs(pairs: DataFrame, a: str = "a", b: str = "b",
 
 def recommendations_flat(views: DataFrame, min_basket: int = 2, min_support: int = 2,
                          block_size: int = DEFAULT_BLOCK_SIZE, user: str = "user",
-                         item: str = "item") -> DataFrame:
+                         item: str = "item", prune: bool = False) -> DataFrame:
     """A5 in flat form: ``(item, other, cnt)``, one row per neighbour.
 
     This is the form to write at scale: no row grows with an item's
     popularity.
     """
     return symmetric_pairs(pair_support(views, min_basket, min_support, block_size,
-                                        user, item))
+                                        user, item, prune))
 
 
 def top_neighbours(flat: DataFrame, n: int, salt_buckets: int = 64,
@@ -240,21 +246,16 @@ def top_neighbours(flat: DataFrame, n: int, salt_buckets: int = 64,
             .where(F.col("_r") <= F.lit(n)).drop("_r"))
 
 
-def nest_recommendations(flat: DataFrame, top_n: int | None = None,
-                         keys: tuple[str, ...] = ("item",),
+def nest_recommendations(flat: DataFrame, keys: tuple[str, ...] = ("item",),
                          max_per_row: int | None = None) -> DataFrame:
     """A3: ``(item, recs)`` with ``recs = array<struct<other, cnt>>``.
 
     The reference leaves the list order unspecified; we fix it to cnt
-    descending, then other ascending. ``top_n`` (off by default) keeps the
-    ``n`` strongest neighbours, computed exactly by :func:`top_neighbours`.
-    ``keys`` adds grouping columns (e.g. ``batch_id``) next to ``item``.
-    ``max_per_row`` (off by default) splits an item with more neighbours into
-    several rows ``(item, part, recs)``, each ordered, so a popular item never
-    becomes one huge row or message.
+    descending, then other ascending. ``keys`` adds grouping columns (e.g.
+    ``batch_id``) next to ``item``. ``max_per_row`` splits an item with more
+    neighbours into several rows ``(item, part, recs)``, each ordered, so a
+    popular item never becomes one huge row or message.
     """
-    if top_n is not None:
-        flat = top_neighbours(flat, top_n, keys=keys)
     group = list(keys)
     if max_per_row is not None:
         flat = _chunk_column(flat, keys, "other", max_per_row)
@@ -268,12 +269,11 @@ def nest_recommendations(flat: DataFrame, top_n: int | None = None,
 
 
 def cooccurrence(views: DataFrame, min_basket: int = 2, min_support: int = 2,
-                 top_n: int | None = None, block_size: int = DEFAULT_BLOCK_SIZE,
-                 user: str = "user", item: str = "item",
-                 max_per_row: int | None = None) -> DataFrame:
+                 block_size: int = DEFAULT_BLOCK_SIZE, user: str = "user", item: str = "item",
+                 max_per_row: int | None = None, prune: bool = False) -> DataFrame:
     """A5, the flagship batch recommender: views -> ``(item, recs)``.
 
     S1 -> P1 (done by the caller) -> A2 -> P6 -> P7 -> A1 -> P8 -> P9 -> A3.
     """
-    flat = recommendations_flat(views, min_basket, min_support, block_size, user, item)
-    return nest_recommendations(flat, top_n, max_per_row=max_per_row)
+    flat = recommendations_flat(views, min_basket, min_support, block_size, user, item, prune)
+    return nest_recommendations(flat, max_per_row=max_per_row)

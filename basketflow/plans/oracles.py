@@ -1,4 +1,4 @@
-"""DuckDB SQL oracles, one per registered query (same column names)."""
+"""DuckDB SQL oracles of the registered queries (same column names)."""
 
 # Distinct (basket, item) rows; item compared as text, like the Spark side.
 _ORDER_PART = ("SELECT DISTINCT l_orderkey AS u, CAST(l_partkey AS VARCHAR) AS i "
@@ -62,8 +62,7 @@ BATCH_ORACLES = {
         SELECT a AS item_a, b AS item_b, cnt FROM p""",
     "cooc_top_recs": _top_text(_ORDER_SUPP, 3),
     "cooc_recs_chunked": f"""
-        SELECT item, COUNT(*)::BIGINT AS n_other, SUM(cnt)::BIGINT AS sum_cnt
-        FROM ({_flat(_ORDER_SUPP)}) GROUP BY item""",
+        SELECT item, other, cnt, 1 AS ordered FROM ({_flat(_ORDER_SUPP)})""",
     "cooc_hot_baskets": f"""
         WITH p AS ({_pairs(
             "SELECT DISTINCT event_type AS u, CAST(user_id AS VARCHAR) AS i FROM events "
@@ -85,6 +84,16 @@ BATCH_ORACLES = {
     "parse_views": """
         SELECT CAST(o_custkey AS VARCHAR) AS "user", CAST(o_orderkey AS VARCHAR) AS item
         FROM orders""",
+    "parse_edge_lines": """
+        WITH l AS (SELECT o_custkey, o_orderkey, o_orderkey % 5 AS k, o_orderstatus AS st FROM orders)
+        SELECT CASE k WHEN 2 THEN '' ELSE CAST(o_custkey AS VARCHAR) END AS "user",
+               CASE k WHEN 0 THEN '' WHEN 2 THEN CAST(o_custkey AS VARCHAR)
+                      ELSE CAST(o_orderkey AS VARCHAR) END AS item
+        FROM l WHERE k <> 4""",
+    "binary_values": """
+        SELECT event_type AS word, COUNT(*)::BIGINT AS cnt FROM events GROUP BY 1""",
+    "merge_count_maps": """
+        SELECT user_id, event_type, COUNT(*)::BIGINT AS cnt FROM events GROUP BY 1, 2""",
     "cooc_text_recs": _text(
         "SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS u, CAST(l_suppkey AS VARCHAR) AS i "
         "FROM lineitem"),
@@ -146,12 +155,10 @@ STREAM_ORACLES = {
         WITH d AS (
             SELECT DISTINCT date_trunc('day', ts) AS w, CAST(user_id AS VARCHAR) AS u,
                    event_type || CAST(event_id % 7 AS VARCHAR) AS i
-            FROM events),
-        closed AS (SELECT * FROM d
-                   WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) FROM events))
+            FROM events)
         SELECT strftime(x.w, '%Y-%m-%d %H:%M:%S') AS window_start, x.i AS a, y.i AS b,
                COUNT(*)::BIGINT AS cnt
-        FROM closed x JOIN closed y ON x.w = y.w AND x.u = y.u AND x.i < y.i
+        FROM d x JOIN d y ON x.w = y.w AND x.u = y.u AND x.i < y.i
         GROUP BY 1, 2, 3""",
     "reco_stream_warm_start": f"SELECT * FROM ({_STREAM_RUNNING}) WHERE batch_id >= 1",
     "reco_stream_payload": f"""
@@ -188,6 +195,10 @@ _AUROC = """
     FROM c"""
 _DOC_TEST_COUNT = (f"SELECT COUNT(*)::BIGINT AS n_test FROM {_LABELLED} t "
                    f"WHERE NOT {_train('doc_id')}")
+_FLAGGED = f"""
+    SELECT doc_id, CASE WHEN {_train('doc_id')} THEN 'train' ELSE 'test' END AS side,
+           CASE WHEN lang IN ('de', 'es') THEN 1 ELSE 0 END AS prediction, 1 AS prob_ok
+    FROM documents"""
 _PART_HITS_FLAT = "SELECT 's' || CAST(p_partkey AS VARCHAR) AS session_id, " \
     "CAST(p_partkey AS VARCHAR) AS product_id, p_type AS category_title, " \
     "CAST(p_retailprice AS DOUBLE) AS price, p_brand AS characteristic_1, " \
@@ -201,13 +212,15 @@ ML_ORACLES = {
     "string_index_error": f"""
         SELECT source, idx AS source_idx FROM ({_rank('source', _LABELLED)})""",
     "string_index_keep": f"""
-        WITH tr AS (SELECT * FROM customer WHERE {_train('c_custkey')}),
-        n AS ({_rank('c_name', 'tr')}),
+        WITH c AS (SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS nation, c_mktsegment
+                   FROM customer),
+        tr AS (SELECT * FROM c WHERE nation <> '7' AND {_train('c_custkey')}),
+        n AS ({_rank('nation', 'tr')}),
         s AS ({_rank('c_mktsegment', 'tr')})
         SELECT c.c_custkey,
-               coalesce(n.idx, (SELECT COUNT(*) FROM n))::DOUBLE AS name_idx,
+               coalesce(n.idx, (SELECT COUNT(*) FROM n))::DOUBLE AS nation_idx,
                coalesce(s.idx, (SELECT COUNT(*) FROM s))::DOUBLE AS segment_idx
-        FROM customer c LEFT JOIN n ON n.c_name = c.c_name
+        FROM c LEFT JOIN n ON n.nation = c.nation
         LEFT JOIN s ON s.c_mktsegment = c.c_mktsegment""",
     "assemble_features": f"""
         WITH l AS ({_rank('lang', 'documents')}), s AS ({_rank('source', 'documents')})
@@ -215,19 +228,31 @@ ML_ORACLES = {
         FROM documents d JOIN l ON l.lang = d.lang JOIN s ON s.source = d.source""",
     "auroc_rank": _AUROC,
     "auroc_evaluator": f"SELECT auroc FROM ({_AUROC})",
-    "rf_score": f"SELECT n_test, 0::BIGINT AS n_prob_bad, 0::BIGINT AS n_pred_bad "
-                f"FROM ({_DOC_TEST_COUNT})",
-    "dt_score": f"SELECT n_test, 0::BIGINT AS n_prob_bad, 0::BIGINT AS n_pred_bad "
-                f"FROM ({_DOC_TEST_COUNT})",
-    "gbt_score": f"SELECT n_test, 0::BIGINT AS n_prob_bad, 0::BIGINT AS n_pred_bad "
-                 f"FROM ({_DOC_TEST_COUNT})",
-    "dtr_score": f"SELECT n_test, 0::BIGINT AS n_prob_bad, 0::BIGINT AS n_pred_bad "
-                 f"FROM ({_DOC_TEST_COUNT})",
+    "rf_score": _FLAGGED,
+    "dt_score": _FLAGGED,
+    "gbt_score": _FLAGGED,
+    "dtr_score": _FLAGGED,
+    "rf_auroc": f"""
+        WITH q AS (SELECT l.quality FROM documents d JOIN labels l USING (doc_id)
+                   WHERE NOT {_train('doc_id')}),
+        t AS (SELECT l.quality, COUNT(*) AS n FROM documents d JOIN labels l USING (doc_id)
+              WHERE {_train('doc_id')} GROUP BY 1),
+        rare AS (SELECT quality FROM t ORDER BY n, quality DESC LIMIT 1)
+        SELECT SUM(CASE WHEN quality = (SELECT quality FROM rare) THEN 1 ELSE 0 END)::BIGINT AS n_pos,
+               SUM(CASE WHEN quality = (SELECT quality FROM rare) THEN 0 ELSE 1 END)::BIGINT AS n_neg,
+               1 AS agree FROM q""",
     "model_reload": f"SELECT n_test, 0::BIGINT AS n_diff FROM ({_DOC_TEST_COUNT})",
     "csv_declared_schema": """
         SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
     "json_views_flat": _PART_HITS_FLAT,
     "product_flag_score": f"""
-        SELECT COUNT(*)::BIGINT AS n_test, 0::BIGINT AS n_prob_bad, 0::BIGINT AS n_pred_bad
-        FROM part WHERE NOT {_train('p_partkey')}""",
+        SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+               CASE WHEN {_train('p_partkey')} THEN 'train' ELSE 'test' END AS side,
+               CASE WHEN regexp_matches(p_brand, '^Brand#[12]') THEN 1 ELSE 0 END AS prediction
+        FROM part""",
+    "product_characteristics": """
+        SELECT CAST(l_orderkey AS VARCHAR) AS product_id, l_returnflag || '-1' AS characteristic_1,
+               l_returnflag || '-10' AS characteristic_10,
+               l_returnflag || '-11,' || l_returnflag || '-12' AS further
+        FROM lineitem WHERE l_linenumber = 1""",
 }

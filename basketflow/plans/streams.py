@@ -223,8 +223,9 @@ def reco_stream_warm_start(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reco_window_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5 event-time variant: pair counts per 1-day window of event time,
-    emitted when the watermark (no delay) passes the window end; the last,
-    still open day is not emitted."""
+    emitted when the watermark (40 days behind) passes the window end. The
+    slices arrive out of order (every two swapped), within the delay; the
+    windows open at the end of the replay are flushed."""
     ev = event_slices(spark, sf_dir)
     item = F.concat(F.col("event_type"),
                     (F.col("event_id") % F.lit(ITEM_VARIANTS)).cast("string"))
@@ -233,15 +234,18 @@ def reco_window_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = SlicedFileStream(spark, rows.drop("slice").schema)
     sink = BatchTableWriter(stream.output_dir)
     fn = WindowedPairs(spark, os.path.join(stream.root, "state"), sink, ts="ts",
-                       window="1 day", delay_seconds=0)
+                       window="1 day", delay_seconds=4 * SLICE_DAYS * 86_400)
 
     def start(stream_df, checkpoint):
         return (stream_df.writeStream.option("checkpointLocation", checkpoint)
                 .foreachBatch(fn).trigger(availableNow=True).start())
 
-    for s_id in slice_ids(rows, "slice"):
+    ids = slice_ids(rows, "slice")
+    swapped = [s_id for i in range(0, len(ids), 2) for s_id in reversed(ids[i:i + 2])]
+    for s_id in swapped:
         stream.stage(rows.where(in_event_slice(s_id)).drop("slice"))
         stream.run_once(start)
+    fn.flush(len(ids) - 1)
     out = read_batches(spark, stream.output_dir,
                        "window_start timestamp_ntz, window_end timestamp_ntz, a string, "
                        "b string, cnt bigint, batch_id int")

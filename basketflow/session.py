@@ -6,7 +6,8 @@ session itself; jobs, tests and the bench call :func:`get_session`.
 Scratch data (staged stream inputs, delta logs, saved models, lineage cuts)
 always lives under the cluster's shared checkpoint folder
 (``spark.checkpoint.dir``), never under a machine-local temp folder. Only when
-that setting is absent (local tests) do we pick a folder of our own.
+that setting is absent in local mode (tests) do we pick a folder of our own;
+on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -65,12 +66,18 @@ def get_session(master: str | None = None, app_name: str = "basketflow",
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executor are one process (``local``, ``local[n]``)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
-    and is used as is. In local tests it is usually unset; then a folder under
-    the system temp dir is created and registered.
+    and is used as is; if it is unset there, this raises. In local mode (tests)
+    a folder under the system temp dir is created and registered.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -83,6 +90,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises on some versions
             configured = None
     if not configured:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share")
         configured = tempfile.mkdtemp(prefix="basketflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -94,6 +104,20 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     return os.path.join(base, "basketflow", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back: a small
+    or reused table that joins then see as a plain scan."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists in the store that its URI names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint (shared storage) to cut a long lineage.
 

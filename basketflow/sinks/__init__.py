@@ -1,8 +1,8 @@
 """Writers: idempotent per-batch parquet, Kafka payload topics, console."""
 
 from basketflow.sinks.writers import (
-    BatchTableWriter, console_sink, kafka_sink, kafka_write_batch, read_batches,
+    BatchTableWriter, console_sink, kafka_write_batch, read_batches,
 )
 
-__all__ = ["BatchTableWriter", "console_sink", "kafka_sink", "kafka_write_batch",
+__all__ = ["BatchTableWriter", "console_sink", "kafka_write_batch",
            "read_batches"]

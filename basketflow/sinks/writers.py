@@ -4,9 +4,9 @@
   ``<path>/batch_id=<n>`` with overwrite, so a replayed batch replaces its own
   output and the table is exactly-once. Readers get ``batch_id`` back by
   partition discovery.
-* :func:`kafka_sink` / :func:`kafka_write_batch` - K1/K2: a ``value`` column
-  (the rendered payload) to a topic, no key. At-least-once with a
-  checkpoint; needs the Kafka connector on the classpath.
+* :func:`kafka_write_batch` - K1/K2: a ``value`` column (the rendered payload)
+  to a topic, no key, per micro-batch. At-least-once with a checkpoint; needs
+  the Kafka connector on the classpath.
 * :func:`console_sink` - K3/K4: print the first rows of every trigger.
 """
 
@@ -43,16 +43,6 @@ def read_batches(spark: SparkSession, path: str, schema: str | None = None) -> D
     return df.withColumn("batch_id", df["batch_id"].cast("bigint"))
 
 
-def kafka_sink(df: DataFrame, value: Column, brokers: str, topic: str,
-               checkpoint: str) -> DataStreamWriter:
-    """Streaming Kafka writer for a rendered payload column."""
-    return (df.select(value.cast("string").alias("value")).writeStream
-            .format("kafka")
-            .option("kafka.bootstrap.servers", brokers)
-            .option("topic", topic)
-            .option("checkpointLocation", checkpoint))
-
-
 def kafka_write_batch(df: DataFrame, value: Column, brokers: str, topic: str) -> None:
     """Batch write of a payload column (inside ``foreachBatch``)."""
     (df.select(value.cast("string").alias("value")).write.format("kafka")

@@ -33,14 +33,17 @@ def read_product_views(spark: SparkSession, path: str, multi_line: bool = True,
     return reader.json(path)
 
 
-def flatten_product_views(hits: DataFrame, flag: str | None = None) -> DataFrame:
+def flatten_product_views(hits: DataFrame, flag: str | None = None,
+                          further: str | None = None) -> DataFrame:
     """Hits -> one row per view, shaped like the product-flag training table.
 
     Columns: ``session_id, product_id, category_title, price,
     characteristic_1..characteristic_10`` (value of the i-th characteristic,
     NULL when the product has fewer) and ``flag`` when a flag column is
     named. Missing characteristics become NULL, which the ``keep`` string
-    indexer maps to its extra bucket.
+    indexer maps to its extra bucket. A product with more than ten keeps the
+    values of the others in the list column that ``further`` names; without
+    such a column it fails the job, rather than losing them.
     """
     src = F.col("_source")
     product = src["product"]
@@ -49,8 +52,16 @@ def flatten_product_views(hits: DataFrame, flag: str | None = None) -> DataFrame
             product["id"].alias("product_id"),
             product["category"]["title"].alias("category_title"),
             product["price"].cast("double").alias("price")]
+    if further is None:
+        too_many = F.size(chars) > N_CHARACTERISTICS
+        chars = F.when(~F.coalesce(too_many, F.lit(False)), chars).otherwise(F.raise_error(F.concat(
+            F.lit(f"more than {N_CHARACTERISTICS} characteristics: product "),
+            F.coalesce(product["id"], F.lit("without id")))))
     cols += [F.get(chars, i - 1)["value"].cast("string").alias(f"characteristic_{i}")
              for i in range(1, N_CHARACTERISTICS + 1)]
+    if further is not None:
+        rest = F.slice(chars, N_CHARACTERISTICS + 1, F.greatest(F.size(chars), F.lit(1)))
+        cols.append(F.transform(rest, lambda c: c["value"].cast("string")).alias(further))
     if flag is not None:
         cols.append(F.col(flag).cast("string").alias("flag"))
     return hits.select(*cols)

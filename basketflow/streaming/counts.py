@@ -15,11 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from basketflow.operators.wordcount import word_counts
+from basketflow.session import path_exists
+from basketflow.streaming.seed import store_seed
 from basketflow.streaming.settings import stream_partitions
 
 
@@ -52,6 +54,22 @@ def seeded(sink: Callable[[DataFrame, int], None], initial_state: DataFrame,
     return emit
 
 
+def with_stored_seed(spark: SparkSession, checkpoint: str,
+                     sink: Callable[[DataFrame, int], None],
+                     initial_state: DataFrame | None,
+                     output_mode: str = "update") -> Callable[[DataFrame, int], None]:
+    """``sink`` offset by the query's seed, which the first start stores next
+    to the checkpoint: computed once, and still there when a restart does not
+    pass it. Queries that never had a seed get ``sink`` itself."""
+    path = checkpoint.rstrip("/") + "-seed"
+    if initial_state is None and not path_exists(spark, path + "/_SUCCESS"):
+        return sink
+    if not path_exists(spark, path + "/_SUCCESS") and path_exists(spark, checkpoint.rstrip("/") + "/metadata"):
+        raise ValueError("this query already runs without an initial state")
+    seed = store_seed(spark, path, initial_state, "word string, cnt bigint")
+    return seeded(sink, seed, output_mode)
+
+
 def start_counts(counts: DataFrame, checkpoint: str,
                  sink: Callable[[DataFrame, int], None], output_mode: str = "update",
                  trigger: dict | None = None, query_name: str | None = None,
@@ -64,10 +82,9 @@ def start_counts(counts: DataFrame, checkpoint: str,
     ``state_partitions`` fixes the state-store partitioning on the first
     start; when omitted the session's current setting applies (callers such
     as :class:`SlicedFileStream` choose it). ``initial_state`` ``(word, cnt)``
-    seeds the totals (see :func:`seeded`).
+    seeds the totals (see :func:`with_stored_seed`).
     """
-    if initial_state is not None:
-        sink = seeded(sink, initial_state, output_mode)
+    sink = with_stored_seed(counts.sparkSession, checkpoint, sink, initial_state, output_mode)
     writer = (counts.writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint)
               .foreachBatch(sink)

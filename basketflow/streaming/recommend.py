@@ -11,23 +11,31 @@ Semantics (as in the reference stream job):
   in this batch. Entries never expire.
 
 Spark can not chain an aggregation into a second stateful operator over the
-same stream, so the state is kept as an append-only, partitioned **delta
-log** written from ``foreachBatch``:
+same stream, so the state is kept as an append-only **delta log** written from
+``foreachBatch``:
 
 1. batch ``n``'s symmetric pair counts are written to ``log/batch_id=n``
    (overwrite: a replayed batch replaces its own delta, so the log is
    exactly-once);
-2. the state of the touched items is ``snapshot(s) + log(s < id <= n)``
-   restricted (left-semi join) to the items touched in batch ``n`` and
-   summed per ``(item, other)``;
-3. every ``compact_every`` batches the full state is folded into
-   ``snapshot/upto=n``, which bounds how much log a batch reads. Snapshots
-   are partitioned by a hash bucket of the item and step 2 reads only the
-   buckets of the touched items (a partition filter), not the whole state.
-
-All reads are partition-pruned and everything is a DataFrame job, so the
-state scales with the cluster's storage rather than with executor memory.
-A warm start (T7) is written as ``snapshot/upto=-1``.
+2. the state of the touched items is their snapshot buckets plus the log since
+   that snapshot, restricted (left-semi join) to the items touched in batch
+   ``n`` and summed per ``(item, other)``;
+3. when ``compact_every`` log batches have come together, the buckets that
+   they touch are folded into ``snapshot/upto=n`` and a **manifest** records,
+   per bucket, the snapshot folder that now holds it; other buckets stay where
+   they are.
+
+Each batch ends by writing ``meta/batch_id=n``: the manifest in force and the
+log batches after it. The next batch reads only that one row, the manifest
+(at most one row per bucket) and the folders they name: no folder of the log
+or of the snapshots is ever listed, and nothing is guessed from batch numbers,
+so ``compact_every`` may change between runs. The bucket count of a snapshot
+is stored with its manifest; a changed ``state_buckets`` takes effect at the
+next compaction, which then folds the whole state anew.
+
+A warm start (T7) is written once, as the manifest before batch 0, and is part
+of the state from then on: later starts need not pass it, and passing another
+one raises.
 """
 
 from __future__ import annotations
@@ -41,8 +49,12 @@ from pyspark.sql import functions as F
 from basketflow.operators.recommender import (
     DEFAULT_BLOCK_SIZE, pair_support, recommendations_flat,
 )
+from basketflow.session import path_exists
+from basketflow.streaming.seed import store_seed
 
 STATE_SCHEMA = "item string, other string, cnt bigint"
+META_SCHEMA = "base int, logs array<int>"
+MANIFEST_SCHEMA = "buckets int, ib int, upto int"
 
 
 class BatchScopedPairs:
@@ -71,84 +83,113 @@ class RunningRecommender:
                  sink: Callable[[DataFrame, int], None], min_basket: int = 2,
                  compact_every: int = 8, initial_state: DataFrame | None = None,
                  block_size: int = DEFAULT_BLOCK_SIZE, state_buckets: int = 64):
-        if compact_every < 1:
-            raise ValueError("compact_every must be positive")
+        if compact_every < 1 or state_buckets < 1:
+            raise ValueError("compact_every and state_buckets must be positive")
         self.spark = spark
-        self.log_dir = os.path.join(state_dir, "log")
-        self.snapshot_dir = os.path.join(state_dir, "snapshot")
+        self.state_dir = state_dir
         self.sink = sink
         self.min_basket = min_basket
         self.compact_every = compact_every
         self.block_size = block_size
         self.state_buckets = state_buckets
-        # The warm start is part of the query definition: pass the same one
-        # on every restart (it is rewritten idempotently).
-        state = initial_state if initial_state is not None else \
-            spark.createDataFrame([], STATE_SCHEMA)
-        self._write_snapshot(state.select("item", "other", F.col("cnt").cast("bigint")), -1)
+        seed = store_seed(spark, os.path.join(state_dir, "seed"),
+                          initial_state, STATE_SCHEMA)
+        if not path_exists(spark, self._path("meta", -1)):
+            self._compact(seed, -1, {}, state_buckets, all_buckets=True)
+            self._write_meta(-1, -1, [])
+
+    def _path(self, kind: str, batch_id: int) -> str:
+        return os.path.join(self.state_dir, kind, f"batch_id={batch_id}")
+
+    @staticmethod
+    def _bucket(buckets: int) -> Column:
+        return F.pmod(F.xxhash64("item"), F.lit(buckets)).cast("int")
+
+    # ---- bookkeeping: one small row (or table) per batch --------------------
+    def _write_meta(self, batch_id: int, base: int, logs: list[int]) -> None:
+        (self.spark.createDataFrame([(base, logs)], META_SCHEMA).coalesce(1)
+         .write.mode("overwrite").parquet(self._path("meta", batch_id)))
+
+    def _meta(self, batch_id: int) -> tuple[int, list[int]]:
+        """(manifest in force, log batches after it) at the end of a batch. A
+        missing folder raises: the state would be lost without a word."""
+        row = self.spark.read.schema(META_SCHEMA).parquet(self._path("meta", batch_id)).first()
+        return row.base, list(row.logs)
+
+    def _manifest(self, base: int) -> tuple[int, dict[int, int]]:
+        """(bucket count, {bucket: batch of the snapshot that holds it})."""
+        rows = (self.spark.read.schema(MANIFEST_SCHEMA)
+                .parquet(self._path("manifest", base)).collect())
+        return rows[0].buckets, {r.ib: r.upto for r in rows if r.ib is not None}
+
+    # ---- state ---------------------------------------------------------------
+    def _snapshot(self, held: dict[int, int], buckets: list[int] | None = None) -> DataFrame:
+        """State rows of the given snapshot buckets (default: all)."""
+        paths = [os.path.join(self._path("snapshot", upto), f"ib={ib}")
+                 for ib, upto in sorted(held.items()) if buckets is None or ib in buckets]
+        if not paths:
+            return self.spark.createDataFrame([], STATE_SCHEMA)
+        return self.spark.read.schema(STATE_SCHEMA).parquet(*paths)
+
+    def _log(self, batches: list[int]) -> DataFrame:
+        if not batches:
+            return self.spark.createDataFrame([], STATE_SCHEMA)
+        return self.spark.read.schema(STATE_SCHEMA).parquet(
+            *[self._path("log", b) for b in batches])
 
-    def _snapshot_path(self, upto: int) -> str:
-        return os.path.join(self.snapshot_dir, f"upto={upto}")
-
-    def _log_path(self, batch_id: int) -> str:
-        return os.path.join(self.log_dir, f"batch_id={batch_id}")
-
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64("item"), F.lit(self.state_buckets)).cast("int")
+    def state_upto(self, batch_id: int) -> DataFrame:
+        """``(item, other, cnt)`` rows whose sum is the state after batch n
+        (not yet summed; callers aggregate after filtering)."""
+        base, logs = self._meta(batch_id)
+        return self._snapshot(self._manifest(base)[1]).unionByName(self._log(logs))
 
-    def _write_snapshot(self, df: DataFrame, upto: int) -> None:
-        """Fold ``(item, other, cnt)`` rows and write them partitioned by an
-        item-hash bucket (``ib``), so a batch reads only the buckets of the
-        items it touched.
+    def _compact(self, rows: DataFrame, upto: int, held: dict[int, int], buckets: int,
+                 all_buckets: bool) -> None:
+        """Fold ``rows`` into ``snapshot/upto``, partitioned by item bucket,
+        and write the manifest that replaces those buckets.
 
-        The fold's one shuffle clusters rows by ``(ib, sub-hash of item)``,
-        so every task writes one or two bucket folders: the file count stays
-        near the shuffle partition count instead of tasks x buckets.
+        The fold's one shuffle clusters rows by ``(ib, sub-hash of item and
+        other)``, so a popular item is spread over tasks and a task writes few
+        bucket folders.
         """
         n_parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        subs = max(1, n_parts // self.state_buckets)
-        folded = (df.withColumn("ib", self._bucket())
-                  .withColumn("_sub", F.pmod(F.xxhash64("item", F.lit("sub")), F.lit(subs)))
-                  .repartition(n_parts, "ib", "_sub")
-                  .groupBy("ib", "_sub", "item", "other").agg(F.sum("cnt").alias("cnt"))
-                  .drop("_sub"))
-        (folded.write.mode("overwrite").partitionBy("ib")
-         .parquet(self._snapshot_path(upto)))
-
-    def _base_snapshot(self, batch_id: int) -> int:
-        """Newest snapshot strictly before this batch's compaction window."""
-        return (batch_id // self.compact_every) * self.compact_every - 1
-
-    def _parts_upto(self, batch_id: int) -> tuple[DataFrame, DataFrame]:
-        """Snapshot rows and the log rows after it, both with ``ib``."""
-        base = self._base_snapshot(batch_id)
-        snap = self.spark.read.schema(STATE_SCHEMA + ", ib int").parquet(
-            self._snapshot_path(base))
-        log = (self.spark.read.schema(STATE_SCHEMA + ", batch_id int").parquet(self.log_dir)
-               .where((F.col("batch_id") > F.lit(base)) & (F.col("batch_id") <= F.lit(batch_id)))
-               .select("item", "other", "cnt", self._bucket().alias("ib")))
-        return snap, log
-
-    def state_upto(self, batch_id: int) -> DataFrame:
-        """``(item, other, cnt)`` rows whose sum is the state after batch n
-        (not yet summed; callers aggregate after filtering)."""
-        snap, log = self._parts_upto(batch_id)
-        return snap.drop("ib").unionByName(log.drop("ib"))
+        subs = max(1, n_parts // buckets)
+        folded = (rows.groupBy("item", "other").agg(F.sum("cnt").alias("cnt"))
+                  .withColumn("ib", self._bucket(buckets))
+                  .repartition(n_parts, "ib", F.pmod(F.xxhash64("item", "other"), F.lit(subs))))
+        path = self._path("snapshot", upto)
+        folded.write.mode("overwrite").partitionBy("ib").parquet(path)
+        # The buckets written: at most ``buckets`` numbers, one per folder.
+        new = (self.spark.read.schema(STATE_SCHEMA + ", ib int").parquet(path)
+               .select("ib").distinct().collect())
+        kept = {} if all_buckets else dict(held)
+        kept.update({r.ib: upto for r in new})
+        table = [(buckets, ib, at) for ib, at in sorted(kept.items())] or [(buckets, None, None)]
+        (self.spark.createDataFrame(table, MANIFEST_SCHEMA).coalesce(1)
+         .write.mode("overwrite").parquet(self._path("manifest", upto)))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        base, logs = self._meta(batch_id - 1)
+        buckets, held = self._manifest(base)
         delta = recommendations_flat(batch, self.min_basket, 1, self.block_size)
-        delta.write.mode("overwrite").parquet(self._log_path(batch_id))
-        touched = (self.spark.read.schema(STATE_SCHEMA).parquet(self._log_path(batch_id))
-                   .select("item", self._bucket().alias("ib")).distinct())
-        snap, log = self._parts_upto(batch_id)
-        # Only the snapshot buckets of touched items are read: the bucket list
-        # has at most ``state_buckets`` entries, and as a literal IN-list it
-        # becomes a partition filter of the scan.
-        buckets = sorted(r.ib for r in touched.select("ib").distinct().collect())
-        keys = ["item", "ib"]
-        current = (snap.where(F.col("ib").isin(buckets)).join(touched, keys, "left_semi")
-                   .unionByName(log.join(touched, keys, "left_semi"))
+        delta.write.mode("overwrite").parquet(self._path("log", batch_id))
+        logs = logs + [batch_id]
+        # The touched items, written once: the semi-joins then read a plain
+        # scan, so AQE can split them where an item is hot.
+        touched_path = self._path("touched", batch_id)
+        (self._log([batch_id]).select("item").distinct()
+         .write.mode("overwrite").parquet(touched_path))
+        touched = self.spark.read.schema("item string").parquet(touched_path)
+        ids = [r.ib for r in touched.select(self._bucket(buckets).alias("ib")).distinct().collect()]
+        current = (self._snapshot(held, ids).unionByName(self._log(logs))
+                   .join(touched, "item", "left_semi")
                    .groupBy("item", "other").agg(F.sum("cnt").alias("cnt")))
         self.sink(current, batch_id)
-        if (batch_id + 1) % self.compact_every == 0:
-            self._write_snapshot(snap.drop("ib").unionByName(log.drop("ib")), batch_id)
+        if len(logs) >= self.compact_every:
+            log = self._log(logs)
+            regroup = buckets != self.state_buckets
+            ids = [r.ib for r in log.select(self._bucket(buckets).alias("ib")).distinct().collect()]
+            rows = self._snapshot(held, None if regroup else ids).unionByName(log)
+            self._compact(rows, batch_id, held, self.state_buckets, regroup)
+            base, logs = batch_id, []
+        self._write_meta(batch_id, base, logs)

@@ -3,43 +3,49 @@
 Baskets are the distinct items a user viewed inside one window of event time
 (``window(ts, "1 day")``), however the views are spread over micro-batches.
 A window's pair counts are emitted once, when the watermark (latest event
-time seen minus ``delay``) passes the window's end; rows older than the
-watermark of the previous batch are dropped as late, as Spark's own
-watermarked operators do.
+time seen minus ``delay``) passes the window's end. A row is late, and
+dropped, when its window's end is not after the watermark of the previous
+batch: the rule of Spark's own watermarked aggregations. Rows of windows that
+are still open are kept however old they are.
 
 Why not one chained streaming aggregation: that would hold each
 ``(window, user)`` basket as one state row and explode its pairs in one task.
 Instead each micro-batch (``foreachBatch``)
 
-1. drops late rows and appends the batch's distinct ``(window, user, item)``
-   rows to a log, partitioned by batch id and window end (overwrite per
-   batch, so replays are idempotent);
-2. advances the watermark (one value per batch, stored next to the log);
-3. for the windows that closed in this batch reads their rows from the log
-   (partition-pruned) and counts pairs with the blocked, skew-safe batch
-   operator, scoped by window.
+1. drops late rows and writes the batch's distinct ``(window, user, item)``
+   rows to ``log/batch_id=n``, one folder per window (overwrite per batch, so
+   replays are idempotent);
+2. advances the watermark and the index of open windows (per window the
+   batches that have rows of it), kept as one row per batch: it grows with
+   the windows that are open, not with the stream;
+3. for the windows that closed reads exactly the folders that the index names
+   and counts pairs with the blocked, skew-safe batch operator, scoped by
+   window.
+
+Only batch 0 may start without the previous batch's row; if it is missing
+later the state is lost and the batch fails.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from basketflow.operators.recommender import DEFAULT_BLOCK_SIZE, pair_support
 
-LOG_SCHEMA = ("window_start timestamp_ntz, window_end timestamp_ntz, user string, "
-              "item string, batch_id int, wkey bigint")
+LOG_SCHEMA = "window_start timestamp_ntz, window_end timestamp_ntz, user string, item string"
+META_SCHEMA = "wm bigint, open array<struct<wkey: bigint, batches: array<int>>>"
 
 
 class WindowedPairs:
     """``foreachBatch`` function; ``sink(df, batch_id)`` receives
     ``(window_start, window_end, a, b, cnt)`` for the windows closed by the
-    batch."""
+    batch. A bounded replay ends with :meth:`flush`."""
 
     def __init__(self, spark: SparkSession, state_dir: str,
                  sink: Callable[[DataFrame, int], None], ts: str = "ts",
@@ -47,96 +53,74 @@ class WindowedPairs:
                  min_support: int = 1, block_size: int = DEFAULT_BLOCK_SIZE):
         self.spark = spark
         self.log_dir = os.path.join(state_dir, "log")
-        self.wm_dir = os.path.join(state_dir, "watermark")
+        self.meta_dir = os.path.join(state_dir, "meta")
         self.sink = sink
         self.ts = ts
         self.window = window
-        self.delay_seconds = delay_seconds
+        self.delay = int(timedelta(seconds=delay_seconds) / timedelta(microseconds=1))
         self.min_basket = min_basket
         self.min_support = min_support
         self.block_size = block_size
 
-    def _wm_path(self, batch_id: int) -> str:
-        return os.path.join(self.wm_dir, f"batch_id={batch_id}")
-
-    def watermark(self, batch_id: int):
-        """Watermark after ``batch_id`` (None before any event)."""
+    def _meta(self, batch_id: int) -> tuple[int | None, dict[int, list[int]]]:
+        """(watermark, {open window: batches with rows of it}) after a batch."""
         if batch_id < 0:
-            return None
-        try:
-            row = self.spark.read.schema("wm timestamp_ntz").parquet(
-                self._wm_path(batch_id)).first()
-        except AnalysisException:
-            return None
-        return row.wm if row else None
+            return None, {}
+        row = self.spark.read.schema(META_SCHEMA).parquet(
+            os.path.join(self.meta_dir, f"batch_id={batch_id}")).first()
+        return row.wm, {w.wkey: list(w.batches) for w in row.open}
+
+    def _write_meta(self, batch_id: int, wm: int | None, windows: dict[int, list[int]]) -> None:
+        (self.spark.createDataFrame([(wm, sorted(windows.items()))], META_SCHEMA).coalesce(1)
+         .write.mode("overwrite").parquet(os.path.join(self.meta_dir, f"batch_id={batch_id}")))
+
+    def _emit(self, closed: dict[int, list[int]], batch_id: int) -> None:
+        paths = [os.path.join(self.log_dir, f"batch_id={b}", f"wkey={w}")
+                 for w, batches in sorted(closed.items()) for b in batches]
+        rows = (self.spark.read.schema(LOG_SCHEMA).parquet(*paths) if paths
+                else self.spark.createDataFrame([], LOG_SCHEMA))
+        self.sink(pair_support(rows, self.min_basket, self.min_support, self.block_size,
+                               scope=("window_start", "window_end")), batch_id)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        prev = self.watermark(batch_id - 1)
+        prev, windows = self._meta(batch_id - 1)
         ts = F.col(self.ts).cast("timestamp_ntz")
-        rows = batch.select(ts.alias("ts"), F.col("user"), F.col("item").cast("string"))
-        if prev is not None:
-            rows = rows.where(F.col("ts") >= _ntz(prev))
-        # Two uses (log write, latest event time): read the batch once. Late
-        # rows can not move the watermark, so the latest time of the kept rows
-        # gives the same watermark as the latest of all rows.
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         w = F.window("ts", self.window)
-        # Range partitioning on (window, user, item) gives every task a
-        # contiguous key range, so it writes one or two window folders (not
-        # one file per window per task); it also satisfies the distinct, which
-        # then needs no shuffle of its own.
-        n_parts = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        views = (rows.select(w.start.alias("window_start"), w.end.alias("window_end"),
-                             "user", "item")
-                 .withColumn("wkey", _wkey_of(F.col("window_end")))
-                 .repartitionByRange(n_parts, "wkey", "user", "item")
-                 .distinct())
-        (views.write.mode("overwrite").partitionBy("wkey")
-         .parquet(os.path.join(self.log_dir, f"batch_id={batch_id}")))
-
-        latest = rows.agg(F.max("ts").alias("m")).first().m
-        rows.unpersist()
-        wm = prev
-        if latest is not None:
-            cand = latest - _seconds(self.delay_seconds)
-            wm = cand if prev is None or cand > prev else prev
-        (self.spark.createDataFrame([(wm,)], "wm timestamp_ntz")
-         .write.mode("overwrite").parquet(self._wm_path(batch_id)))
-        if wm is None:
-            return
-
-        # window_end decides; the wkey bounds (inclusive, as keys are cut to
-        # seconds) only prune partitions.
-        closed = ((F.col("window_end") <= _ntz(wm))
-                  & (F.col("wkey") <= _wkey(wm)))
-        if prev is not None:
-            closed = (closed & (F.col("window_end") > _ntz(prev))
-                      & (F.col("wkey") >= _wkey(prev)))
-        log = (self.spark.read.schema(LOG_SCHEMA).parquet(self.log_dir)
-               .where(F.col("batch_id") <= F.lit(batch_id))
-               .where(closed))
-        pairs = pair_support(log, self.min_basket, self.min_support, self.block_size,
-                             scope=("window_start", "window_end"))
-        self.sink(pairs, batch_id)
-
-
-def _wkey_of(col):
-    """Partition key of a window end: its wall-clock digits ``yyyyMMddHHmmss``
-    (ordered like time, independent of the session time zone)."""
-    return F.date_format(col, "yyyyMMddHHmmss").cast("bigint")
-
-
-def _ntz(value):
-    """A wall-clock literal (no time zone involved, like the ``ts`` column)."""
-    return F.lit(value.isoformat(" ")).cast("timestamp_ntz")
-
-
-def _wkey(value):
-    """The same key for a Python timestamp, as a literal, so a filter on it
-    prunes the log's partitions."""
-    return F.lit(int(value.strftime("%Y%m%d%H%M%S"))).cast("bigint")
-
-
-def _seconds(n: int):
-    from datetime import timedelta
-    return timedelta(seconds=n)
+        # Two uses (log write, latest event time): read the batch once.
+        rows = (batch.select(ts.alias("ts"), F.col("user"), F.col("item").cast("string"))
+                .where("ts is not null").persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            timed = (rows.select(w.start.alias("window_start"), w.end.alias("window_end"),
+                                 "user", "item").withColumn("wkey", _micros(F.col("window_end"))))
+            if prev is not None:
+                timed = timed.where(F.col("wkey") > F.lit(prev))
+            # Range partitioning on (window, user, item) gives every task a
+            # contiguous key range, so it writes one or two window folders (not
+            # one file per window per task); it also satisfies the distinct,
+            # which then needs no shuffle of its own.
+            n_parts = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            log = os.path.join(self.log_dir, f"batch_id={batch_id}")
+            (timed.repartitionByRange(n_parts, "wkey", "user", "item").distinct()
+             .write.mode("overwrite").partitionBy("wkey").parquet(log))
+            latest = rows.agg(F.max(_micros(F.col("ts"))).alias("m")).first().m
+            # The windows of this batch: one key per window that it has rows of.
+            for r in timed.select("wkey").distinct().collect():
+                windows.setdefault(r.wkey, []).append(batch_id)
+        finally:
+            rows.unpersist()
+        wm = prev if latest is None else max(latest - self.delay, prev if prev is not None else latest - self.delay)
+        closed = {k: b for k, b in windows.items() if wm is not None and k <= wm}
+        self._emit(closed, batch_id)
+        self._write_meta(batch_id, wm, {k: b for k, b in windows.items() if k not in closed})
+
+    def flush(self, last_batch: int) -> None:
+        """Emit the windows still open after ``last_batch``, as batch
+        ``last_batch + 1``. For bounded replays only: a live stream's open
+        windows may still get rows."""
+        wm, windows = self._meta(last_batch)
+        self._emit(windows, last_batch + 1)
+
+
+def _micros(col: Column) -> Column:
+    """Wall-clock microseconds since 1970 (no time zone involved)."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col)

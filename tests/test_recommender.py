@@ -12,24 +12,24 @@ from basketflow.operators.recommender import (
 )
 from basketflow.functions.parse import parse_view_line
 
-# The reference's sample view log, one "user item" per line, in
-# file order. Only the items and which lines share a user matter for the
-# result; the user names are neutral labels (u1..u8) in place of the original
-# ones.
+
+# An invented log: a hot user, a repeated view, a user of one item and two
+# groups of items that never meet.
 VIEW_LINES = [
-    "u1 4", "u1 5", "u1 5", "u1 2", "u2 2", "u2 4", "u3 4", "u3 2",
-    "u4 5", "u4 4", "u5 4", "u5 5", "u6 4", "u7 6", "u7 7", "u7 8",
-    "u8 6", "u8 7", "u8 8",
+    "mia 10", "mia 11", "mia 12", "mia 13", "mia 10", "lee 10", "lee 11",
+    "pat 11", "pat 12", "pat 10", "kim 12", "kim 13", "sol 21", "sol 22",
+    "zoe 22", "zoe 21", "ivy 30",
 ]
-# Golden result (lists sorted by count desc, then item).
-GOLDEN = {
-    "2": [("4", 3)],
-    "4": [("2", 3), ("5", 3)],
-    "5": [("4", 3)],
-    "6": [("7", 2), ("8", 2)],
-    "7": [("6", 2), ("8", 2)],
-    "8": [("6", 2), ("7", 2)],
-}
+
+
+def golden(min_support=2):
+    """Lists by brute force, sorted by count descending, then item."""
+    pairs = brute_pairs([x.split(" ") for x in VIEW_LINES], min_support)
+    out = {}
+    for (a, b), n in pairs.items():
+        out.setdefault(a, []).append((b, n))
+        out.setdefault(b, []).append((a, n))
+    return {k: sorted(v, key=lambda e: (-e[1], e[0])) for k, v in out.items()}
 
 
 def lines_df(spark, lines):
@@ -53,20 +53,21 @@ def test_golden_batch(spark):
     views = parse_view_line(lines_df(spark, VIEW_LINES))
     recs = cooccurrence(views, min_support=2).collect()
     got = {r["item"]: [(e["other"], e["cnt"]) for e in r["recs"]] for r in recs}
-    assert got == GOLDEN
+    assert got == golden()
+    assert got["12"] == [("10", 2), ("11", 2), ("13", 2)]
 
 
 def test_golden_payload(spark):
     views = parse_view_line(lines_df(spark, VIEW_LINES))
     out = cooccurrence(views).select(recommendation_payload().alias("v")).collect()
-    assert "(4,[(2,3), (5,3)])" in {r.v for r in out}
+    assert "(10,[(11,3), (12,2)])" in {r.v for r in out}
 
 
 def test_stream_support_keeps_single_pairs(spark):
     views = parse_view_line(lines_df(spark, VIEW_LINES))
     pairs = {(r.a, r.b): r.cnt for r in pair_support(views, min_support=1).collect()}
-    assert pairs[("2", "5")] == 1
-    assert ("2", "5") not in {(r.a, r.b) for r in pair_support(views).collect()}
+    assert pairs[("10", "13")] == 1
+    assert ("10", "13") not in {(r.a, r.b) for r in pair_support(views).collect()}
 
 
 def test_lexicographic_order(spark):
@@ -167,3 +168,69 @@ def test_hot_basket_at_default_block_size(spark):
     assert {(r.a, r.b) for r in rows} == expected
     assert all(r.cnt == 2 for r in rows)
     assert item_pairs(hot).count() == 3000 * 2999 // 2
+
+
+def _hot(spark, n=6000):
+    """One user with a third of the rows, all views distinct."""
+    rows = spark.range(n).selectExpr("'hot' AS user", "concat('i', id) AS item")
+    rest = spark.range(2 * n).selectExpr("concat('u', id % 500) AS user", "concat('i', id) AS item")
+    return rows.union(rest)
+
+
+@pytest.mark.parametrize("aqe", ["true", "false"])
+def test_hot_user_is_spread_before_its_blocks(spark, aqe):
+    """No partition of the sized views is far above the others."""
+    from basketflow.operators.skew import with_large_size
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions",
+                                          "spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(old, (aqe, "16", "-1", "false")):
+            spark.conf.set(k, v)
+        views = _hot(spark)
+        sized = with_large_size(views, ["user"], "item", 1000, "n")
+        per = [r["count"] for r in sized.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per) == views.count()
+        assert max(per) < 2 * sum(per) / 16
+        assert {(r.user, r.n) for r in sized.where("n is not null").select("user", "n").distinct().collect()} == {("hot", 6000)}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_blocks_are_gathered_once(spark):
+    """All branches of the pair plan read the same shuffled views."""
+    plan = item_pairs(_hot(spark, 300), block_size=64)
+    plan.count()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "BroadcastNestedLoop" not in text
+    hot = pair_support(_hot(spark, 300), min_support=1, block_size=64)
+    assert hot.count() == len(brute_pairs([(r.user, r.item) for r in _hot(spark, 300).collect()]))
+
+
+def test_hot_baskets_query_is_multi_block(spark):
+    from basketflow.operators.skew import with_large_size
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select(
+        F.col("event_type").alias("user"), F.col("user_id").alias("item")).distinct()
+    sized = with_large_size(ev, ["user"], "item", 32)
+    assert sized.where("ceil(n / 32) > 1").select("user").distinct().count() == \
+        ev.select("user").distinct().count()
+
+
+def test_chunked_rows_hold_everything(spark):
+    views = _hot(spark, 200)
+    b = baskets(views, max_per_row=16).collect()
+    whole = baskets(views).collect()
+    assert max(len(r.basket) for r in b) < 48
+    joined = {}
+    for r in b:
+        joined.setdefault((r.user, r.n), []).extend(r.basket)
+    assert {k: sorted(v) for k, v in joined.items()} == {(r.user, r.n): list(r.basket) for r in whole}
+
+
+def test_min_basket_counts_the_whole_basket_when_pruning(spark):
+    rows = [("a", "1"), ("a", "2"), ("a", "3"), ("b", "1"), ("b", "2"), ("b", "9"), ("c", "1"), ("c", "2")]
+    views = spark.createDataFrame(rows, "user string, item string")
+    for size in (1, 2, 2048):
+        got = {(r.a, r.b): r.cnt for r in pair_support(views, 3, 2, size, prune=True).collect()}
+        assert got == brute_pairs(rows, min_support=2, min_basket=3) == {("1", "2"): 2}

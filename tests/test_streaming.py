@@ -218,3 +218,136 @@ def test_seeded_counts_update_and_complete(spark):
         got[mode] = sorted((r.word, r.cnt) for r in out.collect())
     assert got["update"] == [("a", 11), ("b", 1)]
     assert got["complete"] == [("a", 11), ("b", 1), ("z", 5)]
+
+
+WINDOW_SCHEMA = "ts timestamp_ntz, user string, item string"
+
+
+def test_late_rule_is_sparks_own(spark):
+    """Old rows of open windows count; the windows and counts kept are those
+    of Spark's watermarked aggregation over the same batches."""
+    from datetime import datetime
+    from basketflow.streaming.windows import WindowedPairs
+    t = lambda d, h: datetime(2024, 1, d, h)
+    batches = [[(t(1, 12), "u", "1")], [(t(1, 11), "u", "2")],
+               [(t(3, 12), "v", "1"), (t(3, 13), "v", "2")],
+               [(t(1, 13), "u", "3"), (t(2, 1), "w", "1")], [(t(9, 0), "z", "1")]]
+    frames = [spark.createDataFrame(b, WINDOW_SCHEMA) for b in batches]
+    kept = {}
+
+    def pairs_start(df, ckpt):
+        return (df.writeStream.option("checkpointLocation", ckpt).foreachBatch(fn)
+                .trigger(availableNow=True).start())
+
+    out, sink = _collect_sink()
+    stream = SlicedFileStream(spark, frames[0].schema)
+    fn = WindowedPairs(spark, os.path.join(stream.root, "state"), sink)
+    stream.run_slices(frames, pairs_start)
+    got = sorted((r[0].day, r[2], r[3], r[4]) for rows in out.values() for r in rows)
+    assert got == [(1, "1", "2", 1), (3, "1", "2", 1)]
+
+    def count_sink(df, batch_id):
+        for r in df.collect():
+            kept[r.window.start.day] = r["count"]
+
+    def spark_start(df, ckpt):
+        counts = df.withWatermark("ts", "0 seconds").groupBy(F.window("ts", "1 day")).count()
+        return (counts.writeStream.outputMode("append").option("checkpointLocation", ckpt)
+                .foreachBatch(count_sink).trigger(availableNow=True).start())
+
+    timed = [f.withColumn("ts", F.col("ts").cast("timestamp")) for f in frames]
+    own = SlicedFileStream(spark, timed[0].schema)
+    own.run_slices(timed, spark_start)
+    assert kept == {1: 2, 3: 2}
+
+
+def test_lost_watermark_fails_and_flush_emits_open_windows(spark):
+    from datetime import datetime
+    import pytest
+    from basketflow.session import scratch_dir
+    from basketflow.streaming.windows import WindowedPairs
+    b = spark.createDataFrame([(datetime(2024, 1, 1, 1), "u", "1"),
+                               (datetime(2024, 1, 1, 2), "u", "2")], WINDOW_SCHEMA)
+    out, sink = _collect_sink()
+    fn = WindowedPairs(spark, scratch_dir(spark, "wlost"), sink)
+    fn(b, 0)
+    assert out[0] == []
+    fn.flush(0)
+    assert [r[2:] for r in out[1]] == [("1", "2", 1)]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        fn(b, 5)
+
+
+VIEWS = "user string, item string"
+
+
+def _running(spark, path, batches, first=0, **kw):
+    out, sink = _collect_sink()
+    fn = RunningRecommender(spark, path, sink, **kw)
+    for i, b in enumerate(batches, first):
+        fn(spark.createDataFrame(b, VIEWS), i)
+    return out, fn
+
+
+def _batches(n, seed=5):
+    import random
+    rnd = random.Random(seed)
+    return [[(f"u{rnd.randrange(5)}", str(rnd.randrange(9))) for _ in range(20)] for _ in range(n)]
+
+
+def test_changed_settings_lose_nothing(spark):
+    from basketflow.session import scratch_dir
+    batches = _batches(6)
+    ref, _ = _running(spark, scratch_dir(spark, "ref"), batches)
+    path = scratch_dir(spark, "changed")
+    a, _ = _running(spark, path, batches[:2], compact_every=1, state_buckets=4)
+    b, _ = _running(spark, path, batches[2:4], 2, compact_every=2, state_buckets=7)
+    c, fn = _running(spark, path, batches[4:], 4, compact_every=5, state_buckets=3)
+    assert {**a, **b, **c} == ref
+    total = fn.state_upto(5).groupBy("item", "other").agg(F.sum("cnt").alias("n"))
+    whole = recommendations_flat(
+        spark.createDataFrame([(f"{i}/{u}", x) for i, b in enumerate(batches) for u, x in b], VIEWS),
+        min_support=1)
+    assert sorted(map(tuple, total.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_seed_survives_a_restart_and_another_is_refused(spark):
+    import pytest
+    from basketflow.session import scratch_dir
+    seed = spark.createDataFrame([("1", "9", 5)], "item string, other string, cnt bigint")
+    path = scratch_dir(spark, "seeded")
+    _running(spark, path, [[("a", "3"), ("a", "4")]], initial_state=seed)
+    out, _ = _running(spark, path, [[("b", "1"), ("b", "2")]], 1)
+    assert ("1", "9", 5) in out[1]
+    _running(spark, path, [], initial_state=seed)
+    other = seed.withColumn("cnt", F.col("cnt") + 1)
+    with pytest.raises(ValueError, match="initial state"):
+        _running(spark, path, [], initial_state=other)
+
+
+def test_count_seed_survives_a_restart(spark):
+    seed = spark.createDataFrame([("a", 10)], "word string, cnt bigint")
+    stream = SlicedFileStream(spark, lines(spark, []).schema)
+    sink = BatchTableWriter(stream.output_dir)
+    for batch, given in ((["a"], seed), (["a a"], None)):
+        stream.stage(lines(spark, batch))
+        stream.run_once(lambda df, ckpt, given=given: start_counts(
+            running_word_counts(df, "value", "drop_trailing"), ckpt, sink, initial_state=given))
+    out = read_batches(spark, stream.output_dir, "word string, cnt bigint, batch_id int")
+    assert sorted((r.batch_id, r.cnt) for r in out.collect()) == [(0, 11), (1, 13)]
+
+
+def test_a_batch_opens_only_the_folders_it_needs(spark):
+    """After many batches a batch reads its open log, its snapshot buckets and
+    no other folder, and a window batch only its windows' folders."""
+    from basketflow.session import scratch_dir
+    path = scratch_dir(spark, "many")
+    _, fn = _running(spark, path, [[("a", str(i % 4)), ("a", str(4 + i % 3))] for i in range(50)],
+                     compact_every=4, state_buckets=4)
+    base, logs = fn._meta(49)
+    assert base == 47 and logs == [48, 49]
+    buckets, held = fn._manifest(base)
+    opened = fn.state_upto(49).inputFiles()
+    folders = {f.split("/state/")[-1].split("batch_id=")[1].split("/")[0] for f in opened}
+    assert buckets == 4 and len(held) <= 4
+    assert folders <= {str(u) for u in held.values()} | {"48", "49"}
