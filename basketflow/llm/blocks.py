@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 
 #: Entries that a task gathers before it packs them.
 GATHER = 600_000
+#: Bytes of a key that travel: within a bucket, whose number is part of the
+#: key, a chance agreement is rare enough for candidates; what must be exact
+#: uses two keys or is compared afterwards.
+KEY_BYTES = 6
 
 
 def buckets_of(df: DataFrame) -> int:
@@ -57,7 +61,7 @@ class Packer:
     def __init__(self, buckets: int, n_keys: int, settled, named: bool = False):
         """``settled(doc, low, high)`` marks the entries whose answer is known
         from the groups inside the task. With ``named`` a settled entry's place
-        is its (first) key."""
+        is its (first) key, and another's is 1 if it asks for settled ones."""
         import zstandard
 
         self.buckets, self.n_keys, self.settled, self.named = buckets, n_keys, settled, named
@@ -90,6 +94,8 @@ class Packer:
             self.turn += 1
             rows.append((int((int(keys[0][0]) ^ self.turn) % self.buckets), True,
                          self._pack([], settled_doc[part], settled_place[part])))
+        if self.named:
+            place = (low != high).astype(np.int64)
         ask = np.flatnonzero(doc == low)
         both = ask[low[ask] != high[ask]]
         if len(both):
@@ -112,7 +118,7 @@ class Packer:
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*part), self.arrow)], schema=self.arrow)
 
     def _pack(self, keys: list[np.ndarray], doc: np.ndarray, place: np.ndarray) -> bytes:
-        raw = b"".join(k.astype("<u8").tobytes() for k in keys)
+        raw = b"".join(k.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes() for k in keys)
         slow = self.zip(np.diff(doc, prepend=0).astype("<i8").tobytes() + np.diff(place, prepend=0).astype("<i8").tobytes())
         return struct.pack("<I", len(doc)) + raw + slow
 
@@ -126,8 +132,13 @@ def unpack(data: bytes, n_keys: int) -> list[np.ndarray]:
     import zstandard
 
     n = struct.unpack_from("<I", data)[0]
-    keys = [np.frombuffer(data, "<u8", n, 4 + 8 * n * i) for i in range(n_keys)]
-    slow = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[4 + 8 * n * n_keys:], max_output_size=16 * n), "<i8")
+    keys, at = [], 4
+    for _ in range(n_keys):
+        wide = np.zeros((n, 8), dtype=np.uint8)
+        wide[:, :KEY_BYTES] = np.frombuffer(data, np.uint8, n * KEY_BYTES, at).reshape(n, KEY_BYTES)
+        keys.append(wide.view("<u8")[:, 0])
+        at += n * KEY_BYTES
+    slow = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[at:], max_output_size=16 * n), "<i8")
     return [*keys, np.cumsum(slow[:n]), np.cumsum(slow[n:])]
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.session import scratch_dir
@@ -16,6 +18,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished steps: it removes
+    those that no live plan refers to, but only looks when the driver collects
+    its garbage, which a small driver may not do for long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) for every node of ``edges`` (two long columns ``a``,
     ``b``); the component is its smallest node. Self loops only name a node;

@@ -28,14 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.blocks import Packer, _runs, buckets_of, by_bucket, by_spot, groups, in_blocks
-from basketflow.llm.graph import components, written
+from basketflow.llm.blocks import KEY_BYTES, Packer, _runs, buckets_of, by_bucket, by_spot, groups, in_blocks
+from basketflow.llm.graph import components, release, written
 from basketflow.llm.words import Words, mix, ready, slices, text_buffers
 
 #: Hashes of the domain that a set with empty projections signs under at most.
 LEVELS = 3
-#: One part of slack for so many parts.
-SLACK = 25
 #: Sets of one signature in a block.
 GROUP = 256
 #: Shingles and documents in a block of a family.
@@ -65,19 +63,30 @@ def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return doc, g
 
 
-def band_tops(limit: int) -> np.ndarray:
-    """Largest sizes of the bands, each half as large again as its smallest."""
+def band_tops(limit: int, percent: int) -> np.ndarray:
+    """Largest sizes of the bands: half as large again as the smallest, or as
+    far as a set similar to that can be, so that similar sets are in the same
+    or in neighbouring bands."""
     tops, low = [], 1
-    while not tops or tops[-1] < limit:
-        tops.append(low * 3 // 2)
+    while len(tops) < 2 or tops[-2] < limit:
+        tops.append(max(low * 3 // 2, low * 100 // percent))
         low = tops[-1] + 1
-    return np.array([*tops, low * 3 // 2], dtype=np.int64)
+    return np.array(tops, dtype=np.int64)
+
+
+def _slack(top: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """Parts to add so that few sets have more parts than that with an empty
+    projection: their expected number in a set of the lower sizes (0.62 of
+    the largest, two thirds of it in a projection), and two standard
+    deviations."""
+    bare = parts * 3 * np.exp(-0.41 * top / parts)
+    return np.round(bare + 2 * np.sqrt(bare)).astype(np.int64)
 
 
 def signatures(doc: np.ndarray, g: np.ndarray, n_docs: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, signature) of shingle sets for links of at least ``percent``."""
     size = np.bincount(doc, minlength=n_docs)
-    tops = band_tops(int(size.max(initial=1)) * 2)
+    tops = band_tops(int(size.max(initial=1)), percent)
     band = np.searchsorted(tops, np.maximum(size, 1))
     first = np.cumsum(size) - size
     out_doc, out_sig = [], []
@@ -88,8 +97,9 @@ def signatures(doc: np.ndarray, g: np.ndarray, n_docs: int, percent: int) -> tup
         while len(want):
             tag = band[want] + step
             k = 2 * tops[tag] * (100 - percent) // (100 + percent)
-            slack = (k // 2 + 1) // SLACK
-            n1 = k // 2 + 1 + slack
+            n1 = k // 2 + 1
+            slack = _slack(tops[tag], n1)
+            n1 = n1 + np.where(k > 0, slack, 0)
             n2 = np.where(k == 0, 1, 3)
             base = np.cumsum(n1 * 3) - n1 * 3
             of = np.repeat(np.arange(len(want)), size[want])
@@ -119,11 +129,11 @@ def signatures(doc: np.ndarray, g: np.ndarray, n_docs: int, percent: int) -> tup
                 out_doc.append(want[row[live]])
                 out_sig.append(sig[live])
             level += 1
-            again = np.bincount(row, bare, len(want)) > slack
+            again = np.bincount(row, bare, len(want)) > np.where(k > 0, slack, 0)
             want = want[again] if level < LEVELS else want[:0]
     if not out_doc:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(out_doc), np.concatenate(out_sig)
+    return np.concatenate(out_doc), np.concatenate(out_sig) & np.uint64((1 << 8 * KEY_BYTES) - 1)
 
 
 def _sets(batch, k: int):
@@ -173,7 +183,7 @@ def set_keys(docs: DataFrame, k: int) -> DataFrame:
 
 def _shared_signatures(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
     """(sig, f1): the signatures that several different sets have, with those
-    sets (by fingerprint). Groups of equal members are given once a bucket."""
+    sets (by fingerprint); many groups of equal members have one name."""
     def sign(batches):
         packer = Packer(buckets, 1, lambda doc, low, high: low != high, named=True)
         for batch in batches:
@@ -194,17 +204,20 @@ def _shared_signatures(docs: DataFrame, k: int, percent: int, buckets: int) -> D
             low, high = groups(keys, doc)
             some = np.flatnonzero(low != high)
             order = some[np.lexsort((doc[some], keys[0][some]))]
-            sig, doc = keys[0][order].view(np.int64), doc[order]
+            sig, doc, more = keys[0][order].view(np.int64), doc[order], place[order]
             if len(sig):
-                once = _runs(sig, doc)
-                sig, doc = sig[once], doc[once]
                 starts = _runs(sig)
-                members = np.add.reduceat(mix(doc.view(np.uint64)), starts)
-                first = np.unique(members, return_index=True)[1]
-                kept = np.zeros(len(starts), dtype=bool)
-                kept[first] = True
-                kept = np.repeat(kept, np.diff(np.append(starts, len(sig))))
-                sig, doc = sig[kept], doc[kept]
+                size = np.diff(np.append(starts, len(sig)))
+                once = np.zeros(len(sig), dtype=bool)
+                once[_runs(sig, doc)] = True
+                # A group without members elsewhere is named after its members,
+                # so that groups of equal members become one.
+                alone = np.repeat(np.maximum.reduceat(more, starts) == 0, size)
+                members = np.repeat(np.add.reduceat(np.where(once, mix(doc.view(np.uint64)), 0), starts), size)
+                sig = np.where(alone, (mix(members) | np.uint64(1 << 62)).view(np.int64), sig)
+                order = np.lexsort((doc, sig))
+                order = order[_runs(sig[order], doc[order])]
+                sig, doc = sig[order], doc[order]
         if len(sig):
             yield pa.record_batch([pa.array(sig), pa.array(doc)], names=["sig", "f1"])
 
@@ -342,9 +355,12 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
         .select("f1", "f2", F.col("_r.doc_id").alias("rep"), F.col("_r.check").alias("rep_check"), "n", "histogram")
     classes = written(classes, "jaccard-classes")
     shared = written(_shared_signatures(named, k, percent, buckets), "jaccard-signatures")
+    release(docs.sparkSession)
     met = in_blocks(shared.distinct().join(classes.select("f1", "rep", "n", "histogram"), "f1"), ["sig"], "rep", GROUP)
     spots = met.select("spot", "block", "cross", "rep", "n", "histogram").repartition("spot").sortWithinPartitions("spot", "n")
     family = components(_near_histograms(spots, percent), "jaccard-families")
+    del spots, met
+    release(docs.sparkSession)
     members = classes.join(family, classes["rep"] == family["node"]) \
         .select("rep", "rep_check", "n", F.col("component").alias("family"))
     sizes = members.groupBy("family").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles")).where("docs > 1") \

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketflow.llm.toxicity import held_out
-from basketflow.llm.words import Words, mix, powers, slices, ready, text_buffers
+from basketflow.llm.words import Words, free_name, mix, powers, ready, slices, text_buffers
 
 #: Training texts per language at most, those with the smallest id hash.
 SAMPLE = 120
@@ -257,9 +257,9 @@ def label_texts(docs: DataFrame, model: LanguageModel, text_col: str = "text", s
                                           names=["lang_pred", "score", "lang_spans"])
 
     letters = F.coalesce(F.regexp_like(F.col(text_col), F.lit("\\p{L}")), F.lit(False))
-    out = docs.withColumn("_label", label(F.lower(F.col(text_col)))) \
-        .withColumn("lang_pred", F.when(letters, F.col("_label.lang_pred")).otherwise("und")) \
-        .withColumn("score", F.when(letters, F.col("_label.score")).otherwise(0.0))
+    at = free_name(docs, "_label")
+    new = {"lang_pred": F.when(letters, F.col(f"{at}.lang_pred")).otherwise("und"),
+           "score": F.when(letters, F.col(f"{at}.score")).otherwise(0.0)}
     if spans:
-        out = out.withColumn("lang_spans", F.when(letters, F.col("_label.lang_spans")).otherwise(F.array()))
-    return out.drop("_label")
+        new["lang_spans"] = F.when(letters, F.col(f"{at}.lang_spans")).otherwise(F.array())
+    return docs.withColumn(at, label(F.lower(F.col(text_col)))).withColumns(new).drop(at)

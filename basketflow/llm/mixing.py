@@ -184,10 +184,9 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     id_col, text_col = params.get("id_col", "doc_id"), params.get("text_col", "text")
     taken = mix_sources(docs, **params).groupBy(F.col(id_col).alias("_k"), F.col("text_hash").alias("_h")) \
         .agg(F.sum(F.when(F.col("size") > 0, F.col("copies")).otherwise(1)).cast("int").alias("_n"))
-    keyed = docs.withColumn("_hash", F.xxhash64(text_col))
-    named = keyed.where(F.col(id_col).isNotNull())
-    rest = keyed.where(F.col(id_col).isNull()).dropDuplicates(["_hash"])
-    rows = named.union(rest)
-    hit = rows.join(taken, rows[id_col].eqNullSafe(taken["_k"]) & (rows["_hash"] == taken["_h"]))
-    return hit.where("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))) \
-        .select(*[F.col(c) for c in docs.columns])
+    keyed = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"), F.struct("*").alias("_row"))
+    named = keyed.where("_id is not null").withColumn("_m", F.row_number().over(
+        Window.partitionBy("_id", "_hash").orderBy(F.lit(0)))).where("_m = 1").drop("_m")
+    rows = named.union(keyed.where("_id is null").dropDuplicates(["_hash"]))
+    hit = rows.join(taken, rows["_id"].eqNullSafe(taken["_k"]) & (rows["_hash"] == taken["_h"]))
+    return hit.where("_n > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("_row.*")

@@ -71,21 +71,20 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """(id_col, nth, start, finding, before, after): every candidate of every
     whole text. A null or empty text has none; rows that repeat an id give
     their candidates each."""
-    found, between = _pieces(F.col(text_col))
     rows = docs.select(F.col(id_col), F.col(text_col).alias("_t")).where(F.regexp_like("_t", F.lit(CANDIDATE))) \
-        .select(id_col, F.regexp_extract_all("_t", F.lit(CANDIDATE), F.lit(0)).alias("_f"), F.split("_t", CANDIDATE, -1).alias("_b"))
+        .select(id_col, *(c.alias(n) for n, c in zip(("_f", "_b"), _pieces(F.col("_t")))))
     return rows.select(id_col, F.explode(_items(F.col("_f"), F.col("_b"))).alias("_i")).select(id_col, "_i.*")
 
 
 def weak_labels(findings: DataFrame) -> DataFrame:
-    """Labelled findings where none are given: 1 for issued key formats and
-    values assigned to a secret's name, 0 for placeholders, plain and dotted
-    numbers and parts of addresses; the rest stay without a label."""
+    """Labelled findings where none are given: 0 for placeholders, else 1 for
+    issued key formats and values assigned to a secret's name, else 0 for plain
+    and dotted numbers and parts of addresses; the rest stay without a label."""
     c, before, after = F.col("finding"), F.col("before"), F.col("after")
     real = c.rlike(_FORMATS) | before.rlike(_ASSIGNED)
-    known = c.rlike(_PLACEHOLDER) | c.rlike(r"^[0-9]+$") | c.rlike(r"^v?[0-9]+([.\-][0-9]+)+$") \
+    known = c.rlike(r"^[0-9]+$") | c.rlike(r"^v?[0-9]+([.\-][0-9]+)+$") \
         | before.rlike(r"(@|://|www\.)[^\s]*$") | after.rlike(r"^@")
-    return findings.withColumn("label", F.when(known, 0).when(real, 1))
+    return findings.withColumn("label", F.when(c.rlike(_PLACEHOLDER), 0).when(real, 1).when(known, 0))
 
 
 def features(c: Column, before: Column, after: Column, model: SecretModel) -> list[Column]:
@@ -176,9 +175,10 @@ def score_findings(findings: DataFrame, model: SecretModel) -> DataFrame:
 def redact_secrets(docs: DataFrame, model: SecretModel, text_col: str = "text") -> DataFrame:
     """``docs`` with every candidate that the model takes for a secret replaced
     by MASK: rows, order and columns stay, other texts are untouched."""
-    text = F.col(text_col)
     found, between = _pieces(F.col("_t"))
-    some = docs.withColumn("_t", F.when(F.regexp_like(text, F.lit(CANDIDATE)), text))
+    rows = docs.select(F.struct("*").alias("_row"))
+    text = F.col(f"_row.`{text_col}`")
+    some = rows.withColumn("_t", F.when(F.regexp_like(text, F.lit(CANDIDATE)), text))
     some = some.withColumn("_f", F.when(F.col("_t").isNotNull(), found)).withColumn("_b", F.when(F.col("_t").isNotNull(), between))
     some = some.withColumn("_i", F.transform(_items(F.col("_f"), F.col("_b")), lambda x: F.struct(
         x["nth"].alias("nth"), x["finding"].alias("finding"),
@@ -186,4 +186,5 @@ def redact_secrets(docs: DataFrame, model: SecretModel, text_col: str = "text")
     cut = F.transform(F.col("_i"), lambda x: F.concat(
         F.get("_b", x["nth"]), F.when(forest_score(x["x"], model) >= model.threshold, F.lit(MASK)).otherwise(x["finding"])))
     whole = F.concat(F.array_join(cut, ""), F.element_at("_b", -1))
-    return some.withColumn(text_col, F.when(F.col("_t").isNotNull(), whole).otherwise(text)).select(*docs.columns)
+    return some.select(F.col("_row").withField(f"`{text_col}`", F.when(F.col("_t").isNotNull(), whole).otherwise(text)).alias("_row")) \
+        .select("_row.*")

@@ -12,7 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _rng = np.random.Generator(np.random.PCG64(20240601))
@@ -64,6 +64,14 @@ def ready(spark: SparkSession, rows: int = 1024) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has such a column already."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text, in the JVM (null: 0)."""
     return F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")

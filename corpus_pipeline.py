@@ -28,8 +28,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the classifier's threshold; it learns from the
     labelled ones among them. Empty and null texts stay."""
     model = train_toxicity(docs, table(spark, sf_dir, "labels"))
-    return score_toxicity(docs.select("*", F.col("text").alias("_scored")), model, "_scored") \
-        .where("predicted = 0 or coalesce(_scored, '') = ''").select(*docs.columns)
+    rows = docs.select("text", F.struct("*").alias("_row"))
+    return score_toxicity(rows, model).where("predicted = 0 or coalesce(text, '') = ''").select("_row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,18 +37,22 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     one with the smallest id; one row of a repeated id. Documents without
     words link with nothing and stay, as do rows without an id."""
     kept = jaccard_components(docs, k=5, percent=80).where("component_id = doc_id").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text", "source", "lang")
-    one = docs.join(kept, "doc_id", "left_semi").withColumn("_n", F.row_number().over(first)).where("_n = 1")
-    return one.select(*docs.columns).union(docs.where("doc_id is null"))
+    rows = docs.select("doc_id", F.xxhash64("text", "source", "lang").alias("_h"), F.struct("*").alias("_row"))
+    first = Window.partitionBy("doc_id").orderBy("_h")
+    one = rows.where("doc_id is not null").join(kept, "doc_id", "left_semi") \
+        .withColumn("_n", F.row_number().over(first)).where("_n = 1")
+    return one.select("_row").union(rows.where("doc_id is null").select("_row")).select("_row.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with what the trained filter takes for secrets masked
     (and ``n_chars`` of those texts counted anew)."""
     found = written(candidates(docs), "pipeline-candidates")
-    masked = redact_secrets(docs.withColumn("_was", F.xxhash64("text")), train_secret_filter(weak_labels(found)))
-    return masked.withColumn("n_chars", F.when(F.xxhash64("text") != F.col("_was"), F.length("text").cast("long"))
-                             .otherwise(F.col("n_chars"))).select(*docs.columns)
+    model = train_secret_filter(weak_labels(found))
+    masked = redact_secrets(docs.select("text", F.col("text").alias("_was"), F.struct("*").alias("_row")), model)
+    n_chars = F.when(F.col("text") != F.col("_was"), F.length("text").cast("long")).otherwise(F.col("_row.n_chars"))
+    return masked.select(F.col("_row").withField("text", F.col("text")).withField("n_chars", n_chars).alias("_row")) \
+        .select("_row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
