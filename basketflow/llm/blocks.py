@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries that a task gathers before it packs them.
-GATHER = 600_000
+GATHER = 250_000
+#: Entries in a block at most: an Arrow batch of blocks then stays small.
+BLOB = 2048
 #: Bytes of a key that travel: within a bucket, whose number is part of the
 #: key, a chance agreement is rare enough for candidates; what must be exact
 #: uses two keys or is compared afterwards.
@@ -52,6 +54,17 @@ def groups(keys: list[np.ndarray], doc: np.ndarray) -> tuple[np.ndarray, np.ndar
     return low, high
 
 
+def _repeated(key: np.ndarray) -> np.ndarray:
+    """Places of the keys that occur more than once."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    same = key[1:] == key[:-1]
+    many = np.zeros(len(order), dtype=bool)
+    many[1:] |= same
+    many[:-1] |= same
+    return order[many]
+
+
 class Packer:
     """Gathers entries (keys, doc, place) of one task and packs them."""
 
@@ -61,7 +74,8 @@ class Packer:
     def __init__(self, buckets: int, n_keys: int, settled, named: bool = False):
         """``settled(doc, low, high)`` marks the entries whose answer is known
         from the groups inside the task. With ``named`` a settled entry's place
-        is its (first) key, and another's is 1 if it asks for settled ones."""
+        is its (first) key, and another's is doubled, plus 1 if it asks for
+        settled ones."""
         import zstandard
 
         self.buckets, self.n_keys, self.settled, self.named = buckets, n_keys, settled, named
@@ -89,13 +103,13 @@ class Packer:
         some = np.flatnonzero(known)
         settled_doc, settled_place = doc[some], keys[0][some].view(np.int64) if self.named else place[some]
         # Spread over buckets by turns: these entries need no meeting.
-        for lo in range(0, len(settled_doc), 50_000):
-            part = slice(lo, lo + 50_000)
+        for lo in range(0, len(settled_doc), BLOB):
+            part = slice(lo, lo + BLOB)
             self.turn += 1
             rows.append((int((int(keys[0][0]) ^ self.turn) % self.buckets), True,
                          self._pack([], settled_doc[part], settled_place[part])))
         if self.named:
-            place = (low != high).astype(np.int64)
+            place = place * 2 + (low != high)
         ask = np.flatnonzero(doc == low)
         both = ask[low[ask] != high[ask]]
         if len(both):
@@ -124,7 +138,10 @@ class Packer:
 
 
 def _spans(starts: np.ndarray, n: int):
-    return zip(starts.tolist(), [*starts[1:].tolist(), n])
+    """(lo, hi) of the runs, cut into at most BLOB entries."""
+    for lo, end in zip(starts.tolist(), [*starts[1:].tolist(), n]):
+        for at in range(lo, end, BLOB):
+            yield at, min(at + BLOB, end)
 
 
 def unpack(data: bytes, n_keys: int) -> list[np.ndarray]:
@@ -144,7 +161,7 @@ def unpack(data: bytes, n_keys: int) -> list[np.ndarray]:
 
 def by_bucket(blocks: DataFrame, buckets: int, n_keys: int, reduce, schema: str) -> DataFrame:
     """Shuffle packed blocks by bucket and give ``reduce(keys, doc, place)`` a
-    bucket's entries (and ``reduce(None, doc, place)`` settled ones); it yields
+    bucket's entries whose first key occurs more than once (and ``reduce(None, doc, place)`` settled ones); it yields
     record batches of ``schema``."""
     dealt = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket", "settled")
 
@@ -153,8 +170,11 @@ def by_bucket(blocks: DataFrame, buckets: int, n_keys: int, reduce, schema: str)
 
         def done():
             if held:
-                cols = [np.concatenate(c) for c in zip(*held)]
-                yield from reduce(cols[:n_keys], cols[-2], cols[-1])
+                at = _repeated(np.concatenate([c[0] for c in held]))
+                cols = [np.concatenate([c[i] for c in held])[at] for i in range(n_keys + 2)]
+                held.clear()
+                if len(at):
+                    yield from reduce(cols[:n_keys], cols[-2], cols[-1])
 
         for batch in batches:
             for bucket, settled, data in zip(*(batch.column(i).to_pylist() for i in range(3))):

@@ -13,9 +13,10 @@ makes up for a set's first s parts with empty projections; a set with more
 signs again under another hash of the domain (so would a similar one, if none
 but empty projections agreed), and on the last hash empty ones count.
 
-Sets that share a signature are candidates. Each set has a small histogram of
-its shingles; the difference of two histograms is a lower bound of the
-difference of the sets, which drops most false candidates without the texts.
+Sets that share a signature are candidates. Each set has a small sketch, the
+parities of its shingles' hashes; the number of bits in which two sketches
+differ is a lower bound of the difference of the sets, which drops most false
+candidates without the texts.
 What is left, directly or over others, forms families; families are compared
 exactly, block of documents by block of documents, and the links give the
 components. No pairs are written.
@@ -148,18 +149,20 @@ def _fingerprints(g: np.ndarray, edge: np.ndarray, i: int) -> np.ndarray:
     return mix(np.add.reduceat(mix(g + np.uint64(101 + 900 * i)), edge)).view(np.int64)
 
 
-def histogram_size(n: np.ndarray) -> np.ndarray:
-    """Places of a set's histogram: the power of two from n/16 to n/8."""
-    return 1 << np.maximum(np.floor(np.log2(np.maximum(n, 16) / 8)).astype(np.int64), 0)
+def sketch_bytes(n: np.ndarray) -> np.ndarray:
+    """Bytes of a set's parity sketch: a power of two with one to two bits per
+    shingle, at least 8."""
+    return np.maximum(8, 1 << np.ceil(np.log2(np.maximum(n, 8) / 8)).astype(np.int64))
 
 
 def set_keys(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, check, n, f1, f2, histogram): set size, a 128-bit fingerprint
-    and the histogram of the shingle set of each row of (doc_id, text, check)."""
+    """(doc_id, check, n, f1, f2, sketch): set size, a 128-bit fingerprint and
+    the parity sketch of the shingle set of each row of (doc_id, text, check).
+    A sketch has the parity of the number of shingles that hash to each bit."""
     def run(batches):
         for batch in batches:
             n, f = np.zeros(batch.num_rows, np.int64), np.zeros((2, batch.num_rows), np.int64)
-            hists = [b""] * batch.num_rows
+            sketches = [b""] * batch.num_rows
             for doc, g, lo, hi in _sets(batch, k):
                 if not len(g):
                     continue
@@ -168,17 +171,23 @@ def set_keys(docs: DataFrame, k: int) -> DataFrame:
                 n[at] = np.diff(np.append(edge, len(doc)))
                 for i in (0, 1):
                     f[i, at] = _fingerprints(g, edge, i)
-                size = histogram_size(n[at])
+                size = sketch_bytes(n[at])
                 base = np.cumsum(size) - size
                 of = np.repeat(np.arange(len(at)), n[at])
-                cell = base[of] + (mix(g + np.uint64(77)) & (size[of] - 1).astype(np.uint64)).astype(np.int64)
-                counts = np.minimum(np.bincount(cell, minlength=int(size.sum())), 255).astype(np.uint8)
+                bit = base[of] * 8 + (mix(g + np.uint64(77)) & (size[of] * 8 - 1).astype(np.uint64)).astype(np.int64)
+                odd = np.bincount(bit, minlength=int(size.sum()) * 8) & 1
+                packed = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
                 for i, a, m in zip(at.tolist(), base.tolist(), size.tolist()):
-                    hists[i] = counts[a:a + m].tobytes()
-            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(n), *(pa.array(x) for x in f), pa.array(hists, pa.binary())],
-                                  names=["doc_id", "check", "n", "f1", "f2", "histogram"])
+                    sketches[i] = packed[a:a + m]
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(n), *(pa.array(x) for x in f), pa.array(sketches, pa.binary())],
+                                  names=["doc_id", "check", "n", "f1", "f2", "sketch"])
 
-    return docs.mapInArrow(run, "doc_id long, check long, n long, f1 long, f2 long, histogram binary")
+    return docs.mapInArrow(run, "doc_id long, check long, n long, f1 long, f2 long, sketch binary")
+
+
+def _per_run(key: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """A value of each run of equal keys, for each of its entries."""
+    return np.repeat(value, np.diff(np.append(_runs(key), len(key))))
 
 
 def _shared_signatures(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
@@ -194,7 +203,7 @@ def _shared_signatures(docs: DataFrame, k: int, percent: int, buckets: int) -> D
                 f1 = np.zeros(hi - lo, np.int64)
                 edge = _runs(doc)
                 f1[doc[edge]] = _fingerprints(g, edge, 0)
-                yield from packer.add([sig], f1[at], np.zeros(len(at), np.int64))
+                yield from packer.add([sig], f1[at], np.bincount(doc, minlength=hi - lo)[at])
         yield from packer.flush()
 
     def shared(keys, doc, place):
@@ -203,17 +212,21 @@ def _shared_signatures(docs: DataFrame, k: int, percent: int, buckets: int) -> D
         else:
             low, high = groups(keys, doc)
             some = np.flatnonzero(low != high)
-            order = some[np.lexsort((doc[some], keys[0][some]))]
-            sig, doc, more = keys[0][order].view(np.int64), doc[order], place[order]
+            sig, doc, n, more = keys[0][some].view(np.int64), doc[some], place[some] >> 1, place[some] & 1
+            if len(sig):
+                order = np.lexsort((doc, n, sig))
+                order = order[_runs(sig[order], doc[order])]
+                sig, doc, n, more = sig[order], doc[order], n[order], more[order]
+                alone = _per_run(sig, np.maximum.reduceat(more, _runs(sig))) == 0
+                # Without members elsewhere, a set needs one of similar size.
+                fits = np.zeros(len(sig) + 1, dtype=bool)
+                fits[1:-1] = (sig[1:] == sig[:-1]) & (100 * n[:-1] >= percent * n[1:])
+                kept = ~alone | fits[:-1] | fits[1:]
+                sig, doc, alone = sig[kept], doc[kept], alone[kept]
             if len(sig):
-                starts = _runs(sig)
-                size = np.diff(np.append(starts, len(sig)))
-                once = np.zeros(len(sig), dtype=bool)
-                once[_runs(sig, doc)] = True
-                # A group without members elsewhere is named after its members,
-                # so that groups of equal members become one.
-                alone = np.repeat(np.maximum.reduceat(more, starts) == 0, size)
-                members = np.repeat(np.add.reduceat(np.where(once, mix(doc.view(np.uint64)), 0), starts), size)
+                # ... and the group is named after its members, so that groups
+                # of equal members become one.
+                members = _per_run(sig, np.add.reduceat(mix(doc.view(np.uint64)), _runs(sig)))
                 sig = np.where(alone, (mix(members) | np.uint64(1 << 62)).view(np.int64), sig)
                 order = np.lexsort((doc, sig))
                 order = order[_runs(sig[order], doc[order])]
@@ -224,19 +237,17 @@ def _shared_signatures(docs: DataFrame, k: int, percent: int, buckets: int) -> D
     return by_bucket(docs.mapInArrow(sign, Packer.schema), buckets, 1, shared, "sig long, f1 long")
 
 
-def _near_histograms(spots: DataFrame, percent: int) -> DataFrame:
-    """(a, b): from rows (spot, block, cross, rep, n, histogram) sorted by spot,
+def _near_sketches(spots: DataFrame, percent: int) -> DataFrame:
+    """(a, b): from rows (spot, block, cross, rep, n, sketch) sorted by spot,
     each set with the smallest one of its group of sets whose sizes and
-    histograms allow a link."""
+    sketches allow a link."""
     def compare(rows):
-        spot, block, cross, rep, n, hist = rows
-        size = np.array([len(h) for h in hist])
-        # Histograms of twice the places fold to the smaller ones.
-        least = np.minimum.reduceat(size, _runs(spot))
-        width = np.repeat(least, np.diff(np.append(_runs(spot), len(spot))))
-        table = np.zeros((len(spot), int(width.max())), dtype=np.int32)
-        for i, h in enumerate(hist):
-            table[i, :width[i]] = np.frombuffer(h, np.uint8).astype(np.int32).reshape(-1, width[i]).sum(axis=0)
+        spot, block, cross, rep, n, sketch = rows
+        # Longer sketches fold to the shortest of their spot.
+        width = _per_run(spot, np.minimum.reduceat(np.array([len(x) for x in sketch]), _runs(spot))) // 8
+        table = np.zeros((len(spot), int(width.max())), dtype=np.uint64)
+        for i, x in enumerate(sketch):
+            table[i, :width[i]] = np.bitwise_xor.reduce(np.frombuffer(x, "<u8").reshape(-1, width[i]), axis=0)
         near_i, near_j = [], []
         for d in range(1, len(spot)):
             at = np.flatnonzero(spot[d:] == spot[:-d])
@@ -248,7 +259,7 @@ def _near_histograms(spots: DataFrame, percent: int) -> DataFrame:
             for lo in range(0, len(at), 8192):
                 i = at[lo:lo + 8192]
                 j = i + d
-                apart = np.abs(table[i] - table[j]).sum(axis=1)
+                apart = np.bitwise_count(table[i] ^ table[j]).sum(axis=1, dtype=np.int64)
                 near = (100 + percent) * apart <= (100 - percent) * (n[i] + n[j])
                 near_i.append(i[near])
                 near_j.append(j[near])
@@ -339,8 +350,8 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
 
     Returns per row ``(id_col, n_shingles, component_id)``: the set size and
     the smallest id reachable by links. Ids are integers. A row without words
-    or text links with nothing; one without an id takes no part (component
-    null); equal sets are one class and compared once; rows that repeat an id
+    or text links with nothing; one without an id is no document of the join
+    (component null); equal sets are one class and compared once; rows that repeat an id
     are one document; an empty table gives an empty result; other columns are
     ignored.
     """
@@ -351,14 +362,14 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
     named = base.where("doc_id is not null")
     rows = written(set_keys(base, k), "jaccard-sets")
     classes = rows.where("n > 0 and doc_id is not null").groupBy("f1", "f2") \
-        .agg(F.min(F.struct("doc_id", "check")).alias("_r"), F.max("n").alias("n"), F.max("histogram").alias("histogram")) \
-        .select("f1", "f2", F.col("_r.doc_id").alias("rep"), F.col("_r.check").alias("rep_check"), "n", "histogram")
+        .agg(F.min(F.struct("doc_id", "check")).alias("_r"), F.max("n").alias("n"), F.max("sketch").alias("sketch")) \
+        .select("f1", "f2", F.col("_r.doc_id").alias("rep"), F.col("_r.check").alias("rep_check"), "n", "sketch")
     classes = written(classes, "jaccard-classes")
     shared = written(_shared_signatures(named, k, percent, buckets), "jaccard-signatures")
     release(docs.sparkSession)
-    met = in_blocks(shared.distinct().join(classes.select("f1", "rep", "n", "histogram"), "f1"), ["sig"], "rep", GROUP)
-    spots = met.select("spot", "block", "cross", "rep", "n", "histogram").repartition("spot").sortWithinPartitions("spot", "n")
-    family = components(_near_histograms(spots, percent), "jaccard-families")
+    met = in_blocks(shared.distinct().join(classes.select("f1", "rep", "n", "sketch"), "f1"), ["sig"], "rep", GROUP)
+    spots = met.select("spot", "block", "cross", "rep", "n", "sketch").repartition("spot").sortWithinPartitions("spot", "n")
+    family = components(_near_sketches(spots, percent), "jaccard-families")
     del spots, met
     release(docs.sparkSession)
     members = classes.join(family, classes["rep"] == family["node"]) \
@@ -377,4 +388,4 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
     linked = components(_links(texts, k, percent).union(same_id), "jaccard-links")
     out = owned.join(linked, owned["rep"] == linked["node"], "left")
     return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.coalesce("component", "rep", "doc_id").alias("component_id"))
+                      F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id"))

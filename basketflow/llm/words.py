@@ -26,7 +26,7 @@ _LOWER[65:91] += 32
 _powers = np.ones(1, dtype=np.uint64)
 
 #: Bytes of text that one vectorised step works on.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 
 
 def mix(x: np.ndarray) -> np.ndarray:

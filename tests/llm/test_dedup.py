@@ -127,7 +127,7 @@ def test_jaccard_odd_rows(spark):
     out = {}
     for r in got:
         out.setdefault(r.doc_id, set()).add((r.n_shingles, r.component_id))
-    assert out == {5: {(2, 3)}, 3: {(2, 3)}, 9: {(0, 9)}, 8: {(0, 8)}, 7: {(0, 7)}, None: {(2, 3)}, 4: {(1, 4)},
+    assert out == {5: {(2, 3)}, 3: {(2, 3)}, 9: {(0, 9)}, 8: {(0, 8)}, 7: {(0, 7)}, None: {(2, None)}, 4: {(1, 4)},
                    6: {(1, 4)}, 2: {(1, 2)}, 1: {(1, 1)}, 11: {(3, 3), (2, 3)}}
     assert jaccard_components(frame(spark, [])).count() == 0
 
