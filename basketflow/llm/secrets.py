@@ -1,6 +1,7 @@
 """Secret scan with a random forest that removes false positives.
 
-Candidates are runs of key-like characters, found with one regular expression.
+Candidates are runs of key-like characters, keys of issued formats and values
+given to a secret's name, found with one regular expression.
 A random forest over their length, character transitions, dictionary coverage,
 path parts and neighbouring words, trained from labelled findings, scores how
 likely each is a real secret. Everything is DataFrame functions: the fitted
@@ -26,15 +27,23 @@ TREES, DEPTH = 15, 6
 #: Learned letter pairs and dictionary words at most.
 PAIRS, WORDS = 120, 300
 MASK = "[SECRET]"
-# A run of 12 or more key-like characters with a digit in it, or
-# the value given to a name that says it is secret.
-_RUN = r"(?<![A-Za-z0-9_+/.\-])(?=[A-Za-z_+/.\-]{0,200}[0-9])[A-Za-z0-9_+/.\-]{11,}[A-Za-z0-9_+/\-]={0,2}"
-_VALUE = r"(?<=[=:])(?<=(?i:password|passwd|pwd|secret|token|apikey|api_key)[=:])[^\s\"',;]{6,}"
-CANDIDATE = f"{_RUN}|{_VALUE}"
+# A run of 12 or more key-like characters with a digit in it, a key
+# of an issued format, or the value given to a name that says it is secret.
+_RUN = r"(?<![A-Za-z0-9_+/.\-])(?=[A-Za-z_+/.\-]*+[0-9])[A-Za-z0-9_+/.\-]{11,}[A-Za-z0-9_+/\-]={0,2}"
+_ISSUED = (r"(?:AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}"
+           r"|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)")
+# A value is marked in the text before the search, as a look-behind would bound
+# the name and the blanks; a text's own marks are told apart by what follows.
+_MARK, _OWN = "\uFDD0\uFDD2", "\uFDD0\uFDD1"
+_GIVEN = (r"(?i)(?:password|passwd|passphrase|(?<![a-z])pass|pwd|secret|token|api[_-]?key|access[_-]?key|credential)s?(?![a-z])[\w-]*+"
+          r"['\"`]?\s*+[=:]++>?+\s*+['\"`]?+(?=[^\s\"',;]{6})")
+_VALUE = f"(?<=`{_MARK})[^\\s\"'`,;]{{6,}}|(?<={_MARK})[^\\s\"',;]{{6,}}"
+CANDIDATE = f"{_RUN}|(?<![A-Za-z0-9]){_ISSUED}(?![A-Za-z0-9])|{_VALUE}"
 _NAMES = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|bearer|private)"
-_ASSIGNED = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|credential)[\w-]*['\"]?\s*(=|:|=>)\s*['\"`]?$"
-_FORMATS = (r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}"
-            r"|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)$")
+_ASSIGNED = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|credential)[\w-]*['\"`]?\s*[=:]+>?\s*['\"`]?$"
+_FORMATS = f"^{_ISSUED}$"
+# Code that gets a value from elsewhere.
+_REFERENCE = r"^[A-Za-z_][\w.:>-]*[(\[]|^(\$[{(]|\{\{|<[A-Za-z])"
 _PLACEHOLDER = r"(?i)(example|sample|dummy|changeme|placeholder|your[_-]|x{6,}|0{8,}|123456)"
 
 
@@ -50,8 +59,19 @@ class SecretModel:
     threshold: float = 0.5
 
 
-def _pieces(text: Column) -> tuple[Column, Column]:
-    return F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), F.split(text, CANDIDATE, -1)
+def _marked(text: Column) -> Column:
+    """``text`` with a mark before each value given to a secret's name."""
+    return F.regexp_replace(F.replace(text, F.lit(_MARK[0]), F.lit(_OWN)), _GIVEN, "$0" + _MARK)
+
+
+def _plain(marked: Column) -> Column:
+    return F.replace(F.replace(marked, F.lit(_MARK), F.lit("")), F.lit(_OWN), F.lit(_MARK[0]))
+
+
+def _pieces(marked: Column) -> tuple[Column, Column]:
+    """(candidates, texts between them) of a marked text."""
+    return tuple(F.transform(x, _plain) for x in (
+        F.regexp_extract_all(marked, F.lit(CANDIDATE), F.lit(0)), F.split(marked, CANDIDATE, -1)))
 
 
 def _items(found: Column, between: Column) -> Column:
@@ -71,17 +91,18 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """(id_col, nth, start, finding, before, after): every candidate of every
     whole text. A null or empty text has none; rows that repeat an id give
     their candidates each."""
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("_t")).where(F.regexp_like("_t", F.lit(CANDIDATE))) \
+    rows = docs.select(F.col(id_col), _marked(F.col(text_col)).alias("_t")).where(F.regexp_like("_t", F.lit(CANDIDATE))) \
         .select(id_col, *(c.alias(n) for n, c in zip(("_f", "_b"), _pieces(F.col("_t")))))
     return rows.select(id_col, F.explode(_items(F.col("_f"), F.col("_b"))).alias("_i")).select(id_col, "_i.*")
 
 
 def weak_labels(findings: DataFrame) -> DataFrame:
     """Labelled findings where none are given: 0 for placeholders, else 1 for
-    issued key formats and values assigned to a secret's name, else 0 for plain
-    and dotted numbers and parts of addresses; the rest stay without a label."""
+    issued key formats and values assigned to a secret's name (not what code
+    gets from elsewhere), else 0 for plain and dotted numbers and parts of
+    addresses; the rest stay without a label."""
     c, before, after = F.col("finding"), F.col("before"), F.col("after")
-    real = c.rlike(_FORMATS) | before.rlike(_ASSIGNED)
+    real = c.rlike(_FORMATS) | before.rlike(_ASSIGNED) & ~c.rlike(_REFERENCE)
     known = c.rlike(r"^[0-9]+$") | c.rlike(r"^v?[0-9]+([.\-][0-9]+)+$") \
         | before.rlike(r"(@|://|www\.)[^\s]*$") | after.rlike(r"^@")
     return findings.withColumn("label", F.when(c.rlike(_PLACEHOLDER), 0).when(real, 1).when(known, 0))
@@ -178,7 +199,8 @@ def redact_secrets(docs: DataFrame, model: SecretModel, text_col: str = "text")
     found, between = _pieces(F.col("_t"))
     rows = docs.select(F.struct("*").alias("_row"))
     text = F.col(f"_row.`{text_col}`")
-    some = rows.withColumn("_t", F.when(F.regexp_like(text, F.lit(CANDIDATE)), text))
+    some = rows.withColumn("_t", _marked(text))
+    some = some.withColumn("_t", F.when(F.regexp_like("_t", F.lit(CANDIDATE)), F.col("_t")))
     some = some.withColumn("_f", F.when(F.col("_t").isNotNull(), found)).withColumn("_b", F.when(F.col("_t").isNotNull(), between))
     some = some.withColumn("_i", F.transform(_items(F.col("_f"), F.col("_b")), lambda x: F.struct(
         x["nth"].alias("nth"), x["finding"].alias("finding"),

@@ -389,6 +389,23 @@ def test_secrets_are_found_and_masked(spark):
         assert r.text == want
 
 
+def test_secrets_without_early_digits_are_candidates(spark):
+    key = "AKIA" + "QWERTYUIOPASDFGH"
+    cases = [('password = "correcthorsebattery" x', "correcthorsebattery"), ('{"api_key": "QwErTyUiOpAsDfGhJkLz"}', "QwErTyUiOpAsDfGhJkLz"),
+             ("password: hunter2x", "hunter2x"), ("secret: abcd1234", "abcd1234"), (f"see {key}, then", key), (f"dir/{key}/x", key),
+             ("db_pass_2\t:=" + " " * 999 + "`hunter$x` y", "hunter$x"), ("token=>'abcdefgh'", "abcdefgh"),
+             ("a/" * 300 + "9f8e7d6c5b4a", "a/" * 300 + "9f8e7d6c5b4a"), ("-" * 500 + "k9f8e7d6c5b4a", "-" * 500 + "k9f8e7d6c5b4a"),
+             ("é\ufdd0 pwd=\ufdd0\ufdd2bcdefg\ufdd1 \ufdd0", "\ufdd0\ufdd2bcdefg\ufdd1")]
+    none = ["The secretary: Johnsonville", "a compass: northwards", "the password is unknown", "passengers = plentiful"]
+    rows = [(i, t) for i, t in enumerate([c[0] for c in cases] + none)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = candidates(df).collect()
+    assert {(r.doc_id, r.start, r.finding) for r in found} == {(i, t.index(c), c) for i, (t, c) in enumerate(cases)}
+    texts = [t.replace(c, MASK) for t, c in cases] + none
+    assert [r.text for r in redact_secrets(df, SecretModel()).orderBy("doc_id").collect()] == texts
+    assert [r.text for r in redact_secrets(df, SecretModel(prior=0.0)).orderBy("doc_id").collect()] == [t for _, t in rows]
+
+
 def test_secrets_odd_texts(spark):
     many = " ".join(f"password=abc{i}defghi" for i in range(400))
     rows = [(1, None), (2, ""), (3, "nothing"), (None, "token=abcdef123456"), (4, many), (4, "AKIA" + "Q1" * 8), (5, "x" * 200_000)]
