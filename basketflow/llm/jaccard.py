@@ -215,9 +215,11 @@ def _shared_signatures(docs: DataFrame, k: int, percent: int, buckets: int) -> D
             sig, doc, n, more = keys[0][some].view(np.int64), doc[some], place[some] >> 1, place[some] & 1
             if len(sig):
                 order = np.lexsort((doc, n, sig))
-                order = order[_runs(sig[order], doc[order])]
                 sig, doc, n, more = sig[order], doc[order], n[order], more[order]
+                # Any entry of a set may be the one that asks for settled ones.
                 alone = _per_run(sig, np.maximum.reduceat(more, _runs(sig))) == 0
+                once = _runs(sig, doc)
+                sig, doc, n, alone = sig[once], doc[once], n[once], alone[once]
                 # Without members elsewhere, a set needs one of similar size.
                 fits = np.zeros(len(sig) + 1, dtype=bool)
                 fits[1:-1] = (sig[1:] == sig[:-1]) & (100 * n[:-1] >= percent * n[1:])

@@ -120,6 +120,49 @@ def test_similar_sets_share_a_signature(percent):
             assert set(sig[at == 0].tolist()) & set(sig[at == 1].tolist())
 
 
+def test_signatures_meet_in_any_order_of_arrival(monkeypatch):
+    """A set's copies in several flushes, with and without members settled there."""
+    import itertools
+
+    import pyarrow as pa
+
+    from basketflow.llm import blocks, jaccard
+
+    class Docs:
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(blocks, "GATHER", 1)
+    monkeypatch.setattr(jaccard, "by_bucket", lambda run, buckets, n_keys, reduce, schema: (run, reduce))
+    sign, shared = jaccard._shared_signatures(Docs(), 2, 80, 1)
+    words = [f"w{i}" for i in range(60)]
+    x, y, z = " ".join(words), " ".join(["p", *words[1:]]), " ".join([*words[:-1], "q"])
+    # The members' order decides which of them asks for the others.
+    seen = 0
+    for a, b in ((x, y), (y, z), (x, z)):
+        for copy, alone in ((a, b), (b, a)):
+            third = ({x, y, z} - {a, b}).pop()
+            flushes = [[copy, third], [copy], [alone]]
+            packed = [pa.Table.from_batches(list(sign([pa.record_batch([pa.array(range(len(f))), pa.array(f)], names=["doc_id", "text"])]))).to_pylist()
+                      for f in flushes]
+            settled = [blocks.unpack(r["data"], 0) for p in packed for r in p if r["settled"]]
+            asking = [[blocks.unpack(r["data"], 1) for r in p if not r["settled"]] for p in packed]
+            results = set()
+            for order in itertools.permutations(asking):
+                parts = [e for p in order for e in p]
+                cols = [np.concatenate(c) for c in zip(*parts)]
+                at = blocks._repeated(cols[0])
+                keys, doc, place = (c[at] for c in cols)
+                out = [b for s in settled for b in shared(None, *s)] + list(shared([keys], doc, place))
+                results.add(frozenset((r["sig"], r["f1"]) for b in out for r in b.to_pylist()))
+                sets = {}
+                for sig, f1 in results and next(iter(results)):
+                    sets.setdefault(sig, set()).add(f1)
+                seen += any(len(v) == 3 for v in sets.values())
+            assert len(results) == 1
+    assert seen
+
+
 def test_jaccard_odd_rows(spark):
     rows = [(5, "a b c d e"), (3, "A b C d e"), (9, None), (8, ""), (7, "  "), (None, "a b c d e"),
             (4, "x y"), (6, "X Y"), (6, "x y"), (2, "y x"), (1, "x"), (11, "q r s t u v"), (11, "a b c d e")]
