@@ -350,6 +350,27 @@ def test_tree_prunes_and_keeps_its_recall():
     assert seen[1] < seen[0] < 0.9
 
 
+def test_registered_search_equals_sql_on_clusters(spark, tmp_path):
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from basketflow.llm.queries import OP6_SQL, op6_vp_tree_search
+
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((40, 8)) * 6
+    x = np.float32(centres[rng.integers(40, size=6000)] + rng.standard_normal((6000, 8)) * 0.5)
+    path = str(tmp_path / "embeddings.parquet")
+    pq.write_table(pa.table({"vec_id": pa.array(range(6000), pa.int64()), "embedding": pa.array(x.tolist(), pa.list_(pa.float32())),
+                             "label": pa.array([0] * 6000, pa.int32())}), path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{path}')")
+    want = sorted(con.execute(OP6_SQL).fetchall())
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in op6_vp_tree_search(spark, str(tmp_path)).collect())
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert np.allclose([r[3] for r in got], [r[3] for r in want], rtol=1e-9)
+
+
 # ---- secrets -----------------------------------------------------------------------------
 def secret_docs(rng, n=300):
     hexa = lambda k: "".join(rng.choices("0123456789abcdef", k=k))
