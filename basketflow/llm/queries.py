@@ -148,6 +148,43 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_findings(found, model).select("doc_id", "nth", "start", "finding", "score", "secret")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketflow.llm.periodic import collapse_runs
+
+    return run_digests(collapse_runs(repeat_tails(table(spark, sf_dir, "documents"))))
+
+
+def repeat_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with the texts the contract of op13 asks for: where
+    h = crc32(doc_id) is a multiple of 10, the words from number a on repeat the
+    first p of them."""
+    crc = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    w = F.regexp_extract_all("text", F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1))
+    rows = docs.select("doc_id", "text", crc.alias("_h"), F.floor(crc / 10).alias("_g"),
+                       F.when(crc % 10 == 0, w).alias("_w"))
+    n = F.size("_w")
+    rows = rows.select("*", F.when(n > 0, F.col("_g") % n).alias("_a"))
+    tail = F.floor((n - F.col("_a")) / (F.lit(3) + F.col("_g") % 8)) + 1
+    rows = rows.select("*", tail.alias("_p"))
+    again = F.transform("_w", lambda x, i: F.when(i < F.col("_a"), x).otherwise(
+        F.get("_w", (F.col("_a") + (i - F.col("_a")) % F.col("_p")).cast("int"))))
+    return rows.select("doc_id", F.when(n > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def run_digests(found: DataFrame) -> DataFrame:
+    """Digest columns over the runs of each document."""
+    top = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p"), r.alias("run"))))["run"]
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(F.lit(""))
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), top.alias("_top"),
+                        F.sha2(F.encode(lines, "UTF-8"), 256).alias("runs_sha256"),
+                        F.sha2(F.encode("kept", "UTF-8"), 256).alias("collapsed_sha256"))
+    return rows.select("doc_id", "n_runs", "_top.start", "_top.length", "_top.period",
+                       F.floor(1000 * F.col("_top.length") / F.col("_top.period")).alias("exponent_milli"),
+                       "runs_sha256", "collapsed_sha256")
+
+
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_warc_round_trip": op2_warc_round_trip,
@@ -159,6 +196,7 @@ LLM_QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_vector_near_dedup": op9_vector_near_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 LLM_ORACLES: dict[str, str] = {
