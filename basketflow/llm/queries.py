@@ -148,6 +148,54 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_findings(found, model).select("doc_id", "nth", "start", "finding", "score", "secret")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketflow.llm.graph import written
+    from basketflow.llm.trie import prefix_trie, turn_paths
+
+    return prefix_trie(with_shared_heads(written(turn_paths(table(spark, sf_dir, "conversations")), "turn-paths")))
+
+
+def with_shared_heads(paths: DataFrame) -> DataFrame:
+    """(conv_id, keys) rebuilt as the contract of op11 asks: the first
+    h = crc32(conv_id) % 4 turns come from the conversation c - c % 20."""
+    heads = paths.where("conv_id % 20 = 0").select(F.col("conv_id").alias("_base"), F.slice("keys", 1, 3).alias("_head"))
+    rows = paths.select("conv_id", "keys", (F.col("conv_id") - F.col("conv_id") % 20).alias("_base"),
+                        (F.crc32(F.encode(F.col("conv_id").cast("string"), "UTF-8")) % 4).cast("int").alias("_h"))
+    head = F.slice(F.coalesce("_head", F.array().cast("array<string>")), F.lit(1), F.col("_h"))
+    rest = F.slice("keys", F.col("_h") + 1, F.size("keys"))
+    return rows.join(heads, "_base", "left").select("conv_id", F.concat(head, rest).alias("keys"))
+
+
+#: CRC-32 of a decimal number: per character one step with it, eight without.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+  string_split({0}::VARCHAR, ''), lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END),
+  4294967295::BIGINT)"""
+
+OP11_SQL = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({'k': md5(concat(length(r), ':', r, x)), 'w': len(regexp_extract_all(x, '[^ 	-]+'))}
+                           ORDER BY turn NULLS FIRST, r, x) AS ts FROM t GROUP BY 1),
+h AS (SELECT conv_id, ts, CRC % 4 AS h FROM o),
+b AS (SELECT h.conv_id, list_concat(coalesce(p.ts[1:h.h], []), h.ts[h.h + 1:]) AS ts
+      FROM h LEFT JOIN o p ON p.conv_id = h.conv_id - h.conv_id % 20),
+m AS (SELECT conv_id, len(ts) AS n, unnest(range(0, len(ts) + 1)) AS d, ts,
+             array_to_string(list_transform(ts, lambda e: e.k), '') AS ks FROM b),
+nodes AS (SELECT d, ks[1:32 * d] AS k, min(conv_id) AS conv_id, count(*) AS n_convs,
+                 any_value(CASE WHEN d > 0 THEN ts[d].w ELSE 0 END) AS w,
+                 sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+          FROM m GROUP BY 1, 2),
+kids AS (SELECT k[1:32 * (d - 1)] AS k, count(*) AS c FROM nodes WHERE d > 0 GROUP BY 1),
+up AS (SELECT k[1:32 * a] AS k, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+       FROM (SELECT nodes.k, unnest(range(0, d + 1)) AS a, (kids.c IS NULL)::INT AS leaf, (n_convs - 1) * w AS saved
+             FROM nodes LEFT JOIN kids USING (k)) GROUP BY 1)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.c, 0) AS n_children,
+       up.n_leaves::BIGINT AS n_leaves, up.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN up USING (k) LEFT JOIN kids USING (k)
+LEFT JOIN nodes p ON n.d > 0 AND p.d = n.d - 1 AND p.k = n.k[1:32 * (n.d - 1)]
+""".replace("CRC", _CRC.format("conv_id"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from basketflow.llm.periodic import collapse_runs
 
@@ -196,6 +244,7 @@ LLM_QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_vector_near_dedup": op9_vector_near_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -203,4 +252,5 @@ LLM_ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op2_warc_round_trip": OP2_SQL,
     "op3_jaccard_join": OP3_SQL,
+    "op11_prefix_trie": OP11_SQL,
 }
