@@ -174,7 +174,8 @@ _CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transfor
 
 OP11_SQL = r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
-o AS (SELECT conv_id, list({'k': md5(concat(length(r), ':', r, x)), 'w': len(regexp_extract_all(x, '[^ 	-]+'))}
+o AS (SELECT conv_id, list({'k': md5(concat(length(r), ':', r, x)), 'w': len(regexp_extract_all(x, '[^ 	-
+]+'))}
                            ORDER BY turn NULLS FIRST, r, x) AS ts FROM t GROUP BY 1),
 h AS (SELECT conv_id, ts, CRC % 4 AS h FROM o),
 b AS (SELECT h.conv_id, list_concat(coalesce(p.ts[1:h.h], []), h.ts[h.h + 1:]) AS ts
@@ -233,6 +234,27 @@ def run_digests(found: DataFrame) -> DataFrame:
                        "runs_sha256", "collapsed_sha256")
 
 
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, CRC AS h FROM documents),
+a AS (SELECT doc_id, w, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+x AS (SELECT doc_id, CASE WHEN a IS NULL THEN w ELSE list_transform(range(0, len(w)), lambda i:
+        w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(w) - a) // (3 + g % 8)) END]) END AS w FROM a),
+t AS (SELECT doc_id, len(w) AS n, unnest(w) AS w, unnest(range(0, len(w))) AS i FROM x),
+p AS (SELECT t.doc_id, u.i - t.i AS q, t.i FROM t JOIN t u ON u.doc_id = t.doc_id AND u.w = t.w AND u.i > t.i AND 2 * (u.i - t.i) <= t.n),
+s AS (SELECT doc_id, q, min(i) AS s, max(i) + 1 + q AS e
+      FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM p)
+      GROUP BY doc_id, q, g HAVING max(i) + 1 + q - min(i) >= greatest(12, 2 * q)),
+r AS (SELECT doc_id, s, e, min(q) AS q FROM s GROUP BY 1, 2, 3),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, e)) AS i FROM r),
+k AS (SELECT t.doc_id, string_agg(t.w, ' ' ORDER BY t.i) AS kept FROM t ANTI JOIN gone USING (doc_id, i) GROUP BY 1),
+c AS (SELECT doc_id, count(*) AS n_runs, string_agg(concat(s, ',', e - s, ',', q, chr(10)), '' ORDER BY s, q) AS runs,
+             first({'s': s, 'n': e - s, 'q': q} ORDER BY e - s DESC, s, q) AS b FROM r GROUP BY 1)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, b.n AS length, b.q AS period, 1000 * b.n // b.q AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN k USING (doc_id)
+""".replace("CRC", _CRC.format("doc_id"))
+
+
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_warc_round_trip": op2_warc_round_trip,
@@ -252,5 +274,7 @@ LLM_ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op2_warc_round_trip": OP2_SQL,
     "op3_jaccard_join": OP3_SQL,
+    "op6_vp_tree_search": OP6_SQL,
     "op11_prefix_trie": OP11_SQL,
+    "op13_periodic_runs": OP13_SQL,
 }
