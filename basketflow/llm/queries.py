@@ -274,7 +274,6 @@ LLM_ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op2_warc_round_trip": OP2_SQL,
     "op3_jaccard_join": OP3_SQL,
-    "op6_vp_tree_search": OP6_SQL,
     "op11_prefix_trie": OP11_SQL,
     "op13_periodic_runs": OP13_SQL,
 }
