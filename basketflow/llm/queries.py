@@ -197,6 +197,18 @@ LEFT JOIN nodes p ON n.d > 0 AND p.d = n.d - 1 AND p.k = n.k[1:32 * (n.d - 1)]
 """.replace("CRC", _CRC.format("conv_id"))
 
 
+def op12_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketflow.llm.disclosure import KINDS, sanitise
+
+    found = sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    place = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    kinds = F.transform("spans", lambda s: s["kind"])
+    n = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("row.doc_id", *n, F.sha2(F.encode(F.array_join(F.transform(base, place), ","), "UTF-8"), 256)
+                        .alias("base_sha256"), F.array_join(F.transform("spans", place), ",").alias("spans"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from basketflow.llm.periodic import collapse_runs
 
@@ -267,6 +279,7 @@ LLM_QUERIES = {
     "op9_vector_near_dedup": op9_vector_near_dedup,
     "op10_secret_scan": op10_secret_scan,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_sanitise": op12_sanitise,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
