@@ -35,7 +35,7 @@ from basketflow.sources.csv import CHURN_SCHEMA, PRODUCT_SCHEMA, read_csv_by_pos
 from basketflow.sources.kafka import read_kafka_stream
 from basketflow.sources.views import views_from_text
 from basketflow.streaming.counts import running_word_counts, with_stored_seed
-from basketflow.streaming.recommend import RunningRecommender
+from basketflow.streaming.recommend import RunningQueries, RunningRecommender
 from basketflow.streaming.settings import stream_partitions
 from basketflow.streaming.triggers import (
     RECOMMENDER_INTERVAL, STATEFUL_WORD_COUNT_INTERVAL, STRUCTURED_WORD_COUNT_INTERVAL,
@@ -84,14 +84,13 @@ def streaming_recommendations(spark: SparkSession, lines: DataFrame, checkpoint:
                               out_topic: str | None = None, brokers: str | None = None,
                               out_path: str | None = None,
                               interval: str = RECOMMENDER_INTERVAL,
-                              compact_every: int = 8,
                               initial_state: DataFrame | None = None,
-                              max_per_row: int | None = MAX_PER_ROW) -> StreamingQuery:
+                              max_per_row: int | None = MAX_PER_ROW) -> RunningQueries:
     """Each batch: batch-scoped pairs, merged into the running per-item lists;
     the full list of every touched item goes to Kafka (K2) or parquet, in
     several messages if it is longer than ``max_per_row``."""
     def emit(current: DataFrame, batch_id: int) -> None:
-        nested = nest_recommendations(current, max_per_row=max_per_row)
+        nested = nest_recommendations(current, ("batch", "item"), max_per_row)
         two_sinks = bool(brokers and out_topic and out_path)
         if two_sinks:  # C1: compute the batch's lists once for both writes
             nested = nested.persist(StorageLevel.MEMORY_AND_DISK)
@@ -107,13 +106,8 @@ def streaming_recommendations(spark: SparkSession, lines: DataFrame, checkpoint:
             if two_sinks:
                 nested.unpersist()
 
-    fn = RunningRecommender(spark, os.path.join(checkpoint, "state"), emit,
-                            compact_every=compact_every, initial_state=initial_state)
-    writer = with_trigger(parse_view_line(lines, "value").writeStream
-                          .option("checkpointLocation", os.path.join(checkpoint, "query"))
-                          .foreachBatch(fn), interval)
-    with stream_partitions(spark):
-        return writer.start()
+    reco = RunningRecommender(spark, checkpoint, emit, initial_state=initial_state)
+    return reco.start(parse_view_line(lines, "value"), {"processingTime": interval})
 
 
 # ---- J3: stateful word count -------------------------------------------------

@@ -151,6 +151,10 @@ STREAM_ORACLES = {
     "reco_stream_pairs": f"""
         SELECT bid::BIGINT AS batch_id, a, b, cnt::BIGINT AS cnt FROM ({_STREAM_PAIRS})""",
     "reco_stream_running": _STREAM_RUNNING,
+    "reco_stream_state": f"""
+        SELECT item, other, MAX(cnt)::BIGINT AS cnt FROM ({_STREAM_RUNNING}) GROUP BY 1, 2""",
+    "wc_stream_state": """
+        SELECT event_type AS word, COUNT(*)::BIGINT AS cnt FROM events GROUP BY 1""",
     "reco_window_pairs": """
         WITH d AS (
             SELECT DISTINCT date_trunc('day', ts) AS w, CAST(user_id AS VARCHAR) AS u,

@@ -25,7 +25,7 @@ from basketflow.sinks.writers import BatchTableWriter, read_batches
 from basketflow.streaming.counts import running_word_counts, start_counts
 from basketflow.streaming.harness import SlicedFileStream, slice_ids
 from basketflow.streaming.recommend import BatchScopedPairs, RunningRecommender
-from basketflow.streaming.windows import WindowedPairs
+from basketflow.streaming.windows import closing_row, start_windowed_pairs
 
 # Slicing of the events table into micro-batches.
 SLICE_ORIGIN = "2024-01-01"
@@ -163,69 +163,65 @@ def _parse(stream_df: DataFrame) -> DataFrame:
     return parse_view_line(stream_df, "value", "fail")
 
 
-def _running_stream(spark: SparkSession, sf_dir: str, compact_every: int) -> SlicedFileStream:
-    holder = {}
+LISTS = "batch bigint, item string, other string, cnt bigint"
 
-    def start(stream_df, checkpoint):
-        root = os.path.dirname(checkpoint)
-        if "fn" not in holder:
-            sink = BatchTableWriter(os.path.join(root, "output"))
-            holder["fn"] = RunningRecommender(spark, os.path.join(root, "state"), sink,
-                                              compact_every=compact_every)
-        return (_parse(stream_df).writeStream.option("checkpointLocation", checkpoint)
-                .foreachBatch(holder["fn"]).trigger(availableNow=True).start())
 
-    return _replay(spark, event_view_slices(spark, sf_dir), start)
+def _running_stream(spark: SparkSession, sliced: DataFrame, slices: list,
+                    seed: DataFrame | None = None) -> tuple[RunningRecommender, DataFrame]:
+    """The recommender after replaying the given event slices, each one a
+    restart of its queries, and all that it emitted. The seed is passed at the
+    first start only."""
+    stream = SlicedFileStream(spark, sliced.select("value").schema)
+    sink = BatchTableWriter(stream.output_dir)
+    reco = None
+    for s_id in slices:
+        stream.stage(sliced.where(in_event_slice(s_id)).select("value"))
+        reco = RunningRecommender(spark, os.path.join(stream.root, "reco"), sink,
+                                  initial_state=seed if reco is None else None)
+        reco.drain(_parse(stream.read_stream()))
+    out = spark.read.schema(LISTS).parquet(stream.output_dir)
+    return reco, out.select(F.col("batch").alias("batch_id"), "item", "other", "cnt")
 
 
 def reco_stream_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4: per batch, the whole accumulated neighbour list of every item
-    that got a pair in the batch (compaction every 2 batches)."""
-    stream = _running_stream(spark, sf_dir, compact_every=2)
-    return read_batches(spark, stream.output_dir,
-                        "item string, other string, cnt bigint, batch_id int")
+    that got a pair in the batch, from Spark's keyed map state."""
+    sliced = event_view_slices(spark, sf_dir)
+    return _running_stream(spark, sliced, slice_ids(sliced, "slice"))[1]
 
 
 def reco_stream_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4 + A3 + K2: the rendered message per touched item and batch."""
-    stream = _running_stream(spark, sf_dir, compact_every=8)
-    flat = read_batches(spark, stream.output_dir,
-                        "item string, other string, cnt bigint, batch_id int")
-    nested = nest_recommendations(flat, keys=("batch_id", "item"))
+    nested = nest_recommendations(reco_stream_running(spark, sf_dir), keys=("batch_id", "item"))
     return nested.select("batch_id", "item",
                          recommendation_payload("item", "recs").alias("payload"))
 
 
+def reco_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 for T4: the recommender's keyed state after the last restart, read
+    from its checkpoint by the state data source."""
+    sliced = event_view_slices(spark, sf_dir)
+    return _running_stream(spark, sliced, slice_ids(sliced, "slice"))[0].state()
+
+
 def reco_stream_warm_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The running recommender seeded with the batch recommender's
-    result over the first slice, then streaming the other slices. Batch ids
-    are shifted by one so the output lines up with the cold-start run."""
+    result over the first slice (Spark's initial state), then streaming the
+    other slices. Batch ids are shifted by one so the output lines up with the
+    cold-start run."""
     sliced = event_view_slices(spark, sf_dir)
     ids = slice_ids(sliced, "slice")
     first = sliced.where(in_event_slice(ids[0])).select("value")
     seed = recommendations_flat(parse_view_line(first, "value"), min_support=1)
-    stream = SlicedFileStream(spark, sliced.select("value").schema)
-    sink = BatchTableWriter(stream.output_dir)
-    fn = RunningRecommender(spark, os.path.join(stream.root, "state"), sink,
-                            initial_state=seed)
-
-    def start(stream_df, checkpoint):
-        return (_parse(stream_df).writeStream.option("checkpointLocation", checkpoint)
-                .foreachBatch(fn).trigger(availableNow=True).start())
-
-    for s_id in ids[1:]:
-        stream.stage(sliced.where(in_event_slice(s_id)).select("value"))
-        stream.run_once(start)
-    out = read_batches(spark, stream.output_dir,
-                       "item string, other string, cnt bigint, batch_id int")
+    out = _running_stream(spark, sliced, ids[1:], seed)[1]
     return out.withColumn("batch_id", F.col("batch_id") + 1)
 
 
 def reco_window_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5 event-time variant: pair counts per 1-day window of event time,
     emitted when the watermark (40 days behind) passes the window end. The
-    slices arrive out of order (every two swapped), within the delay; the
-    windows open at the end of the replay are flushed."""
+    slices arrive out of order (every two swapped), within the delay; a last
+    row closes the windows open at the end of the replay."""
     ev = event_slices(spark, sf_dir)
     item = F.concat(F.col("event_type"),
                     (F.col("event_id") % F.lit(ITEM_VARIANTS)).cast("string"))
@@ -233,19 +229,19 @@ def reco_window_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
                      item.alias("item"))
     stream = SlicedFileStream(spark, rows.drop("slice").schema)
     sink = BatchTableWriter(stream.output_dir)
-    fn = WindowedPairs(spark, os.path.join(stream.root, "state"), sink, ts="ts",
-                       window="1 day", delay_seconds=4 * SLICE_DAYS * 86_400)
+    delay = 4 * SLICE_DAYS
 
     def start(stream_df, checkpoint):
-        return (stream_df.writeStream.option("checkpointLocation", checkpoint)
-                .foreachBatch(fn).trigger(availableNow=True).start())
+        return start_windowed_pairs(stream_df, checkpoint, sink, "ts", "1 day", f"{delay} days")
 
     ids = slice_ids(rows, "slice")
-    swapped = [s_id for i in range(0, len(ids), 2) for s_id in reversed(ids[i:i + 2])]
-    for s_id in swapped:
+    for s_id in [s for i in range(0, len(ids), 2) for s in reversed(ids[i:i + 2])]:
         stream.stage(rows.where(in_event_slice(s_id)).drop("slice"))
         stream.run_once(start)
-    fn.flush(len(ids) - 1)
+    latest = rows.agg(F.max("ts")).first()[0]
+    if latest is not None:
+        stream.stage(closing_row(spark, latest, delay + 2))
+        stream.run_once(start)
     out = read_batches(spark, stream.output_dir,
                        "window_start timestamp_ntz, window_end timestamp_ntz, a string, "
                        "b string, cnt bigint, batch_id int")
@@ -253,6 +249,14 @@ def reco_window_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "a", "b", "cnt")
 
 
+def wc_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 for T3: the running counts' keyed state after the last restart, read
+    from the checkpoint by the state data source."""
+    stream = _update_counts_stream(spark, sf_dir)
+    state = spark.read.format("statestore").load(stream.checkpoint_dir)
+    return state.select("key.word", F.col("value.count").alias("cnt"))
+
+
 STREAM_QUERIES = {
     "wc_stream_update": wc_stream_update,
     "stream_restart_counts": stream_restart_counts,
@@ -263,4 +267,6 @@ STREAM_QUERIES = {
     "reco_stream_payload": reco_stream_payload,
     "reco_stream_warm_start": reco_stream_warm_start,
     "reco_window_pairs": reco_window_pairs,
+    "reco_stream_state": reco_stream_state,
+    "wc_stream_state": wc_stream_state,
 }

@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -118,6 +119,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def publish(spark: SparkSession, staged: str, target: str) -> None:
+    """Make a finished folder visible under its final name, by one rename. A
+    folder that is already there stays as it is."""
+    src, dst = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, target))
+    fs = dst.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(dst.getParent())
+    if not fs.exists(dst) and not fs.rename(src, dst):
+        raise OSError(f"can not rename {staged} to {target}")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers look for this package where the driver has it. Where
+    executors have other disks, ship it with ``--py-files``."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[1])
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint (shared storage) to cut a long lineage.
 

@@ -10,51 +10,50 @@ Semantics (as in the reference stream job):
   in that batch, its *whole* accumulated list, including neighbours not seen
   in this batch. Entries never expire.
 
-Spark can not chain an aggregation into a second stateful operator over the
-same stream, so the state is kept as an append-only **delta log** written from
-``foreachBatch``:
-
-1. batch ``n``'s symmetric pair counts are written to ``log/batch_id=n``
-   (overwrite: a replayed batch replaces its own delta, so the log is
-   exactly-once);
-2. the state of the touched items is their snapshot buckets plus the log since
-   that snapshot, restricted (left-semi join) to the items touched in batch
-   ``n`` and summed per ``(item, other)``;
-3. when ``compact_every`` log batches have come together, the buckets that
-   they touch are folded into ``snapshot/upto=n`` and a **manifest** records,
-   per bucket, the snapshot folder that now holds it; other buckets stay where
-   they are.
-
-Each batch ends by writing ``meta/batch_id=n``: the manifest in force and the
-log batches after it. The next batch reads only that one row, the manifest
-(at most one row per bucket) and the folders they name: no folder of the log
-or of the snapshots is ever listed, and nothing is guessed from batch numbers,
-so ``compact_every`` may change between runs. The bucket count of a snapshot
-is stored with its manifest; a changed ``state_buckets`` takes effect at the
-next compaction, which then folds the whole state anew.
-
-A warm start (T7) is written once, as the manifest before batch 0, and is part
-of the state from then on: later starts need not pass it, and passing another
-one raises.
+Two streaming queries, each with its own checkpoint:
+
+1. *pairs*: counts every micro-batch's pairs with the batch operator
+   (``foreachBatch``) and publishes them as one folder per batch, by one
+   rename. A replayed batch that is already published is skipped, so a folder
+   is seen whole, once.
+2. *lists*: reads those folders as a file stream, grouped by (item, salt), and
+   keeps the maps as Spark's own keyed state (``transformWithState``, a map
+   state per salted item in RocksDB). ``salt`` is a hash of the other item, so a
+   popular item's map is spread over ``salts`` keys, tasks and state partitions.
+   Every salt of a touched item gets a mark, so that the whole list is emitted.
+
+Rows carry the number of the micro-batch they come from. If *lists* falls
+behind and takes several folders at once, it still emits each one's lists.
+
+A warm start (T7) is handed to the first batch of *lists* as Spark's initial
+state. It is stored at the first start: later starts need not pass it, and
+passing another one raises.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from basketflow.operators.recommender import (
     DEFAULT_BLOCK_SIZE, pair_support, recommendations_flat,
 )
-from basketflow.session import path_exists
+from basketflow.session import path_exists, publish, ship_package
 from basketflow.streaming.seed import store_seed
+from basketflow.streaming.settings import stream_partitions
 
-STATE_SCHEMA = "item string, other string, cnt bigint"
-META_SCHEMA = "base int, logs array<int>"
-MANIFEST_SCHEMA = "buckets int, ib int, upto int"
+SEED_SCHEMA = "item string, other string, cnt bigint"
+DELTA_SCHEMA = "batch bigint, item string, salt int, other string, cnt bigint"
+LIST_SCHEMA = "batch bigint, item string, other string, cnt bigint"
+#: Name of the map state, for readers of the checkpoint.
+STATE_NAME = "counts"
+SALTS = 8
 
 
 class BatchScopedPairs:
@@ -72,124 +71,173 @@ class BatchScopedPairs:
         self.sink(pairs, batch_id)
 
 
-class RunningRecommender:
-    """T4 (+T7): ``foreachBatch`` function keeping per-item neighbour counts.
+def _salt(other: str, salts: int) -> Column:
+    return F.pmod(F.xxhash64(other), F.lit(salts)).cast("int")
 
-    ``sink(df, batch_id)`` receives ``(item, other, cnt)`` with cumulative
-    counts for the items touched in the batch.
-    """
 
-    def __init__(self, spark: SparkSession, state_dir: str,
-                 sink: Callable[[DataFrame, int], None], min_basket: int = 2,
-                 compact_every: int = 8, initial_state: DataFrame | None = None,
-                 block_size: int = DEFAULT_BLOCK_SIZE, state_buckets: int = 64):
-        if compact_every < 1 or state_buckets < 1:
-            raise ValueError("compact_every and state_buckets must be positive")
+class PairDeltas:
+    """``foreachBatch`` function that publishes each batch's symmetric pair
+    counts, and a mark (``other`` null) for every salt of the items in them, as
+    the folder ``batch_id=n``."""
+
+    def __init__(self, spark: SparkSession, root: str, min_basket: int, block_size: int, salts: int):
         self.spark = spark
-        self.state_dir = state_dir
-        self.sink = sink
+        self.folder = os.path.join(root, "deltas")
+        self.staging = os.path.join(root, "staging")
         self.min_basket = min_basket
-        self.compact_every = compact_every
         self.block_size = block_size
-        self.state_buckets = state_buckets
-        seed = store_seed(spark, os.path.join(state_dir, "seed"),
-                          initial_state, STATE_SCHEMA)
-        if not path_exists(spark, self._path("meta", -1)):
-            self._compact(seed, -1, {}, state_buckets, all_buckets=True)
-            self._write_meta(-1, -1, [])
-
-    def _path(self, kind: str, batch_id: int) -> str:
-        return os.path.join(self.state_dir, kind, f"batch_id={batch_id}")
-
-    @staticmethod
-    def _bucket(buckets: int) -> Column:
-        return F.pmod(F.xxhash64("item"), F.lit(buckets)).cast("int")
-
-    # ---- bookkeeping: one small row (or table) per batch --------------------
-    def _write_meta(self, batch_id: int, base: int, logs: list[int]) -> None:
-        (self.spark.createDataFrame([(base, logs)], META_SCHEMA).coalesce(1)
-         .write.mode("overwrite").parquet(self._path("meta", batch_id)))
-
-    def _meta(self, batch_id: int) -> tuple[int, list[int]]:
-        """(manifest in force, log batches after it) at the end of a batch. A
-        missing folder raises: the state would be lost without a word."""
-        row = self.spark.read.schema(META_SCHEMA).parquet(self._path("meta", batch_id)).first()
-        return row.base, list(row.logs)
-
-    def _manifest(self, base: int) -> tuple[int, dict[int, int]]:
-        """(bucket count, {bucket: batch of the snapshot that holds it})."""
-        rows = (self.spark.read.schema(MANIFEST_SCHEMA)
-                .parquet(self._path("manifest", base)).collect())
-        return rows[0].buckets, {r.ib: r.upto for r in rows if r.ib is not None}
-
-    # ---- state ---------------------------------------------------------------
-    def _snapshot(self, held: dict[int, int], buckets: list[int] | None = None) -> DataFrame:
-        """State rows of the given snapshot buckets (default: all)."""
-        paths = [os.path.join(self._path("snapshot", upto), f"ib={ib}")
-                 for ib, upto in sorted(held.items()) if buckets is None or ib in buckets]
-        if not paths:
-            return self.spark.createDataFrame([], STATE_SCHEMA)
-        return self.spark.read.schema(STATE_SCHEMA).parquet(*paths)
-
-    def _log(self, batches: list[int]) -> DataFrame:
-        if not batches:
-            return self.spark.createDataFrame([], STATE_SCHEMA)
-        return self.spark.read.schema(STATE_SCHEMA).parquet(
-            *[self._path("log", b) for b in batches])
-
-    def state_upto(self, batch_id: int) -> DataFrame:
-        """``(item, other, cnt)`` rows whose sum is the state after batch n
-        (not yet summed; callers aggregate after filtering)."""
-        base, logs = self._meta(batch_id)
-        return self._snapshot(self._manifest(base)[1]).unionByName(self._log(logs))
-
-    def _compact(self, rows: DataFrame, upto: int, held: dict[int, int], buckets: int,
-                 all_buckets: bool) -> None:
-        """Fold ``rows`` into ``snapshot/upto``, partitioned by item bucket,
-        and write the manifest that replaces those buckets.
-
-        The fold's one shuffle clusters rows by ``(ib, sub-hash of item and
-        other)``, so a popular item is spread over tasks and a task writes few
-        bucket folders.
-        """
-        n_parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        subs = max(1, n_parts // buckets)
-        folded = (rows.groupBy("item", "other").agg(F.sum("cnt").alias("cnt"))
-                  .withColumn("ib", self._bucket(buckets))
-                  .repartition(n_parts, "ib", F.pmod(F.xxhash64("item", "other"), F.lit(subs))))
-        path = self._path("snapshot", upto)
-        folded.write.mode("overwrite").partitionBy("ib").parquet(path)
-        # The buckets written: at most ``buckets`` numbers, one per folder.
-        new = (self.spark.read.schema(STATE_SCHEMA + ", ib int").parquet(path)
-               .select("ib").distinct().collect())
-        kept = {} if all_buckets else dict(held)
-        kept.update({r.ib: upto for r in new})
-        table = [(buckets, ib, at) for ib, at in sorted(kept.items())] or [(buckets, None, None)]
-        (self.spark.createDataFrame(table, MANIFEST_SCHEMA).coalesce(1)
-         .write.mode("overwrite").parquet(self._path("manifest", upto)))
+        self.salts = salts
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        base, logs = self._meta(batch_id - 1)
-        buckets, held = self._manifest(base)
-        delta = recommendations_flat(batch, self.min_basket, 1, self.block_size)
-        delta.write.mode("overwrite").parquet(self._path("log", batch_id))
-        logs = logs + [batch_id]
-        # The touched items, written once: the semi-joins then read a plain
-        # scan, so AQE can split them where an item is hot.
-        touched_path = self._path("touched", batch_id)
-        (self._log([batch_id]).select("item").distinct()
-         .write.mode("overwrite").parquet(touched_path))
-        touched = self.spark.read.schema("item string").parquet(touched_path)
-        ids = [r.ib for r in touched.select(self._bucket(buckets).alias("ib")).distinct().collect()]
-        current = (self._snapshot(held, ids).unionByName(self._log(logs))
-                   .join(touched, "item", "left_semi")
-                   .groupBy("item", "other").agg(F.sum("cnt").alias("cnt")))
-        self.sink(current, batch_id)
-        if len(logs) >= self.compact_every:
-            log = self._log(logs)
-            regroup = buckets != self.state_buckets
-            ids = [r.ib for r in log.select(self._bucket(buckets).alias("ib")).distinct().collect()]
-            rows = self._snapshot(held, None if regroup else ids).unionByName(log)
-            self._compact(rows, batch_id, held, self.state_buckets, regroup)
-            base, logs = batch_id, []
-        self._write_meta(batch_id, base, logs)
+        target = os.path.join(self.folder, f"batch_id={batch_id}")
+        if path_exists(self.spark, target):
+            return
+        staged = os.path.join(self.staging, f"batch_id={batch_id}")
+        pairs = os.path.join(staged, "pairs")
+        number = F.lit(batch_id).cast("bigint").alias("batch")
+        (recommendations_flat(batch, self.min_basket, 1, self.block_size)
+         .select(number, "item", _salt("other", self.salts).alias("salt"), "other", "cnt")
+         .write.mode("overwrite").parquet(pairs))
+        every = F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))).alias("salt")
+        (self.spark.read.schema(DELTA_SCHEMA).parquet(pairs).select("item").distinct()
+         .select(number, "item", every, F.lit(None).cast("string").alias("other"),
+                 F.lit(0).cast("bigint").alias("cnt"))
+         .write.mode("overwrite").parquet(os.path.join(staged, "touched")))
+        publish(self.spark, staged, target)
+
+
+class RunningList(StatefulProcessor):
+    """The accumulated counts of one (item, salt): a map state, passed over
+    entry by entry, never held whole."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getMapState(STATE_NAME, "other string", "cnt bigint")
+
+    def _add(self, other: str, cnt: int) -> None:
+        old = self.counts.getValue((other,))
+        self.counts.updateValue((other,), (cnt + (old[0] if old else 0),))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        # This salt's pairs of the batches that came together, oldest first.
+        for batch, own in groupby(sorted(rows, key=lambda r: r.batch), lambda r: r.batch):
+            for r in own:
+                if r.other is not None:
+                    self._add(r.other, r.cnt)
+            for (other,), (cnt,) in self.counts.iterator():
+                yield Row(batch=batch, item=key[0], other=other, cnt=cnt)
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self._add(initialState.other, initialState.cnt)
+
+    def close(self) -> None:
+        pass
+
+
+class RunningRecommender:
+    """T4 (+T7): the two queries over a stream of views.
+
+    ``sink(df, epoch)`` receives ``(batch, item, other, cnt)``: cumulative
+    counts for the items touched in micro-batch ``batch`` of the views (one
+    value per epoch unless *lists* has fallen behind). Everything lies below
+    ``root``, a shared folder whose renames are atomic, as stream checkpoints
+    need them. ``salts`` is fixed at the first start. Published folders are
+    removed by the file source once their batch is committed.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, sink: Callable[[DataFrame, int], None],
+                 min_basket: int = 2, initial_state: DataFrame | None = None,
+                 block_size: int = DEFAULT_BLOCK_SIZE, salts: int = SALTS):
+        if salts < 1:
+            raise ValueError("salts must be positive")
+        self.spark = spark
+        self.root = root
+        self.sink = sink
+        self.seed = store_seed(spark, os.path.join(root, "seed"), initial_state, SEED_SCHEMA)
+        self.salts = self._stored_salts(salts)
+        self.deltas = PairDeltas(spark, root, min_basket, block_size, self.salts)
+        self.pairs_checkpoint = os.path.join(root, "pairs-checkpoint")
+        self.lists_checkpoint = os.path.join(root, "lists-checkpoint")
+
+    def _stored_salts(self, salts: int) -> int:
+        path = os.path.join(self.root, "salts")
+        if not path_exists(self.spark, path + "/_SUCCESS"):
+            self.spark.range(salts, salts + 1).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema("id bigint").parquet(path).first().id
+
+    def start_pairs(self, views: DataFrame, trigger: dict | None = None) -> StreamingQuery:
+        return (views.writeStream.option("checkpointLocation", self.pairs_checkpoint)
+                .foreachBatch(self.deltas).trigger(**(trigger or {"availableNow": True})).start())
+
+    def start_lists(self, trigger: dict | None = None) -> StreamingQuery:
+        ship_package(self.spark)
+        if not path_exists(self.spark, self.deltas.folder):
+            self.spark.createDataFrame([], DELTA_SCHEMA).write.parquet(
+                os.path.join(self.deltas.folder, "none"))
+        rows = (self.spark.readStream.schema(DELTA_SCHEMA).option("recursiveFileLookup", "true")
+                .option("cleanSource", "delete").parquet(self.deltas.folder))
+        seed = self.seed.withColumn("salt", _salt("other", self.salts)).groupBy("item", "salt")
+        lists = rows.groupBy("item", "salt").transformWithState(
+            RunningList(), LIST_SCHEMA, "Update", "None", seed)
+        return (lists.writeStream.option("checkpointLocation", self.lists_checkpoint)
+                .outputMode("update").foreachBatch(self.sink)
+                .trigger(**(trigger or {"availableNow": True})).start())
+
+    def start(self, views: DataFrame, trigger: dict,
+              partitions: int | None = None) -> RunningQueries:
+        """Both queries, side by side."""
+        with stream_partitions(self.spark, partitions):
+            return RunningQueries(self.start_pairs(views, trigger), self.start_lists(trigger))
+
+    def drain(self, views: DataFrame, partitions: int | None = None) -> None:
+        """Process what is new in ``views``, pairs first, and stop."""
+        with stream_partitions(self.spark, partitions):
+            for start in (lambda: self.start_pairs(views), self.start_lists):
+                query = start()
+                query.awaitTermination()
+                if query.exception() is not None:
+                    raise RuntimeError(str(query.exception()))
+
+    def state(self) -> DataFrame:
+        """(item, other, cnt): the keyed state of the last committed batch,
+        read from the checkpoint by the state data source."""
+        return (self.spark.read.format("statestore").option("stateVarName", STATE_NAME)
+                .load(self.lists_checkpoint)
+                .select("key.item", "user_map_key.other", "user_map_value.cnt"))
+
+
+class RunningQueries:
+    """The two queries of a running recommender, handled as one."""
+
+    def __init__(self, pairs: StreamingQuery, lists: StreamingQuery):
+        self.pairs = pairs
+        self.lists = lists
+
+    def processAllAvailable(self) -> None:  # noqa: N802 - as a StreamingQuery
+        self.pairs.processAllAvailable()
+        self.lists.processAllAvailable()
+
+    def awaitTermination(self, timeout: int | None = None) -> bool | None:  # noqa: N802
+        """Until one of the two ends; the other is stopped then, and a failure
+        of either raises."""
+        waited = 0
+        while self.pairs.isActive and self.lists.isActive and (timeout is None or waited < timeout):
+            self.pairs.awaitTermination(1)
+            waited += 1
+        if self.pairs.isActive and self.lists.isActive:
+            return False
+        self.stop()
+        for query in (self.pairs, self.lists):
+            if query.exception() is not None:
+                raise RuntimeError(str(query.exception()))
+        return True
+
+    def exception(self):
+        return self.pairs.exception() or self.lists.exception()
+
+    @property
+    def isActive(self) -> bool:  # noqa: N802
+        return self.pairs.isActive and self.lists.isActive
+
+    def stop(self) -> None:
+        self.pairs.stop()
+        self.lists.stop()

@@ -1,12 +1,11 @@
 """Partitioning of streaming queries.
 
-A streaming query copies the session's settings when it starts and runs
-without AQE. Its stateful operators (and the shuffles inside
-``foreachBatch``) use ``spark.sql.shuffle.partitions`` as it was at the
-query's *first* start, which is then fixed in the checkpoint. So the count is
-chosen explicitly per query: by default one partition per core of the
-cluster, which keeps every state-store partition busy without the overhead of
-hundreds of near-empty tasks per micro-batch.
+A streaming query copies the session's settings when it starts. Its stateful
+operators use ``spark.sql.shuffle.partitions`` as it was at the query's *first*
+start, which is then fixed in the checkpoint: AQE never changes the number of
+state partitions. So the count is chosen explicitly per query: by default one
+partition per core of the cluster, which keeps every state-store partition busy
+without the overhead of hundreds of near-empty tasks per micro-batch.
 """
 
 from __future__ import annotations

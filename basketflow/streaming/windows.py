@@ -2,125 +2,63 @@
 
 Baskets are the distinct items a user viewed inside one window of event time
 (``window(ts, "1 day")``), however the views are spread over micro-batches.
-A window's pair counts are emitted once, when the watermark (latest event
-time seen minus ``delay``) passes the window's end. A row is late, and
-dropped, when its window's end is not after the watermark of the previous
-batch: the rule of Spark's own watermarked aggregations. Rows of windows that
-are still open are kept however old they are.
-
-Why not one chained streaming aggregation: that would hold each
-``(window, user)`` basket as one state row and explode its pairs in one task.
-Instead each micro-batch (``foreachBatch``)
-
-1. drops late rows and writes the batch's distinct ``(window, user, item)``
-   rows to ``log/batch_id=n``, one folder per window (overwrite per batch, so
-   replays are idempotent);
-2. advances the watermark and the index of open windows (per window the
-   batches that have rows of it), kept as one row per batch: it grows with
-   the windows that are open, not with the stream;
-3. for the windows that closed reads exactly the folders that the index names
-   and counts pairs with the blocked, skew-safe batch operator, scoped by
-   window.
-
-Only batch 0 may start without the previous batch's row; if it is missing
-later the state is lost and the batch fails.
+One watermarked streaming aggregation de-duplicates ``(window, user, item)``
+in append mode: its state is one small row per distinct view of the windows
+that are still open, spread over all state partitions however hot a user or a
+window is. When the watermark (latest event time seen minus the delay) passes a
+window's end, Spark emits all its rows in one micro-batch and drops them from
+the state; that batch is paired by the blocked, skew-safe batch operator,
+scoped by window. Late rows are Spark's to drop.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from basketflow.operators.recommender import DEFAULT_BLOCK_SIZE, pair_support
 
-LOG_SCHEMA = "window_start timestamp_ntz, window_end timestamp_ntz, user string, item string"
-META_SCHEMA = "wm bigint, open array<struct<wkey: bigint, batches: array<int>>>"
-
-
-class WindowedPairs:
-    """``foreachBatch`` function; ``sink(df, batch_id)`` receives
-    ``(window_start, window_end, a, b, cnt)`` for the windows closed by the
-    batch. A bounded replay ends with :meth:`flush`."""
-
-    def __init__(self, spark: SparkSession, state_dir: str,
-                 sink: Callable[[DataFrame, int], None], ts: str = "ts",
-                 window: str = "1 day", delay_seconds: int = 0, min_basket: int = 2,
-                 min_support: int = 1, block_size: int = DEFAULT_BLOCK_SIZE):
-        self.spark = spark
-        self.log_dir = os.path.join(state_dir, "log")
-        self.meta_dir = os.path.join(state_dir, "meta")
-        self.sink = sink
-        self.ts = ts
-        self.window = window
-        self.delay = int(timedelta(seconds=delay_seconds) / timedelta(microseconds=1))
-        self.min_basket = min_basket
-        self.min_support = min_support
-        self.block_size = block_size
-
-    def _meta(self, batch_id: int) -> tuple[int | None, dict[int, list[int]]]:
-        """(watermark, {open window: batches with rows of it}) after a batch."""
-        if batch_id < 0:
-            return None, {}
-        row = self.spark.read.schema(META_SCHEMA).parquet(
-            os.path.join(self.meta_dir, f"batch_id={batch_id}")).first()
-        return row.wm, {w.wkey: list(w.batches) for w in row.open}
-
-    def _write_meta(self, batch_id: int, wm: int | None, windows: dict[int, list[int]]) -> None:
-        (self.spark.createDataFrame([(wm, sorted(windows.items()))], META_SCHEMA).coalesce(1)
-         .write.mode("overwrite").parquet(os.path.join(self.meta_dir, f"batch_id={batch_id}")))
-
-    def _emit(self, closed: dict[int, list[int]], batch_id: int) -> None:
-        paths = [os.path.join(self.log_dir, f"batch_id={b}", f"wkey={w}")
-                 for w, batches in sorted(closed.items()) for b in batches]
-        rows = (self.spark.read.schema(LOG_SCHEMA).parquet(*paths) if paths
-                else self.spark.createDataFrame([], LOG_SCHEMA))
-        self.sink(pair_support(rows, self.min_basket, self.min_support, self.block_size,
-                               scope=("window_start", "window_end")), batch_id)
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        prev, windows = self._meta(batch_id - 1)
-        ts = F.col(self.ts).cast("timestamp_ntz")
-        w = F.window("ts", self.window)
-        # Two uses (log write, latest event time): read the batch once.
-        rows = (batch.select(ts.alias("ts"), F.col("user"), F.col("item").cast("string"))
-                .where("ts is not null").persist(StorageLevel.MEMORY_AND_DISK))
-        try:
-            timed = (rows.select(w.start.alias("window_start"), w.end.alias("window_end"),
-                                 "user", "item").withColumn("wkey", _micros(F.col("window_end"))))
-            if prev is not None:
-                timed = timed.where(F.col("wkey") > F.lit(prev))
-            # Range partitioning on (window, user, item) gives every task a
-            # contiguous key range, so it writes one or two window folders (not
-            # one file per window per task); it also satisfies the distinct,
-            # which then needs no shuffle of its own.
-            n_parts = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            log = os.path.join(self.log_dir, f"batch_id={batch_id}")
-            (timed.repartitionByRange(n_parts, "wkey", "user", "item").distinct()
-             .write.mode("overwrite").partitionBy("wkey").parquet(log))
-            latest = rows.agg(F.max(_micros(F.col("ts"))).alias("m")).first().m
-            # The windows of this batch: one key per window that it has rows of.
-            for r in timed.select("wkey").distinct().collect():
-                windows.setdefault(r.wkey, []).append(batch_id)
-        finally:
-            rows.unpersist()
-        wm = prev if latest is None else max(latest - self.delay, prev if prev is not None else latest - self.delay)
-        closed = {k: b for k, b in windows.items() if wm is not None and k <= wm}
-        self._emit(closed, batch_id)
-        self._write_meta(batch_id, wm, {k: b for k, b in windows.items() if k not in closed})
-
-    def flush(self, last_batch: int) -> None:
-        """Emit the windows still open after ``last_batch``, as batch
-        ``last_batch + 1``. For bounded replays only: a live stream's open
-        windows may still get rows."""
-        wm, windows = self._meta(last_batch)
-        self._emit(windows, last_batch + 1)
-
-
-def _micros(col: Column) -> Column:
-    """Wall-clock microseconds since 1970 (no time zone involved)."""
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col)
+CLOSING_SCHEMA = "ts timestamp_ntz, user string, item string"
+
+
+def closed_views(views: DataFrame, ts: str = "ts", window: str = "1 day",
+                 delay: str = "0 seconds") -> DataFrame:
+    """Streaming ``(window_start, window_end, user, item)``: the distinct views
+    of windows that have closed. Rows without a time are ignored."""
+    w = F.window("ts", window)
+    rows = (views.select(F.col(ts).cast("timestamp").alias("ts"), F.col("user").cast("string").alias("user"),
+                         F.col("item").cast("string").alias("item"))
+            .where("ts is not null").withWatermark("ts", delay))
+    return (rows.groupBy(w.alias("w"), "user", "item").count()
+            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "user", "item"))
+
+
+def start_windowed_pairs(views: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None],
+                         ts: str = "ts", window: str = "1 day", delay: str = "0 seconds",
+                         min_basket: int = 2, min_support: int = 1,
+                         block_size: int = DEFAULT_BLOCK_SIZE,
+                         trigger: dict | None = None) -> StreamingQuery:
+    """Start the query; ``sink(df, batch_id)`` receives ``(window_start,
+    window_end, a, b, cnt)`` for the windows that the batch closed. The session
+    time zone must be UTC if ``ts`` has no zone (the package default)."""
+    def emit(batch: DataFrame, batch_id: int) -> None:
+        sink(pair_support(batch, min_basket, min_support, block_size,
+                          scope=("window_start", "window_end")), batch_id)
+
+    return (closed_views(views, ts, window, delay).writeStream.outputMode("append")
+            .option("checkpointLocation", checkpoint).foreachBatch(emit)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def closing_row(spark: SparkSession, latest: datetime, days: float) -> DataFrame:
+    """One ``(ts, user, item)`` row without user and item, ``days`` after
+    ``latest``: as the last input of a bounded replay it moves the watermark
+    past the windows that are still open. ``days`` must exceed the delay plus
+    the window. A live stream's open windows may still get rows: never use it
+    there."""
+    return spark.createDataFrame([(latest + timedelta(days=days), None, None)], CLOSING_SCHEMA)
