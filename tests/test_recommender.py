@@ -234,3 +234,26 @@ def test_min_basket_counts_the_whole_basket_when_pruning(spark):
     for size in (1, 2, 2048):
         got = {(r.a, r.b): r.cnt for r in pair_support(views, 3, 2, size, prune=True).collect()}
         assert got == brute_pairs(rows, min_support=2, min_basket=3) == {("1", "2"): 2}
+
+
+def test_size_lookup_does_not_grow_with_partitions(spark):
+    """The lookup stays below the views at any number of partitions; the
+    groups that are broadcast are fewer than the partitions."""
+    from basketflow.operators.skew import size_lookup, with_large_size
+    views = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 300).alias("user"), F.col("id").alias("item"))
+    want = {r.user: r["count"] for r in views.groupBy("user").count().collect()}
+    for partitions in (1, 8, 10_000):
+        hot, lookup = size_lookup(views, ["user"], 20, "n", partitions)
+        assert len(want) <= lookup.count() <= 9 * 9000 // 20 and hot.count() <= partitions
+        got = with_large_size(views, ["user"], "item", 20, "n", partitions)
+        assert got.columns == ["user", "item", "n"]
+        rows = got.collect()
+        assert len(rows) == 9000 and all(r.n == want[r.user] for r in rows)
+    assert [r.user for r in size_lookup(views, ["user"], 20, "n", 8)[0].collect()] == [-1]
+    # A basket just above the block size is one row.
+    basket = spark.range(2049).selectExpr("id % 1 AS user", "id AS item")
+    others = spark.range(2_000_000).selectExpr("1 + id % 500000 AS user", "id AS item")
+    assert size_lookup(basket.union(others), ["user"], 2048, "n", 200)[1].count() == 1
+    assert size_lookup(basket.union(others), ["user"], 2048, "n", 10_000)[1].count() == 9
+    assert size_lookup(views.limit(0), ["user"], 3, "n", 8)[1].count() == 0
