@@ -24,3 +24,9 @@ def hash_split_flag(key: str | Column, train_fraction: float = 0.7,
     """True for rows assigned to the training side."""
     cut = int(round(train_fraction * buckets))
     return hash_bucket(key, buckets) < F.lit(cut)
+
+
+def order_hash(key: str | Column) -> Column:
+    """The first 15 hex digits of ``md5(key)`` as a number (60 bits)."""
+    k = F.col(key) if isinstance(key, str) else key
+    return F.conv(F.substring(F.md5(k.cast("string")), 1, 15), 16, 10).cast("bigint")

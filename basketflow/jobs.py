@@ -35,6 +35,7 @@ from basketflow.sources.csv import CHURN_SCHEMA, PRODUCT_SCHEMA, read_csv_by_pos
 from basketflow.sources.kafka import read_kafka_stream
 from basketflow.sources.views import views_from_text
 from basketflow.streaming.counts import running_word_counts, with_stored_seed
+from basketflow.streaming.observed import BatchLog, observed
 from basketflow.streaming.recommend import RunningQueries, RunningRecommender
 from basketflow.streaming.settings import stream_partitions
 from basketflow.streaming.triggers import (
@@ -134,7 +135,7 @@ def stateful_word_count(lines: DataFrame, checkpoint: str, brokers: str | None =
             batch.unpersist()
 
     sink = with_stored_seed(lines.sparkSession, checkpoint, emit, initial_state)
-    writer = with_trigger(counts.writeStream.outputMode("update")
+    writer = with_trigger(observed(counts).writeStream.outputMode("update")
                           .option("checkpointLocation", checkpoint).foreachBatch(sink), interval)
     with stream_partitions(lines.sparkSession):
         return writer.start()
@@ -145,7 +146,7 @@ def structured_word_count(lines: DataFrame, checkpoint: str,
                           interval: str = STRUCTURED_WORD_COUNT_INTERVAL) -> StreamingQuery:
     """Whole table re-printed every trigger (complete mode, console)."""
     counts = running_word_counts(lines, "value", "keep_all")
-    writer = with_trigger(console_sink(counts, "complete", num_rows=20)
+    writer = with_trigger(console_sink(observed(counts), "complete", num_rows=20)
                           .option("checkpointLocation", checkpoint), interval)
     with stream_partitions(lines.sparkSession):
         return writer.start()
@@ -241,6 +242,8 @@ def main(argv: list[str] | None = None) -> None:
                                     initial_state=initial)
         else:
             q = structured_word_count(lines, args.checkpoint)
+        # One line per micro-batch, from Spark's listener.
+        spark.streams.addListener(BatchLog(print))
         q.awaitTermination()
 
 

@@ -38,7 +38,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StringType
 
@@ -48,6 +48,9 @@ from basketflow.session import materialise
 # Target number of distinct items per block of a basket (bounds the block arrays
 # and the pairs one task generates: about DEFAULT_BLOCK_SIZE**2).
 DEFAULT_BLOCK_SIZE = 2048
+# Hash buckets of the two-pass pair filter (bits of its table).
+DEFAULT_BUCKETS = 1 << 24
+MAX_BUCKETS = 1 << 26
 
 
 def distinct_views(views: DataFrame, user: str = "user", item: str = "item",
@@ -190,17 +193,57 @@ def item_pairs(views: DataFrame, min_basket: int = 2, min_support: int = 1,
     return inner.unionByName(cross)
 
 
+def frequent_buckets(pairs: DataFrame, min_support: int, buckets: int,
+                     scope: Sequence[str] = ()) -> DataFrame:
+    """``(word, bits)``: the hash buckets that at least ``min_support`` pairs
+    fall into, as a bit table of at most ``buckets / 64`` rows.
+
+    Counting is partial: a task shuffles at most one row per bucket, however
+    many pairs it makes.
+    """
+    bucket = _pair_bucket(buckets, scope)
+    counted = pairs.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")) \
+        .where(F.col("n") >= F.lit(min_support))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("bucket") % 64).cast("int"))
+    return counted.groupBy(F.shiftright("bucket", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
+def _pair_bucket(buckets: int, scope: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*scope, "a", "b"), F.lit(buckets).cast("bigint"))
+
+
+def drop_rare_buckets(pairs: DataFrame, min_support: int, buckets: int = DEFAULT_BUCKETS,
+                      scope: Sequence[str] = ()) -> DataFrame:
+    """A1 + P8, second pass: ``pairs`` without those whose bucket is below the
+    support. Exact: a pair can not occur more often than its bucket is hit.
+
+    The bit table is broadcast: ``buckets / 64`` rows of two longs at most
+    (4 MB by default), whatever the data.
+    """
+    if not 64 <= buckets <= MAX_BUCKETS:
+        raise ValueError(f"buckets must be between 64 and {MAX_BUCKETS}")
+    table = F.broadcast(frequent_buckets(pairs, min_support, buckets, scope))
+    bucket = _pair_bucket(buckets, scope)
+    tagged = pairs.withColumn("word", F.shiftright(bucket, 6)).withColumn("_bit", (bucket % 64).cast("int"))
+    return tagged.join(table, "word").where(F.getbit("bits", F.col("_bit")) == 1).drop("word", "bits", "_bit")
+
+
 def pair_support(views: DataFrame, min_basket: int = 2, min_support: int = 2,
                  block_size: int = DEFAULT_BLOCK_SIZE, user: str = "user",
                  item: str = "item", prune: bool = False,
-                 scope: Sequence[str] = ()) -> DataFrame:
+                 scope: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """P5 + A1 + P8: ``(scope..., a, b, cnt)`` = number of baskets (of the
     same scope) holding both.
 
     Pairs seen in fewer than ``min_support`` baskets are dropped (the batch
-    job uses 2, the streaming job 1).
+    job uses 2, the streaming job 1). With ``buckets`` a first pass over the
+    pairs fills a bounded bit table, and pairs of rare buckets go before the
+    shuffle (:func:`drop_rare_buckets`). Both passes read the same shuffled
+    blocks. It pays off where most pairs occur once.
     """
     pairs = item_pairs(views, min_basket, min_support, block_size, user, item, prune, scope)
+    if buckets is not None and min_support > 1:
+        pairs = drop_rare_buckets(pairs, min_support, buckets, scope)
     counted = pairs.groupBy(*scope, "a", "b").agg(F.count(F.lit(1)).alias("cnt"))
     if min_support > 1:
         counted = counted.where(F.col("cnt") >= F.lit(min_support))

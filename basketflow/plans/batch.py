@@ -10,6 +10,7 @@ from basketflow.functions.maps import merge_count_maps
 from basketflow.functions.parse import message_value, parse_view_line
 from basketflow.functions.payload import recommendation_payload
 from basketflow.operators.recommender import (
+    DEFAULT_BUCKETS,
     baskets, cooccurrence, nest_recommendations, pair_support, recommendations_flat,
     top_neighbours,
 )
@@ -69,6 +70,13 @@ def cooc_pairs_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("a").alias("item_a"), F.col("b").alias("item_b"), "cnt"))
 
 
+def cooc_pairs_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same result as ``cooc_pairs`` through the exact two-pass bucket filter
+    (pairs of rare hash buckets removed before the counting shuffle)."""
+    return (pair_support(order_part_views(spark, sf_dir), min_support=2, buckets=DEFAULT_BUCKETS)
+            .select(F.col("a").alias("item_a"), F.col("b").alias("item_b"), "cnt"))
+
+
 def cooc_pairs_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same result as ``cooc_pairs`` with 3-item join blocks, so every order
     with more than three parts takes the hot-basket (multi-block) path."""
@@ -195,6 +203,7 @@ BATCH_QUERIES = {
     "cooc_recs_text": cooc_recs_text,
     "cooc_baskets": cooc_baskets,
     "cooc_pairs_pruned": cooc_pairs_pruned,
+    "cooc_pairs_bucketed": cooc_pairs_bucketed,
     "cooc_customer_pairs": cooc_customer_pairs,
     "cooc_pairs_blocked": cooc_pairs_blocked,
     "cooc_top_recs": cooc_top_recs,

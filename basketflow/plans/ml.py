@@ -14,6 +14,7 @@ from pyspark.sql.types import (
 )
 
 from basketflow.functions.splits import hash_split_flag
+from basketflow.ml.dictionary import apply_codes, fit_codes
 from basketflow.ml.evaluation import auroc, auroc_exact
 from basketflow.ml.features import (
     assemble, hash_split, index_strings, vector_column_to_array, with_sides,
@@ -21,10 +22,13 @@ from basketflow.ml.features import (
 from basketflow.ml.models import (
     feature_pipeline, load_model, product_pipeline, save_model,
 )
+from basketflow.ml.selection import exact_split
 from basketflow.plans.tables import table
 from basketflow.session import scratch_dir
 from basketflow.sources.csv import read_csv_by_position
-from basketflow.sources.json import flatten_product_views, read_product_views
+from basketflow.sources.json import (
+    flatten_product_views, read_hit_arrays, read_product_views, variant_product_views,
+)
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,25 +242,77 @@ def product_flag_score(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("prediction") == F.lit(yes)).cast("int").alias("prediction"))
 
 
-def product_characteristics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M12 with more characteristics than the training table's columns: the
-    further ones are kept, in order, in one list column."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+def product_views_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 over every line of ``lineitem`` as a viewed product, with more
+    characteristics than the training table's columns: the further ones are
+    kept, in order, in one list column."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_extendedprice")
+    product = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
     chars = F.transform(
         F.sequence(F.lit(1), F.lit(12)), lambda i: F.struct(
             F.concat(F.lit("c"), i.cast("string")).alias("name"),
             F.concat_ws("-", F.col("l_returnflag"), i.cast("string")).alias("value")))
-    hits = lines.where("l_linenumber = 1").select(F.struct(
+    hits = lines.select(F.struct(
         F.col("l_orderkey").cast("string").alias("sessionId"),
-        F.struct(F.col("l_orderkey").cast("string").alias("id"),
-                 F.lit(None).cast("double").alias("price"),
-                 F.struct(F.lit("t").alias("title")).alias("category"),
+        F.struct(product.alias("id"), F.col("l_extendedprice").alias("price"),
+                 F.struct(F.col("l_returnflag").alias("title")).alias("category"),
                  chars.alias("characteristic")).alias("product")).alias("_source"))
     flat = flatten_product_views(hits, further="further")
-    return flat.select("product_id", "characteristic_1", "characteristic_10",
+    return flat.select("session_id", "product_id", "category_title", "price", "characteristic_1", "characteristic_10",
                        F.array_join("further", ",").alias("further"))
 
 
+def string_index_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 by a table of codes: an id column (customer names) and a column of a
+    few frequent values, ties alphabetical."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    for col, out in (("c_name", "name_idx"), ("c_mktsegment", "segment_idx")):
+        customers = apply_codes(customers, col, fit_codes(customers, col), out)
+    return customers.select("c_custkey", "name_idx", "segment_idx")
+
+
+def string_index_table_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 by a table of codes fitted on the training side: parts that occur
+    there get their rank, all others the number of codes."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    train, _ = hash_split(lines, "l_orderkey")
+    return apply_codes(lines, "l_partkey", fit_codes(train, "l_partkey"), "part_idx", "keep") \
+        .groupBy("l_partkey", "part_idx").agg(F.count("*").alias("n"))
+
+
+def exact_split_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 with exact sizes: 70 % of the orders, to the row."""
+    train, test = exact_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
+    return with_sides(train, test)
+
+
+def hit_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits in the export's form, one array per file, read as VARIANT."""
+    part = table(spark, sf_dir, "part")
+    product = F.struct(
+        F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("title"),
+        F.format_string("2024-01-%02dT10:00:00.000Z", (F.col("p_size") % 28 + 1).cast("int")).alias("date"),
+        F.round(F.col("p_retailprice").cast("decimal(18,4)"), 2).alias("price"),
+        (F.col("p_size") % 2 == 0).alias("enabled"),
+        F.array("p_brand", "p_type").alias("tags"),
+        F.transform(F.sequence(F.lit(0), F.col("p_size") % 3), lambda i: F.struct(
+            F.concat(F.lit("n"), i.cast("string")).alias("name"), F.concat_ws("/", F.col("p_brand"), i.cast("string")).alias("value")))
+        .alias("characteristic"))
+    hits = part.select(
+        F.floor(F.col("p_partkey") / 500).alias("file"),
+        F.struct(F.lit("product-views").alias("_index"), F.col("p_partkey").cast("string").alias("_id"),
+                 F.struct(F.lit("s1").alias("sessionId"), product.alias("product")).alias("_source")).alias("hit"))
+    # 500 hits a file, as one pretty-printed array.
+    files = hits.groupBy("file").agg(F.to_json(F.collect_list("hit"), {"pretty": "true"}).alias("value"))
+    path = scratch_dir(spark, "hit-arrays")
+    files.write.partitionBy("file").text(path)
+    views = variant_product_views(read_hit_arrays(spark, path))
+    return views.select("product_id", "price", "enabled", F.date_format("viewed_at", "yyyy-MM-dd HH:mm:ss").alias("viewed_at"),
+                        F.array_join("tags", ",").alias("tags"),
+                        F.array_join(F.transform("characteristic", lambda c: F.concat_ws("=", c["name"], c["value"])), ",")
+                        .alias("characteristics"))
+
+
 ML_QUERIES = {
     "hash_split": hash_split_query,
     "string_index_error": string_index_error,
@@ -273,5 +329,9 @@ ML_QUERIES = {
     "csv_declared_schema": csv_declared_schema,
     "json_views_flat": json_views_flat,
     "product_flag_score": product_flag_score,
-    "product_characteristics": product_characteristics,
+    "product_views_wide": product_views_wide,
+    "string_index_table": string_index_table,
+    "string_index_table_keep": string_index_table_keep,
+    "exact_split": exact_split_query,
+    "hit_arrays": hit_arrays,
 }

@@ -57,6 +57,9 @@ BATCH_ORACLES = {
     "cooc_pairs_pruned": f"""
         WITH p AS ({_pairs(_ORDER_PART)})
         SELECT a AS item_a, b AS item_b, cnt FROM p""",
+    "cooc_pairs_bucketed": f"""
+        WITH p AS ({_pairs(_ORDER_PART)})
+        SELECT a AS item_a, b AS item_b, cnt FROM p""",
     "cooc_pairs_blocked": f"""
         WITH p AS ({_pairs(_ORDER_PART)})
         SELECT a AS item_a, b AS item_b, cnt FROM p""",
@@ -136,6 +139,9 @@ STREAM_ORACLES = {
     "wc_stream_update": f"""
         SELECT batch_id, word, cnt, '(' || word || ',' || CAST(cnt AS VARCHAR) || ')' AS payload
         FROM ({_UPDATE_COUNTS})""",
+    "wc_stream_delivered": f"""
+        SELECT batch_id, '(' || word || ',' || CAST(cnt AS VARCHAR) || ')' AS payload
+        FROM ({_UPDATE_COUNTS})""",
     "wc_stream_warm_start": f"""
         SELECT batch_id, word, cnt, '(' || word || ',' || CAST(cnt AS VARCHAR) || ')' AS payload
         FROM ({_UPDATE_COUNTS}) WHERE batch_id >= 1""",
@@ -254,9 +260,30 @@ ML_ORACLES = {
                CASE WHEN {_train('p_partkey')} THEN 'train' ELSE 'test' END AS side,
                CASE WHEN regexp_matches(p_brand, '^Brand#[12]') THEN 1 ELSE 0 END AS prediction
         FROM part""",
-    "product_characteristics": """
-        SELECT CAST(l_orderkey AS VARCHAR) AS product_id, l_returnflag || '-1' AS characteristic_1,
-               l_returnflag || '-10' AS characteristic_10,
+    "product_views_wide": """
+        SELECT CAST(l_orderkey AS VARCHAR) AS session_id,
+               l_orderkey || '-' || l_linenumber || '-' || l_partkey AS product_id,
+               l_returnflag AS category_title, l_extendedprice AS price,
+               l_returnflag || '-1' AS characteristic_1, l_returnflag || '-10' AS characteristic_10,
                l_returnflag || '-11,' || l_returnflag || '-12' AS further
-        FROM lineitem WHERE l_linenumber = 1""",
+        FROM lineitem""",
+    "string_index_table": f"""
+        SELECT c_custkey, n.idx AS name_idx, s.idx AS segment_idx FROM customer c
+        JOIN ({_rank('c_name', 'customer')}) n ON n.c_name = c.c_name
+        JOIN ({_rank('c_mktsegment', 'customer')}) s ON s.c_mktsegment = c.c_mktsegment""",
+    "string_index_table_keep": f"""
+        WITH tr AS (SELECT CAST(l_partkey AS VARCHAR) AS part FROM lineitem WHERE {_train('l_orderkey')}),
+        r AS ({_rank('part', 'tr')})
+        SELECT l_partkey, coalesce(r.idx, (SELECT COUNT(*) FROM r))::DOUBLE AS part_idx, COUNT(*) AS n
+        FROM lineitem LEFT JOIN r ON r.part = CAST(l_partkey AS VARCHAR) GROUP BY 1, 2""",
+    "exact_split": """
+        SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY substr(md5(o_orderkey::VARCHAR), 1, 15), o_orderkey)
+                                     <= floor(0.7 * (SELECT COUNT(*) FROM orders) + 0.5)
+                                THEN 'train' ELSE 'test' END AS side FROM orders""",
+    "hit_arrays": """
+        SELECT p_partkey::VARCHAR AS product_id, CAST(p_retailprice AS DECIMAL(18, 2)) AS price, p_size % 2 = 0 AS enabled,
+               printf('2024-01-%02d 10:00:00', p_size % 28 + 1) AS viewed_at, p_brand || ',' || p_type AS tags,
+               array_to_string(list_transform(range(0, p_size % 3 + 1), lambda i: 'n' || i || '=' || p_brand || '/' || i), ',')
+                   AS characteristics
+        FROM part""",
 }

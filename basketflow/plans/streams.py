@@ -21,6 +21,8 @@ from basketflow.functions.parse import parse_view_line
 from basketflow.operators.recommender import nest_recommendations, recommendations_flat
 from basketflow.operators.wordcount import word_counts
 from basketflow.plans.tables import table
+from basketflow.session import scratch_dir
+from basketflow.sinks.delivery import FileDelivery, read_delivered, start_delivery
 from basketflow.sinks.writers import BatchTableWriter, read_batches
 from basketflow.streaming.counts import running_word_counts, start_counts
 from basketflow.streaming.harness import SlicedFileStream, slice_ids
@@ -257,7 +259,23 @@ def wc_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.select("key.word", F.col("value.count").alias("cnt"))
 
 
+def wc_stream_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U3 + K1: the running counts' payloads sent partition by partition, one
+    transaction per epoch and partition, and read back from the transport."""
+    lines = event_slices(spark, sf_dir).select("slice", "ts", F.col("event_type").alias("value"))
+    folder = scratch_dir(spark, "delivered")
+
+    def start(stream_df, checkpoint):
+        counts = running_word_counts(stream_df, "value", "drop_trailing")
+        return start_delivery(counts, word_count_payload("word", "cnt"), "word", checkpoint,
+                              FileDelivery(folder), partitions=4)
+
+    _replay(spark, lines, start)
+    return read_delivered(spark, folder).select(F.col("epoch").alias("batch_id"), F.col("value").alias("payload"))
+
+
 STREAM_QUERIES = {
+    "wc_stream_delivered": wc_stream_delivered,
     "wc_stream_update": wc_stream_update,
     "stream_restart_counts": stream_restart_counts,
     "wc_stream_warm_start": wc_stream_warm_start,

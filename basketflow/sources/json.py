@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 N_CHARACTERISTICS = 10
@@ -65,3 +65,34 @@ def flatten_product_views(hits: DataFrame, flag: str | None = None,
     if flag is not None:
         cols.append(F.col(flag).cast("string").alias("flag"))
     return hits.select(*cols)
+
+
+def read_hit_arrays(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, hit)``: exported hits in array form, one array per file, each
+    hit a VARIANT.
+
+    A file is one value (VARIANT allows 128 MB), so files are the unit of
+    parallelism; hits may differ in shape, nothing is inferred or lost. A file
+    that is no array of JSON fails the job; an empty array has no hits.
+    """
+    files = spark.read.text(path, wholetext=True) \
+        .select(F.input_file_name().alias("file"), F.parse_json("value").alias("array"))
+    elements = spark.tvf.variant_explode(F.col("array").outer())
+    return files.lateralJoin(elements).select("file", F.col("value").alias("hit"))
+
+
+def variant_product_views(hits: DataFrame, hit: str = "hit") -> DataFrame:
+    """The domain class of a product view, from VARIANT hits: ids and titles as
+    text, ``price`` as an exact decimal, ``enabled`` as a boolean and
+    ``viewed_at`` from the product's ISO time string. Fields that a hit lacks are
+    null; a field of another type than declared fails the job."""
+    def field(path: str, kind: str) -> Column:
+        return F.variant_get(F.col(hit), f"$._source.{path}", kind)
+
+    return hits.select(
+        field("sessionId", "string").alias("session_id"), field("product.id", "string").alias("product_id"),
+        field("product.title", "string").alias("title"), field("product.price", "decimal(18,2)").alias("price"),
+        field("product.enabled", "boolean").alias("enabled"),
+        field("product.date", "timestamp").cast("timestamp_ntz").alias("viewed_at"),
+        field("product.tags", "array<string>").alias("tags"),
+        field("product.characteristic", "array<struct<name:string,value:string>>").alias("characteristic"))
