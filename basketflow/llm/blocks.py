@@ -15,9 +15,11 @@ import struct
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketflow.llm.graph import written
+
 #: Entries that a task gathers before it packs them.
 GATHER = 250_000
 #: Entries in a block at most: an Arrow batch of blocks then stays small.
@@ -266,6 +268,58 @@ def by_spot(compare):
     return run
 
 
+def crowded_groups(rows: DataFrame, place: list[str], member: str, limit: int) -> DataFrame:
+    """(place, ``_blocks``, ``_pivot``): the groups by ``place`` of more than
+    ``limit`` rows, with their number of blocks and their smallest member. Write
+    it before joining with it: Spark can then split a hot group's side."""
+    return rows.groupBy(*place).agg(F.count("*").alias("_n"), F.min(member).alias("_pivot")).where(F.col("_n") > limit) \
+        .select(*place, F.ceil(F.col("_n") / limit).cast("int").alias("_blocks"), "_pivot")
+
+
+def _block(member: str, blocks) -> Column:
+    return F.pmod(F.xxhash64(member), blocks).cast("int")
+
+
+def own_blocks(rows: DataFrame, crowded: DataFrame, place: list[str], member: str) -> DataFrame:
+    """``rows`` with ``block``: crowded groups are cut by a hash of ``member``,
+    other groups are one block."""
+    return rows.join(crowded.select(*place, "_blocks"), place, "left") \
+        .withColumn("block", _block(member, F.coalesce("_blocks", F.lit(1)))).drop("_blocks")
+
+
+def pivots(crowded: DataFrame, place: list[str], member: str) -> DataFrame:
+    """(place, member, block): the pivot of each crowded group in every block
+    but its own, so that all members meet it."""
+    every = crowded.select(*place, F.col("_pivot").alias(member), "_blocks",
+                           F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("block"))
+    return every.where(F.col("block") != _block(member, F.col("_blocks"))).drop("_blocks")
+
+
+def open_blocks(rows: DataFrame, crowded: DataFrame, place: list[str], member: str, name: str) -> DataFrame:
+    """What the first meetings (blocks and pivots) leave to compare: ``rows`` of
+    crowded groups that still hold different ``label`` values, with ``lo`` and
+    ``hi``, the pair of blocks that meet, and ``block``.
+
+    Members with the group's most frequent label are linked already and need
+    not meet each other. The others meet everyone: their blocks meet all
+    blocks, and so the copies of a row stay as few as the others' blocks.
+    """
+    per = rows.join(crowded.select(*place, "_blocks"), place).groupBy(*place, "_blocks", "label").agg(F.count("*").alias("_n"))
+    share = F.ceil(F.col("_blocks") * F.col("_main") / F.col("_all")).cast("int")
+    rest = F.ceil(F.col("_blocks") * (F.col("_all") - F.col("_main")) / F.col("_all")).cast("int")
+    still = written(per.groupBy(*place, "_blocks").agg(
+        F.max_by("label", F.struct("_n", "label")).alias("_label"), F.max("_n").alias("_main"), F.sum("_n").alias("_all"),
+        F.count("*").alias("_labels")).where("_labels > 1")
+        .select(*place, "_label", share.alias("_first"), (share + rest).alias("_end")), name)
+    main = F.col("label") == F.col("_label")
+    block = F.when(main, _block(member, F.col("_first"))) \
+        .otherwise(F.col("_first") + _block(member, F.col("_end") - F.col("_first")))
+    other = F.explode(F.sequence(F.when(main, F.col("_first")).otherwise(F.lit(0)), F.col("_end") - 1))
+    return rows.join(still, place).withColumn("block", block).withColumn("_other", other) \
+        .withColumn("lo", F.least("block", "_other")).withColumn("hi", F.greatest("block", "_other")) \
+        .drop("_label", "_first", "_end", "_other")
+
+
 def in_blocks(rows: DataFrame, place: list[str], member: str, limit: int) -> DataFrame:
     """``rows`` with ``spot``, ``block`` and ``cross``: groups by ``place`` of
     more than ``limit`` rows are cut into blocks by a hash of ``member``, and

@@ -67,7 +67,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     ``b``); the component is its smallest node. Self loops only name a node;
     rows with a null end are ignored.
 
-    Every task first reduces its own edges to a forest of stars. Then
+    Edges are made distinct, then every task reduces its own to a forest of stars. Then
     large-star and small-star steps alternate until the edges stop changing:
     every node hangs its larger neighbours, then its smaller ones, below the
     smallest one. Rounds grow with the logarithm of the longest path. A node
@@ -78,8 +78,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     spark = edges.sparkSession
     ready(spark, 10_000)
     pair = "a long, b long"
+    # Equal edges of all tasks first: else each task repeats a hub's star.
     cur = written(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
-                  .where("a is not null and b is not null").mapInArrow(_forest, pair), name)
+                  .where("a is not null and b is not null").distinct().mapInArrow(_forest, pair), name)
     seen = None
     while True:
         mark = cur.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a") % 1000003)).first()

@@ -20,6 +20,12 @@ candidates without the texts.
 What is left, directly or over others, forms families; families are compared
 exactly, block of documents by block of documents, and the links give the
 components. No pairs are written.
+
+Signature groups and families above a block meet in two steps. First every
+member meets its own block and the group's pivot (its smallest member), which
+is linear in the group and joins copies of one text. Then components are
+contracted, and only members outside the group's largest component still meet
+the other blocks: members of one component need no further link.
 """
 
 from __future__ import annotations
@@ -29,7 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.blocks import KEY_BYTES, Packer, _runs, buckets_of, by_bucket, by_spot, groups, in_blocks
+from basketflow.llm.blocks import (
+    KEY_BYTES, Packer, _runs, buckets_of, by_bucket, by_spot, crowded_groups, groups, open_blocks, own_blocks, pivots,
+)
 from basketflow.llm.graph import components, release, written
 from basketflow.llm.words import Words, mix, ready, slices, text_buffers
 
@@ -344,6 +352,54 @@ def _compare(ids: list[int], rows: list, percent: int):
         yield pa.record_batch([pa.array(ids[at]), pa.array(label[at])], names=["a", "b"])
 
 
+def _spots(rows: DataFrame, *place: str) -> DataFrame:
+    """Rows for :func:`_near_sketches`, dealt and sorted by a hash of place."""
+    return rows.withColumn("spot", F.xxhash64(*place)).select("spot", "block", "cross", "rep", "n", "sketch") \
+        .repartition("spot").sortWithinPartitions("spot", "n")
+
+
+def _labelled(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """``rows`` with ``label``: the component of ``rep`` so far."""
+    return rows.join(linked, rows["rep"] == linked["node"], "left") \
+        .withColumn("label", F.coalesce("component", "rep")).drop("node", "component")
+
+
+def _families(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(node, component) over the sets that share a signature, from entries
+    (sig, rep)."""
+    shape = classes.select("rep", "n", "sketch")
+    crowded = written(crowded_groups(entries, ["sig"], "rep", GROUP), "jaccard-crowded")
+    met = own_blocks(entries, crowded, ["sig"], "rep").unionByName(pivots(crowded, ["sig"], "rep")) \
+        .join(shape, "rep").withColumn("cross", F.lit(False))
+    edges = written(_near_sketches(_spots(met, "sig", "block"), percent).distinct(), "jaccard-near")
+    family = components(edges, "jaccard-families")
+    if crowded.isEmpty():
+        return family
+    left = open_blocks(_labelled(entries, family), crowded, ["sig"], "rep", "jaccard-open") \
+        .join(shape, "rep").withColumn("cross", F.col("lo") != F.col("hi"))
+    more = _near_sketches(_spots(left, "sig", "lo", "hi"), percent)
+    return components(family.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), "jaccard-families")
+
+
+def _exact(named: DataFrame, todo: DataFrame, sizes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): links that span the components of each family, from members
+    (rep, rep_check, n, family) and the families' ``_blocks`` and ``_pivot``."""
+    def texts(rows: DataFrame) -> DataFrame:
+        return named.join(rows, (named["doc_id"] == rows["rep"]) & (named["check"] == rows["rep_check"])) \
+            .select("family", "lo", "hi", "doc_id", "text")
+
+    large = sizes.where("_blocks > 1")
+    cut = own_blocks(todo, sizes, ["family"], "rep").select("family", "block", "rep", "rep_check")
+    extra = pivots(large, ["family"], "rep").join(todo.select("rep", "rep_check"), "rep").select("family", "block", "rep", "rep_check")
+    own = F.col("block")
+    links = written(_links(texts(cut.union(extra).withColumn("lo", own).withColumn("hi", own)), k, percent), "jaccard-first")
+    if large.isEmpty():
+        return links
+    linked = components(links, "jaccard-first")
+    left = open_blocks(_labelled(todo, linked), large, ["family"], "rep", "jaccard-open")
+    return linked.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_links(texts(left), k, percent))
+
+
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """Components of the links ``100 * |A and B| >= percent * |A or B|`` between
@@ -369,25 +425,23 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
     classes = written(classes, "jaccard-classes")
     shared = written(_shared_signatures(named, k, percent, buckets), "jaccard-signatures")
     release(docs.sparkSession)
-    met = in_blocks(shared.distinct().join(classes.select("f1", "rep", "n", "sketch"), "f1"), ["sig"], "rep", GROUP)
-    spots = met.select("spot", "block", "cross", "rep", "n", "sketch").repartition("spot").sortWithinPartitions("spot", "n")
-    family = components(_near_sketches(spots, percent), "jaccard-families")
-    del spots, met
+    entries = written(shared.distinct().join(classes.select("f1", "rep"), "f1").select("sig", "rep"), "jaccard-entries")
+    family = _families(entries, classes, percent)
     release(docs.sparkSession)
     members = classes.join(family, classes["rep"] == family["node"]) \
         .select("rep", "rep_check", "n", F.col("component").alias("family"))
-    sizes = members.groupBy("family").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles")).where("docs > 1") \
+    sizes = members.groupBy("family").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"), F.min("rep").alias("_pivot")) \
+        .where("docs > 1") \
         .select("family", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
-                .cast("int").alias("blocks"))
-    todo = members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    texts = named.join(todo, (named["doc_id"] == todo["rep"]) & (named["check"] == todo["rep_check"])) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("family", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "doc_id", "text")
+                .cast("int").alias("_blocks"), "_pivot")
+    sizes = written(sizes, "jaccard-families")
+    todo = written(members.join(sizes.select("family"), "family"), "jaccard-members")
+    first = _exact(named, todo, sizes, k, percent)
     owned = rows.join(classes.select("f1", "f2", "rep"), ["f1", "f2"], "left")
     twice = owned.where("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("_m")) \
         .where("b < _m")
     same_id = owned.join(twice, "doc_id").where("rep > b").select(F.col("rep").alias("a"), "b")
-    linked = components(_links(texts, k, percent).union(same_id), "jaccard-links")
+    linked = components(first.union(same_id), "jaccard-links")
     out = owned.join(linked, owned["rep"] == linked["node"], "left")
     return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
                       F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id"))
