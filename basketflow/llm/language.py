@@ -22,10 +22,9 @@ from basketflow.llm.words import Words, free_name, mix, powers, ready, slices, t
 
 #: Training texts per language at most, those with the smallest id hash.
 SAMPLE = 120
-#: Words of a training text at most (a run from its middle, if it has more).
-SAMPLE_WORDS = 2000
 BITS = 16
-#: Words in one sequence of the field; longer texts are cut into several.
+#: Words that are worked on side by side: a text's chain runs over as many
+#: segments as it needs. Also the least words of a training sequence.
 SEGMENT = 64
 _LETTER = np.full(256, 0x20, dtype=np.uint8)
 _LETTER[97:123] = np.arange(97, 123)
@@ -117,9 +116,60 @@ def forward_backward(emit: np.ndarray, live: np.ndarray, step: np.ndarray, first
     return p / p.sum(axis=2, keepdims=True), alpha, beta, e, t
 
 
+def chain_marginals(emit: np.ndarray, live: np.ndarray, text: np.ndarray, step: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Marginals of whole texts, each one chain over its segments: ``emit``
+    (segments, places, languages), ``live`` which places are words, ``text`` the
+    text of each segment (a text's segments in order, all but the last full).
+
+    A segment passes messages on through the product of its places' matrices,
+    so all segments are worked on at once and only one small product per
+    segment runs along a text: forward messages from its first word to its
+    last, backward ones from the last to the first.
+    """
+    n, length, k = emit.shape
+    e = np.exp(emit - emit.max(axis=2, keepdims=True))
+    t = np.exp(step)
+    through = np.broadcast_to(np.eye(k), (n, k, k)).copy()
+    for i in range(1, length):
+        at = np.flatnonzero(live[:, i])
+        m = (through[at] @ t) * e[at, i][:, None, :]
+        through[at] = m / m.sum(axis=(1, 2), keepdims=True)
+    new = np.ones(n, dtype=bool)
+    new[1:] = text[1:] != text[:-1]
+    heads = np.flatnonzero(new)
+    count = np.diff(np.append(heads, n))
+    by_length = heads[np.argsort(-count, kind="stable")]
+    per = np.sort(count)[::-1]
+    begin, end = np.empty((n, k)), np.ones((n, k))
+    carry = np.exp(first - first.max()) * e[by_length, 0]
+    for j in range(int(per[0]) if n else 0):
+        at = by_length[:np.searchsorted(-per, -j, "left")] + j
+        if j:
+            carry = (carry[:len(at)] @ t) * e[at, 0]
+        begin[at] = carry / carry.sum(axis=1, keepdims=True)
+        carry = np.einsum("nk,nkl->nl", begin[at], through[at])
+    for j in range(int(per[0]) - 2 if n else -1, -1, -1):
+        # Texts that go on after their segment j.
+        at = by_length[:np.searchsorted(-per, -(j + 1), "left")] + j
+        back = np.einsum("nkl,nl->nk", through[at + 1], end[at + 1]) * e[at + 1, 0]
+        back = back @ t.T
+        end[at] = back / back.sum(axis=1, keepdims=True)
+    alpha, beta = np.empty_like(e), np.empty_like(e)
+    alpha[:, 0], beta[:, length - 1] = begin, end
+    for i in range(1, length):
+        a = (alpha[:, i - 1] @ t) * e[:, i]
+        alpha[:, i] = a / a.sum(axis=1, keepdims=True)
+    for i in range(length - 2, -1, -1):
+        b = (e[:, i + 1] * beta[:, i + 1]) @ t.T
+        b /= b.sum(axis=1, keepdims=True)
+        beta[:, i] = np.where(live[:, i + 1, None], b, beta[:, i + 1])
+    p = alpha * beta
+    return p / p.sum(axis=2, keepdims=True)
+
+
 def _segments(count: np.ndarray, first: np.ndarray):
-    """(word index, live) of the sequences that the words of each text are cut
-    into, and the text of each sequence."""
+    """(word index, live) of the segments that the words of each text are laid
+    out in, and the text of each segment."""
     per = -(-count // SEGMENT)
     text = np.repeat(np.arange(len(count)), per)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)
@@ -128,11 +178,27 @@ def _segments(count: np.ndarray, first: np.ndarray):
     return np.where(live, at, 0), live, text
 
 
+def _sequences(sizes: list[int]):
+    """(place, live) of training sequences: successive runs, whole, until
+    there are SEGMENT words."""
+    starts, n, total = [0], 0, 0
+    for size in sizes:
+        if n >= SEGMENT:
+            starts.append(total)
+            n = 0
+        n, total = n + size, total + size
+    starts = np.array([*starts, total])
+    at = starts[:-1, None] + np.arange(int(np.diff(starts).max()))
+    live = at < starts[1:, None]
+    return np.where(live, at, 0), live
+
+
 def fit(texts: list[str], labels: list[str], steps: int = 50, rate: float = 0.25, ridge: float = 2e-6,
         seed: int = 11) -> LanguageModel:
     """Maximise the field's likelihood by Adam on code-switched sequences: the
-    sample's texts are cut into runs of 6 to 40 words, the runs are shuffled
-    and joined, so that the transitions learn how languages change."""
+    sample's texts, whole, are cut into runs of 6 to 40 words, the runs are
+    shuffled and joined to sequences of whole runs, so that the transitions learn
+    how languages change."""
     languages = sorted(set(labels))
     k, width = len(languages), (1 << BITS) + len(languages)
     data, offs = text_buffers(pa.array([t.lower() for t in texts], pa.large_string()))
@@ -141,7 +207,6 @@ def fit(texts: list[str], labels: list[str], steps: int = 50, rate: float = 0.25
     rng, runs = random.Random(seed), []
     for d in range(len(texts)):
         lo, n = int(w.first[d]), int(w.count[d])
-        lo, n = lo + max(0, n - SAMPLE_WORDS) // 2, min(n, SAMPLE_WORDS)
         at = 0
         while at < n:
             size = min(rng.randint(6, 40), n - at)
@@ -168,7 +233,7 @@ def fit(texts: list[str], labels: list[str], steps: int = 50, rate: float = 0.25
     order = np.argsort(word, kind="stable")
     word, code = word[order], code[order]
     edge = np.searchsorted(word, np.arange(len(one)))
-    at, live, _ = _segments(np.array([len(token)]), np.array([0]))
+    at, live = _sequences([n for _, n, _ in runs])
     truth = np.eye(k)[gold[at]] * live[:, :, None]
     pairs = live[:, 1:]
     true_steps = np.einsum("sik,sil->kl", truth[:, :-1] * pairs[:, :, None], truth[:, 1:])
@@ -241,7 +306,7 @@ def label_texts(docs: DataFrame, model: LanguageModel, text_col: str = "text", s
             if not len(w.hash):
                 continue
             at, live, text = _segments(w.count, w.first)
-            p = forward_backward(_emissions(m, w)[at], live, m.step, m.first)[0] * live[:, :, None]
+            p = chain_marginals(_emissions(m, w)[at], live, text, m.step, m.first) * live[:, :, None]
             seen = np.flatnonzero(w.count)
             total = np.add.reduceat(p.sum(axis=1), np.searchsorted(text, seen), axis=0) / w.count[seen, None]
             best[lo + seen] = total.argmax(axis=1)

@@ -27,6 +27,8 @@ TREES, DEPTH = 15, 6
 #: Learned letter pairs and dictionary words at most.
 PAIRS, WORDS = 120, 300
 MASK = "[SECRET]"
+#: Candidates whose places are added up in one go.
+SUM_PIECE = 256
 # A run of 12 or more key-like characters with a digit in it, a key
 # of an issued format, or the value given to a name that says it is secret.
 _RUN = r"(?<![A-Za-z0-9_+/.\-])(?=[A-Za-z_+/.\-]*+[0-9])[A-Za-z0-9_+/.\-]{11,}[A-Za-z0-9_+/\-]={0,2}"
@@ -74,17 +76,34 @@ def _pieces(marked: Column) -> tuple[Column, Column]:
         F.regexp_extract_all(marked, F.lit(CANDIDATE), F.lit(0)), F.split(marked, CANDIDATE, -1)))
 
 
+def _sums_before(sizes: Column) -> Column:
+    """For each element of an int array the sum of those before it. An array
+    that is grown one by one is copied each time, so sums run inside pieces of
+    SUM_PIECE, then over the pieces."""
+    def running(values, of, onto):
+        return F.aggregate(values, F.struct(F.lit(0).alias("at"), onto.alias("all")), lambda a, x: F.struct(
+            (a["at"] + of(x)).alias("at"), F.concat(a["all"], F.array(a["at"])).alias("all")))
+
+    none = F.array().cast("array<int>")
+    numbers = lambda v: F.when(F.size(v) > 0, F.sequence(F.lit(0), F.floor((F.size(v) - 1) / SUM_PIECE).cast("int"))) \
+        .otherwise(none)
+    # Bound as lambda variables, arrays are worked out once.
+    once = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)
+    pieces = once(sizes, lambda v: F.transform(numbers(v), lambda b: running(
+        F.slice(v, b * SUM_PIECE + 1, F.lit(SUM_PIECE)), lambda x: x, none)))
+    return once(pieces, lambda p: F.flatten(F.zip_with(
+        p, running(p, lambda x: x["at"], none)["all"], lambda x, at: F.transform(x["all"], lambda y: y + at))))
+
+
 def _items(found: Column, between: Column) -> Column:
     """One struct per candidate: nth, start (characters from 0), finding and
     the context on both sides."""
     item = F.transform(found, lambda c, i: F.struct(
         i.alias("nth"), c.alias("finding"), F.length(F.get(between, i)).alias("gap"),
         F.right(F.get(between, i), F.lit(CONTEXT)).alias("before"), F.left(F.get(between, i + 1), F.lit(CONTEXT)).alias("after")))
-    start = F.aggregate(item, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all")),
-                        lambda a, x: F.struct((a["at"] + x["gap"] + F.length(x["finding"])).alias("at"),
-                                              F.concat(a["all"], F.array(a["at"] + x["gap"])).alias("all")),
-                        lambda a: a["all"])
-    return F.zip_with(item, start, lambda x, s: F.struct(x["nth"], s.alias("start"), x["finding"], x["before"], x["after"]))
+    sizes = F.transform(found, lambda c, i: F.length(F.get(between, i)) + F.length(c))
+    return F.zip_with(item, _sums_before(sizes), lambda x, at: F.struct(
+        x["nth"], (at + x["gap"]).alias("start"), x["finding"], x["before"], x["after"]))
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -247,6 +247,49 @@ def test_forward_backward_equals_enumeration():
     assert np.allclose(p, want / want.sum(axis=1, keepdims=True))
 
 
+def plain_marginals(emit, step, first):
+    """Sum-product word by word, in logarithms."""
+    n = len(emit)
+    a, b = np.zeros_like(emit), np.zeros_like(emit)
+    a[0] = first + emit[0]
+    for i in range(1, n):
+        a[i] = np.logaddexp.reduce(a[i - 1][:, None] + step, axis=0) + emit[i]
+    for i in range(n - 2, -1, -1):
+        b[i] = np.logaddexp.reduce(step + (emit[i + 1] + b[i + 1])[None, :], axis=1)
+    p = a + b
+    return np.exp(p - np.logaddexp.reduce(p, axis=1)[:, None])
+
+
+def test_the_chain_runs_over_whole_texts():
+    """Texts of 1 to 300 words: the marginals are those of one chain, also
+    where transitions tie far words together."""
+    import itertools
+    rng = np.random.default_rng(7)
+    step, first = 6 * np.eye(3) + rng.standard_normal((3, 3)), rng.standard_normal(3)
+    emit = rng.standard_normal((5, 3))
+    want = np.zeros((5, 3))
+    for path in itertools.product(range(3), repeat=5):
+        w = np.exp(first[path[0]] + sum(emit[i, x] for i, x in enumerate(path)) + sum(step[a, b] for a, b in zip(path, path[1:])))
+        for i, x in enumerate(path):
+            want[i, x] += w
+    assert np.allclose(plain_marginals(emit, step, first), want / want.sum(axis=1, keepdims=True))
+    count = np.array([300, 1, 64, 0, 65, 128, 5, 299])
+    starts = np.cumsum(count) - count
+    weak = 0.05 * rng.standard_normal((count.sum(), 3))
+    weak[0] += [9, 0, 0]
+    at, live, text = language._segments(count, starts)
+    p = language.chain_marginals(weak[at], live, text, step, first)[live]
+    for lo, n in zip(starts, count):
+        if n:
+            assert np.allclose(p[lo:lo + n], plain_marginals(weak[lo:lo + n], step, first), atol=1e-9)
+
+
+def test_training_sequences_hold_whole_runs():
+    sizes = [6, 40, 30, 1, 63, 64, 2]
+    at, live = language._sequences(sizes)
+    assert [r[m].tolist() for r, m in zip(at, live)] == [list(range(76)), list(range(76, 140)), list(range(140, 204)), [204, 205]]
+
+
 def test_language_ignores_held_out_rows_and_empty_tables(spark):
     schema = "doc_id long, text string, lang string"
     from zlib import crc32
@@ -448,3 +491,18 @@ def test_scan_plans_have_no_python(spark):
     for out in (score_findings(candidates(df), SecretModel()), redact_secrets(df, SecretModel())):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_places_of_very_many_candidates(spark):
+    """Places and masks of a text with 200,000 candidates, and of texts around
+    a piece's size, against plain sums."""
+    from basketflow.llm.secrets import SUM_PIECE, _sums_before
+    rows = [([],)] + [([(7 * i) % 11 for i in range(n)],) for n in (1, SUM_PIECE - 1, SUM_PIECE, SUM_PIECE + 1, 5000)]
+    got = spark.createDataFrame(rows, "v array<int>").select("v", _sums_before(F.col("v")).alias("s")).collect()
+    for v, sums in got:
+        assert sums == [sum(v[:i]) for i in range(len(v))]
+    keys = [f"k{i:06d}Zq8wT3x" for i in range(200_000)]
+    docs = spark.createDataFrame([(1, " ".join(keys))], "doc_id long, text string")
+    found = candidates(docs).select("nth", "start", "finding").orderBy("nth").collect()
+    assert [(r.nth, r.start, r.finding) for r in found] == [(i, 15 * i, k) for i, k in enumerate(keys)]
+    assert redact_secrets(docs, SecretModel()).first().text == " ".join([MASK] * 200_000)
