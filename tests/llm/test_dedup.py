@@ -254,39 +254,26 @@ def test_components_equal_brute_force(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_near_copies_cost_in_proportion(spark, monkeypatch):
-    """A group of near copies: what the join moves grows with the group, not
-    with its square, and not with the partitions."""
-    from basketflow.llm import blocks, graph, jaccard
-    rng = random.Random(8)
-    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
-    moved = {}
-    real_spots, real_links, real_components = jaccard._spots, jaccard._links, jaccard.components
-
-    def add(name, df):
-        moved[now][name] = moved[now].get(name, 0) + df.count()
-
-    monkeypatch.setattr(jaccard, "_spots", lambda rows, *p: (add("spots", rows), real_spots(rows, *p))[1])
-    monkeypatch.setattr(jaccard, "_links", lambda t, *a: (add("texts", t), real_links(t, *a))[1])
-    monkeypatch.setattr(jaccard, "components", lambda e, n: (add("edges", e.distinct()), real_components(e, n))[1])
-    for n, partitions in ((512, 8), (2048, 8), (512, 64)):
-        texts = []
-        for _ in range(n):
-            w = list(base)
-            w[rng.randrange(200)] = f"x{rng.randrange(10 ** 6)}"
-            texts.append(" ".join(w))
-        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(partitions)
-        now = (n, partitions)
-        moved[now] = {}
+def test_a_hub_in_all_partitions_is_one_star(spark, monkeypatch):
+    """Edges that all tasks repeat are reduced before the forest: what it makes
+    does not grow with the partitions."""
+    from basketflow.llm import graph
+    made = {}
+    real = graph.written
+
+    def count(df, name):
+        out = real(df, name)
+        made.setdefault(now, out.count())
+        return out
+
+    monkeypatch.setattr(graph, "written", count)
+    for now in (8, 64):
+        edges = spark.range(0, 40 * 500, 1, now).selectExpr("id % 500 + 1 AS a", "0 AS b")
         old = spark.conf.get("spark.sql.shuffle.partitions")
         try:
-            spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-            rows = jaccard_components(df, 5, 80).collect()
+            spark.conf.set("spark.sql.shuffle.partitions", str(now))
+            got = graph.components(edges).collect()
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", old)
-        assert {r.component_id for r in rows} == {0}
-    small, large, many = moved[512, 8], moved[2048, 8], moved[512, 64]
-    assert large["texts"] < 1.2 * 2048 and small["texts"] < 1.2 * 512
-    for what in ("spots", "edges", "texts"):
-        assert large[what] < 6 * small[what], (what, moved)
-        assert many[what] < 2 * small[what], (what, moved)
+        assert {r.component for r in got} == {0} and len(got) == 501
+    assert made[64] <= 501 + 64 and made[8] <= 501 + 8
