@@ -143,8 +143,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from basketflow.llm.graph import written
     from basketflow.llm.secrets import candidates, score_findings, train_secret_filter, weak_labels
 
-    found = written(candidates(table(spark, sf_dir, "documents")), "secret-candidates")
-    model = train_secret_filter(weak_labels(found))
+    docs = table(spark, sf_dir, "documents")
+    found = written(candidates(docs), "secret-candidates")
+    model = train_secret_filter(weak_labels(found), docs)
     return score_findings(found, model).select("doc_id", "nth", "start", "finding", "score", "secret")
 
 

@@ -12,6 +12,7 @@ the texts without Python workers.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import RandomForestClassifier
@@ -25,7 +26,7 @@ CONTEXT = 48
 SAMPLE = 4000
 TREES, DEPTH = 15, 6
 #: Learned letter pairs and dictionary words at most.
-PAIRS, WORDS = 120, 300
+PAIRS, WORDS = 120, 1000
 MASK = "[SECRET]"
 #: Candidates whose places are added up in one go.
 SUM_PIECE = 256
@@ -76,6 +77,11 @@ def _pieces(marked: Column) -> tuple[Column, Column]:
         F.regexp_extract_all(marked, F.lit(CANDIDATE), F.lit(0)), F.split(marked, CANDIDATE, -1)))
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, as a lambda variable."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _sums_before(sizes: Column) -> Column:
     """For each element of an int array the sum of those before it. An array
     that is grown one by one is copied each time, so sums run inside pieces of
@@ -87,20 +93,29 @@ def _sums_before(sizes: Column) -> Column:
     none = F.array().cast("array<int>")
     numbers = lambda v: F.when(F.size(v) > 0, F.sequence(F.lit(0), F.floor((F.size(v) - 1) / SUM_PIECE).cast("int"))) \
         .otherwise(none)
-    # Bound as lambda variables, arrays are worked out once.
-    once = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)
-    pieces = once(sizes, lambda v: F.transform(numbers(v), lambda b: running(
+    pieces = _once(sizes, lambda v: F.transform(numbers(v), lambda b: running(
         F.slice(v, b * SUM_PIECE + 1, F.lit(SUM_PIECE)), lambda x: x, none)))
-    return once(pieces, lambda p: F.flatten(F.zip_with(
+    return _once(pieces, lambda p: F.flatten(F.zip_with(
         p, running(p, lambda x: x["at"], none)["all"], lambda x, at: F.transform(x["all"], lambda y: y + at))))
 
 
 def _items(found: Column, between: Column) -> Column:
     """One struct per candidate: nth, start (characters from 0), finding and
-    the context on both sides."""
-    item = F.transform(found, lambda c, i: F.struct(
-        i.alias("nth"), c.alias("finding"), F.length(F.get(between, i)).alias("gap"),
-        F.right(F.get(between, i), F.lit(CONTEXT)).alias("before"), F.left(F.get(between, i + 1), F.lit(CONTEXT)).alias("after")))
+    the CONTEXT characters of the text on both sides, other candidates
+    included."""
+    # A candidate has six characters or more, which bounds the pieces around it.
+    near, edge = range(CONTEXT // 6 + 1), F.lit(CONTEXT)
+    or_none = lambda x: F.coalesce(x, F.lit(""))
+    tails = F.transform(between, lambda b, i: F.concat(F.right(or_none(F.get(found, i - 1)), edge), F.right(b, edge)))
+    heads = F.transform(between, lambda b, i: F.concat(F.left(b, edge), F.left(or_none(F.get(found, i)), edge)))
+
+    def items(tails: Column, heads: Column) -> Column:
+        return F.transform(found, lambda c, i: F.struct(
+            i.alias("nth"), c.alias("finding"), F.length(F.get(between, i)).alias("gap"),
+            F.right(F.concat(*[or_none(F.get(tails, i - k)) for k in reversed(near)]), edge).alias("before"),
+            F.left(F.concat(*[or_none(F.get(heads, i + 1 + k)) for k in near]), edge).alias("after")))
+
+    item = _once(tails, lambda t: _once(heads, lambda h: items(t, h)))
     sizes = F.transform(found, lambda c, i: F.length(F.get(between, i)) + F.length(c))
     return F.zip_with(item, _sums_before(sizes), lambda x, at: F.struct(
         x["nth"], (at + x["gap"]).alias("start"), x["finding"], x["before"], x["after"]))
@@ -108,8 +123,8 @@ def _items(found: Column, between: Column) -> Column:
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, nth, start, finding, before, after): every candidate of every
-    whole text. A null or empty text has none; rows that repeat an id give
-    their candidates each."""
+    whole text. A null or empty text has none, nor has an empty table; rows
+    that repeat an id give their candidates each; other columns are ignored."""
     rows = docs.select(F.col(id_col), _marked(F.col(text_col)).alias("_t")).where(F.regexp_like("_t", F.lit(CANDIDATE))) \
         .select(id_col, *(c.alias(n) for n, c in zip(("_f", "_b"), _pieces(F.col("_t")))))
     return rows.select(id_col, F.explode(_items(F.col("_f"), F.col("_b"))).alias("_i")).select(id_col, "_i.*")
@@ -137,7 +152,7 @@ def features(c: Column, before: Column, after: Column, model: SecretModel) -> li
     flag = lambda x: x.cast("double")
     return [
         size, F.size(F.array_distinct(F.split(c, ""))) / size, share("[0-9]"), share("[A-Z]"), share("[a-z]"),
-        share("[0-9a-fA-F]"), share(r"[_+/.=\-]"),
+        share("[A-Za-z]"), share("[0-9a-fA-F]"), share(r"[_+/.=\-]"), share("(?<=[A-Za-z])[0-9]|(?<=[0-9])[A-Za-z]"),
         share("(?<=[a-z])[^a-z]|(?<=[A-Z])[^A-Z]|(?<=[0-9])[^0-9]"), share("(?<=[0-9])[0-9]"), share("(?<=[a-z])[a-z]"),
         pairs / size, cover / size,
         F.regexp_count(c, F.lit("/")), F.regexp_count(c, F.lit(r"\.")), flag(before.rlike(r"(@|://|[\\/]|www\.)[^\s]*$")),
@@ -147,20 +162,31 @@ def features(c: Column, before: Column, after: Column, model: SecretModel) -> li
     ]
 
 
-def learn_texture(findings: DataFrame) -> tuple[list[str], list[str]]:
-    """(letter pairs, words): the commonest pairs of neighbouring letters and
-    words in the contexts of the (bounded) sample."""
-    word = findings.select(F.explode(F.regexp_extract_all(F.lower(F.concat_ws(" ", "before", "after")), F.lit(r"\p{L}{2,}"), F.lit(0))).alias("w"))
-    pair = word.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substr("w", i, F.lit(2)))).alias("w"))
-    top = lambda df, n: [r.w for r in df.groupBy("w").count().orderBy(F.desc("count"), "w").limit(n).collect()]
-    return top(pair, PAIRS), top(word.where(F.length("w").between(3, 14) & ~F.col("w").rlike(_NAMES)), WORDS)
+def common_words(docs: DataFrame, text_col: str = "text", n: int = WORDS) -> list[str]:
+    """The dictionary: the ``n`` commonest words of 3 to 14 letters over all
+    whole texts, lower-cased; ties by the word. Words that name secrets are
+    left out. Only these ``n`` words reach the driver."""
+    word = docs.select(F.explode(F.split(F.lower(text_col), r"[^\p{L}]+")).alias("w"))
+    return _top(word.where(F.length("w").between(3, 14) & ~F.col("w").rlike(_NAMES)), n)
+
+
+def _top(words: DataFrame, n: int) -> list[str]:
+    return [r.w for r in words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(n).collect()]
+
+
+def common_pairs(words: list[str], n: int = PAIRS) -> list[str]:
+    """The ``n`` commonest pairs of neighbouring letters of the dictionary."""
+    count = Counter(w[i:i + 2] for w in words for i in range(len(w) - 1))
+    return sorted(count, key=lambda p: (-count[p], p))[:n]
 
 
-def train_secret_filter(labelled: DataFrame, sample: int = SAMPLE, seed: int = 3) -> SecretModel:
+def train_secret_filter(labelled: DataFrame, docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, seed: int = 3) -> SecretModel:
     """Fit the forest on at most ``sample`` findings per label (0 or 1; those
-    with the smallest hash) of (finding, before, after, label). With one label
-    only, every candidate scores that label; with none nothing can be called
-    false and every candidate scores 1."""
+    with the smallest hash) of (finding, before, after, label), with the
+    dictionary of all ``docs``. Each finding is learnt twice, in its context
+    and without one: else the forest would only learn back what the labels
+    were read from. With one label only, every candidate scores that label;
+    with none nothing can be called false and every candidate scores 1."""
     order = [F.xxhash64("finding", "before", "after"), F.col("finding"), F.col("before"), F.col("after")]
     parts = [labelled.where(F.col("label") == y).select("finding", "before", "after", "label").orderBy(*order).limit(sample) for y in (0, 1)]
     # The bounded sample, as it goes through many passes of the fit.
@@ -169,10 +195,11 @@ def train_secret_filter(labelled: DataFrame, sample: int = SAMPLE, seed: int = 3
         seen = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
         if len(seen) < 2:
             return SecretModel(prior=float(next(iter(seen), 1)))
-        model = SecretModel()
-        model.pairs, model.words = learn_texture(rows)
+        model = SecretModel(words=common_words(docs, text_col))
+        model.pairs = common_pairs(model.words)
         f = features(F.col("finding"), F.col("before"), F.col("after"), model)
-        data = rows.select(array_to_vector(F.array(*[x.cast("double") for x in f])).alias("features"), F.col("label").cast("double").alias("label"))
+        bare = rows.withColumns({"before": F.lit(""), "after": F.lit("")})
+        data = rows.union(bare).select(array_to_vector(F.array(*[x.cast("double") for x in f])).alias("features"), F.col("label").cast("double").alias("label"))
         forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, featureSubsetStrategy="sqrt").fit(data)
         model.trees = [_tree(t._java_obj.rootNode()) for t in forest.trees]
         return model
@@ -205,11 +232,14 @@ def forest_score(f: Column, model: SecretModel) -> Column:
 
 
 def score_findings(findings: DataFrame, model: SecretModel) -> DataFrame:
-    """``findings`` with ``score`` and ``secret`` (score >= threshold)."""
+    """``findings`` with ``score`` and ``secret`` (score >= threshold). Columns
+    of those names are replaced, all others stay; repeated rows score alike
+    and an empty table gives an empty one."""
     f = features(F.col("finding"), F.col("before"), F.col("after"), model)
-    return findings.withColumn("_x", F.array(*[x.cast("double") for x in f])) \
-        .withColumn("score", forest_score(F.col("_x"), model)).drop("_x") \
-        .withColumn("secret", F.col("score") >= model.threshold)
+    got = findings.select(F.struct("*").alias("_row"), F.array(*[x.cast("double") for x in f]).alias("_x")) \
+        .select("_row", forest_score(F.col("_x"), model).alias("_s"))
+    kept = [F.col(f"_row.`{c}`") for c in findings.columns if c not in ("score", "secret")]
+    return got.select(*kept, F.col("_s").alias("score"), (F.col("_s") >= model.threshold).alias("secret"))
 
 
 def redact_secrets(docs: DataFrame, model: SecretModel, text_col: str = "text") -> DataFrame:

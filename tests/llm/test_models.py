@@ -437,7 +437,7 @@ def test_secrets_are_found_and_masked(spark):
     found = candidates(df).cache()
     texts = {i: t for i, t, _ in rows}
     assert all(texts[r.doc_id][r.start:r.start + len(r.finding)] == r.finding for r in found.collect())
-    model = train_secret_filter(weak_labels(found))
+    model = train_secret_filter(weak_labels(found), df)
     kind = {i: k for i, _, k in rows}
     real = {"token", "akia", "pass"}
     scored = score_findings(found, model).collect()
@@ -477,8 +477,8 @@ def test_secrets_odd_texts(spark):
     found = candidates(df)
     assert found.where("doc_id = 4").count() == 401 and found.where("doc_id is null").count() == 1 and found.count() == 402
     # One label only: every candidate scores it; none: nothing can be called false.
-    assert train_secret_filter(weak_labels(found)).prior == 1.0
-    assert train_secret_filter(weak_labels(found.limit(0))) == SecretModel()
+    assert train_secret_filter(weak_labels(found), df).prior == 1.0
+    assert train_secret_filter(weak_labels(found.limit(0)), df) == SecretModel()
     out = {(r.doc_id, len(r.text or "")) for r in redact_secrets(df, SecretModel()).collect()}
     assert (None, len("token=" + MASK)) in out and (5, 200_000) in out and (1, 0) in out
     kept = redact_secrets(df, SecretModel(prior=0.0)).collect()
@@ -506,3 +506,34 @@ def test_places_of_very_many_candidates(spark):
     found = candidates(docs).select("nth", "start", "finding").orderBy("nth").collect()
     assert [(r.nth, r.start, r.finding) for r in found] == [(i, 15 * i, k) for i, k in enumerate(keys)]
     assert redact_secrets(docs, SecretModel()).first().text == " ".join([MASK] * 200_000)
+
+
+def test_context_is_that_of_the_text(spark):
+    rows = [(1, "aws_access_key_id_1 = wJalrXUtnFEMI7 x"), (2, " ".join(f"k{i}Zq8wT3xyz" for i in range(30))),
+            (3, "host7.example.com:8080/path/9f8e7d6c5b4a3"), (4, "é" * 60 + " abcdef123456 " + "ü" * 60)]
+    found = candidates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) > 20
+    for r in found:
+        text, end = dict(rows)[r.doc_id], r.start + len(r.finding)
+        assert (r.before, r.after) == (text[max(0, r.start - 48):r.start], text[end:end + 48])
+
+
+def test_secrets_that_no_label_rule_matches(spark):
+    """Keys without a name beside them, which weak_labels leaves unlabelled."""
+    rng = random.Random(8)
+    df = spark.createDataFrame(secret_docs(rng, 600), "doc_id long, text string, kind string")
+    model = train_secret_filter(weak_labels(candidates(df)), df)
+    bare = [(i, f"the {''.join(rng.choices('0123456789abcdef', k=rng.choice([32, 40])))} of") for i in range(100)]
+    plain = [(i, f"the house{rng.randrange(99)}.water.street.running of 10.20.{rng.randrange(99)}.40.50 and") for i in range(100, 200)]
+    found = score_findings(weak_labels(candidates(spark.createDataFrame(bare + plain, "doc_id long, text string"))), model).collect()
+    keys, others = [r for r in found if r.doc_id < 100], [r for r in found if r.doc_id >= 100]
+    assert len(keys) == 100 and all(r.label is None for r in keys)
+    assert sum(r.secret for r in keys) >= 90 and sum(r.secret for r in others) <= len(others) / 10
+
+
+def test_scored_findings_keep_clashing_columns(spark):
+    row = spark.createDataFrame([("abc123def456", "", "", 7, "s", 5, "r")] * 2, "finding string, before string, after string, _x int, score string, _s int, _row string")
+    got = score_findings(row, SecretModel(prior=0.25))
+    assert got.columns == ["finding", "before", "after", "_x", "_s", "_row", "score", "secret"]
+    assert [(r._x, r._s, r._row, r.score, r.secret) for r in got.collect()] == [(7, 5, "r", 0.25, False)] * 2
+    assert score_findings(row.limit(0), SecretModel()).count() == 0
