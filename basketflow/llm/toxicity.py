@@ -9,6 +9,8 @@ makes false positives on neutral mentions.
 
 from __future__ import annotations
 
+import re
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,6 +37,9 @@ IDENTITY_TERMS = (
 )
 #: Training rows per label at most, those with the smallest id hash.
 SAMPLE = 3000
+#: Swap groups that are learnt from the labelled sample: terms at most, labelled
+#: texts that a term must stand in, and label shares that count as alike.
+TERMS, TERM_TEXTS, SHARE_STEP = 400, 10, 0.05
 BITS = 17
 #: Bytes of a word's beginning that are a feature of their own.
 PREFIXES = (4, 5, 6)
@@ -45,6 +50,9 @@ class ToxicityModel:
     weights: np.ndarray
     bias: float
     threshold: float = 0.3
+    #: Labelled texts learnt from, and how many of them had a counterfactual.
+    n_texts: int = 0
+    n_pairs: int = 0
 
 
 def features(data: np.ndarray, offs: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -70,20 +78,52 @@ _PLAIN[65:91] += 32
 _PLAIN[[b for b in range(33, 128) if not chr(b).isalnum()]] = 0x20
 
 
-def swap_identities(text: str, turn: int = 1) -> str:
-    """The text with each identity term replaced by the one ``turn`` places on
-    in its list."""
-    import re
+def swap_identities(text: str, turn: int = 1, groups: tuple = IDENTITY_TERMS) -> str:
+    """The text with each term of ``groups`` replaced by the one ``turn``
+    places on in its group."""
+    return _swap(text, turn, groups, _places(groups))
 
-    def other(m):
-        kind, i = _TERM[m.group(0).lower()]
-        return IDENTITY_TERMS[kind][(i + turn) % len(IDENTITY_TERMS[kind])]
 
-    return re.sub(_TERMS, other, text, flags=re.IGNORECASE)
+def _places(groups) -> dict:
+    return {w: (k, i) for k, kind in enumerate(groups) for i, w in enumerate(kind)}
 
 
-_TERM = {w: (k, i) for k, kind in enumerate(IDENTITY_TERMS) for i, w in enumerate(kind)}
-_TERMS = r"\b(?:" + "|".join(sorted(_TERM, key=len, reverse=True)) + r")\b"
+def _swap(text: str, turn: int, groups, places: dict) -> str:
+    def other(m):
+        at = places.get(m.group(0).lower())
+        return m.group(0) if at is None else groups[at[0]][(at[1] + turn) % len(groups[at[0]])]
+
+    return re.sub(r"\w+", other, text)
+
+
+def interchangeable(texts: list[str], labels: list[int], terms: int = TERMS, least: int = TERM_TEXTS,
+                    step: float = SHARE_STEP) -> tuple:
+    """Swap groups found in labelled texts: words of texts of both labels that
+    stand between the same neighbours (commonest one on either side) and whose
+    texts have alike shares of label 1 (same multiple of ``step``). So words
+    that mark a label are never swapped for words that do not. The ``terms``
+    commonest such words are grouped; a word counts once a text, ties go by
+    the word. Each text is read once, linear in its words."""
+    n, toxic, left, right = Counter(), Counter(), defaultdict(Counter), defaultdict(Counter)
+    for text, y in zip(texts, labels):
+        words = [w.lower() for w in re.findall(r"\w+", text)]
+        seen = set(words)
+        n.update(seen)
+        if y:
+            toxic.update(seen)
+    some = sorted((w for w in n if n[w] >= least and 0 < toxic[w] < n[w] and w.isalpha()), key=lambda w: (-n[w], w))[:terms]
+    wanted = set(some)
+    for text in texts:
+        words = ["", *(w.lower() for w in re.findall(r"\w+", text)), ""]
+        for i in range(1, len(words) - 1):
+            if words[i] in wanted:
+                left[words[i]][words[i - 1]] += 1
+                right[words[i]][words[i + 1]] += 1
+    top = lambda c: min(c, key=lambda w: (-c[w], w))
+    groups = defaultdict(list)
+    for w in some:
+        groups[top(left[w]), top(right[w]), int(toxic[w] / n[w] / step)].append(w)
+    return tuple(tuple(sorted(g)) for _, g in sorted(groups.items()) if len(g) > 1)
 
 
 class _Rows:
@@ -106,16 +146,22 @@ class _Rows:
 
 
 def fit(texts: list[str], labels: list[int], penalty: float = 2.0, ridge: float = 1e-4, steps: int = 150,
-        rate: float = 0.1) -> ToxicityModel:
+        rate: float = 0.1, groups: tuple | None = None) -> ToxicityModel:
     """Minimise log loss + penalty * (score change under identity swaps)^2 +
     ridge by Adam on the whole sample. Every labelled text is paired with its
-    counterfactual, if it has identity terms. Without both labels in the
-    sample every score is the share of label 1."""
+    counterfactual, if it has terms of the swap ``groups``: by default the
+    identity terms and what :func:`interchangeable` finds beside them. Without
+    both labels in the sample every score is the share of label 1."""
     y = np.asarray(labels, dtype=float)
     if not len(y) or y.min() == y.max():
-        return ToxicityModel(np.zeros(1 << BITS), 12.0 if len(y) and y[0] else -12.0)
+        return ToxicityModel(np.zeros(1 << BITS), 12.0 if len(y) and y[0] else -12.0, n_texts=len(y))
     width, rows = 1 << BITS, _Rows(texts)
-    swapped = [(i, swap_identities(t, 1 + i % 3)) for i, t in enumerate(texts)]
+    if groups is None:
+        known = _places(IDENTITY_TERMS)
+        found = (tuple(w for w in g if w not in known) for g in interchangeable(texts, labels))
+        groups = IDENTITY_TERMS + tuple(g for g in found if len(g) > 1)
+    places = _places(groups)
+    swapped = [(i, _swap(t, 1 + i % 3, groups, places)) for i, t in enumerate(texts)]
     swapped = [(i, s) for i, s in swapped if s != texts[i]]
     pair, twin = np.array([i for i, _ in swapped], dtype=np.int64), _Rows([s for _, s in swapped])
     # A feature counts by how surely it marks one label: rare ones are shrunk.
@@ -143,14 +189,16 @@ def fit(texts: list[str], labels: list[int], penalty: float = 2.0, ridge: float
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         w -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
         b -= rate * (mb / (1 - 0.9 ** step)) / (np.sqrt(vb / (1 - 0.999 ** step)) + 1e-8)
-    return ToxicityModel(w * scale, b)
+    return ToxicityModel(w * scale, b, n_texts=len(y), n_pairs=len(pair))
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id",
-                   text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
+                   text_col: str = "text", label_col: str = "toxic", penalty: float = 2.0,
+                   groups: tuple | None = None) -> ToxicityModel:
     """Fit on at most ``sample`` labelled rows per label, those with the
     smallest hash of the id, whose ``crc32(id as text) mod 4`` is not 2. Rows
-    without id, text or label are not learnt from. The bounded sample is
+    without id, text or label are not learnt from; empty tables give a model
+    that calls nothing toxic. ``penalty`` and swap ``groups`` as in :func:`fit`. The bounded sample is
     gathered in one task, which trains and returns the model."""
     ready(docs.sparkSession)
     known = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")) \
@@ -165,13 +213,13 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_
 
     def learn(table: pa.Table) -> pa.Table:
         data = sorted(zip(*(table.column(c).to_pylist() for c in ("_id", "_t", "_y"))), key=lambda r: (str(r[0]), r[1]))
-        model = fit([t for _, t, _ in data], [y for _, _, y in data])
-        return pa.table({"w": [model.weights.astype("<f4").tobytes()], "b": [model.bias]})
+        model = fit([t for _, t, _ in data], [y for _, _, y in data], penalty, groups=groups)
+        return pa.table({"w": [model.weights.astype("<f4").tobytes()], "b": [model.bias], "n": [model.n_texts], "p": [model.n_pairs]})
 
-    got = rows.groupBy("_g").applyInArrow(learn, "w binary, b double").first()
+    got = rows.groupBy("_g").applyInArrow(learn, "w binary, b double, n long, p long").first()
     if got is None:
         return ToxicityModel(np.zeros(1 << BITS), -12.0)
-    return ToxicityModel(np.frombuffer(got.w, "<f4").astype(float), got.b)
+    return ToxicityModel(np.frombuffer(got.w, "<f4").astype(float), got.b, n_texts=got.n, n_pairs=got.p)
 
 
 def held_out(doc_id):
@@ -181,8 +229,9 @@ def held_out(doc_id):
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (score >= threshold),
-    in one narrow pass over whole texts. A null text scores as the empty one.
-    Existing columns of those names are replaced."""
+    in one narrow pass over whole texts. A null text scores as the empty one;
+    repeated rows score alike; an empty table gives an empty one. Existing
+    columns of those names are replaced, all others stay."""
     ready(docs.sparkSession)
     weights, bias = docs.sparkSession.sparkContext.broadcast(model.weights.astype("<f4")), model.bias
 

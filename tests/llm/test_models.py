@@ -348,6 +348,30 @@ def test_swaps_lower_the_weight_of_group_mentions():
     assert toxicity.swap_identities("menus womens") == "menus womens"
 
 
+def test_swap_groups_are_learnt_from_contexts():
+    rng = random.Random(12)
+    texts, labels = [], []
+    for i in range(400):
+        y = int(i % 4 == 0)
+        who = rng.choice(["zorbs", "plims", "quants"])
+        texts.append(f"the {who} went home {'scum' if y or rng.random() < 0.02 else 'today'} w{i}")
+        labels.append(y)
+    groups = toxicity.interchangeable(texts, labels, step=0.5)
+    assert ("plims", "quants", "zorbs") in groups
+    assert not any("scum" in g for g in groups)
+    assert toxicity.interchangeable([], []) == () and toxicity.interchangeable(["", "a"], [0, 1]) == ()
+    model = toxicity.fit(texts, labels, groups=groups)
+    assert model.n_texts == 400 and model.n_pairs == 400
+
+
+def test_penalty_acts_on_the_registered_corpus(spark):
+    from tests.conftest import SF
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    held = toxicity.train_toxicity(docs, labels)
+    free = toxicity.train_toxicity(docs, labels, penalty=0.0)
+    assert 0 < held.n_pairs <= held.n_texts and np.abs(held.weights - free.weights).max() > 1e-3
+
+
 def test_toxicity_without_two_labels(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     none = toxicity.train_toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int"))
