@@ -80,7 +80,7 @@ _PLAIN[[b for b in range(33, 128) if not chr(b).isalnum()]] = 0x20
 
 def swap_identities(text: str, turn: int = 1, groups: tuple = IDENTITY_TERMS) -> str:
     """The text with each term of ``groups`` replaced by the one ``turn``
-    places on in its group."""
+    places on in its group, going round the others of the group."""
     return _swap(text, turn, groups, _places(groups))
 
 
@@ -91,7 +91,11 @@ def _places(groups) -> dict:
 def _swap(text: str, turn: int, groups, places: dict) -> str:
     def other(m):
         at = places.get(m.group(0).lower())
-        return m.group(0) if at is None else groups[at[0]][(at[1] + turn) % len(groups[at[0]])]
+        if at is None:
+            return m.group(0)
+        kind = groups[at[0]]
+        # One to size - 1 places on: never the term itself.
+        return kind[(at[1] + 1 + (turn - 1) % (len(kind) - 1)) % len(kind)]
 
     return re.sub(r"\w+", other, text)
 

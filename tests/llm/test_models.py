@@ -366,7 +366,8 @@ def test_swap_groups_are_learnt_from_contexts():
 
 def test_penalty_acts_on_the_registered_corpus(spark):
     from tests.conftest import SF
-    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    larger = SF.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{larger}/{t}.parquet") for t in ("documents", "labels"))
     held = toxicity.train_toxicity(docs, labels)
     free = toxicity.train_toxicity(docs, labels, penalty=0.0)
     assert 0 < held.n_pairs <= held.n_texts and np.abs(held.weights - free.weights).max() > 1e-3
