@@ -278,3 +278,23 @@ def in_blocks(rows: DataFrame, place: list[str], member: str, limit: int) -> Dat
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     return cut.withColumn("spot", F.xxhash64(*place, F.least("block", "_other"), F.greatest("block", "_other"))) \
         .withColumn("cross", F.col("block") != F.col("_other")).drop("_blocks", "_other")
+
+
+#: Bits of the table that thins rows out before a join.
+WANTED_BITS = 1 << 24
+
+
+def thinned(rows: DataFrame, wanted: DataFrame, key: str, bits: int = WANTED_BITS) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is none of ``wanted``'s,
+    to be joined with ``wanted`` afterwards: none that the join needs goes.
+
+    The keys' hashes fill a bit table that is broadcast: at most ``bits / 64``
+    rows of two longs, whatever the data (4 MB by default). Far more than
+    ``bits`` keys fill it up and thin out nothing. Rows without a key go."""
+    at = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(bits))
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("_at") % 64).cast("int"))
+    table = wanted.where(F.col(key).isNotNull()).select(at.alias("_at")) \
+        .groupBy(F.shiftright("_at", 6).alias("_word")).agg(F.bit_or(one).alias("_bits"))
+    tagged = rows.where(F.col(key).isNotNull()).withColumn("_word", F.shiftright(at, 6)).withColumn("_bit", (at % 64).cast("int"))
+    return tagged.join(F.broadcast(table), "_word").where(F.getbit("_bits", F.col("_bit")) == 1) \
+        .drop("_word", "_bits", "_bit")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.blocks import KEY_BYTES, Packer, _runs, buckets_of, by_bucket, by_spot, groups, in_blocks
+from basketflow.llm.blocks import KEY_BYTES, Packer, _runs, buckets_of, by_bucket, by_spot, groups, in_blocks, thinned
 from basketflow.llm.graph import components, release, written
 from basketflow.llm.words import Words, mix, ready, slices, text_buffers
 
@@ -379,7 +379,10 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
     sizes = members.groupBy("family").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles")).where("docs > 1") \
         .select("family", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
                 .cast("int").alias("blocks"))
-    todo = members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    todo = written(members.join(sizes, "family").select(
+        "rep", "rep_check", "family", "blocks", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block")), "jaccard-todo")
+    # Few texts are in a family: the others do not enter the exchange.
+    named = thinned(named, todo.select(F.col("rep").alias("doc_id")), "doc_id")
     texts = named.join(todo, (named["doc_id"] == todo["rep"]) & (named["check"] == todo["rep_check"])) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .select("family", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "doc_id", "text")

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from basketflow.llm.blocks import thinned
 from basketflow.llm.graph import components
 from basketflow.llm.jaccard import jaccard_components, signatures
 from basketflow.llm.substring import anchors, remove_repeats
@@ -277,3 +278,15 @@ def test_a_hub_in_all_partitions_is_one_star(spark, monkeypatch):
             spark.conf.set("spark.sql.shuffle.partitions", old)
         assert {r.component for r in got} == {0} and len(got) == 501
     assert made[64] <= 501 + 64 and made[8] <= 501 + 8
+
+
+@pytest.mark.parametrize("bits", [64, 4096, 1 << 24])
+def test_thinned_keeps_all_that_a_join_needs(spark, bits):
+    rows = spark.range(-500, 5000).withColumnRenamed("id", "k").union(spark.createDataFrame([(None,)], "k long"))
+    wanted = spark.createDataFrame([(i,) for i in [*range(-500, 5000, 97), 99999, None]], "k long")
+    left = [r.k for r in thinned(rows, wanted, "k", bits).collect()]
+    need = set(range(-500, 5000, 97))
+    assert need <= set(left) and len(left) == len(set(left))
+    if bits == 1 << 24:
+        assert len(left) < 2 * len(need)
+    assert thinned(rows, wanted.where("false"), "k", bits).count() == 0
