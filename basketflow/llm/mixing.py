@@ -179,14 +179,14 @@ def _flight_of(level: int, seed: int, land: bool):
 def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     """The rows of ``docs``, each as often as :func:`mix_sources` takes it
     (rows of no copies go), with the columns of ``docs``. Rows with equal id
-    and text count as one document that is taken as often as all of them.
+    and text count as one document that is taken as often as all of them: the
+    one whose columns come first as JSON, so that reruns agree.
     Documents without words have no weight in any target: they stay once."""
     id_col, text_col = params.get("id_col", "doc_id"), params.get("text_col", "text")
     taken = mix_sources(docs, **params).groupBy(F.col(id_col).alias("_k"), F.col("text_hash").alias("_h")) \
         .agg(F.sum(F.when(F.col("size") > 0, F.col("copies")).otherwise(1)).cast("int").alias("_n"))
     keyed = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"), F.struct("*").alias("_row"))
-    named = keyed.where("_id is not null").withColumn("_m", F.row_number().over(
-        Window.partitionBy("_id", "_hash").orderBy(F.lit(0)))).where("_m = 1").drop("_m")
-    rows = named.union(keyed.where("_id is null").dropDuplicates(["_hash"]))
+    rows = keyed.withColumn("_m", F.row_number().over(
+        Window.partitionBy("_id", "_hash").orderBy(F.to_json("_row")))).where("_m = 1").drop("_m")
     hit = rows.join(taken, rows["_id"].eqNullSafe(taken["_k"]) & (rows["_hash"] == taken["_h"]))
     return hit.where("_n > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("_row.*")

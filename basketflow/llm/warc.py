@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketflow.llm.graph import written
 from basketflow.llm.words import ready
 from basketflow.session import scratch_dir
 
@@ -150,6 +151,9 @@ def mark_revisits(pages: DataFrame) -> DataFrame:
     long = p.where(F.octet_length("payload") >= REVISIT_BYTES).select("page_id", "payload_digest")
     first = long.groupBy("payload_digest").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("_last")) \
         .where("refers_to < _last").select("payload_digest", "refers_to")
+    # Written, so that the join has a plain scan on this side and Spark can
+    # split a payload that very many pages share.
+    first = written(first, "warc-shared")
     revisits = long.join(first, "payload_digest").where("page_id > refers_to").distinct()
     return p.join(revisits, ["page_id", "payload_digest"], "left")
 

@@ -199,6 +199,18 @@ def test_mixed_documents_repeat_rows(spark):
     assert seen == {k: v for k, v in taken.items() if v}
 
 
+def test_mixed_documents_of_one_id_and_text_are_the_same_on_every_run(spark):
+    rows = [(i, "one two three", s, lang) for i in range(40) for s, lang in [("b", "en"), ("b", None), ("b", "de")]]
+    rows += [(None, "a b", "b", x) for x in ("fr", "en", None)]
+    runs = set()
+    for n in (1, 7):
+        df = spark.createDataFrame(rows[::-1] if n == 7 else rows, "doc_id long, text string, source string, lang string").repartition(n)
+        out = mixed_documents(df).collect()
+        assert {r.lang for r in out if r.doc_id is not None} == {"de"}
+        runs.add(frozenset((r.doc_id, r.lang) for r in out if r.doc_id is not None))
+    assert len(runs) == 1
+
+
 # ---- language ----------------------------------------------------------------------
 LANG = {"en": "the of and with house street water running walked quickly thinking another".split(),
         "fr": "le de et avec maison rue eau courir marchait rapidement pensée autre".split(),
