@@ -66,7 +66,7 @@ def _replay(spark: SparkSession, sliced: DataFrame, start, by_ts: bool = True
     slice by slice and run; event slices are selected by ``ts`` range."""
     stream = SlicedFileStream(spark, sliced.select("value").schema)
     for s in slice_ids(sliced, "slice"):
-        cond = in_event_slice(s) if by_ts else (F.col("slice") == F.lit(s))
+        cond = in_event_slice(s) if by_ts else F.col("slice").eqNullSafe(F.lit(s))
         stream.stage(sliced.where(cond).select("value"))
         stream.run_once(start)
     return stream

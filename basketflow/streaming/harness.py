@@ -68,5 +68,5 @@ class SlicedFileStream:
 
 
 def slice_ids(df: DataFrame, col: str) -> list:
-    """The distinct slice numbers, sorted (a handful of values)."""
-    return sorted(r[0] for r in df.select(col).distinct().collect())
+    """The distinct slice numbers or names, sorted, null last (a handful of values)."""
+    return sorted((r[0] for r in df.select(col).distinct().collect()), key=lambda s: (s is None, s))

@@ -13,7 +13,7 @@ from basketflow.functions.parse import parse_view_line
 from basketflow.operators.recommender import recommendations_flat
 from basketflow.sinks.writers import BatchTableWriter, read_batches
 from basketflow.streaming.counts import running_word_counts, start_counts
-from basketflow.streaming.harness import SlicedFileStream
+from basketflow.streaming.harness import SlicedFileStream, slice_ids
 from basketflow.session import scratch_dir
 from basketflow.streaming.recommend import (
     DELTA_SCHEMA, LIST_SCHEMA, SALTS, STATE_NAME, BatchScopedPairs, RunningRecommender,
@@ -266,3 +266,12 @@ def test_running_counts_state_is_the_batch_count(spark):
         running_word_counts(df, "value", "drop_trailing"), ckpt, sink))
     state = spark.read.format("statestore").load(stream.checkpoint_dir).select("key.word", "value.count").collect()
     assert sorted(map(tuple, state)) == [("a", 2), ("b", 2), ("c", 1)]
+
+
+def test_slices_with_a_null_one(spark):
+    """Null is a slice of its own, the last one."""
+    df = spark.createDataFrame([("b", 1), (None, 2), ("a", 3), ("a", 4)], "slice string, n int")
+    assert slice_ids(df, "slice") == ["a", "b", None]
+    assert slice_ids(df.where("n = 2"), "slice") == [None]
+    sizes = [df.where(F.col("slice").eqNullSafe(F.lit(s))).count() for s in slice_ids(df, "slice")]
+    assert sizes == [2, 1, 1]
