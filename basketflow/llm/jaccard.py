@@ -369,8 +369,10 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
     classes = written(classes, "jaccard-classes")
     shared = written(_shared_signatures(named, k, percent, buckets), "jaccard-signatures")
     release(docs.sparkSession)
-    met = in_blocks(shared.distinct().join(classes.select("f1", "rep", "n", "sketch"), "f1"), ["sig"], "rep", GROUP)
-    spots = met.select("spot", "block", "cross", "rep", "n", "sketch").repartition("spot").sortWithinPartitions("spot", "n")
+    # Sketches come last: only the exchange by spot carries them.
+    met = in_blocks(shared.distinct().join(classes.select("f1", "rep", "n"), "f1"), ["sig"], "rep", GROUP)
+    spots = met.join(classes.select("f1", "rep", "sketch"), ["f1", "rep"]) \
+        .select("spot", "block", "cross", "rep", "n", "sketch").repartition("spot").sortWithinPartitions("spot", "n")
     family = components(_near_sketches(spots, percent), "jaccard-families")
     del spots, met
     release(docs.sparkSession)
