@@ -83,13 +83,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, miss: float = 1
         .withColumn("key", F.xxhash64("label", "h1", "h2")), "vector-classes")
     most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     planes, tables = plan_tables(most, threshold, miss)
-    shelf = classes.select("key", "rep", "copies", "label", "v").mapInArrow(
+    coded = written(classes.select("key", "rep", "copies", "label", "v").mapInArrow(
         _code_rows(seed, planes, tables),
-        "key long, rep long, copies long, label string, dim int, vector binary, codes binary, code array<long>") \
-        .select("key", "rep", "copies", "label", "dim", "vector", "codes", F.posexplode("code").alias("t", "code"))
+        "key long, rep long, copies long, label string, dim int, vector binary, codes binary, code array<long>"), "vector-codes")
+    shelf = coded.select("key", "rep", "label", "dim", F.posexplode("code").alias("t", "code"))
     place = ["label", "dim", "t", "code"]
-    # Codes with more vectors than a block are met block by block.
-    dealt = in_blocks(shelf, place, "key", BLOCK) \
+    # Codes with more vectors than a block are met block by block. Vectors come
+    # last: only the exchange by spot carries them.
+    dealt = in_blocks(shelf, place, "key", BLOCK).select("spot", "t", "block", "cross", "key", "rep") \
+        .join(coded.select("key", "rep", "copies", "vector", "codes"), ["key", "rep"]) \
         .select("spot", "t", "block", "cross", "key", "rep", "copies", "vector", "codes") \
         .repartition("spot").sortWithinPartitions("spot", "key")
     found = written(dealt.mapInArrow(_compare_rows(threshold), "key long, links long, a long, b long"), "vector-links")
