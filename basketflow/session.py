@@ -19,6 +19,15 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Streaming state (running counts, the recommender's maps) off the JVM heap,
+# with incremental (changelog) checkpoints: large vocabularies do not pressure
+# executor memory and commits do not rewrite the whole state.
+STATE_STORE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 # Settings that make the plans hold at scale: AQE re-plans joins from runtime
 # sizes (size-checked broadcast, partition coalescing, skew splitting),
 # sessions run in UTC so timestamp_ntz casts are stable, RocksDB holds
@@ -33,12 +42,7 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.forceDeleteTempCheckpointLocation": "true",
-    # Streaming state (running counts) off the JVM heap, with incremental
-    # (changelog) checkpoints: large vocabularies do not pressure executor
-    # memory and commits do not rewrite the whole state.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    **STATE_STORE_CONF,
 }
 
 

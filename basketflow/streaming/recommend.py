@@ -46,7 +46,7 @@ from basketflow.operators.recommender import (
 )
 from basketflow.session import path_exists, publish, ship_package
 from basketflow.streaming.seed import store_seed
-from basketflow.streaming.settings import stream_partitions
+from basketflow.streaming.settings import keyed_state_store, stream_partitions
 
 SEED_SCHEMA = "item string, other string, cnt bigint"
 DELTA_SCHEMA = "batch bigint, item string, salt int, other string, cnt bigint"
@@ -178,9 +178,10 @@ class RunningRecommender:
         seed = self.seed.withColumn("salt", _salt("other", self.salts)).groupBy("item", "salt")
         lists = rows.groupBy("item", "salt").transformWithState(
             RunningList(), LIST_SCHEMA, "Update", "None", seed)
-        return (lists.writeStream.option("checkpointLocation", self.lists_checkpoint)
-                .outputMode("update").foreachBatch(self.sink)
-                .trigger(**(trigger or {"availableNow": True})).start())
+        with keyed_state_store(self.spark):
+            return (lists.writeStream.option("checkpointLocation", self.lists_checkpoint)
+                    .outputMode("update").foreachBatch(self.sink)
+                    .trigger(**(trigger or {"availableNow": True})).start())
 
     def start(self, views: DataFrame, trigger: dict,
               partitions: int | None = None) -> RunningQueries:

@@ -130,6 +130,22 @@ def test_warm_start_and_restart_without_seed(spark):
         RunningRecommender(spark, root, None, initial_state=init.withColumn("cnt", F.col("cnt") + 1))
 
 
+def test_running_lists_in_a_session_without_rocksdb(spark):
+    """The queries bring their own state store; the session keeps its own."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    own = spark.conf.get(key)
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    batches = some_batches(2, 5)
+    spark.conf.set(key, plain)
+    try:
+        got, reco, _ = run_running(spark, batches)
+        want, state = expected_lists(batches)
+        assert got == want and {(r.item, r.other): r.cnt for r in reco.state().collect()} == dict(state)
+        assert spark.conf.get(key) == plain
+    finally:
+        spark.conf.set(key, own)
+
+
 def test_lists_that_fall_behind_emit_every_batch(spark):
     """Two batches of pairs before the lists run: each batch's lists come, and
     a batch that is replayed changes nothing."""
