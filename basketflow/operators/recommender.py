@@ -37,12 +37,13 @@ Item ids are compared as strings (``"10" < "9"``), as in the reference.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StringType
 
-from basketflow.operators.skew import with_large_size
+from basketflow.operators.skew import size_lookup, with_large_size
 from basketflow.session import materialise
 
 # Target number of distinct items per block of a basket (bounds the block arrays
@@ -51,6 +52,8 @@ DEFAULT_BLOCK_SIZE = 2048
 # Hash buckets of the two-pass pair filter (bits of its table).
 DEFAULT_BUCKETS = 1 << 24
 MAX_BUCKETS = 1 << 26
+# Pairs that a task of the placed counting makes.
+PAIRS_PER_TASK = 4_000_000
 
 
 def distinct_views(views: DataFrame, user: str = "user", item: str = "item",
@@ -63,20 +66,18 @@ def distinct_views(views: DataFrame, user: str = "user", item: str = "item",
     columns, so a hot user is spread over all partitions and duplicates are
     removed map-side first.
     """
-    scope = list(scope)
-    item_type = views.schema[item].dataType
-    if isinstance(item_type, (IntegralType, StringType)):
-        # The text form of these types is one-to-one, so de-duplicate on the
-        # native values (narrower shuffle rows, cheaper hashing) and cast
-        # after the shuffle.
-        return (views
-                .select(*scope, F.col(user).alias("user"), F.col(item).alias("item"))
-                .where(F.col("user").isNotNull() & F.col("item").isNotNull())
-                .distinct()
-                .withColumn("item", F.col("item").cast("string")))
+    dv = _native_views(views, user, item, scope)
+    return dv.withColumn("item", F.col("item").cast("string"))
+
+
+def _native_views(views: DataFrame, user: str, item: str, scope: Sequence[str] = ()) -> DataFrame:
+    """:func:`distinct_views` with integers left as they are: their text form is
+    one-to-one, so they are de-duplicated on the native values (narrower shuffle
+    rows, cheaper hashing) and cast after the shuffle."""
+    native = isinstance(views.schema[item].dataType, (IntegralType, StringType))
+    ids = F.col(item) if native else F.col(item).cast("string")
     return (views
-            .select(*scope, F.col(user).alias("user"),
-                    F.col(item).cast("string").alias("item"))
+            .select(*scope, F.col(user).alias("user"), ids.alias("item"))
             .where(F.col("user").isNotNull() & F.col("item").isNotNull())
             .distinct())
 
@@ -250,6 +251,91 @@ def pair_support(views: DataFrame, min_basket: int = 2, min_support: int = 2,
     return counted
 
 
+def placed_pair_support(views: DataFrame, min_basket: int = 2, min_support: int = 2,
+                        block_size: int = DEFAULT_BLOCK_SIZE, user: str = "user",
+                        item: str = "item") -> DataFrame:
+    """:func:`pair_support` for pairs that seldom come twice in a task, so that
+    partial counts save nothing: items are brought to the place where their
+    pairs are made *and* counted, and no pair is shuffled.
+
+    * Baskets of one block: an item travels once with the later items of its
+      basket. Its pairs are counted where the item is; a hot item's are dealt
+      over salts by the other one.
+    * If a basket exceeds the block size, all items are dealt into as many
+      blocks as the largest basket has, the same for all baskets, and pairs are
+      counted in the cell of their two blocks. A large basket sends each block
+      to the cells of its row and column; pairs of small ones travel as such.
+
+    Pairs are counted as native values and become text at the end. A partition
+    makes about ``PAIRS_PER_TASK`` pairs, so that its counts fit in memory.
+    """
+    if block_size < 1:
+        raise ValueError("block_size must be positive")
+    least = max(2, min_basket)
+    dv = materialise(_native_views(views, user, item), "views")
+    n = F.col("n")
+    sizes = dv.groupBy("user").agg(F.count(F.lit(1)).alias("n")).where(n >= F.lit(least))
+    total = sizes.agg(F.max("n").alias("n"), F.sum(n * (n - 1) / 2).alias("pairs")).first()
+    n_parts = int(views.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    places = max(n_parts, ceil((total.pairs or 0) / PAIRS_PER_TASK))
+    if (total.n or 0) <= block_size:
+        pairs, place = _striped_pairs(dv, least, block_size, n_parts, places)
+    else:
+        pairs, place = _cell_pairs(dv, least, block_size, ceil(total.n / block_size), n_parts, places)
+    counted = pairs.groupBy(*place, "a", "b").agg(F.count(F.lit(1)).alias("cnt"))
+    if min_support > 1:
+        counted = counted.where(F.col("cnt") >= F.lit(min_support))
+    a, b = F.col("a").cast("string"), F.col("b").cast("string")
+    return counted.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), "cnt")
+
+
+def _stripes(dv: DataFrame, least: int, n_parts: int) -> DataFrame:
+    """``(a, rest)``: every item with the later ones of its basket."""
+    gathered = (dv.repartition(n_parts, "user").groupBy("user")
+                .agg(F.array_sort(F.collect_list("item")).alias("items")))
+    return (gathered.where(F.size("items") >= F.lit(least))
+            .select("items", F.posexplode("items").alias("pos", "a"))
+            .select("a", F.slice("items", F.col("pos") + 2, F.size("items")).alias("rest"))
+            .where(F.size("rest") > 0))
+
+
+def _striped_pairs(dv: DataFrame, least: int, block_size: int, n_parts: int,
+                   places: int) -> tuple[DataFrame, list[str]]:
+    hot, _ = size_lookup(dv, ["item"], block_size, "n", n_parts)
+    salted = _stripes(dv, least, n_parts).join(F.broadcast(hot.withColumnRenamed("item", "a")), "a", "left")
+    salt = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    own = F.filter("rest", lambda b: F.pmod(F.xxhash64(b), F.col("_salts")) == F.col("salt"))
+    placed = (salted.withColumn("salt", salt)
+              .select("a", "salt", F.when(F.col("_salts").isNull(), F.col("rest")).otherwise(own).alias("rest"))
+              .where(F.size("rest") > 0).repartition(places, "a", "salt"))
+    return placed.select("a", "salt", F.explode("rest").alias("b")), ["a", "salt"]
+
+
+def _cell_pairs(dv: DataFrame, least: int, block_size: int, grid: int, n_parts: int,
+                places: int) -> tuple[DataFrame, list[str]]:
+    block = lambda x: F.pmod(F.xxhash64(x), F.lit(grid)).cast("int")
+    place = ["lo", "hi"]
+    # A basket that is no larger than the grid has fewer pairs than copies.
+    sized = with_large_size(dv, ["user"], "item", max(block_size, grid), "_n")
+    blocks = (sized.where(F.col("_n") >= F.lit(least)).withColumn("blk", block("item"))
+              .repartition(n_parts, "user", "blk").groupBy("user", "blk")
+              .agg(F.collect_list("item").alias("items")))
+    side = lambda k: F.flatten(F.collect_list(F.when(F.col("blk") == F.col(k), F.col("items"))))
+    meet = (blocks.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+            .select("user", "blk", "items", F.least("blk", "o").alias("lo"), F.greatest("blk", "o").alias("hi"))
+            .repartition(places, *place).groupBy("user", *place)
+            .agg(side("lo").alias("left"), side("hi").alias("right")))
+    large = (meet.select(*place, F.explode("left").alias("x"), "right")
+             .select(*place, "x", F.explode("right").alias("y"))
+             .where((F.col("lo") < F.col("hi")) | (F.col("x") < F.col("y")))
+             .select(*place, F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    small = (_stripes(sized.where(F.col("_n").isNull()).select("user", "item"), least, n_parts)
+             .select("a", F.explode("rest").alias("b"))
+             .select(F.least(block("a"), block("b")).alias("lo"), F.greatest(block("a"), block("b")).alias("hi"), "a", "b")
+             .repartition(places, *place))
+    return large.unionByName(small), place
+
+
 def symmetric_pairs(pairs: DataFrame, a: str = "a", b: str = "b",
                     cnt: str = "cnt") -> DataFrame:
     """``(a, b, n)`` -> ``(a, b, n)`` and ``(b, a, n)`` in one pass."""

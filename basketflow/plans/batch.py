@@ -11,8 +11,8 @@ from basketflow.functions.parse import message_value, parse_view_line
 from basketflow.functions.payload import recommendation_payload
 from basketflow.operators.recommender import (
     DEFAULT_BUCKETS,
-    baskets, cooccurrence, nest_recommendations, pair_support, recommendations_flat,
-    top_neighbours,
+    baskets, cooccurrence, nest_recommendations, pair_support, placed_pair_support,
+    recommendations_flat, top_neighbours,
 )
 from basketflow.operators.wordcount import word_counts
 from basketflow.plans.tables import table
@@ -98,7 +98,7 @@ def cooc_hot_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     than one common event type. Blocks of 32 items, so every hot basket takes
     the multi-block path."""
     views = views_from_table(table(spark, sf_dir, "events"), "event_type", "user_id")
-    return (pair_support(views, min_support=2, block_size=32)
+    return (placed_pair_support(views, min_support=2, block_size=32)
             .select(F.col("a").alias("item_a"), F.col("b").alias("item_b"), "cnt"))
 
 

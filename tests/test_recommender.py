@@ -1,6 +1,8 @@
 """Batch co-occurrence recommender: golden output, edge cases, properties."""
 
 import itertools
+import random
+import re
 from collections import Counter
 
 import pytest
@@ -8,9 +10,12 @@ from pyspark.sql import functions as F
 
 from basketflow.functions.payload import recommendation_payload
 from basketflow.operators.recommender import (
-    baskets, cooccurrence, item_pairs, pair_support, recommendations_flat, top_neighbours,
+    baskets, cooccurrence, item_pairs, pair_support, placed_pair_support,
+    recommendations_flat, top_neighbours,
 )
 from basketflow.functions.parse import parse_view_line
+from basketflow.plans.batch import BATCH_QUERIES as QUERIES
+from tests.conftest import SF
 
 
 # An invented log: a hot user, a repeated view, a user of one item and two
@@ -257,3 +262,34 @@ def test_size_lookup_does_not_grow_with_partitions(spark):
     assert size_lookup(basket.union(others), ["user"], 2048, "n", 200)[1].count() == 1
     assert size_lookup(basket.union(others), ["user"], 2048, "n", 10_000)[1].count() == 9
     assert size_lookup(views.limit(0), ["user"], 3, "n", 8)[1].count() == 0
+
+
+def _placed_views(spark, item):
+    """Small baskets, two large ones, an item in every basket, repeats and nulls."""
+    rnd = random.Random(8)
+    rows = [(f"u{rnd.randrange(40)}", rnd.randrange(95)) for _ in range(400)] + [(f"u{u}", 7) for u in range(40)]
+    rows += [(f"hot{h}", i) for h in range(2) for i in range(60 + h)] * 2 + [(None, 3), ("u1", None)]
+    return spark.createDataFrame(rows, "user string, item int").withColumn("item", F.col("item").cast(item))
+
+
+@pytest.mark.parametrize("item", ["int", "string", "double"])
+@pytest.mark.parametrize("block_size", [2, 8, 2048])
+def test_placed_pairs_equal_shuffled_pairs(spark, item, block_size):
+    views = _placed_views(spark, item)
+    for kw in ({"min_support": 2}, {"min_support": 1, "min_basket": 9}):
+        got = placed_pair_support(views, block_size=block_size, **kw)
+        want = pair_support(views, **kw)
+        assert got.schema == want.schema
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_placed_pairs_of_nothing(spark):
+    assert placed_pair_support(_placed_views(spark, "int").where("false")).collect() == []
+
+
+@pytest.mark.parametrize("query", ["cooc_hot_baskets"])
+def test_these_queries_shuffle_no_pairs(spark, query):
+    df = QUERIES[query](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert keys and not [k for k in keys if re.search(r"\ba#", k) and re.search(r"\bb#", k)]
