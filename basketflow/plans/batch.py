@@ -42,7 +42,7 @@ def customer_part_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cooc_customer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P6-P8 + A1 over customer baskets (tens of parts each): parts bought by
     more than one common customer."""
-    return (pair_support(customer_part_views(spark, sf_dir), min_support=2)
+    return (placed_pair_support(customer_part_views(spark, sf_dir), min_support=2)
             .select(F.col("a").alias("item_a"), F.col("b").alias("item_b"), "cnt"))
 
 

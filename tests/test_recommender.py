@@ -287,7 +287,7 @@ def test_placed_pairs_of_nothing(spark):
     assert placed_pair_support(_placed_views(spark, "int").where("false")).collect() == []
 
 
-@pytest.mark.parametrize("query", ["cooc_hot_baskets"])
+@pytest.mark.parametrize("query", ["cooc_hot_baskets", "cooc_customer_pairs"])
 def test_these_queries_shuffle_no_pairs(spark, query):
     df = QUERIES[query](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
