@@ -387,7 +387,9 @@ def nest_recommendations(flat: DataFrame, keys: tuple[str, ...] = ("item",),
     """
     group = list(keys)
     if max_per_row is not None:
-        flat = _chunk_column(flat, keys, "other", max_per_row)
+        # The sizes of the lists are asked for several times: written once,
+        # the rows are not counted anew for each.
+        flat = _chunk_column(materialise(flat, "lists"), keys, "other", max_per_row)
         group.append("part")
     entries = F.collect_list(F.struct((-F.col("cnt")).alias("k"), F.col("other"),
                                       F.col("cnt")))

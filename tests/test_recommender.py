@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from basketflow.functions.payload import recommendation_payload
 from basketflow.operators.recommender import (
-    baskets, cooccurrence, item_pairs, pair_support, placed_pair_support,
+    baskets, cooccurrence, item_pairs, nest_recommendations, pair_support, placed_pair_support,
     recommendations_flat, top_neighbours,
 )
 from basketflow.functions.parse import parse_view_line
@@ -293,3 +293,13 @@ def test_these_queries_shuffle_no_pairs(spark, query):
     plan = df._jdf.queryExecution().executedPlan().toString()
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert keys and not [k for k in keys if re.search(r"\ba#", k) and re.search(r"\bb#", k)]
+
+
+def test_chunked_lists_are_counted_once(spark):
+    """The chunks' sizes come from written lists, not from a second count."""
+    flat = recommendations_flat(_placed_views(spark, "int"))
+    rows = nest_recommendations(flat, max_per_row=3)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(a#", plan)
+    got = rows.select("item", F.explode("recs").alias("e")).select("item", "e.other", "e.cnt")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, flat.collect()))
