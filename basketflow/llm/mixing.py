@@ -185,8 +185,12 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     id_col, text_col = params.get("id_col", "doc_id"), params.get("text_col", "text")
     taken = mix_sources(docs, **params).groupBy(F.col(id_col).alias("_k"), F.col("text_hash").alias("_h")) \
         .agg(F.sum(F.when(F.col("size") > 0, F.col("copies")).otherwise(1)).cast("int").alias("_n"))
-    keyed = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"), F.struct("*").alias("_row"))
-    rows = keyed.withColumn("_m", F.row_number().over(
-        Window.partitionBy("_id", "_hash").orderBy(F.to_json("_row")))).where("_m = 1").drop("_m")
-    hit = rows.join(taken, rows["_id"].eqNullSafe(taken["_k"]) & (rows["_hash"] == taken["_h"]))
+    # Keys without nulls, the same for window and join: one exchange serves both,
+    # and the JSON is made after it.
+    key = lambda c: [F.coalesce(F.col(c).cast("string"), F.lit("")).alias("_key"), F.col(c).isNull().alias("_none")]
+    keys = ["_key", "_none", "_hash"]
+    keyed = docs.select(*key(id_col), F.xxhash64(text_col).alias("_hash"), F.struct("*").alias("_row")).repartition(*keys)
+    rows = keyed.withColumn("_m", F.row_number().over(Window.partitionBy(*keys).orderBy(F.to_json("_row")))) \
+        .where("_m = 1").drop("_m")
+    hit = rows.join(taken.select(*key("_k"), F.col("_h").alias("_hash"), "_n"), keys)
     return hit.where("_n > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("_row.*")

@@ -211,6 +211,22 @@ def test_mixed_documents_of_one_id_and_text_are_the_same_on_every_run(spark):
     assert len(runs) == 1
 
 
+def test_mixed_documents_exchange_the_texts_once(spark, capsys):
+    rows = [(i, f"one two three {i}", "b") for i in range(50)] + [(None, "a b", "b"), (None, "a b", "b"), (None, "c", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = mixed_documents(df)
+        out.explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One for the texts, two for the counts that meet them.
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 3
+    taken = sum(r.copies for r in mix_sources(df).collect())
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert len(got) == taken and set(got) <= {(i, t) for i, t, _ in rows}
+
+
 # ---- language ----------------------------------------------------------------------
 LANG = {"en": "the of and with house street water running walked quickly thinking another".split(),
         "fr": "le de et avec maison rue eau courir marchait rapidement pensée autre".split(),
