@@ -37,7 +37,7 @@ Item ids are compared as strings (``"10" < "9"``), as in the reference.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
+from math import ceil, sqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,6 +54,9 @@ DEFAULT_BUCKETS = 1 << 24
 MAX_BUCKETS = 1 << 26
 # Pairs that a task of the placed counting makes.
 PAIRS_PER_TASK = 4_000_000
+# Alike items: most in a block (so that blocks even out over the cells), most
+# baskets of an item, and most items on a side of a cell.
+ALIKE_BLOCK, ALIKE_BASKETS, ALIKE_SIDE = 128, 4096, 1 << 16
 
 
 def distinct_views(views: DataFrame, user: str = "user", item: str = "item",
@@ -265,6 +268,10 @@ def placed_pair_support(views: DataFrame, min_basket: int = 2, min_support: int
       blocks as the largest basket has, the same for all baskets, and pairs are
       counted in the cell of their two blocks. A large basket sends each block
       to the cells of its row and column; pairs of small ones travel as such.
+    * Then, if many items are in the very same baskets (few baskets hold most
+      of the views), a pair's count is that of its two items' blocks: blocks of
+      such alike items meet once, not once in every basket, and each of their
+      pairs is made once, counted already (:func:`_alike_pairs`).
 
     Pairs are counted as native values and become text at the end. A partition
     makes about ``PAIRS_PER_TASK`` pairs, so that its counts fit in memory.
@@ -280,6 +287,8 @@ def placed_pair_support(views: DataFrame, min_basket: int = 2, min_support: int
     places = max(n_parts, ceil((total.pairs or 0) / PAIRS_PER_TASK))
     if (total.n or 0) <= block_size:
         pairs, place = _striped_pairs(dv, least, block_size, n_parts, places)
+    elif (alike := _alike_pairs(dv, least, min_support, block_size, total.pairs, n_parts)) is not None:
+        return alike
     else:
         pairs, place = _cell_pairs(dv, least, block_size, ceil(total.n / block_size), n_parts, places)
     counted = pairs.groupBy(*place, "a", "b").agg(F.count(F.lit(1)).alias("cnt"))
@@ -336,6 +345,62 @@ def _cell_pairs(dv: DataFrame, least: int, block_size: int, grid: int, n_parts:
     return large.unionByName(small), place
 
 
+def _alike_pairs(dv: DataFrame, least: int, min_support: int, block_size: int,
+                 basket_pairs: float, n_parts: int) -> DataFrame | None:
+    """``(a, b, cnt)`` from blocks of alike items (those of the same baskets),
+    or None if items are so little alike that all blocks' meetings, each as
+    long as the block's list of baskets, cost more than all baskets' pairs.
+
+    Blocks are dealt over both sides of a triangle of cells, and each pair of
+    blocks meets in one cell: it has as many common baskets as any of its
+    pairs. Pairs of blocks below the support are not unfolded, so no more
+    pairs are made than there are in the baskets.
+    """
+    size = min(block_size, ALIKE_BLOCK)
+    kept = with_large_size(dv, ["user"], "item", least - 1, "_n").where(F.col("_n").isNotNull()).drop("_n")
+    # Only for the choice are lists of baskets taken as their hashes.
+    lists = kept.groupBy("item").agg(F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("user")).alias("h"))
+    units = F.ceil(F.col("m") / F.lit(size))
+    est = (lists.groupBy("k", "h").agg(F.count(F.lit(1)).alias("m"))
+           .agg(F.max("k").alias("k"), F.sum("m").alias("items"), F.sum(units).alias("units"),
+                F.sum(units * F.col("k")).alias("entries")).first())
+    if est.k > ALIKE_BASKETS or est.units * est.entries > basket_pairs:
+        return None
+    made = min(basket_pairs, est.items * (est.items - 1) / 2)
+    sides = max(ceil(sqrt(2 * max(n_parts, made / PAIRS_PER_TASK))), ceil(est.items / ALIKE_SIDE))
+    cells = sides * (sides + 1) // 2
+    users = kept.groupBy("item").agg(F.array_sort(F.collect_list("user")).alias("users"))
+    sized = with_large_size(users, ["users"], "item", size, "_n")
+    n_blocks = F.coalesce(F.ceil(F.col("_n") / F.lit(size)), F.lit(1))
+    blocks = (sized.withColumn("blk", F.pmod(F.xxhash64("item"), n_blocks))
+              .groupBy("users", "blk").agg(F.array_sort(F.collect_list(F.col("item").cast("string"))).alias("items"))
+              .withColumn("side", F.pmod(F.xxhash64("users", "blk"), F.lit(sides)).cast("int")))
+    lo, hi = F.least("side", "o"), F.greatest("side", "o")
+    entry = F.struct("users", "items")
+    meet = (blocks.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(sides - 1))))
+            .select((F.shiftright(hi * (hi + 1), 1) + lo).alias("cell"), (lo == hi).alias("corner"),
+                    (F.col("side") == lo).alias("left"), (F.col("side") == hi).alias("right"), entry.alias("e"))
+            .repartitionById(cells, "cell").groupBy("cell", "corner")
+            .agg(F.collect_list(F.when(F.col("left"), F.col("e"))).alias("left"),
+                 F.collect_list(F.when(F.col("right"), F.col("e"))).alias("right")))
+    # On the corner both sides hold the same blocks in the same order. Generated
+    # code would hold all that a row unfolds to: transform() keeps these two
+    # steps out of it, so that no more than two blocks' pairs are held.
+    apart = lambda i, j: ~F.col("corner") | (i < j)
+    common = lambda y: F.size(F.array_intersect(F.col("x.users"), y["users"])).cast("long")
+    left = F.transform("left", lambda x, i: F.struct(x["users"].alias("users"), x["items"].alias("items"), i.alias("i")))
+    right = F.transform("right", lambda y, j: F.struct(
+        y["items"].alias("items"), apart(F.col("x.i"), j).alias("apart"),
+        F.when(apart(F.col("x.i"), j) | (F.col("x.i") == j), common(y)).otherwise(0).alias("cnt")))
+    enough = F.filter(right, lambda y: y["cnt"] >= F.lit(max(1, min_support)))
+    met = (meet.select("corner", F.explode(left).alias("x"), "right")
+           .select(F.col("x.items").alias("xs"), F.explode(enough).alias("y")))
+    return (met.select("y.apart", "y.cnt", F.col("y.items").alias("ys"), F.explode("xs").alias("x"))
+            .select("apart", "cnt", "x", F.explode("ys").alias("y"))
+            .where(F.col("apart") | (F.col("x") < F.col("y")))
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "cnt"))
+
+
 def symmetric_pairs(pairs: DataFrame, a: str = "a", b: str = "b",
                     cnt: str = "cnt") -> DataFrame:
     """``(a, b, n)`` -> ``(a, b, n)`` and ``(b, a, n)`` in one pass."""

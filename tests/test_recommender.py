@@ -287,6 +287,36 @@ def test_placed_pairs_of_nothing(spark):
     assert placed_pair_support(_placed_views(spark, "int").where("false")).collect() == []
 
 
+def _alike_views(spark, user, item):
+    """Four large baskets whose items fall into few groups of alike ones, some
+    small baskets, repeats and nulls."""
+    rows = [(u, i) for i in range(150) for u in range(4) if (i % 6 + 5) >> u & 1] * 2
+    rows += [(10 + i % 3, i) for i in range(140, 150)] + [(20, 3), (21, 500), (22, 500), (22, 501), (None, 3), (1, None)]
+    views = spark.createDataFrame(rows, "user int, item int")
+    return views.select(F.col("user").cast(user), F.col("item").cast(item))
+
+
+@pytest.mark.parametrize("user,item,block_size", [
+    ("string", "bigint", 1), ("string", "bigint", 8), ("int", "string", 32), ("double", "double", 8)])
+def test_alike_items_are_paired_once(spark, user, item, block_size):
+    """Their pairs come counted: not made per basket and then aggregated."""
+    views = _alike_views(spark, user, item)
+    for kw in ({"min_support": 2}, {"min_support": 1}, {"min_support": 3, "min_basket": 5}):
+        got = placed_pair_support(views, block_size=block_size, **kw)
+        want = pair_support(views, **kw)
+        assert got.schema == want.schema
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        by_pair = re.search(r"keys=\[[^]]*\ba#\d+L?, b#", got._jdf.queryExecution().executedPlan().toString())
+        assert bool(by_pair) == (block_size == 1)
+
+
+def test_hot_baskets_query_pairs_once(spark):
+    """Five baskets of the same users: no pair is made in each and then aggregated."""
+    df = QUERIES["cooc_hot_baskets"](spark, "/root/testdata/sf0.01")
+    assert not re.search(r"keys=\[[^]]*\ba#\d+L?, b#", df._jdf.queryExecution().executedPlan().toString())
+    assert df.count() == 11175
+
+
 @pytest.mark.parametrize("query", ["cooc_hot_baskets", "cooc_customer_pairs"])
 def test_these_queries_shuffle_no_pairs(spark, query):
     df = QUERIES[query](spark, SF)
