@@ -369,12 +369,16 @@ def _alike_pairs(dv: DataFrame, least: int, min_support: int, block_size: int,
     made = min(basket_pairs, est.items * (est.items - 1) / 2)
     sides = max(ceil(sqrt(2 * max(n_parts, made / PAIRS_PER_TASK))), ceil(est.items / ALIKE_SIDE))
     cells = sides * (sides + 1) // 2
-    users = kept.groupBy("item").agg(F.array_sort(F.collect_list("user")).alias("users"))
-    sized = with_large_size(users, ["users"], "item", size, "_n")
-    n_blocks = F.coalesce(F.ceil(F.col("_n") / F.lit(size)), F.lit(1))
-    blocks = (sized.withColumn("blk", F.pmod(F.xxhash64("item"), n_blocks))
-              .groupBy("users", "blk").agg(F.array_sort(F.collect_list(F.col("item").cast("string"))).alias("items"))
-              .withColumn("side", F.pmod(F.xxhash64("users", "blk"), F.lit(sides)).cast("int")))
+    users = (kept.groupBy("item").agg(F.array_sort(F.collect_list("user")).alias("users"))
+             .withColumn("item", F.col("item").cast("string")))
+    # Blocks are ranges of their group's items: of two blocks mostly one holds
+    # the lesser items, so that written columns have runs.
+    ranges = min(n_parts, ceil(est.items / (64 * size)))
+    ranged = users.repartitionByRange(ranges, "users", "item").withColumn("range", F.spark_partition_id())
+    nth = F.row_number().over(Window.partitionBy("range", "users").orderBy("item"))
+    blocks = (ranged.withColumn("blk", F.floor((nth - 1) / F.lit(size)))
+              .groupBy("range", "users", "blk").agg(F.array_sort(F.collect_list("item")).alias("items"))
+              .withColumn("side", F.pmod(F.xxhash64("range", "users", "blk"), F.lit(sides)).cast("int")))
     lo, hi = F.least("side", "o"), F.greatest("side", "o")
     entry = F.struct("users", "items")
     meet = (blocks.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(sides - 1))))
@@ -393,12 +397,20 @@ def _alike_pairs(dv: DataFrame, least: int, min_support: int, block_size: int,
         y["items"].alias("items"), apart(F.col("x.i"), j).alias("apart"),
         F.when(apart(F.col("x.i"), j) | (F.col("x.i") == j), common(y)).otherwise(0).alias("cnt")))
     enough = F.filter(right, lambda y: y["cnt"] >= F.lit(max(1, min_support)))
+    first = lambda items: items.getItem(0)
+    turned = first(F.col("y.items")) < first(F.col("x.items"))
     met = (meet.select("corner", F.explode(left).alias("x"), "right")
-           .select(F.col("x.items").alias("xs"), F.explode(enough).alias("y")))
-    return (met.select("y.apart", "y.cnt", F.col("y.items").alias("ys"), F.explode("xs").alias("x"))
-            .select("apart", "cnt", "x", F.explode("ys").alias("y"))
-            .where(F.col("apart") | (F.col("x") < F.col("y")))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "cnt"))
+           .select("x", F.explode(enough).alias("y"))
+           .select("y.apart", "y.cnt", F.when(turned, F.col("y.items")).otherwise(F.col("x.items")).alias("xs"),
+                   F.when(turned, F.col("x.items")).otherwise(F.col("y.items")).alias("ys")))
+    # In order: the blocks' ranges don't overlap, or it is one block.
+    pairs = (met.withColumn("ordered", ~F.col("apart") | (F.element_at("xs", -1) < first(F.col("ys"))))
+             .select("apart", "ordered", "cnt", "ys", F.explode("xs").alias("x"))
+             .select("apart", "ordered", "cnt", "x", F.explode("ys").alias("y"))
+             .where(F.col("apart") | (F.col("x") < F.col("y"))))
+    a = F.when(F.col("ordered"), F.col("x")).otherwise(F.least("x", "y"))
+    b = F.when(F.col("ordered"), F.col("y")).otherwise(F.greatest("x", "y"))
+    return pairs.select(a.alias("a"), b.alias("b"), "cnt")
 
 
 def symmetric_pairs(pairs: DataFrame, a: str = "a", b: str = "b",
